@@ -83,7 +83,7 @@ def shard(docs: DataFrame, dims: tuple[str, ...] = ("source", "lang", "size"), s
         for v in sorted({*(cuts[i] or [])}):
             level = level + F.when(F.col(f"c{i}") > v, 1).otherwise(0)
         cell = cell * levels + level
-    table = F.transform(F.split(F.lit(curve(len(dims), bits)), ","), lambda x: x.cast("int"))
+    table = F.split(F.lit(curve(len(dims), bits)), ",").cast("array<int>")  # folded to a constant array
     rows = rows.select("doc_id", "size", "text_crc32", cell.cast("int").alias("cell"), F.xxhash64(F.coalesce("doc_id", F.lit(-1))).alias("h"))
     rows = rows.select("doc_id", "size", "text_crc32", "h", F.get(table, "cell").alias("hilbert"), F.shiftrightunsigned("h", 58).cast("int").alias("sub"))
     wide = len(dims) * bits - 8

@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, hilbert, mixing
+import public_tokenizers
+
+from . import bpe, chat, hilbert, jaccard, mixing, toxicity
 from .common import read
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    out = toxicity.classify(docs, read(spark, sf_dir, "labels"), into="score", keep_text=False)
+    return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.col("__cut").alias("threshold"), F.col("__flagged").alias("flagged"))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op7_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = chat.preference(chat.neighbours(read(spark, sf_dir, "conversations")))
     trained = lambda side: F.aggregate(f"{side}_mask", F.lit(0), lambda a, m: a + F.when(m["train"], m["end"] - m["start"]).otherwise(0)).cast("long").alias(f"{side}_trained")
@@ -21,14 +33,21 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read(spark, sf_dir, "documents"))
+
+
 def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = hilbert.shard(read(spark, sf_dir, "documents"))
     return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int")).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "hilbert")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
+    "op4_bpe": op4_bpe,
     "op7_preferences": op7_preferences,
     "op8_mix": op8_mix,
+    "op9_jaccard": op9_jaccard,
     "op10_hilbert": op10_hilbert,
 }
 
