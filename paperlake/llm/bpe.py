@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Parts of the rank map, by CRC of the piece: a map value in Spark is found by going through its keys.
-PARTS = 1 << 16
+PARTS = 1 << 14
 #: Text that one chunk row stands for at most (a longer text has one for itself), and the longest word, in bytes, that
 #: is merged by higher-order functions, whose work grows with the square of the length.
 CHUNK, LONG = 64 << 20, 128
@@ -70,17 +70,14 @@ def merged(word: Column, maps: Column) -> Column:
     def join(s: Column, p: Column) -> Column:
         pieces, by = s["p"], s["r"]
         one = F.concat(F.get(pieces, p - 1), F.get(pieces, p))
-        left = F.when(p > 1, F.array(rank(F.concat(F.get(pieces, p - 2), one)))).otherwise(none)
-        right = F.when(p < F.size(by), F.array(rank(F.concat(one, F.get(pieces, p + 1))))).otherwise(none)
-        return F.struct(
-            F.concat(F.slice(pieces, 1, p - 1), F.array(one), F.slice(pieces, p + 2, F.size(pieces))).alias("p"),
-            F.concat(F.slice(by, 1, F.greatest(p - 2, F.lit(0))), left, right, F.slice(by, p + 2, F.size(by))).alias("r"),
-        )
+        fewer = F.transform(F.sequence(F.lit(0), F.size(by) - 1), lambda k: F.when(k < p - 1, F.get(pieces, k)).when(k > p - 1, F.get(pieces, k + 1)).otherwise(one))
+        again = lambda q: F.transform(F.sequence(F.lit(0), F.size(by) - 2), lambda k: F.when(k < p - 2, F.get(by, k)).when(k > p - 1, F.get(by, k + 1)).otherwise(rank(F.concat(F.get(q, k), F.get(q, k + 1)))))
+        return let(fewer, lambda q: F.struct(q.alias("p"), F.when(F.size(by) > 1, again(q)).otherwise(none).alias("r")))
 
     n = F.length(word)
     first = F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(word, i, F.lit(1)))
     pairs = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: rank(F.substr(word, i, F.lit(2))))).otherwise(none)
-    step = lambda s, _: F.when(F.array_min(s["r"]).isNull(), s).otherwise(let(F.array_position(s["r"], F.array_min(s["r"])).cast("int"), lambda p: join(s, p)))
+    step = lambda s, _: let(F.array_min(s["r"]), lambda m: F.when(m.isNull(), s).otherwise(let(F.array_position(s["r"], m).cast("int"), lambda p: join(s, p))))
     folded = F.aggregate(F.sequence(F.lit(1), n), F.struct(first.alias("p"), pairs.alias("r")), step, lambda s: F.transform(s["p"], rank))
     return F.when(rank(word).isNotNull(), F.array(rank(word))).otherwise(folded)
 
@@ -193,7 +190,8 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     chunks = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, CHUNKS)
     encoded = chunks.select(
         "ids",
-        F.transform("words", lambda w: F.when(F.length(w) <= LONG, merged(w, maps)).otherwise(F.array().cast("array<int>"))).alias("merged"),
+        # the map is bound to a variable, so the plan holds it once
+        F.get(F.transform(F.array(maps), lambda m: F.transform("words", lambda w: F.when(F.length(w) <= LONG, merged(w, m)).otherwise(F.array().cast("array<int>")))), F.lit(0)).alias("merged"),
         F.filter(F.transform("words", lambda w, j: F.struct(j.alias("j"), w.alias("w"))), lambda x: F.length(x["w"]) > LONG).alias("long"),
         "stream",
         "counts",
