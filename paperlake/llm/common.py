@@ -42,8 +42,9 @@ def drop(*saved: DataFrame) -> None:
 
 
 def small_enough(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """df marked for broadcast if it has at most that many rows, else as it is: Spark then shuffles and splits skew."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """df, a written table, marked for broadcast if it has at most that many rows, else as it is: Spark then shuffles and
+    splits skew. Counting reads the files' footers only."""
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def bits(column, n: int):

@@ -167,7 +167,7 @@ def candidates(sets: DataFrame, depth: int = DEPTH) -> DataFrame:
         same = F.size(F.filter(F.sequence(F.lit(1), F.lit(SKETCH)), lambda i: F.substring("sketch", i, F.lit(1)) == F.substring("head", i, F.lit(1))))
         compared = rows.join(heads, "node").withColumn("near", same >= AGREE)
         found.append(save(compared.where("near AND rid <> first").select(F.col("first").alias("src"), F.col("rid").alias("dst")).distinct(), "pairs"))
-        parents = small_enough(large)
+        parents = small_enough(save(large, "large"))
         if level == depth - 1:
             rest = compared.where("NOT near").select("node", "rid", "sketch", F.xxhash64("node", "rid").alias("h"))
             counted = save(rest.groupBy("node").agg(F.count("*").alias("n")), "rest")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, chat, hilbert, jaccard, mixing, toxicity
+from . import bpe, chat, hilbert, jaccard, mixing, repeats, toxicity
 from .common import read
 
 
@@ -19,6 +19,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.col("__cut").alias("threshold"), F.col("__flagged").alias("flagged"))
 
 
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove(read(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -44,6 +48,7 @@ def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
+    "op3_suffixes": op3_suffixes,
     "op4_bpe": op4_bpe,
     "op7_preferences": op7_preferences,
     "op8_mix": op8_mix,
