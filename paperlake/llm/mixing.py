@@ -33,6 +33,42 @@ def fill(sources: DataFrame, weights: tuple[int, ...], epochs: int) -> DataFrame
     return s.select("skey", "source", "source_size", F.least("cap", F.col("weight") * F.col("level")).alias("target"))
 
 
+def ready(docs: DataFrame, seed: int, key: str, source: str, text: str) -> DataFrame:
+    """docs with what the mix reads of a row: id, size, key of the source, hash."""
+    h = bits(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("long").cast("string"), F.lit(""))), HASH)
+    return docs.withColumns({"__id": F.coalesce(F.col(key).cast("long"), F.lit(-1)), "__size": words(F.col(text)), "__skey": F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n")), "__h": h})
+
+
+def plan(rows: DataFrame, weights: tuple[int, ...], epochs: int) -> DataFrame:
+    """One row a source: how often all its documents are taken, and the last document, in the order of (hash, id, size),
+    that is taken once more.
+
+    A source's cumulated sizes are not computed over its rows: sizes are summed by source and LEAD leading hash bits
+    (map-side combined), the cut is found among these sums, and only the documents in the bucket that holds the cut are
+    ordered one by one. A source with a third of all rows is thus spread over all tasks.
+    """
+    sums = save(rows.groupBy("__skey", F.shiftright("__h", HASH - LEAD).alias("bucket")).agg(F.sum("__size").alias("part")), "mix-sums")
+    targets = fill(sums.groupBy(F.col("__skey").alias("skey")).agg(F.sum("part").alias("source_size")).withColumn("source", F.when(F.col("skey") != "n", F.substr("skey", F.lit(2)))), weights, epochs)
+    targets = targets.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(1).cast("int"))
+    targets = save(targets.withColumn("rest", F.when(F.col("source_size") > 0, F.col("target") - F.col("whole") * F.col("source_size")).otherwise(0.0)).withColumnRenamed("skey", "__skey"), "mix-targets")
+    run = F.sum("part").over(Window.partitionBy("__skey").orderBy("bucket"))
+    cut = sums.withColumn("run", run).join(targets.select("__skey", "rest"), "__skey").where(F.col("run") >= F.col("rest"))
+    cut = small_enough(save(cut.groupBy("__skey").agg(F.min_by(F.struct("bucket", (F.col("run") - F.col("part")).alias("before"), "rest"), "bucket").alias("cut")).select("__skey", "cut.*"), "mix-cuts"))
+    order = Window.partitionBy("__skey").orderBy("__h", "__id", "__size").rowsBetween(Window.unboundedPreceding, -1)
+    edge = rows.select("__skey", "__h", "__id", "__size").join(cut, "__skey").where(F.shiftright("__h", HASH - LEAD) == F.col("bucket"))
+    edge = edge.withColumn("prior", F.coalesce(F.sum("__size").over(order), F.lit(0))).where(F.col("before") + F.col("prior") + F.col("__size") / 2 <= F.col("rest"))
+    last = edge.groupBy("__skey").agg(F.max(F.struct("__h", "__id", "__size")).alias("__last"))
+    return save(targets.join(cut.select("__skey", "bucket"), "__skey", "left").join(last, "__skey", "left").select("__skey", F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), F.col("whole").alias("__whole"), F.col("bucket").alias("__bucket"), "__last"), "mix-plan")
+
+
+def repeats(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """rows with __repeats, decided row by row: how often each is taken."""
+    out = rows.join(small_enough(plan), "__skey")
+    own = F.shiftright("__h", HASH - LEAD)
+    more = (own < F.col("__bucket")) | ((own == F.col("__bucket")) & (F.struct("__h", "__id", "__size") <= F.col("__last")))
+    return out.withColumn("__repeats", F.col("__whole") + F.when(more, 1).otherwise(0))
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3, seed: int = 0, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """How often each document goes into the mix.
 
@@ -41,32 +77,21 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3,
     their id, each one more time, until the next would lead away from the target. So a source misses its target by
     half a document at most, no document exceeds `epochs` times, and a rerun gives the same rows.
 
-    A source's cumulated sizes are not computed over its rows: sizes are summed by source and 12 leading hash bits
-    (map-side combined), the cut is found among these sums, and only the documents in the bucket that holds the cut
-    are ordered one by one. A source with a third of all rows is thus spread over all tasks.
-
     Nulls: a null text has size 0; a null source is a source of its own; a null id is hashed as a value of its own.
-    Empty texts: size 0, taken 0. A source without any word is repeated once. Ties: rows of one id are ordered by size.
-    Empty table: no rows. Other columns of docs are ignored, whatever their names.
+    Empty texts: size 0, taken 0. A source without any word is repeated once. Ties: rows of one id are ordered by size,
+    and rows that agree in both are taken alike. Empty table: no rows. Other columns of docs are ignored.
     """
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), words(F.col(text)).alias("size"), F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n")).alias("skey"))
-    rows = save(rows.withColumn("h", bits(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), HASH)), "mix-rows")
-    sums = save(rows.groupBy("skey", F.shiftright("h", HASH - LEAD).alias("bucket")).agg(F.sum("size").alias("part")), "mix-sums")
-    targets = fill(sums.groupBy("skey").agg(F.sum("part").alias("source_size")).withColumn("source", F.when(F.col("skey") != "n", F.substr("skey", F.lit(2)))), weights, epochs)
-    targets = targets.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(1).cast("int"))
-    targets = targets.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    run = F.sum("part").over(Window.partitionBy("skey").orderBy("bucket"))
-    cut = (
-        sums.withColumn("run", run).join(targets.select("skey", "rest"), "skey").where(F.col("run") >= F.col("rest"))
-        .groupBy("skey").agg(F.min_by(F.struct("bucket", (F.col("run") - F.col("part")).alias("before")), "bucket").alias("cut"))
-    )
-    plan = small_enough(save(targets.join(cut, "skey", "left").select("skey", "source_size", "target", "whole", "rest", "cut.bucket", "cut.before"), "mix-plan"))
-    all_rows = rows.join(plan, "skey").withColumn("own", F.shiftright("h", HASH - LEAD))
-    sure = all_rows.where("bucket IS NULL OR own <> bucket").withColumn("more", F.when(F.col("own") < F.col("bucket"), 1).otherwise(0))
-    prior = F.coalesce(F.sum("size").over(Window.partitionBy("skey").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    edge = all_rows.where("own = bucket").withColumn("more", F.when(F.col("before") + prior + F.col("size") / 2 <= F.col("rest"), 1).otherwise(0))
-    out = sure.unionByName(edge).withColumn("repeats", (F.col("whole") + F.col("more")).cast("int"))
-    return out.select("doc_id", "size", "source_size", "target", "repeats", (F.col("repeats") * F.col("size")).cast("long").alias("taken"))
+    rows = save(ready(docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text")), seed, "doc_id", "source", "text").select("doc_id", "__id", "__size", "__skey", "__h"), "mix-rows")
+    out = repeats(rows, plan(rows, weights, epochs))
+    return out.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__repeats").cast("int").alias("repeats"), (F.col("__repeats") * F.col("__size")).cast("long").alias("taken"))
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3, seed: int = 0, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+    """docs as mixed: every row as often as mix() takes it. Texts are not shuffled; each row decides for itself."""
+    rows = ready(docs, seed, key, source, text)
+    slim = save(rows.select("__id", "__size", "__skey", "__h"), "mix-rows")
+    out = repeats(rows, plan(slim, weights, epochs)).where("__repeats > 0")
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__repeats")))).select(*docs.columns)
 
 
 SQL = r"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, chat, hilbert, jaccard, mixing, repeats, toxicity
+from . import bpe, chat, hilbert, jaccard, mixing, multiindex, repeats, toxicity
 from .common import read
 
 
@@ -27,6 +27,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_multiindex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.dedup(read(spark, sf_dir, "embeddings"))
+
+
 def op7_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = chat.preference(chat.neighbours(read(spark, sf_dir, "conversations")))
     trained = lambda side: F.aggregate(f"{side}_mask", F.lit(0), lambda a, m: a + F.when(m["train"], m["end"] - m["start"]).otherwise(0)).cast("long").alias(f"{side}_trained")
@@ -46,14 +50,22 @@ def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int")).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "hilbert")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_suffixes": op3_suffixes,
     "op4_bpe": op4_bpe,
+    "op5_multiindex": op5_multiindex,
     "op7_preferences": op7_preferences,
     "op8_mix": op8_mix,
     "op9_jaccard": op9_jaccard,
     "op10_hilbert": op10_hilbert,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {"op8_mix": mixing.SQL, "op7_preferences": chat.SQL}
