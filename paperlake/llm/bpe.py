@@ -6,7 +6,6 @@ import base64
 import hashlib
 import heapq
 import json
-import zlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -16,8 +15,9 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Parts of the rank map, by CRC of the piece: a map value in Spark is found by going through its keys.
-PARTS = 1 << 14
+#: Parts of the rank map (more than there are ranks), because a map value in Spark is found by going through its keys;
+#: and a prime whose remainder says which part.
+PARTS, PRIME = 1 << 17, 131_071
 #: Text that one chunk row stands for at most (a longer text has one for itself), and the longest word, in bytes, that
 #: is merged by higher-order functions, whose work grows with the square of the length.
 CHUNK, LONG = 64 << 20, 128
@@ -51,35 +51,36 @@ def splitter(pattern: str) -> regex.Pattern:
 
 
 def rank_map(table: dict[bytes, int]) -> Column:
-    """The ranks as a literal: an array of maps from piece to rank. A piece's bytes are the characters U+0000 to U+00FF
-    of a string; its place in the array is a CRC of that string. Folded to a constant once, when a query is planned."""
-    parts: list[dict[str, int]] = [{} for _ in range(PARTS)]
+    """The ranks as a literal: maps from a pair of pieces, by their numbers, to the rank of what they join to, which is
+    also its number. The pairs are all ways to cut a piece into two; their maps stand in an array, by remainder."""
+    parts: list[list[tuple[int, int]]] = [[] for _ in range(PARTS)]
     for piece, rank in table.items():
-        p = piece.decode("latin-1")
-        parts[zlib.crc32(p.encode()) % PARTS][p] = rank
-    return F.from_json(F.lit(json.dumps(parts, ensure_ascii=False, separators=(",", ":"))), "array<map<string,int>>")
+        for i in range(1, len(piece)):
+            a, b = table.get(piece[:i]), table.get(piece[i:])
+            if a is not None and b is not None:
+                parts[(a * PARTS + b) % PRIME % PARTS].append((a * PARTS + b, rank))
+    text = ",".join("[" + ",".join(f'{{"k":{k},"v":{v}}}' for k, v in p) + "]" for p in parts)
+    return F.transform(F.from_json(F.lit(f"[{text}]"), "array<array<struct<k:bigint,v:int>>>"), F.map_from_entries)
 
 
 def merged(word: Column, maps: Column) -> Column:
-    """Ids of one word: a fold over its pieces, single bytes at first, that joins the pair of lowest rank (the leftmost
-    of equals) until no pair has a rank. Carries the pairs' ranks, so a step looks up the two new ones only."""
-    rank = lambda p: F.get(maps, (F.crc32(p) % PARTS).cast("int"))[p]
+    """Ids of one word, an array of the numbers of its bytes: a fold that joins the pair of lowest rank (the leftmost of
+    equals) until no pair has a rank. Carries the pairs' ranks, so a step looks up the two new ones only."""
     let = lambda value, f: F.get(F.transform(F.array(value), f), F.lit(0))
+    pair = lambda a, b: let(a.cast("long") * PARTS + b, lambda k: F.get(maps, (k % PRIME % PARTS).cast("int"))[k])
     none = F.array().cast("array<int>")
 
-    def join(s: Column, p: Column) -> Column:
+    def join(s: Column, p: Column, one: Column) -> Column:
         pieces, by = s["p"], s["r"]
-        one = F.concat(F.get(pieces, p - 1), F.get(pieces, p))
         fewer = F.transform(F.sequence(F.lit(0), F.size(by) - 1), lambda k: F.when(k < p - 1, F.get(pieces, k)).when(k > p - 1, F.get(pieces, k + 1)).otherwise(one))
-        again = lambda q: F.transform(F.sequence(F.lit(0), F.size(by) - 2), lambda k: F.when(k < p - 2, F.get(by, k)).when(k > p - 1, F.get(by, k + 1)).otherwise(rank(F.concat(F.get(q, k), F.get(q, k + 1)))))
+        again = lambda q: F.transform(F.sequence(F.lit(0), F.size(by) - 2), lambda k: F.when(k < p - 2, F.get(by, k)).when(k > p - 1, F.get(by, k + 1)).otherwise(pair(F.get(q, k), F.get(q, k + 1))))
         return let(fewer, lambda q: F.struct(q.alias("p"), F.when(F.size(by) > 1, again(q)).otherwise(none).alias("r")))
 
-    n = F.length(word)
-    first = F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(word, i, F.lit(1)))
-    pairs = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: rank(F.substr(word, i, F.lit(2))))).otherwise(none)
-    step = lambda s, _: let(F.array_min(s["r"]), lambda m: F.when(m.isNull(), s).otherwise(let(F.array_position(s["r"], m).cast("int"), lambda p: join(s, p))))
-    folded = F.aggregate(F.sequence(F.lit(1), n), F.struct(first.alias("p"), pairs.alias("r")), step, lambda s: F.transform(s["p"], rank))
-    return F.when(rank(word).isNotNull(), F.array(rank(word))).otherwise(folded)
+    n = F.size(word)
+    pairs = F.transform(F.sequence(F.lit(0), n - 2), lambda k: pair(F.get(word, k), F.get(word, k + 1)))
+    step = lambda s, _: let(F.array_min(s["r"]), lambda m: F.when(m.isNull(), s).otherwise(let(F.array_position(s["r"], m).cast("int"), lambda p: join(s, p, m))))
+    folded = F.aggregate(F.sequence(F.lit(2), n), F.struct(word.alias("p"), pairs.alias("r")), step, lambda s: s["p"])
+    return F.when(n > 1, folded).otherwise(word)
 
 
 def merge_long(word: bytes, table: dict[bytes, int]) -> list[int]:
@@ -114,7 +115,7 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
-CHUNKS = "ids array<bigint>, words array<string>, stream binary, counts binary"
+CHUNKS = "ids array<bigint>, words array<array<int>>, long array<binary>, stream binary, counts binary"
 
 
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
@@ -135,10 +136,22 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = splitter(pattern).findall
+        single = np.array([shared.value.get(bytes([i]), -1) for i in range(256)], np.int32)
 
         def row() -> pa.RecordBatch:
-            words = [w.encode("utf-8", "surrogatepass").decode("latin-1") for w in seen]
-            return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([words], pa.list_(pa.string())), pa.array([b"".join(stream)], pa.binary()), pa.array([np.array(counts, np.int64).tobytes()], pa.binary())], names=["ids", "words", "stream", "counts"])
+            # a word that has a rank is its id; a long one waits for the second step
+            words = [w.encode("utf-8", "surrogatepass") for w in seen]
+            known = [shared.value.get(w) for w in words]
+            long = [w for w, k in zip(words, known, strict=True) if k is None and len(w) > LONG]
+            short = [b"" if k is not None or len(w) > LONG else w for w, k in zip(words, known, strict=True)]
+            sizes = np.array([len(w) for w in short], np.int64)
+            whole = np.array([k is not None for k in known], bool)
+            offsets = np.concatenate([[0], np.cumsum(np.where(whole, 1, sizes))])
+            flat = np.zeros(offsets[-1], np.int32)
+            flat[offsets[:-1][whole]] = [k for k in known if k is not None]
+            flat[np.repeat(~whole, np.where(whole, 1, sizes))] = single[np.frombuffer(b"".join(short), np.uint8)]
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+            return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), lists), pa.array([long], pa.list_(pa.binary())), pa.array([b"".join(stream)], pa.binary()), pa.array([np.array(counts, np.int64).tobytes()], pa.binary())], names=["ids", "words", "long", "stream", "counts"])
 
         ids, seen, stream, counts, size = [], {}, [], [], 0
         for batch in batches:
@@ -165,11 +178,12 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
                 lists = batch.column(1).slice(b, 1).flatten()
                 offsets = lists.offsets.to_numpy().astype(np.int64)
                 values = lists.values.to_numpy(zero_copy_only=False).astype(np.uint32)
-                longs = [(j, merge_long(w.encode("latin-1"), table)) for j, w in zip(*(x.to_pylist() for x in batch.column(2).slice(b, 1).flatten().flatten()), strict=True)]
                 starts, lengths = offsets[:-1].copy(), np.diff(offsets)
-                for j, got in longs:
-                    starts[j], lengths[j] = len(values), len(got)
-                    values = np.concatenate([values, np.array(got, np.uint32)])
+                longs = [merge_long(w, table) for w in batch.column(2)[b].as_py()]
+                sizes = np.array([len(x) for x in longs], np.int64)
+                empty = np.flatnonzero(lengths == 0)  # the long words, in their order
+                starts[empty], lengths[empty] = len(values) + np.cumsum(sizes) - sizes, sizes
+                values = np.concatenate([values, *[np.array(x, np.uint32) for x in longs]])
                 stream, counts = (np.frombuffer(batch.column(c)[b].as_buffer(), t) for c, t in ((3, np.uint32), (4, np.int64)))
                 made, at = [], 0
                 for n in counts.tolist():
@@ -191,8 +205,8 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     encoded = chunks.select(
         "ids",
         # the map is bound to a variable, so the plan holds it once
-        F.get(F.transform(F.array(maps), lambda m: F.transform("words", lambda w: F.when(F.length(w) <= LONG, merged(w, m)).otherwise(F.array().cast("array<int>")))), F.lit(0)).alias("merged"),
-        F.filter(F.transform("words", lambda w, j: F.struct(j.alias("j"), w.alias("w"))), lambda x: F.length(x["w"]) > LONG).alias("long"),
+        F.get(F.transform(F.array(maps), lambda m: F.transform("words", lambda w: merged(w, m))), F.lit(0)).alias("merged"),
+        "long",
         "stream",
         "counts",
     )

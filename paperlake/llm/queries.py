@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, chat, hilbert, jaccard, mixing, multiindex, repeats, toxicity
+from . import bpe, chat, hilbert, jaccard, mixing, multiindex, perplexity, repeats, search, toxicity
 from .common import read
 
 
+def op1_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     out = toxicity.classify(docs, read(spark, sf_dir, "labels"), into="score", keep_text=False)
@@ -31,6 +35,11 @@ def op5_multiindex(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiindex.dedup(read(spark, sf_dir, "embeddings"))
 
 
+def op6_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return search.top(docs, docs.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), "text"))
+
+
 def op7_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = chat.preference(chat.neighbours(read(spark, sf_dir, "conversations")))
     trained = lambda side: F.aggregate(f"{side}_mask", F.lit(0), lambda a, m: a + F.when(m["train"], m["end"] - m["start"]).otherwise(0)).cast("long").alias(f"{side}_trained")
@@ -57,10 +66,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_perplexity": op1_perplexity,
     "op2_toxicity": op2_toxicity,
     "op3_suffixes": op3_suffixes,
     "op4_bpe": op4_bpe,
     "op5_multiindex": op5_multiindex,
+    "op6_bm25": op6_bm25,
     "op7_preferences": op7_preferences,
     "op8_mix": op8_mix,
     "op9_jaccard": op9_jaccard,
