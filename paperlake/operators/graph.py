@@ -1,0 +1,153 @@
+"""Citation graph: construction, degrees, components, clustering, power laws."""
+
+from __future__ import annotations
+
+import math
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.ids import clean_node
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder the cluster names in spark.checkpoint.dir; a temporary one where none is set (tests)."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not at:
+        at = "file://" + tempfile.mkdtemp(prefix="paperlake-")
+        spark.sparkContext.setCheckpointDir(at)
+    return at.rstrip("/")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df, written to the shared folder and read again: cuts the lineage of iterations."""
+    path = f"{checkpoint_dir(df.sparkSession)}/paperlake/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def edges(citations: DataFrame, nodes: DataFrame, directed: bool = True, cleaned: bool = True) -> DataFrame:
+    """src, dst of citations (id, refs) within nodes (id): canonical targets, no self-citations, no parallel edges.
+    Undirected edges go from the smaller id to the larger."""
+    ref = F.explode("refs")
+    e = citations.select(F.col("id").alias("src"), ref.alias("dst"))
+    if cleaned:
+        e = e.withColumn("dst", clean_node(F.col("dst")))
+    e = e.where("src <> dst").join(nodes.select(F.col("id").alias("dst")), "dst", "left_semi")
+    if not directed:
+        e = e.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
+    return e.select("src", "dst").distinct()
+
+
+def unknown_ids(citations: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Cited canonical ids that are no nodes."""
+    return citations.select(F.explode("refs").alias("id")).select(clean_node(F.col("id")).alias("id")).distinct().join(nodes, "id", "left_anti")
+
+
+def degrees(nodes: DataFrame, e: DataFrame) -> DataFrame:
+    """id, in_degree, out_degree of every node, those without edges included: one aggregation over both edge ends."""
+    ends = e.select(F.col("src").alias("id"), F.lit(0).alias("i"), F.lit(1).alias("o")).unionByName(e.select(F.col("dst").alias("id"), F.lit(1).alias("i"), F.lit(0).alias("o")))
+    ends = ends.unionByName(nodes.select("id", F.lit(0).alias("i"), F.lit(0).alias("o")))
+    return ends.groupBy("id").agg(F.sum("i").alias("in_degree"), F.sum("o").alias("out_degree"))
+
+
+def components(nodes: DataFrame, e: DataFrame, rounds: int = 60) -> DataFrame:
+    """id, component (smallest id that edges lead to, either way), by alternating large-star and small-star steps, each
+    written to the shared folder. Rounds grow with the logarithm of a component's size, not with its diameter."""
+    now = written(e.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).where("src <> dst").distinct(), "edges")
+    last = None
+    for _ in range(rounds):
+        both = now.unionByName(now.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+        low = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("low"))
+        large = both.join(low, "src").where("dst > src").select(F.col("dst").alias("src"), F.col("low").alias("dst")).distinct()
+        low = large.groupBy("src").agg(F.min("dst").alias("low"))
+        small = large.join(low, "src").select(F.col("dst").alias("src"), F.col("low").alias("dst")).unionByName(low.select("src", F.col("low").alias("dst")))
+        now = written(small.where("src <> dst").distinct(), "edges")
+        state = now.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
+        if state == last:
+            return nodes.join(now.select(F.col("src").alias("id"), F.col("dst").alias("component")), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+        last = state
+    raise RuntimeError("components did not settle")
+
+
+def largest(nodes: DataFrame, e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges of the largest component (of equals that with the smallest id)."""
+    c = written(components(nodes, e), "components")
+    top = c.groupBy("component").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "component").limit(1)
+    inside = c.join(F.broadcast(top), "component", "left_semi").select("id")
+    kept = e.join(inside.select(F.col("id").alias("src")), "src", "left_semi").join(inside.select(F.col("id").alias("dst")), "dst", "left_semi")
+    return inside, kept.select("src", "dst")
+
+
+def clustering(nodes: DataFrame, e: DataFrame) -> DataFrame:
+    """id, clustering: directed clustering coefficient of every node.
+
+    Triangles are found once each: every pair of linked nodes is oriented from the one of smaller degree to the other,
+    so no node has more outgoing pairs than the square root of twice their number, however large a hub is.
+    """
+    w = e.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).groupBy("a", "b").agg(F.count("*").alias("w"))
+    total = degrees(nodes, e).select("id", (F.col("in_degree") + F.col("out_degree")).alias("d"))
+    rank = total.select("id", F.struct("d", "id").alias("r"))
+    o = w.join(rank.select(F.col("id").alias("a"), F.col("r").alias("ra")), "a").join(rank.select(F.col("id").alias("b"), F.col("r").alias("rb")), "b")
+    o = o.select(F.when(F.col("ra") < F.col("rb"), F.col("a")).otherwise(F.col("b")).alias("u"), F.when(F.col("ra") < F.col("rb"), F.col("b")).otherwise(F.col("a")).alias("v"), "w", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    x, y = o.select("u", F.col("v").alias("p"), F.col("w").alias("wp")), o.select("u", F.col("v").alias("q"), F.col("w").alias("wq"))
+    wedges = x.join(y, "u").where("p < q")
+    t = wedges.join(w.select(F.col("a").alias("p"), F.col("b").alias("q"), F.col("w").alias("wc")), ["p", "q"]).withColumn("t", F.col("wp") * F.col("wq") * F.col("wc"))
+    t = t.select(F.explode(F.array("u", "p", "q")).alias("id"), "t").groupBy("id").agg((2 * F.sum("t")).alias("t"))
+    mutual = w.where("w = 2").select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("m"))
+    d = F.col("d")
+    value = F.col("t") / (2 * (d * (d - 1) - 2 * F.coalesce("m", F.lit(0))))
+    return total.join(t, "id", "left").join(mutual, "id", "left").select("id", F.when(F.col("t") > 0, value).otherwise(0.0).alias("clustering"))
+
+
+def summary(nodes: DataFrame, e: DataFrame) -> DataFrame:
+    """One row: nodes, edges, mean degree, mean clustering, shares in the largest component and isolated."""
+    d = degrees(nodes, e).agg(F.count("*").alias("nodes"), F.sum("in_degree").alias("edges"), (2 * F.avg("in_degree")).alias("mean_degree"))
+    c = clustering(nodes, e).agg(F.avg("clustering").alias("mean_clustering"))
+    s = components(nodes, e).groupBy("component").agg(F.count("*").alias("n")).agg((F.max("n") / F.sum("n")).alias("largest_share"), (F.sum(F.when(F.col("n") == 1, 1).otherwise(0)) / F.sum("n")).alias("isolated_share"))
+    return d.crossJoin(c).crossJoin(s)
+
+
+def histogram(values: DataFrame, column: str, bins: int = 30) -> DataFrame:
+    """bin (0 to bins-1), n: equal widths over the range, the last bin closed."""
+    ends = values.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
+    at = F.when(F.col("hi") == F.col("lo"), 0).otherwise(F.least(F.floor((F.col(column) - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))), F.lit(bins - 1)))
+    return values.crossJoin(F.broadcast(ends)).groupBy(at.cast("int").alias("bin")).agg(F.count("*").alias("n"))
+
+
+def log_histogram(values: DataFrame, column: str, bins: int = 50) -> DataFrame:
+    """bin, n of positive values, widths equal in the logarithm."""
+    logs = values.where(F.col(column) > 0).select(F.log10(column).alias("x"))
+    return histogram(logs, "x", bins)
+
+
+def power_law(degree: DataFrame, column: str, xmin: int) -> DataFrame:
+    """xmin, tail, alpha: maximum likelihood of a continuous power law over values from xmin on."""
+    tail = degree.where(F.col(column) >= xmin)
+    return tail.agg(F.lit(xmin).alias("xmin"), F.count("*").alias("tail"), (1 + F.count("*") / F.sum(F.log(F.col(column) / F.lit(float(xmin))))).alias("alpha"))
+
+
+def best_power_law(degree: DataFrame, column: str) -> dict[str, float]:
+    """xmin, alpha and distance of the fit whose distribution is nearest to the data (Kolmogorov-Smirnov). What comes to
+    the driver is the histogram of degrees: distinct values, of which there are at most the root of twice the edges."""
+    h = sorted((r[0], r[1]) for r in degree.where(F.col(column) > 0).groupBy(column).agg(F.count("*").alias("n")).collect())
+    best = {"xmin": math.nan, "alpha": math.nan, "distance": math.inf}
+    for i, (xmin, _) in enumerate(h[:-1]):
+        tail = h[i:]
+        n = sum(c for _, c in tail)
+        s = sum(c * math.log(x / xmin) for x, c in tail)
+        alpha, below, far = 1 + n / s, 0, 0.0
+        for x, c in tail:
+            model = 1 - (x / xmin) ** (1 - alpha)
+            far = max(far, abs(below / n - model), abs((below + c) / n - model))
+            below += c
+        if far < best["distance"]:
+            best = {"xmin": float(xmin), "alpha": alpha, "distance": far}
+    return best
+
+
+def latex_rows(rows: DataFrame) -> DataFrame:
+    """`a & b & c` lines of a report table, one a row."""
+    return rows.select(F.concat(F.concat_ws(" & ", *[F.col(c).cast("string") for c in rows.columns]), F.lit(r" \\")).alias("line"))
