@@ -15,9 +15,10 @@ from .hashing import U, WordHashes, mix, shingles
 
 #: Runs of the recursion, its depth, and the largest bucket that is compared pair by pair where it stands.
 RUNS, DEPTH, SMALL = 12, 3, 64
-#: Coordinates of a sketch (one byte each) and how many must agree before two sets are looked at closely: at Jaccard
-#: 0.8 fewer agree in one of 10,000 pairs, in one run, and links are then still found by the comparison of groups.
-SKETCH, AGREE = 64, 38
+#: Coordinates of a sketch (one byte each); how many must agree before two sets are looked at closely (at Jaccard 0.8
+#: fewer agree in one of a million pairs); and from how many on two sets are alike for sure, at Jaccard 0.8 or more: all
+#: that links to one of them then is at 0.6 or more to the other, by the triangle inequality.
+SKETCH, AGREE, SURE = 64, 34, 58
 #: Sets that one task compares with as many others at a time.
 BLOCK = 128
 
@@ -147,34 +148,35 @@ def candidates(sets: DataFrame, depth: int = DEPTH) -> DataFrame:
     """Edges (src, dst) that connect all sets worth comparing.
 
     sets: rid, sketch, nodes. Level by level: buckets of at most SMALL sets are compared by their sketches; of a larger
-    one every set is compared with the bucket's smallest, and it goes on to the next level. What is still in large
-    buckets at the last level is compared in blocks, each with each, unless the smallest set has it already.
+    one every set is compared with the bucket's smallest, and those that aren't alike for sure go on to the next level.
+    What is still in large buckets at the last level is compared in blocks, each with each. Sketches are fetched only
+    for sets that share a bucket.
     """
+    sketches = sets.select("rid", "sketch")
     found, parents = [], None
     for level in range(depth):
-        rows = sets.select("rid", "sketch", F.explode("nodes").alias("n")).where(F.col("n.level") == level).select("rid", "sketch", "n.parent", "n.node")
+        rows = sets.select("rid", F.explode(F.filter("nodes", lambda n: n["level"] == level)).alias("n")).select("rid", "n.parent", "n.node")
         if parents is not None:
-            rows = rows.join(parents.select(F.col("node").alias("parent")), "parent", "left_semi")
-        counts = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("rid").alias("first")).where("n > 1")
-        counts = save(counts, "buckets")
-        small = rows.join(counts.where(F.col("n") <= SMALL).select("node"), "node", "left_semi")
-        found.append(save(alike(small), "pairs"))
-        large = counts.where(F.col("n") > SMALL)
+            rows = rows.join(parents, ["rid", "parent"], "left_semi")
+        rows = rows.select("rid", "node")
+        counts = small_enough(save(rows.groupBy("node").agg(F.count("*").alias("n"), F.min("rid").alias("first")).where("n > 1"), "buckets"), 1_000_000)
+        shared = save(rows.join(counts, "node").join(sketches, "rid"), "shared")
+        found.append(save(alike(shared.where(F.col("n") <= SMALL)), "pairs"))
+        large = shared.where(F.col("n") > SMALL)
         if not large.limit(1).count():
             break
-        heads = large.join(sets.select(F.col("rid").alias("first"), F.col("sketch").alias("head")), "first").select("node", "first", "head")
-        heads = small_enough(save(heads, "heads"))
+        heads = large.where("rid = first").select("node", F.col("sketch").alias("head"))
         same = F.size(F.filter(F.sequence(F.lit(1), F.lit(SKETCH)), lambda i: F.substring("sketch", i, F.lit(1)) == F.substring("head", i, F.lit(1))))
-        compared = rows.join(heads, "node").withColumn("near", same >= AGREE)
-        found.append(save(compared.where("near AND rid <> first").select(F.col("first").alias("src"), F.col("rid").alias("dst")).distinct(), "pairs"))
-        parents = small_enough(save(large, "large"))
-        if level == depth - 1:
-            rest = compared.where("NOT near").select("node", "rid", "sketch", F.xxhash64("node", "rid").alias("h"))
-            counted = save(rest.groupBy("node").agg(F.count("*").alias("n")), "rest")
-            rest = rest.join(counted, "node").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("own", F.pmod("h", "blocks").cast("int"))
+        compared = save(large.join(small_enough(save(heads, "heads")), "node").withColumn("agree", same).drop("head"), "compared")
+        found.append(save(compared.where((F.col("agree") >= AGREE) & (F.col("rid") != F.col("first"))).select(F.col("first").alias("src"), F.col("rid").alias("dst")).distinct(), "pairs"))
+        open_ = compared.where(F.col("agree") < SURE)
+        if level < depth - 1:
+            parents = small_enough(save(open_.select("rid", F.col("node").alias("parent")), "parents"), 1_000_000)
+        else:
+            left = save(open_.groupBy("node").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "left")
+            rest = open_.join(left, "node").withColumn("own", F.pmod(F.xxhash64("node", "rid"), "blocks").cast("int"))
             rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            rest = rest.select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "rid", "sketch")
-            found.append(save(alike(rest), "pairs"))
+            found.append(save(alike(rest.select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "rid", "sketch")), "pairs"))
     out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
@@ -242,8 +244,11 @@ def join(docs: DataFrame, similarity: float = 0.8, words: int = 5, key: str = "d
     """
     rows = save(signatures(docs, similarity, words, key, text), "signatures")
     usable = rows.where("doc_id IS NOT NULL AND same IS NOT NULL")
-    sets = save(usable.groupBy("same").agg(F.min_by(F.struct("doc_id", "sketch", "nodes"), "doc_id").alias("s"), F.count("*").alias("copies")).select("same", F.col("s.doc_id").alias("rid"), "copies", "s.sketch", "s.nodes"), "sets")
-    comps = save(connected(candidates(sets)).withColumnRenamed("node", "rid").withColumnRenamed("component", "comp"), "groups")
+    sets = save(usable.groupBy("same").agg(F.min("doc_id").alias("rid"), F.count("*").alias("copies")), "sets")
+    # one row a set; where there are few enough sets, the rows with their nodes aren't shuffled for it
+    firsts = small_enough(save(sets.select("same", F.col("rid").alias("doc_id")), "firsts"), 1_000_000)
+    whole = usable.join(firsts, ["same", "doc_id"], "left_semi").select(F.col("doc_id").alias("rid"), "sketch", "nodes")
+    comps = save(connected(candidates(whole)).withColumnRenamed("node", "rid").withColumnRenamed("component", "comp"), "groups")
     sizes = comps.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = comps.join(sizes, "comp").join(sets.select("rid", "copies"), "rid")
     members = members.withColumn("own", F.pmod(F.xxhash64("rid"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
