@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import authors, ids, tex, text
-from ..operators import citations, features, graph, manifest, metadata
+from ..operators import citations, extraction, features, graph, manifest, metadata
+from ..sources import corpora
 from . import views
 from .views import SQL, SQL_ID, read
 
@@ -465,6 +466,40 @@ def meta_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metadata.slice_by(_abstracts(spark, sf_dir), lambda d: d.where("lang IN ('de', 'fr') AND length(abstract) > 100")).select("id", "lang")
 
 
+@query("SELECT doc_id AS id, lang FROM documents JOIN (SELECT DISTINCT vec_id FROM embeddings) ON doc_id = vec_id ORDER BY doc_id LIMIT 50", views=False)
+def meta_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang")
+    return corpora.with_text(d, read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id")), 50)
+
+
+@query()
+def split_and_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang")
+    return corpora.sampled(corpora.shuffled_split(d, 0.9), 0.5, 1)
+
+
+@query()
+def text_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.embed(read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text"))
+
+
+@query("SELECT doc_id AS id, pos::INT AS position, tok AS token FROM (SELECT doc_id, unnest(l) AS tok, generate_subscripts(l, 1) - 1 AS pos FROM (SELECT doc_id, [doc_id * 3, doc_id + 1] AS l FROM documents))", views=False)
+def token_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.array(F.col("doc_id") * 3, F.col("doc_id") + 1).alias("ids"))
+    return extraction.token_triples(d)
+
+
+@query("SELECT o_orderkey AS id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)", views=False)
+def text_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.pending(read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")), read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id")))
+
+
+@query("SELECT i::INT AS i, CASE WHEN (i - lo) % 3 = 0 THEN [i::DOUBLE] ELSE [0.0::DOUBLE] END AS features FROM (SELECT unnest(range(lo, hi + 1)) AS i, lo FROM (SELECT min(p_partkey) AS lo, min(p_partkey) + 3 * ((max(p_partkey) - min(p_partkey)) // 3) AS hi FROM part))", views=False)
+def padded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read(spark, sf_dir, "part").select(F.col("p_partkey").cast("int").alias("i"), F.array(F.col("p_partkey").cast("double")).alias("features"))
+    return corpora.padded_rows(p.where("i % 3 = 0"), 1)
+
+
 # --- bulk archives ---------------------------------------------------------------------------------------------------
 
 

@@ -61,6 +61,22 @@ def write_fulltext(texts: DataFrame, path: str) -> None:
     texts.withColumn("yymm", month).repartition("yymm").write.mode("append").partitionBy("yymm").parquet(path)
 
 
+def with_text(articles: DataFrame, texts: DataFrame, limit: int | None = None) -> DataFrame:
+    """Metadata rows of articles whose text is there, in the order of ids; at most `limit` of them if it is given."""
+    out = articles.join(texts.select("id"), "id", "left_semi")
+    return out.orderBy("id").limit(limit) if limit is not None else out
+
+
+def shuffled_split(rows: DataFrame, share: float, seed: int = 0) -> DataFrame:
+    """rows with `train`: about that share, chosen by a hash of the id, so the same in every run and for every size."""
+    return rows.withColumn("train", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))
+
+
+def sampled(rows: DataFrame, share: float, seed: int = 0) -> DataFrame:
+    """A random sample with replacement."""
+    return rows.sample(True, share, seed)
+
+
 def archives(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path)
 
