@@ -13,7 +13,7 @@ from .common import save, small_enough
 from .hashing import U, mix
 
 #: Bytes of an n-gram; symbols (256 bytes and the start, which is 0xFF and in no UTF-8); bytes that are counted at once.
-ORDER, SYMBOLS, BUFFER = 5, 257, 8 << 20
+ORDER, SYMBOLS, BUFFER = 5, 257, 4 << 20
 #: Distinct n-grams up to which their probabilities are broadcast (16 bytes each); beyond, they are joined.
 BROADCAST = 4_000_000
 
@@ -21,11 +21,12 @@ BROADCAST = 4_000_000
 def grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """The n-gram that ends at each byte of each text, as a number, and the texts' lengths."""
     start = b"\xff" * (order - 1)
-    b = np.frombuffer(start + start.join(texts), np.uint8).astype(np.int64)
+    b = np.frombuffer(start + start.join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
     key = np.zeros(max(len(b) - order + 1, 0), np.int64)
     for j in range(order):
-        key = key << 8 | b[j : len(b) - order + 1 + j]
+        key <<= 8
+        key |= b[j : len(b) - order + 1 + j]
     # n-grams that end in the filling before the next text go
     own = np.repeat(np.arange(len(texts)) * (order - 1), sizes) + np.arange(sizes.sum())
     return key[own], sizes
