@@ -16,7 +16,7 @@ from .hashing import U, mix
 from .suffixes import common_prefixes, suffix_array
 
 #: Bytes of an anchor; bytes of text that are looked at together; bytes of a suffix array's shard.
-ANCHOR, BUFFER, SHARD = 24, 4 << 20, 8 << 20
+ANCHOR, BUFFER, SHARD = 24, 4 << 20, 2 << 20
 #: Different surroundings of one anchor up to which they go to one shard; those of a hotter anchor are compared window
 #: by window in a counted aggregation.
 HOT = 20_000
@@ -143,54 +143,81 @@ def segments(docs: DataFrame, length: int) -> DataFrame:
     return docs.select("__k1", "__k2", "__bytes").mapInArrow(run, f"{KEY}, first bigint, n int, anchor bigint, digest bigint, inner boolean")
 
 
-def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Bytes of segments: wanted has k1, k2, first, n, anchor, digest, copies."""
-    lists = save(wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "n", "anchor", "digest", "copies")).alias("w")), "wanted")
+MEMBERS = "members array<struct<anchor:bigint,digest:bigint,offset:int,n:int>>"
+
+
+def fetch(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """Bytes of segments, by key: wanted has k1, k2, first, n, anchor, digest, copies, alone.
+
+    Segments whose anchor stands in different surroundings come one by one, their key being the anchor. Those whose
+    surroundings are always the same (alone) need not meet others; where they follow each other in a text they come as
+    one piece, so its bytes aren't read once for each of them.
+    """
+    lists = save(wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "n", "anchor", "digest", "copies", "alone")).alias("w")), "wanted")
+    kind = pa.list_(pa.struct([("anchor", pa.int64()), ("digest", pa.int64()), ("offset", pa.int32()), ("n", pa.int32())]))
+
+    def one(b: bytes, segments: list[dict]) -> Iterator[tuple]:
+        run: list[dict] = []
+        for x in [*sorted((x for x in segments if x["alone"]), key=lambda x: x["first"]), None]:
+            if run and (x is None or x["first"] != run[-1]["first"] + run[-1]["n"] - length + 1):
+                a = run[0]["first"]
+                yield run[0]["anchor"], 2, b[a : run[-1]["first"] + run[-1]["n"]], [{"anchor": r["anchor"], "digest": r["digest"], "offset": r["first"] - a, "n": r["n"]} for r in run]
+                run = []
+            run.append(x)
+        for x in segments:
+            if not x["alone"]:
+                yield x["anchor"], x["copies"], b[x["first"] : x["first"] + x["n"]], [{"anchor": x["anchor"], "digest": x["digest"], "offset": 0, "n": x["n"]}]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 200):
-                out = []
-                batch = whole.slice(at, 200)
-                for b, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    out += [(x["anchor"], x["digest"], x["copies"], b[x["first"] : x["first"] + x["n"]]) for x in w]
+            for at in range(0, whole.num_rows, 100):
+                batch = whole.slice(at, 100)
+                out = [y for b, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for y in one(b, w)]
                 cols = list(zip(*out, strict=True)) or [[], [], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["anchor", "digest", "copies", "content"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), kind), strict=True)], names=["key", "copies", "content", "members"])
 
-    rows = docs.join(small_enough(lists, 200_000), (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2"))).select("__bytes", "w")
-    return rows.mapInArrow(run, "anchor bigint, digest bigint, copies bigint, content binary")
+    rows = docs.select("__k1", "__k2", "__bytes").join(small_enough(lists, 200_000), (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2"))).select("__bytes", "w")
+    return rows.mapInArrow(run, f"key bigint, copies bigint, content binary, {MEMBERS}")
 
 
 SPANS = "anchor bigint, digest bigint, spans array<struct<a:int,b:int>>"
 
 
 def sharded(contents: DataFrame, length: int) -> DataFrame:
-    """Spans of repeated windows, by suffix arrays of shards. All segments of an anchor are in one shard; one that
+    """Spans of repeated windows, by suffix arrays of shards. All segments of a key are in one shard; content that
     stands for several copies is entered twice. A task cuts its share into shards of about SHARD bytes."""
     kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
     def solve(held: list[tuple]) -> pa.RecordBatch:
-        own = [h for h in held for _ in range(1 if h[2] == 1 else 2)]
-        spans = {}
-        for (a, d, _, c), starts in zip(own, repeated([h[3] for h in own], length), strict=True):
-            spans[a, d] = [{"a": x, "b": y} for x, y in windows(starts, len(c), length)]
-        keep = [(k, v) for k, v in spans.items() if v]
-        return pa.RecordBatch.from_arrays([pa.array([k[0] for k, _ in keep], pa.int64()), pa.array([k[1] for k, _ in keep], pa.int64()), pa.array([v for _, v in keep], kind)], names=["anchor", "digest", "spans"])
+        own = [h for h in held for _ in range(1 if h[1] == 1 else 2)]
+        anchor, digest, spans, seen = [], [], [], set()
+        for h, starts in zip(own, repeated([h[2] for h in own], length), strict=True):
+            if id(h) in seen:  # the second copy of it
+                continue
+            seen.add(id(h))
+            for m in h[3]:
+                lo, hi = np.searchsorted(starts, [m["offset"], m["offset"] + m["n"] - length + 1])
+                if hi > lo:
+                    anchor.append(m["anchor"])
+                    digest.append(m["digest"])
+                    spans.append([{"a": x, "b": y} for x, y in windows(starts[lo:hi] - m["offset"], m["n"], length)])
+        return pa.RecordBatch.from_arrays([pa.array(anchor, pa.int64()), pa.array(digest, pa.int64()), pa.array(spans, kind)], names=["anchor", "digest", "spans"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if size > SHARD and row[0] != held[-1][0]:
-                    yield solve(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[3]) * (1 if row[2] == 1 else 2)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                for row in zip(*(c.to_pylist() for c in whole.slice(at, 1000).columns), strict=True):
+                    if size > SHARD and row[0] != held[-1][0]:
+                        yield solve(held)
+                        held, size = [], 0
+                    held.append(row)
+                    size += len(row[2]) * (1 if row[1] == 1 else 2)
         if held:
             yield solve(held)
 
     n = int(contents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return contents.repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(run, SPANS)
+    return contents.repartition(n, "key").sortWithinPartitions("key").mapInArrow(run, SPANS)
 
 
 def counted(contents: DataFrame, length: int) -> DataFrame:
@@ -203,6 +230,7 @@ def counted(contents: DataFrame, length: int) -> DataFrame:
                 at = range(len(c) - length + 1)
                 yield pa.RecordBatch.from_arrays([pa.array([a] * len(at)), pa.array([d] * len(at)), pa.array([n] * len(at)), pa.array(at, pa.int32()), pa.array([hashlib.blake2b(c[i : i + length], digest_size=16).digest() for i in at], pa.binary())], names=["anchor", "digest", "copies", "at", "window"])
 
+    contents = contents.select(F.col("members")[0]["anchor"].alias("anchor"), F.col("members")[0]["digest"].alias("digest"), "copies", "content")
     rows = save(contents.mapInArrow(run, "anchor bigint, digest bigint, copies bigint, at int, window binary"), "windows")
     twice = rows.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window")
     marks = rows.join(twice, "window", "left_semi")
@@ -213,14 +241,15 @@ def find(docs: DataFrame, length: int) -> DataFrame:
     """k1, k2, spans: byte ranges (a, b) to remove, not merged, of documents (see keyed) that have any."""
     rows = save(segments(docs, length), "segments")
     often = save(rows.groupBy("anchor").agg(F.count("*").alias("all"), F.max("inner").alias("inner")).where("all > 1 OR inner").select("anchor"), "often")
-    # the first() of all columns come from one row; which row it is makes no difference, its content is the same
-    one = [F.first(c).alias(c) for c in ("k1", "k2", "first", "n")]
-    kinds = save(rows.join(small_enough(often, 2_000_000), "anchor", "left_semi").groupBy("anchor", "digest").agg(F.count("*").alias("copies"), *one), "kinds")
-    hot = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > HOT).select("anchor", F.lit(True).alias("hot"))
-    wanted = kinds.join(small_enough(save(hot, "hot-anchors")), "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    spans = sharded(fetch(docs, wanted.where("NOT hot").drop("hot")), length)
+    # of equal segments the one of smallest place stands for all, so that neighbours in a text are found together
+    kinds = rows.join(small_enough(often, 2_000_000), "anchor", "left_semi").groupBy("anchor", "digest").agg(F.count("*").alias("copies"), F.max("inner").alias("inner"), F.min(F.struct("k1", "k2", "first", "n")).alias("at"))
+    kinds = save(kinds.select("anchor", "digest", "copies", "inner", "at.*"), "kinds")
+    several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").withColumn("hot", F.col("kinds") > HOT)
+    wanted = kinds.join(small_enough(save(several, "several"), 1_000_000), "anchor", "left")
+    wanted = save(wanted.withColumn("alone", F.expr("kinds IS NULL AND copies > 1")).withColumn("hot", F.coalesce("hot", F.lit(False))), "repeats")
+    spans = sharded(fetch(docs, wanted.where("NOT hot"), length), length)
     if wanted.where("hot").limit(1).count():
-        spans = spans.unionByName(counted(save(fetch(docs, wanted.where("hot").drop("hot")), "hot"), length))
+        spans = spans.unionByName(counted(save(fetch(docs, wanted.where("hot"), length), "hot"), length))
     spans = small_enough(save(spans, "spans"), 1_000_000)
     found = rows.join(spans, ["anchor", "digest"]).select("k1", "k2", F.explode(F.transform("spans", lambda s: F.struct((s["a"] + F.col("first")).alias("a"), (s["b"] + F.col("first")).alias("b")))).alias("s"))
     return found.groupBy("k1", "k2").agg(F.collect_set("s").alias("spans"))
@@ -239,10 +268,10 @@ def remove(docs: DataFrame, length: int = 200, key: str = "doc_id", text: str =
     empty texts have nothing to remove. Rows that repeat in id and text are copies of each other. Empty table: no rows.
     """
     docs = keyed(docs, key, text)
-    found = small_enough(save(find(docs, length), "found"), 200_000)
-    joined = docs.join(found, (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2")), "left")
+    found = small_enough(save(find(docs, length).toDF("__f1", "__f2", "__spans"), "found"), 200_000)
+    joined = docs.join(found, (F.col("__k1") == F.col("__f1")) & (F.col("__k2") == F.col("__f2")), "left")
     passed = [c for c in docs.columns if not c.startswith("__") and c != text] if keep_text else [key]
-    rows = joined.select(*[F.col(c) for c in passed], F.col(text).isNull().alias("__null"), "__bytes", F.col("spans").alias("__spans"))
+    rows = joined.select(*[F.col(c) for c in passed], F.col(text).isNull().alias("__null"), "__bytes", "__spans")
     n = len(passed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
