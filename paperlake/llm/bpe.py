@@ -6,7 +6,10 @@ import base64
 import hashlib
 import heapq
 import json
+import re
+import unicodedata
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -21,6 +24,8 @@ PARTS = 1 << 14
 #: Text that one chunk row stands for at most (a longer text has one for itself), and the longest word, in bytes, that
 #: is merged by higher-order functions, whose work grows with the square of the length.
 CHUNK, LONG = 64 << 20, 128
+#: Texts, those of smallest hash, from which common words are taken; and how many words are taken at most.
+SAMPLE, COMMON = 20_000, 200_000
 #: White space by Unicode, spelt out because regex libraries differ on U+001C to U+001F.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -50,6 +55,34 @@ def splitter(pattern: str) -> regex.Pattern:
     return regex.compile("".join(out))
 
 
+def latin(pattern: str) -> re.Pattern:
+    r"""The pattern for texts of characters under U+0250, with \p{L}, \p{N} and \s as explicit classes, for the faster
+    library of the two."""
+    def of(kind: str) -> str:
+        return "".join(f"\\u{c:04x}" for c in range(0x250) if unicodedata.category(chr(c))[0] == kind)
+
+    space = "".join(f"\\u{c:04x}" for c in range(0x250) if regex.match(f"[{SPACE}]", chr(c)))
+    out, inside, i = [], False, 0
+    while i < len(pattern):
+        token = next((x for x in (r"\p{L}", r"\p{N}", r"\s", r"\S") if pattern.startswith(x, i)), pattern[i])
+        if len(token) > 1:
+            body = of(token[3]) if token[1] == "p" else space
+            out.append(f"[^{body}]" if token == r"\S" else body if inside else f"[{body}]")
+        else:
+            inside = token == "[" or inside and token != "]"
+            out.append(token)
+        i += len(token)
+    return re.compile("".join(out))
+
+
+BEYOND = re.compile("[^\u0000-\u024f]")
+
+
+def finder(pattern: str):
+    plain, quick = splitter(pattern).findall, latin(pattern).findall
+    return lambda t: plain(t) if BEYOND.search(t) else quick(t)
+
+
 def rank_map(table: dict[bytes, int]) -> Column:
     """The ranks as a literal: an array of maps from piece to rank. A piece's bytes are the characters U+0000 to U+00FF
     of a string; its place in the array is a CRC of that string. Folded to a constant once, when a query is planned."""
@@ -79,7 +112,7 @@ def merged(word: Column, maps: Column) -> Column:
     pairs = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: rank(F.substr(word, i, F.lit(2))))).otherwise(none)
     step = lambda s, _: let(F.array_min(s["r"]), lambda m: F.when(m.isNull(), s).otherwise(let(F.array_position(s["r"], m).cast("int"), lambda p: join(s, p))))
     folded = F.aggregate(F.sequence(F.lit(1), n), F.struct(first.alias("p"), pairs.alias("r")), step, lambda s: F.transform(s["p"], rank))
-    return F.when(rank(word).isNotNull(), F.array(rank(word))).otherwise(folded)
+    return folded
 
 
 def merge_long(word: bytes, table: dict[bytes, int]) -> list[int]:
@@ -114,16 +147,45 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
-CHUNKS = "ids array<bigint>, words array<string>, stream binary, counts binary"
+def common(docs: DataFrame, table: dict[bytes, int], pattern: str, text: str) -> dict[bytes, bytes]:
+    """The most frequent words of a bounded sample of texts that aren't ranks themselves, with their ids (as unsigned
+    32-bit integers). They are merged once and sent along, so tasks merge other words only; which words they are makes
+    no difference to any result."""
+    n = docs.count()
+    some = docs.select(text).where(F.pmod(F.xxhash64(text), F.lit(1_000_003)) < int(min(1, SAMPLE / max(n, 1)) * 1_000_003))
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = finder(pattern)
+        for b in batches:
+            seen = Counter(w for t in b.column(0).to_pylist() for w in find(t or ""))
+            yield pa.RecordBatch.from_arrays([pa.array([w.encode("utf-8", "surrogatepass") for w in seen], pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["w", "n"])
+
+    top = some.mapInArrow(words, "w binary, n bigint").where(F.length("w") <= LONG).groupBy("w").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "w").limit(COMMON).select("w").collect()
+    top = [bytes(r["w"]) for r in top if bytes(r["w"]) not in table]
+    if not top:
+        return {}
+    step = -(-len(top) // 24)
+    rows = docs.sparkSession.createDataFrame([([w.decode("latin-1") for w in top[a : a + step]],) for a in range(0, len(top), step)], "words array<string>").repartition(24)
+    done = rows.select("words", bound(table, lambda m: F.transform("words", lambda w: merged(w, m))).alias("ids")).toLocalIterator()
+    return {w.encode("latin-1"): np.array(i, np.uint32).tobytes() for r in done for w, i in zip(r["words"], r["ids"], strict=True)}
+
+
+def bound(table: dict[bytes, int], f) -> Column:
+    """f of the rank map, which the plan then holds once."""
+    return F.get(F.transform(F.array(rank_map(table)), f), F.lit(0))
+
+
+CHUNKS = "ids array<bigint>, words array<string>, known array<binary>, stream binary, counts binary"
 
 
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
     """Encodes every whole text and decodes it again.
 
-    Narrow from end to end (no shuffle, nothing gathered): a task cuts its texts into words and keeps the distinct
+    Narrow from end to end (no shuffle of the corpus, nothing gathered): a task cuts its texts into words and keeps the distinct
     ones of each chunk of texts with the texts' words as numbers; Spark's higher-order functions merge the distinct
     words by the literal rank map; a second Arrow step puts each text's ids together, and its bytes again from the
-    ids' binary pieces. Words over 128 bytes are merged by an exact heap in the second step. A lost executor costs the
+    ids' binary pieces. Common words are merged beforehand (see
+    common); words over 128 bytes are merged by an exact heap in the second step. A lost executor costs the
     chunks of its tasks.
 
     Returns doc_id, n_tokens, ids_sha256 (ids as little-endian unsigned 32-bit integers), decoded_sha256, and with
@@ -131,14 +193,19 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     docs are not read.
     """
     table = ranks(path)
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    spark = docs.sparkSession.sparkContext
+    shared, often = spark.broadcast(table), spark.broadcast(common(docs, table, pattern, text))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = splitter(pattern).findall
+        find = finder(pattern)
+        whole = {p: np.array([r], np.uint32).tobytes() for p, r in shared.value.items()} | often.value
 
         def row() -> pa.RecordBatch:
-            words = [w.encode("utf-8", "surrogatepass").decode("latin-1") for w in seen]
-            return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([words], pa.list_(pa.string())), pa.array([b"".join(stream)], pa.binary()), pa.array([np.array(counts, np.int64).tobytes()], pa.binary())], names=["ids", "words", "stream", "counts"])
+            # ids of a word, or nothing where it is still to be merged; long words go along as they are, after a mark
+            words = [w.encode("utf-8", "surrogatepass") for w in seen]
+            known = [b"i" + k if (k := whole.get(w)) else b"" if len(w) <= LONG else b"w" + w for w in words]
+            rest = [w.decode("latin-1") for w, k in zip(words, known, strict=True) if not k]
+            return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([rest], pa.list_(pa.string())), pa.array([known], pa.list_(pa.binary())), pa.array([b"".join(stream)], pa.binary()), pa.array([np.array(counts, np.int64).tobytes()], pa.binary())], names=["ids", "words", "known", "stream", "counts"])
 
         ids, seen, stream, counts, size = [], {}, [], [], 0
         for batch in batches:
@@ -165,11 +232,12 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
                 lists = batch.column(1).slice(b, 1).flatten()
                 offsets = lists.offsets.to_numpy().astype(np.int64)
                 values = lists.values.to_numpy(zero_copy_only=False).astype(np.uint32)
-                longs = [(j, merge_long(w.encode("latin-1"), table)) for j, w in zip(*(x.to_pylist() for x in batch.column(2).slice(b, 1).flatten().flatten()), strict=True)]
-                starts, lengths = offsets[:-1].copy(), np.diff(offsets)
-                for j, got in longs:
-                    starts[j], lengths[j] = len(values), len(got)
-                    values = np.concatenate([values, np.array(got, np.uint32)])
+                known = [np.array(merge_long(k[1:], table), np.uint32).tobytes() if k[:1] == b"w" else k[1:] for k in batch.column(2)[b].as_py()]
+                sizes = np.array([len(k) // 4 for k in known], np.int64)
+                starts, lengths = len(values) + np.cumsum(sizes) - sizes, sizes
+                rest = np.flatnonzero(sizes == 0)
+                starts[rest], lengths[rest] = offsets[:-1], np.diff(offsets)
+                values = np.concatenate([values, np.frombuffer(b"".join(known), np.uint32)])
                 stream, counts = (np.frombuffer(batch.column(c)[b].as_buffer(), t) for c, t in ((3, np.uint32), (4, np.int64)))
                 made, at = [], 0
                 for n in counts.tolist():
@@ -186,14 +254,6 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
                 whole = pa.RecordBatch.from_arrays(out, names=names)
                 yield from (whole.slice(a, 2000) for a in range(0, whole.num_rows, 2000))
 
-    maps = rank_map(table)
     chunks = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, CHUNKS)
-    encoded = chunks.select(
-        "ids",
-        # the map is bound to a variable, so the plan holds it once
-        F.get(F.transform(F.array(maps), lambda m: F.transform("words", lambda w: F.when(F.length(w) <= LONG, merged(w, m)).otherwise(F.array().cast("array<int>")))), F.lit(0)).alias("merged"),
-        F.filter(F.transform("words", lambda w, j: F.struct(j.alias("j"), w.alias("w"))), lambda x: F.length(x["w"]) > LONG).alias("long"),
-        "stream",
-        "counts",
-    )
+    encoded = chunks.select("ids", bound(table, lambda m: F.transform("words", lambda w: merged(w, m))).alias("merged"), "known", "stream", "counts")
     return encoded.mapInArrow(put, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids)
