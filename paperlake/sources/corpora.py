@@ -51,7 +51,7 @@ def manifest_xml(spark: SparkSession, path: str) -> DataFrame:
 
 def fulltext(spark: SparkSession, folder: str, glob: str = "*txt*") -> DataFrame:
     """id, text of a tree of text files, one an article."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(folder)
+    files = spark.read.text(folder, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
     return files.select(path_to_id(F.input_file_name()).alias("id"), F.col("value").alias("text"))
 
 
