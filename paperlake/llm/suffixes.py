@@ -53,26 +53,34 @@ def induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, k: int) -> np.nd
     sa[np.repeat(ends - np.cumsum(seeded), seeded) + np.arange(len(seeds))] = seeds
     head, tail = starts.copy(), ends.copy()
     full = np.flatnonzero(counts).tolist()
-    narrow = t.astype(np.uint16) if k <= 1 << 16 else t
+    # of every suffix, the type and the symbol of the one that starts a symbol earlier
+    before = np.zeros(n, np.uint16 if k <= 1 << 16 else np.int64)
+    before[1:] = t[:-1]
+    is_small, is_large = np.zeros(n, bool), np.zeros(n, bool)
+    is_small[1:] = small[:-1]
+    is_large[1:] = ~small[:-1]
+    steps = np.arange(int(counts.max()) + 1)
 
     def push(block: np.ndarray, want_small: bool) -> None:
-        j = block - 1
-        j = j[j >= 0]
-        j = j[small[j] == want_small]
-        if not len(j):
+        block = block[(is_small if want_small else is_large)[block]]
+        m = len(block)
+        if not m:
             return
-        c = narrow[j]
-        order = np.argsort(c, kind="stable")
-        c, j = c[order], j[order]
-        cut = np.flatnonzero(c[1:] != c[:-1]) + 1
-        at = np.concatenate([[0], cut])
-        size = np.diff(np.concatenate([at, [len(c)]]))
+        c = before[block]
+        order = c.argsort(kind="stable")
+        c, j = c[order], block[order] - 1
+        cut = (c[1:] != c[:-1]).nonzero()[0]
+        at = np.zeros(len(cut) + 1, np.int64)
+        at[1:] = cut + 1
+        size = np.empty_like(at)
+        size[:-1] = at[1:] - at[:-1]
+        size[-1] = m - at[-1]
         u = c[at].astype(np.int64)
         if want_small:
-            sa[np.repeat(tail[u] - 1 + at, size) - np.arange(len(c))] = j
+            sa[(tail[u] - 1 + at).repeat(size) - steps[:m]] = j
             tail[u] -= size
         else:
-            sa[np.repeat(head[u] - at, size) + np.arange(len(c))] = j
+            sa[(head[u] - at).repeat(size) + steps[:m]] = j
             head[u] += size
 
     for c in full:
