@@ -16,7 +16,7 @@ from .hashing import U, mix
 from .suffixes import common_prefixes, suffix_array
 
 #: Bytes of an anchor; bytes of text that are looked at together; bytes of a suffix array's shard.
-ANCHOR, BUFFER, SHARD = 24, 4 << 20, 2 << 20
+ANCHOR, BUFFER, SHARD = 24, 1 << 20, 2 << 20
 #: Different surroundings of one anchor up to which they go to one shard; those of a hotter anchor are compared window
 #: by window in a counted aggregation.
 HOT = 20_000
