@@ -19,7 +19,7 @@ from .suffixes import common_prefixes, suffix_array
 ANCHOR, BUFFER, SHARD = 24, 1 << 20, 2 << 20
 #: Different surroundings of one anchor up to which they go to one shard; those of a hotter anchor are compared window
 #: by window in a counted aggregation.
-HOT = 20_000
+HOT = 4_000
 TABLE = mix(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15))
 STEP = 0x2545F4914F6CDD1D
 BACK = pow(STEP, -1, 2**64)

@@ -189,7 +189,7 @@ def removed(texts, length):
 
 @pytest.mark.parametrize("hot", [False, True])
 def test_repeats(spark, docs, monkeypatch, hot):
-    monkeypatch.setattr(repeats, "HOT", 1 if hot else 20_000)
+    monkeypatch.setattr(repeats, "HOT", 1 if hot else 4_000)
     rows = docs.collect()
     got = {r["doc_id"]: tuple(r)[1:] for r in repeats.remove(docs).collect()}
     assert got == {r["doc_id"]: w for r, w in zip(rows, removed([r["text"].encode() for r in rows], 200), strict=True)}
