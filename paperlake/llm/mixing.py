@@ -52,7 +52,7 @@ def plan(rows: DataFrame, weights: tuple[int, ...], epochs: int) -> DataFrame:
     targets = targets.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(1).cast("int"))
     targets = save(targets.withColumn("rest", F.when(F.col("source_size") > 0, F.col("target") - F.col("whole") * F.col("source_size")).otherwise(0.0)).withColumnRenamed("skey", "__skey"), "mix-targets")
     run = F.sum("part").over(Window.partitionBy("__skey").orderBy("bucket"))
-    cut = sums.withColumn("run", run).join(targets.select("__skey", "rest"), "__skey").where(F.col("run") >= F.col("rest"))
+    cut = sums.withColumn("run", run).join(targets.select("__skey", "rest"), "__skey").where((F.col("rest") > 0) & (F.col("run") >= F.col("rest")))
     cut = small_enough(save(cut.groupBy("__skey").agg(F.min_by(F.struct("bucket", (F.col("run") - F.col("part")).alias("before"), "rest"), "bucket").alias("cut")).select("__skey", "cut.*"), "mix-cuts"))
     order = Window.partitionBy("__skey").orderBy("__h", "__id", "__size").rowsBetween(Window.unboundedPreceding, -1)
     edge = rows.select("__skey", "__h", "__id", "__size").join(cut, "__skey").where(F.shiftright("__h", HASH - LEAD) == F.col("bucket"))
@@ -106,6 +106,6 @@ p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE
 r AS (SELECT d.doc_id, d.size, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS rest,
              coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior
       FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
-SELECT doc_id, size, source_size, target, (whole + CASE WHEN prior + size / 2.0 <= rest THEN 1 ELSE 0 END)::INT AS repeats,
-       ((whole + CASE WHEN prior + size / 2.0 <= rest THEN 1 ELSE 0 END)::BIGINT * size)::BIGINT AS taken FROM r
+SELECT doc_id, size, source_size, target, (whole + CASE WHEN rest > 0 AND prior + size / 2.0 <= rest THEN 1 ELSE 0 END)::INT AS repeats,
+       ((whole + CASE WHEN rest > 0 AND prior + size / 2.0 <= rest THEN 1 ELSE 0 END)::BIGINT * size)::BIGINT AS taken FROM r
 """

@@ -172,8 +172,8 @@ def held_out(key: str = "doc_id"):
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Settings = Settings(), key: str = "doc_id") -> Model:
     """Trains on labelled documents whose crc32(id) mod 5 is not 0: of either class at most settings.sample, those whose
-    id has the smallest hash. What comes to the driver is bucket numbers of their words. No labels at all: a model that
-    says 0.5 to everything."""
+    id has the smallest hash. What comes to the driver is bucket numbers of their words. Labels of one
+    class or none: a model that says the same, under 0.5, to everything."""
     s = settings
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1) & ~held_out(key)).groupBy(F.col(key).alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("label"))
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -191,7 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Sett
     got = sorted(rows.mapInArrow(bucket, "doc_id bigint, label int, f binary").toLocalIterator(), key=lambda r: (r["doc_id"], r["f"]))
     y = np.array([r["label"] for r in got], np.float32)
     if not 0 < y.sum() < len(y):
-        return Model(s, np.zeros((s.buckets + 1, s.dim), np.float32), [np.zeros((w, s.dim, s.filters), np.float32) for w in s.widths], np.zeros(len(s.widths) * s.filters, np.float32), np.zeros(len(s.widths) * s.filters, np.float32), 0.0)
+        return Model(s, np.zeros((s.buckets + 1, s.dim), np.float32), [np.zeros((w, s.dim, s.filters), np.float32) for w in s.widths], np.zeros(len(s.widths) * s.filters, np.float32), np.zeros(len(s.widths) * s.filters, np.float32), float(min(np.log((counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 1)), np.log(0.5))))
     model = train([np.frombuffer(r["f"], np.uint32).reshape(-1, FEATURES).astype(np.int64) for r in got], y, s)
     # the sample has the classes about even; shift to their true odds
     model.out_bias += float(np.log(counts[1] / counts[0]) - np.log(y.sum() / (len(y) - y.sum())))
@@ -214,9 +214,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score"
     return docs.mapInArrow(run, T.StructType([docs.schema[i] for i in kept]).add(into, "double"))
 
 
-def thresholds(scored: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", lang: str = "lang", column: str = "score", bins: int = 1000) -> DataFrame:
+def thresholds(scored: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", lang: str = "lang", column: str = "score", bins: int = 1000, least: float = 0.1) -> DataFrame:
     """For each language the cut with the best F1 over all its labelled documents outside the held-out fold (the
-    highest of equal cuts): histograms of the scores by language, summed map-side. Languages without toxic labels: 0.5.
+    highest of equal cuts): histograms of the scores by language, summed map-side. No cut is under `least`, which a few odd labels
+    could else bring about. Languages without toxic labels: 0.5.
     Returns lkey ('s' and the language, 'n' for null), threshold."""
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1) & ~held_out(key)).groupBy(F.col(key).alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("label"))
     rows = scored.select(F.col(key).alias("doc_id"), F.coalesce(F.concat(F.lit("s"), F.col(lang)), F.lit("n")).alias("lkey"), F.floor(F.col(column) * bins).alias("bin"))
@@ -225,7 +226,7 @@ def thresholds(scored: DataFrame, labels: DataFrame, label: str = "toxic", key:
     every = Window.partitionBy("lkey")
     f1 = F.try_divide(2 * F.sum("pos").over(down), F.sum("n").over(down) + F.sum("pos").over(every))
     best = hist.withColumn("f1", f1).withColumn("bin", F.when(F.col("f1") > 0, F.col("bin")))
-    return best.groupBy("lkey").agg((F.coalesce(F.max_by("bin", F.struct(F.round("f1", 9), "bin")), F.lit(bins / 2)) / bins).alias("threshold"))
+    return best.groupBy("lkey").agg(F.greatest(F.coalesce(F.max_by("bin", F.struct(F.round("f1", 9), "bin")), F.lit(bins / 2)) / bins, F.lit(least)).alias("threshold"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Settings = Settings(), model: Model | None = None, into: str = "score", keep_text: bool = True) -> DataFrame:

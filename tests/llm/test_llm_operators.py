@@ -144,7 +144,8 @@ def test_toxicity(spark, docs, labels, edges, empty):
     assert len({r["__p"] for r in rows if r["text"] == SAME}) == 1
     assert toxicity.classify(empty, labels, model=model, into="__p").count() == 0
     none = toxicity.fit(docs, labels.limit(0), settings=FEW)
-    assert {r["__p"] for r in toxicity.score(edges, none, into="__p").collect()} == {0.5}
+    same = {r["__p"] for r in toxicity.score(edges, none, into="__p").collect()}
+    assert len(same) == 1 and same.pop() < 0.5
 
 
 def test_long_text_in_windows(docs, labels):
@@ -330,7 +331,7 @@ def test_mix(spark, docs, edges, which):
     want = dict(zip(names, water(sizes, [(5, 2, 1)[i % 3] for i in range(len(names))]), strict=True))
     out = mixing.mix(df).collect()
     assert sorted((r["doc_id"] or -1, r["size"]) for r in out) == sorted((d or -1, n) for d, n, _ in rows)
-    assert all(0 <= r["taken"] <= 3 * r["size"] for r in out)
+    assert all(0 <= r["taken"] <= 3 * r["size"] and r["repeats"] <= 3 for r in out)
     by = collections.Counter()
     for r in out:
         by[round(r["target"], 6), r["source_size"]] += r["taken"]
