@@ -126,15 +126,24 @@ def alike(rows: DataFrame) -> DataFrame:
     """rows: node, rid, sketch, in buckets of at most SMALL. Edges (src, dst) between sets whose sketches agree enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        src, dst = [], []
+        src, dst, up = [], [], {}
+
+        def root(x: int) -> int:
+            while up.setdefault(x, x) != x:
+                up[x] = x = up[up[x]]
+            return x
+
         for t in groups(batches, 1):
             if t.num_rows > 1:
                 rid = t.column(1).to_numpy()
                 s = np.frombuffer(b"".join(t.column(2).to_pylist()), np.uint8).reshape(-1, SKETCH)
                 near = (s[:, None, :] == s[None, :, :]).sum(2) >= AGREE
                 for x, y in forest(len(rid), *np.nonzero(np.triu(near, 1))):
-                    src.append(rid[x])
-                    dst.append(rid[y])
+                    a, b = root(int(rid[x])), root(int(rid[y]))
+                    if a != b:  # not yet connected by this task's other buckets
+                        up[max(a, b)] = min(a, b)
+                        src.append(rid[x])
+                        dst.append(rid[y])
             if len(src) > 5000:
                 yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], names=["src", "dst"])
                 src, dst = [], []
