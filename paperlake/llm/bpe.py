@@ -25,7 +25,7 @@ PARTS = 1 << 14
 #: is merged by higher-order functions, whose work grows with the square of the length.
 CHUNK, LONG = 64 << 20, 128
 #: Texts, those of smallest hash, from which common words are taken; and how many words are taken at most.
-SAMPLE, COMMON = 20_000, 200_000
+SAMPLE, COMMON = 20_000, 60_000
 #: White space by Unicode, spelt out because regex libraries differ on U+001C to U+001F.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
