@@ -14,7 +14,7 @@ from .common import read
 
 
 def op1_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return perplexity.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return perplexity.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), unit="words")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -129,6 +129,60 @@ def test_perplexity_edges(spark, edges, empty, labels):
         assert perplexity.quality(empty, labels, most=most).count() == 0
 
 
+def test_perplexity_of_words(spark, edges, labels):
+    """Familiar words in senseless order are less probable than trained sentences; both ways agree with brute force."""
+    rng = random.Random(3)
+    sentences = ["the cat sat on the old mat", "a dog ran in the green park", "rain fell on the old town", "he \u6771\u4eac met a dog"]
+    texts = {i: " ".join(rng.choice(sentences) for _ in range(6)) for i in range(40)}
+    jumbled = texts[0].split()
+    rng.shuffle(jumbled)
+    texts |= {100: " ".join(jumbled), 101: "quite other words", 102: "!!!", 103: texts[1]}
+    df = spark.createDataFrame([(i, t, "en") for i, t in texts.items()], "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    got, joined = ({r["doc_id"]: r["perplexity"] for r in perplexity.quality(df, marks, most=m, unit="words").collect()} for m in (10**6, 0))
+    split = lambda t: ["<s>", "<s>", *re.sub("([\u6771\u4eac])", r" \1 ", t).split(), "</s>"]
+    counts = {3: collections.Counter()}
+    for i in range(40):
+        if zlib.crc32(str(i).encode()) % 5:
+            x = split(texts[i])
+            counts[3].update(tuple(x[j - 2 : j + 1]) for j in range(2, len(x)))
+    for k in (2, 1):
+        counts[k] = collections.Counter(g[1:] for g in counts[k + 1])
+    discount = {}
+    for k, c in counts.items():
+        m = [sum(1 for v in c.values() if v == i) for i in range(5)]
+        y = m[1] / (m[1] + 2 * m[2]) if m[1] and m[2] else 0.5
+        discount[k] = [0] + [max(0.01, min(i, i - (i + 1) * y * m[i + 1] / m[i])) if m[i] and m[i + 1] else y for i in (1, 2, 3)]
+
+    def p(g):
+        out = 1 / (len(counts[1]) + 1)
+        for k in (1, 2, 3):
+            s, c, d = g[3 - k :], counts[k], discount[k]
+            own = {x: v for x, v in c.items() if x[:-1] == s[:-1]}
+            if own:
+                out = (max(c[s] - d[min(c[s], 3)], 0) + sum(d[min(v, 3)] for v in own.values()) * out) / sum(own.values())
+        return out
+
+    assert set(got) == set(joined) == set(texts) and got[102] is None and joined[102] is None
+    for i in (0, 1, 2, 100, 101, 103):
+        x = split(texts[i])
+        want = math.exp(-sum(math.log(p(tuple(x[j - 2 : j + 1]))) for j in range(2, len(x))) / (len(x) - 2))
+        assert got[i] == pytest.approx(want, rel=1e-4) and joined[i] == pytest.approx(want, rel=1e-4)
+    assert got[100] > 2 * got[0]
+    for most in (0, 10**6):
+        rows = perplexity.quality(edges, labels, most=most, unit="words").collect()
+        assert len(rows) == len(EDGES) and perplexity.quality(edges.limit(0), labels, most=most, unit="words").count() == 0
+
+
+def test_op1_counts_words(spark, monkeypatch):
+    from paperlake.llm import queries
+
+    seen = []
+    monkeypatch.setattr(perplexity, "word_model", lambda docs, own=perplexity.word_model: seen.append(own(docs)) or seen[-1])
+    assert queries.op1_perplexity(spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert len(seen) == 1
+
+
 # --- 2 toxicity ------------------------------------------------------------------------------------------------------
 
 FEW = toxicity.Settings(sample=150, epochs=4, buckets=1 << 12)
