@@ -12,14 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import connected, save
+from .hashing import U, mix
 from .jaccard import forest, groups
 
 #: Bound of the sample (vectors of smallest id hash) on which codebooks and the number of visits are fitted.
 SAMPLE = 20_000
 #: Vectors of a cell, or of a group, that are compared with others at a time.
 BLOCK = 128
-#: Share of the sample's links that traversals must reach, and the least and most cells that they visit for it.
-RECALL, LEAST, MOST = 0.999, 4, 64
+#: Share of the sampled vectors' links, to any vector of the table, that traversals must reach from either end; the
+#: fewest cells that they visit; and those that they visit at least where fewer than FEW links say how many are needed.
+RECALL, LEAST, MOST, FEW = 0.999, 4, 64, 1000
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -48,6 +50,7 @@ def traverse(d1: np.ndarray, d2: np.ndarray, visits: int, reach: float) -> list[
     a vector is nearer to its own centre than this one's half is to it by twice the half's share of reach at most)."""
     o1, o2 = d1.argsort(kind="stable"), d2.argsort(kind="stable")
     a, b = d1[o1], d2[o2]
+    a, b = a[a - a[0] <= 2 * reach + 1e-4], b[b - b[0] <= 2 * reach + 1e-4]
     heap, out, done = [(a[0] ** 2 + b[0] ** 2, 0, 0)], [], {}
     while heap and len(out) < visits:
         _, i, j = heapq.heappop(heap)
@@ -66,22 +69,29 @@ def traverse(d1: np.ndarray, d2: np.ndarray, visits: int, reach: float) -> list[
 class Index:
     """Two codebooks over the halves of unit vectors of one dimension, and how many cells to visit."""
 
-    def __init__(self, x: np.ndarray, label: np.ndarray, k: int, cosine: float):
+    def __init__(self, x: np.ndarray, k: int, cosine: float):
         self.dim, self.reach = x.shape[1], float(np.sqrt(max(2 - 2 * cosine, 0)))
         h = self.dim // 2
         self.books = [kmeans(x[:, :h], k), kmeans(x[:, h:], k)]
-        ranks = []
-        order = np.argsort(label, kind="stable")
-        for own in np.split(order, np.flatnonzero(np.diff(label[order])) + 1):
-            for at in range(0, len(own), 512):
-                p, q = np.nonzero(x[own[at : at + 512]] @ x[own].T >= cosine)
-                p += at
-                p, q = own[p[p != q]][:20_000], own[q[p != q]][:20_000]
-                if len(p):
-                    home = self.homes(x[q])
-                    for (seen, _), cell in zip(self.visits(x[p], MOST), home.tolist(), strict=True):
-                        ranks.append(seen.index(cell) + 1 if cell in seen else MOST)
-        self.n = int(np.clip(np.quantile(ranks, RECALL, method="higher") if ranks else LEAST, LEAST, MOST))
+        self.n = MOST
+
+    def fit(self, x: np.ndarray, y: np.ndarray) -> None:
+        """Visits enough for RECALL of the links between the rows of x and y, however many they are; for all of these
+        links, and MOST at least, if they are fewer than FEW."""
+        ranks = np.minimum(self.ranks(x, y), self.ranks(y, x)) if len(x) else np.zeros(0, int)
+        self.n = max(LEAST, int(np.quantile(ranks, RECALL, method="higher"))) if len(ranks) >= FEW else max([MOST, *ranks.tolist()])
+
+    def ranks(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The cells that each row of x visits until it meets the home of that row of y."""
+        out = np.zeros(len(x), int)
+        for at in range(0, len(x), 1000):
+            d1, d2 = self.split(x[at : at + 1000])
+            for i, home in enumerate(self.homes(y[at : at + 1000]).tolist()):
+                a, b = d1[i], d2[i]
+                far = np.add.outer(a * a, b * b)
+                near = np.add.outer((a - a.min()) ** 2, (b - b.min()) ** 2) / 4 <= self.reach**2 + 1e-9
+                out[at + i] = np.count_nonzero(near & (far <= far.flat[home] + 1e-12))
+        return np.maximum(out, 1)
 
     def split(self, x: np.ndarray) -> list[np.ndarray]:
         h = self.dim // 2
@@ -119,6 +129,55 @@ def matrix(column: pa.ChunkedArray) -> np.ndarray:
     return unit(np.frombuffer(b"".join(rows)).reshape(len(rows), -1))
 
 
+def linked(sets: DataFrame, sample: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]], dim: int, cosine: float) -> DataFrame:
+    """q, rid: for each sampled vector that links with any vector of the table one of these, by the smallest hash.
+
+    sample: by label, the numbers, ids and rows of sampled vectors. Every row of the table meets them, in blocks; a task
+    passes on one neighbour of each, packed in a few rows.
+    """
+    shared, parts = sets.sparkSession.sparkContext.broadcast(sample), 16
+    total = sum(len(q) for q, _, _ in sample.values())
+    last = np.iinfo(U).max
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, who = np.full(total, last), np.zeros(total, np.int64)
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            labels, dims = np.array(t.column(1).to_pylist(), object), t.column(2).to_numpy()
+            for lab in sorted(set(labels[dims == dim])):
+                if lab not in shared.value:
+                    continue
+                q, ids, y = shared.value[lab]
+                own = np.flatnonzero((labels == lab) & (dims == dim))
+                for at in range(0, len(own), 256):
+                    part = t.take(pa.array(own[at : at + 256]))
+                    rid = part.column(0).to_numpy()
+                    i, j = np.nonzero(matrix(part.column(3)) @ y.T >= cosine - 1e-12)
+                    other = rid[i] != ids[j]
+                    i, j = i[other], j[other]
+                    h = mix(mix(rid[i].view(U)) + ids[j].view(U))
+                    np.minimum.at(best, q[j], h)
+                    first = best[q[j]] == h
+                    who[q[j[first]]] = rid[i[first]]
+        for n in range(parts):
+            q = np.flatnonzero(best[n::parts] != last) * parts + n
+            if len(q):
+                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in (q, best[q], who[q])]], names=["part", "q", "h", "rid"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, who = np.full(total, last), np.zeros(total, np.int64)
+        for batch in batches:
+            for row in zip(*[c.to_pylist() for c in batch.columns[1:]], strict=True):
+                q, h, rid = (np.frombuffer(x, t) for x, t in zip(row, (np.int64, U, np.int64), strict=True))
+                less = h < best[q]
+                best[q[less]], who[q[less]] = h[less], rid[less]
+        q = np.flatnonzero(best != last)
+        yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(who[q])], names=["q", "rid"])
+
+    rows = sets.select("rid", "label", "dim", "x").mapInArrow(meet, "part int, q binary, h binary, rid binary")
+    return rows.repartition(parts, "part").mapInArrow(merge, "q bigint, rid bigint")
+
+
 def near(sets: DataFrame, index: Index | None, cosine: float) -> DataFrame:
     """Edges (src, dst) between vectors that link, enough to connect all links found in visited cells.
 
@@ -192,8 +251,9 @@ def dedup(vectors: DataFrame, cosine: float = 0.98, key: str = "vec_id", vector:
     """One row a vector: vec_id, n_links, component_id (smallest vec_id that links lead to), kept (it is that one).
 
     Vectors link if their labels are equal and their cosine, in double precision, is `cosine` or more. Equal vectors of
-    a label are one with a count. Codebooks of both halves and the number of cells to visit are fitted on a bounded
-    sample; every vector is indexed and visits cells in the order of a multi-sequence traversal. Groups so connected
+    a label are one with a count. Codebooks of both halves are fitted on a bounded sample; the number of cells to visit
+    is fitted on links of the sampled vectors with the whole table, one of each. Every vector is indexed and visits cells
+    in the order of a multi-sequence traversal. Groups so connected
     are then compared exactly in blocks, so links are counted without writing pairs, and those between members of a
     group that no visit found are counted too.
 
@@ -204,17 +264,24 @@ def dedup(vectors: DataFrame, cosine: float = 0.98, key: str = "vec_id", vector:
     rows = save(prepare(vectors, key, vector, label), "vectors")
     usable = rows.where("vec_id IS NOT NULL AND same IS NOT NULL")
     sets = save(usable.groupBy("same").agg(F.min("vec_id").alias("rid"), F.first("label").alias("label"), F.first("dim").alias("dim"), F.first("x").alias("x"), F.count("*").alias("copies")), "vector-sets")
-    sample = sets.orderBy(F.xxhash64("rid"), "rid").limit(SAMPLE).select("dim", "label", "x").toLocalIterator()
-    sample = [(r["dim"], r["label"], bytes(r["x"])) for r in sample]
+    sample = sets.orderBy(F.xxhash64("rid"), "rid").limit(SAMPLE).select("dim", "label", "x", "rid").toLocalIterator()
+    sample = [(r["dim"], r["label"], bytes(r["x"]), r["rid"]) for r in sample]
     index = None
     if sample:
-        dims = [d for d, _, _ in sample]
+        dims = [r[0] for r in sample]
         dim = max(sorted(set(dims)), key=dims.count)
         if dim > 1:
-            own = [(lab, x) for d, lab, x in sample if d == dim]
-            labels = {lab: i for i, lab in enumerate(sorted({lab for lab, _ in own}))}
+            own = [r for r in sample if r[0] == dim]
+            x, ids = unit(np.frombuffer(b"".join(r[2] for r in own)).reshape(len(own), -1)), np.array([r[3] for r in own], np.int64)
+            labels = {}
+            for i, r in enumerate(own):
+                labels.setdefault(r[1], []).append(i)
             k = int(np.clip(np.sqrt(sets.count() / 100), 4, 256))
-            index = Index(unit(np.frombuffer(b"".join(x for _, x in own)).reshape(len(own), -1)), np.array([labels[lab] for lab, _ in own]), k, cosine)
+            index = Index(x, k, cosine)
+            found = save(linked(sets, {lab: (np.array(q), ids[q], x[q]) for lab, q in labels.items()}, dim, cosine), "vector-links")
+            found = [(r["q"], bytes(r["x"])) for r in sets.select("rid", "x").join(F.broadcast(found), "rid").select("q", "x").toLocalIterator()]
+            if found:
+                index.fit(x[[q for q, _ in found]], unit(np.frombuffer(b"".join(y for _, y in found)).reshape(len(found), -1)))
     comps = save(connected(near(sets, index, cosine)).withColumnRenamed("node", "rid").withColumnRenamed("component", "comp"), "vector-groups")
     sizes = comps.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = comps.join(sizes, "comp").join(sets.select("rid", "copies", F.col("x").alias("v")), "rid")

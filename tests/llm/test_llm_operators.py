@@ -302,6 +302,35 @@ def test_multiindex(spark):
     assert multiindex.dedup(df.limit(0)).count() == 0
 
 
+def test_multiindex_fits_visits_on_the_whole_table(spark, monkeypatch):
+    """Pairs of which the sample holds one end at most still say how many cells to visit."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(600, 16))
+    x = np.concatenate([base, base + rng.normal(scale=0.12, size=base.shape)])
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(multiindex, "SAMPLE", 30)
+    pairs, fit = [], multiindex.Index.fit
+    monkeypatch.setattr(multiindex.Index, "fit", lambda self, a, b: pairs.append((a, b)) or fit(self, a, b))
+    got = {r["vec_id"]: r["n_links"] for r in multiindex.dedup(df).collect()}
+    u = x / np.sqrt((x * x).sum(1))[:, None]
+    near = (u @ u.T >= 0.98) & ~np.eye(len(u), dtype=bool)
+    assert got == dict(enumerate(near.sum(1).tolist()))
+    assert len(pairs[0][0]) >= 10 and ((pairs[0][0] * pairs[0][1]).sum(1) >= 0.98 - 1e-9).all()
+
+
+def test_visits_go_on_until_the_target(monkeypatch):
+    rng = np.random.default_rng(7)
+    x = multiindex.unit(rng.normal(size=(2000, 8)))
+    y = multiindex.unit(x + rng.normal(scale=0.2, size=x.shape))
+    index = multiindex.Index(x, 24, 0.5)
+    index.fit(x, y)
+    homes, back = index.homes(y), index.homes(x)
+    met = [h in a or g in b for (a, _), h, (b, _), g in zip(index.visits(x, index.n), homes, index.visits(y, index.n), back, strict=True)]
+    assert np.mean(met) >= 0.999 and index.n > multiindex.LEAST
+    index.fit(x[:3], y[:3])
+    assert index.n >= multiindex.MOST
+
+
 def test_traversal_is_in_order():
     d1, d2 = np.array([0.3, 0.1, 0.9, 0.5]), np.array([0.2, 0.7, 0.4])
     want = sorted(((a * a + b * b), i * 3 + j) for i, a in enumerate(d1) for j, b in enumerate(d2))
