@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import written
+
 
 def primary_category(categories: Column) -> Column:
     """First of the space-separated names in the first element."""
@@ -141,6 +144,41 @@ def propagated(matrix: DataFrame, features: DataFrame, hops: int = 2) -> DataFra
     return features
 
 
+def largest_eigenvalue(matrix: DataFrame, tolerance: float = 1e-7, rounds: int = 300) -> float:
+    """The largest eigenvalue of a symmetric matrix (i, j, value; every i has a row) by power iteration in Lanczos' form,
+    which keeps what earlier steps tell. A step is a join and a sum; two vectors are written, only numbers are collected.
+    Ends when an eigenvalue is within `tolerance` for sure."""
+    zero = F.lit(0.0)
+    now = written(matrix.select(F.col("i").alias("id")).distinct().select("id", (F.xxhash64("id") / F.lit(2.0**63)).alias("q"), zero.alias("p")), "lanczos")
+    norm = now.agg(F.sqrt(F.sum(F.col("q") * F.col("q")))).first()[0]
+    if not norm:
+        return 0.0
+    now = now.withColumn("q", F.col("q") / norm)
+    diagonal, off = [], []
+    for _ in range(rounds):
+        product = matrix.join(now.select(F.col("id").alias("j"), "q"), "j").select(F.col("i").alias("id"), zero.alias("q"), zero.alias("p"), (F.col("value") * F.col("q")).alias("y"))
+        now = written(now.select("id", "q", "p", zero.alias("y")).unionByName(product).groupBy("id").agg(*[F.sum(c).alias(c) for c in "qpy"]), "lanczos")
+        diagonal.append(now.agg(F.sum(F.col("q") * F.col("y"))).first()[0])
+        rest = F.col("y") - diagonal[-1] * F.col("q") - (off[-1] if off else 0.0) * F.col("p")
+        beta = now.agg(F.sqrt(F.sum(rest * rest))).first()[0]
+        values, vectors = np.linalg.eigh(np.diag(diagonal) + np.diag(off, 1) + np.diag(off, -1))
+        if beta * abs(vectors[-1, -1]) <= tolerance:
+            return float(values[-1])
+        off.append(beta)
+        now = now.select("id", (rest / beta).alias("q"), F.col("q").alias("p"))
+    raise RuntimeError("the largest eigenvalue did not settle")
+
+
+def rescaled_laplacian(nodes: DataFrame, e: DataFrame) -> DataFrame:
+    """i, j, value of 2/lambda L - I: L = I - D^-1/2 A D^-1/2 over undirected edges without self loops, lambda its largest
+    eigenvalue. A node without edges has 1 in L."""
+    own = nodes.select(F.col("id").alias("i"), F.col("id").alias("j"), F.lit(1.0).alias("value"))
+    a = adjacency_normalised(nodes, e, loops=False).select("i", "j", (-F.col("value")).alias("value"))
+    laplacian = written(own.unionByName(a).groupBy("i", "j").agg(F.sum("value").alias("value")), "laplacian")
+    scale = 2 / (largest_eigenvalue(laplacian) or 1.0)
+    return laplacian.select("i", "j", (scale * F.col("value") - F.when(F.col("i") == F.col("j"), 1.0).otherwise(0.0)).alias("value"))
+
+
 def chebyshev(laplacian: DataFrame, features: DataFrame, order: int = 2) -> list[DataFrame]:
     """T_0 x .. T_order x of a rescaled Laplacian by the recurrence T_k = 2 L T_(k-1) - T_(k-2)."""
     out = [features, times(laplacian, features)]

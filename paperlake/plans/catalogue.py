@@ -247,7 +247,7 @@ def graph_propagated(spark: SparkSession, sf_dir: str) -> DataFrame:
 def graph_chebyshev(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, e = _graph(spark, sf_dir, False)
     x = n.select("id", F.col("label").alias("k"), F.lit(1.0).alias("x"))
-    return features.chebyshev(features.adjacency_normalised(n, e), x, 2)[2]
+    return features.chebyshev(features.rescaled_laplacian(n, e), x, 2)[2]
 
 
 # --- features and models ---------------------------------------------------------------------------------------------

@@ -118,3 +118,38 @@ def test_contexts(spark):
     from paperlake.functions.ids import PATTERNS
 
     assert [r["context"] for r in citations.contexts(t, PATTERNS["simple"], 3).collect()] == ["89 1503.01017 16", " 1612.00001!"]
+
+
+def test_chebyshev_of_the_rescaled_laplacian(spark, monkeypatch):
+    """T_0 to T_2, and the query, against dense matrices; node 30 has no edge."""
+    import numpy as np
+
+    from paperlake.plans import catalogue
+
+    rng = np.random.default_rng(4)
+    pairs = sorted({(int(a), int(b)) for a, b in rng.integers(0, 30, (60, 2)) if a < b} | {(0, 1), (1, 2), (0, 2)})
+    a = np.zeros((31, 31))
+    for i, j in pairs:
+        a[i, j] = a[j, i] = 1
+    d = a.sum(1)
+    root = np.where(d > 0, 1 / np.sqrt(np.maximum(d, 1)), 0)
+    laplacian = np.eye(31) - root[:, None] * a * root
+    scaled = 2 / np.linalg.eigvalsh(laplacian)[-1] * laplacian - np.eye(31)
+    x = np.zeros((31, 3))
+    x[np.arange(31), np.arange(31) % 3] = 1
+    nodes = spark.createDataFrame([(i, i % 3) for i in range(31)], "id long, label int")
+    e = spark.createDataFrame(pairs, "src long, dst long")
+    rows = nodes.select("id", F.col("label").alias("k"), F.lit(1.0).alias("x"))
+
+    def dense(df):
+        out = np.zeros((31, 3))
+        for r in df.collect():
+            out[r["id"], r["k"]] = r["x"]
+        return out
+
+    want = [x, scaled @ x, 2 * scaled @ scaled @ x - x]
+    got = features.chebyshev(features.rescaled_laplacian(nodes, e), rows, 2)
+    for g, w in zip(got, want, strict=True):
+        assert np.allclose(dense(g), w, atol=1e-6)
+    monkeypatch.setattr(catalogue, "_graph", lambda *_: (nodes, e))
+    assert np.allclose(dense(catalogue.graph_chebyshev(spark, "")), want[2], atol=1e-6)
