@@ -316,8 +316,8 @@ def masked_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def ablation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), (F.col("label") % 5).alias("label"), (F.col("vec_id") % 10 < 8).alias("train"), F.slice("embedding", 1, 16).alias("head"), F.slice("embedding", 49, 16).alias("tail"))
-    return features.ablation(e, ["head", "tail"], 10)
+    e = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), (F.col("label") % 5).alias("label"), (F.col("vec_id") % 10 < 8).alias("train"), F.slice("embedding", 1, 32).alias("head"), F.slice("embedding", 33, 32).alias("tail"))
+    return features.ablation(e, ["head", "tail"])
 
 
 @query("SELECT doc_id AS id, coalesce(embedding, list_transform(range(64), lambda i: 0.0::FLOAT)) AS embedding FROM documents LEFT JOIN embeddings ON doc_id = vec_id", views=False)

@@ -153,3 +153,16 @@ def test_chebyshev_of_the_rescaled_laplacian(spark, monkeypatch):
         assert np.allclose(dense(g), w, atol=1e-6)
     monkeypatch.setattr(catalogue, "_graph", lambda *_: (nodes, e))
     assert np.allclose(dense(catalogue.graph_chebyshev(spark, "")), want[2], atol=1e-6)
+
+
+def test_ablation_trains_fully_on_both_halves(spark, monkeypatch):
+    from conftest import SF
+
+    from paperlake.plans import catalogue
+
+    seen, scores = [], spark.createDataFrame([(0, [0.6, 0.4])], "label int, probability array<double>")
+    monkeypatch.setattr(features, "train_and_score", lambda rows, names, iterations=50: seen.append((rows, iterations)) or scores)
+    catalogue.ablation_metrics(spark, SF)
+    assert {n for _, n in seen} == {50}
+    whole = {r["vec_id"]: r["embedding"] for r in spark.read.parquet(f"{SF}/embeddings.parquet").limit(5).collect()}
+    assert all(r["head"] + r["tail"] == whole[r["id"]] for r in seen[0][0].where(F.col("id").isin(list(whole))).collect())
