@@ -9,7 +9,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .graph import written
+from .shared import drop, save
 
 
 def primary_category(categories: Column) -> Column:
@@ -149,7 +149,7 @@ def largest_eigenvalue(matrix: DataFrame, tolerance: float = 1e-7, rounds: int =
     which keeps what earlier steps tell. A step is a join and a sum; two vectors are written, only numbers are collected.
     Ends when an eigenvalue is within `tolerance` for sure."""
     zero = F.lit(0.0)
-    now = written(matrix.select(F.col("i").alias("id")).distinct().select("id", (F.xxhash64("id") / F.lit(2.0**63)).alias("q"), zero.alias("p")), "lanczos")
+    now = held = save(matrix.select(F.col("i").alias("id")).distinct().select("id", (F.xxhash64("id") / F.lit(2.0**63)).alias("q"), zero.alias("p")), "lanczos")
     norm = now.agg(F.sqrt(F.sum(F.col("q") * F.col("q")))).first()[0]
     if not norm:
         return 0.0
@@ -157,7 +157,9 @@ def largest_eigenvalue(matrix: DataFrame, tolerance: float = 1e-7, rounds: int =
     diagonal, off = [], []
     for _ in range(rounds):
         product = matrix.join(now.select(F.col("id").alias("j"), "q"), "j").select(F.col("i").alias("id"), zero.alias("q"), zero.alias("p"), (F.col("value") * F.col("q")).alias("y"))
-        now = written(now.select("id", "q", "p", zero.alias("y")).unionByName(product).groupBy("id").agg(*[F.sum(c).alias(c) for c in "qpy"]), "lanczos")
+        before, held = held, save(now.select("id", "q", "p", zero.alias("y")).unionByName(product).groupBy("id").agg(*[F.sum(c).alias(c) for c in "qpy"]), "lanczos")
+        drop(before)
+        now = held
         diagonal.append(now.agg(F.sum(F.col("q") * F.col("y"))).first()[0])
         rest = F.col("y") - diagonal[-1] * F.col("q") - (off[-1] if off else 0.0) * F.col("p")
         beta = now.agg(F.sqrt(F.sum(rest * rest))).first()[0]
@@ -174,7 +176,7 @@ def rescaled_laplacian(nodes: DataFrame, e: DataFrame) -> DataFrame:
     eigenvalue. A node without edges has 1 in L."""
     own = nodes.select(F.col("id").alias("i"), F.col("id").alias("j"), F.lit(1.0).alias("value"))
     a = adjacency_normalised(nodes, e, loops=False).select("i", "j", (-F.col("value")).alias("value"))
-    laplacian = written(own.unionByName(a).groupBy("i", "j").agg(F.sum("value").alias("value")), "laplacian")
+    laplacian = save(own.unionByName(a).groupBy("i", "j").agg(F.sum("value").alias("value")), "laplacian")
     scale = 2 / (largest_eigenvalue(laplacian) or 1.0)
     return laplacian.select("i", "j", (scale * F.col("value") - F.when(F.col("i") == F.col("j"), 1.0).otherwise(0.0)).alias("value"))
 

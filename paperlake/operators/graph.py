@@ -3,29 +3,12 @@
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import clean_node
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; a temporary one where none is set (tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="paperlake-")
-        spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written to the shared folder and read again: cuts the lineage of iterations."""
-    path = f"{checkpoint_dir(df.sparkSession)}/paperlake/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from .shared import connected, save
 
 
 def edges(citations: DataFrame, nodes: DataFrame, directed: bool = True, cleaned: bool = True) -> DataFrame:
@@ -53,28 +36,19 @@ def degrees(nodes: DataFrame, e: DataFrame) -> DataFrame:
     return ends.groupBy("id").agg(F.sum("i").alias("in_degree"), F.sum("o").alias("out_degree"))
 
 
-def components(nodes: DataFrame, e: DataFrame, rounds: int = 60) -> DataFrame:
-    """id, component (smallest id that edges lead to, either way), by alternating large-star and small-star steps, each
-    written to the shared folder. Rounds grow with the logarithm of a component's size, not with its diameter."""
-    now = written(e.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).where("src <> dst").distinct(), "edges")
-    last = None
-    for _ in range(rounds):
-        both = now.unionByName(now.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        low = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("low"))
-        large = both.join(low, "src").where("dst > src").select(F.col("dst").alias("src"), F.col("low").alias("dst")).distinct()
-        low = large.groupBy("src").agg(F.min("dst").alias("low"))
-        small = large.join(low, "src").select(F.col("dst").alias("src"), F.col("low").alias("dst")).unionByName(low.select("src", F.col("low").alias("dst")))
-        now = written(small.where("src <> dst").distinct(), "edges")
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
-        if state == last:
-            return nodes.join(now.select(F.col("src").alias("id"), F.col("dst").alias("component")), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
-        last = state
-    raise RuntimeError("components did not settle")
+def components(nodes: DataFrame, e: DataFrame) -> DataFrame:
+    """id, component (smallest id that edges lead to, either way). Nodes are numbered once, so what is shuffled round after
+    round are pairs of numbers (see connected); a component's smallest id is looked up at the end."""
+    numbers = save(nodes.select("id").distinct().withColumn("n", F.monotonically_increasing_id()), "numbers")
+    ends = e.join(numbers.select(F.col("id").alias("src"), F.col("n").alias("a")), "src").join(numbers.select(F.col("id").alias("dst"), F.col("n").alias("b")), "dst")
+    linked = save(connected(ends.select("a", "b"), "a", "b").join(numbers, F.col("node") == F.col("n")).select("id", F.col("component").alias("c")), "linked")
+    names = linked.groupBy("c").agg(F.min("id").alias("component"))
+    return nodes.join(linked.join(names, "c").drop("c"), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
 def largest(nodes: DataFrame, e: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes and edges of the largest component (of equals that with the smallest id)."""
-    c = written(components(nodes, e), "components")
+    c = save(components(nodes, e), "components")
     top = c.groupBy("component").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "component").limit(1)
     inside = c.join(F.broadcast(top), "component", "left_semi").select("id")
     kept = e.join(inside.select(F.col("id").alias("src")), "src", "left_semi").join(inside.select(F.col("id").alias("dst")), "dst", "left_semi")
@@ -85,21 +59,21 @@ def clustering(nodes: DataFrame, e: DataFrame) -> DataFrame:
     """id, clustering: directed clustering coefficient of every node.
 
     Triangles are found once each: every pair of linked nodes is oriented from the one of smaller degree to the other,
-    so no node has more outgoing pairs than the square root of twice their number, however large a hub is.
+    so no node has more outgoing pairs than the square root of twice their number, however large a hub is. Nodes are
+    numbers on the way.
     """
-    w = e.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).groupBy("a", "b").agg(F.count("*").alias("w"))
-    total = degrees(nodes, e).select("id", (F.col("in_degree") + F.col("out_degree")).alias("d"))
-    rank = total.select("id", F.struct("d", "id").alias("r"))
-    o = w.join(rank.select(F.col("id").alias("a"), F.col("r").alias("ra")), "a").join(rank.select(F.col("id").alias("b"), F.col("r").alias("rb")), "b")
-    o = o.select(F.when(F.col("ra") < F.col("rb"), F.col("a")).otherwise(F.col("b")).alias("u"), F.when(F.col("ra") < F.col("rb"), F.col("b")).otherwise(F.col("a")).alias("v"), "w", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    x, y = o.select("u", F.col("v").alias("p"), F.col("w").alias("wp")), o.select("u", F.col("v").alias("q"), F.col("w").alias("wq"))
-    wedges = x.join(y, "u").where("p < q")
-    t = wedges.join(w.select(F.col("a").alias("p"), F.col("b").alias("q"), F.col("w").alias("wc")), ["p", "q"]).withColumn("t", F.col("wp") * F.col("wq") * F.col("wc"))
-    t = t.select(F.explode(F.array("u", "p", "q")).alias("id"), "t").groupBy("id").agg((2 * F.sum("t")).alias("t"))
-    mutual = w.where("w = 2").select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("m"))
+    total = save(degrees(nodes, e).select("id", (F.col("in_degree") + F.col("out_degree")).alias("d")).withColumn("n", F.monotonically_increasing_id()), "degrees")
+    end = lambda c, k: total.select(F.col("id").alias(c), F.struct("d", "n").alias(k))
+    w = e.join(end("src", "x"), "src").join(end("dst", "y"), "dst").groupBy(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).agg(F.count("*").alias("w"))
+    w = save(w.select(F.col("u.n").alias("u"), F.col("v.n").alias("v"), F.col("v.d").alias("vd"), "w"), "pairs")
+    x, y = (w.select("u", F.col("v").alias(k), F.col("vd").alias(f"{k}d"), F.col("w").alias(f"w{k}")) for k in "pq")
+    wedges = x.join(y, "u").where("pd < qd OR pd = qd AND p < q")
+    t = wedges.join(w.select(F.col("u").alias("p"), F.col("v").alias("q"), F.col("w").alias("wc")), ["p", "q"]).withColumn("t", F.col("wp") * F.col("wq") * F.col("wc"))
+    t = t.select(F.explode(F.array("u", "p", "q")).alias("n"), "t").groupBy("n").agg((2 * F.sum("t")).alias("t"))
+    mutual = w.where("w = 2").select(F.explode(F.array("u", "v")).alias("n")).groupBy("n").agg(F.count("*").alias("m"))
     d = F.col("d")
     value = F.col("t") / (2 * (d * (d - 1) - 2 * F.coalesce("m", F.lit(0))))
-    return total.join(t, "id", "left").join(mutual, "id", "left").select("id", F.when(F.col("t") > 0, value).otherwise(0.0).alias("clustering"))
+    return total.join(t, "n", "left").join(mutual, "n", "left").select("id", F.when(F.col("t") > 0, value).otherwise(0.0).alias("clustering"))
 
 
 def summary(nodes: DataFrame, e: DataFrame) -> DataFrame:
