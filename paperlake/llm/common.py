@@ -1,85 +1,20 @@
-"""What the operators of this folder share: the shared folder, written tables and words."""
+"""What the operators of this folder share: tables by name, written tables and their size, components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.shared import connected, drop, forest, save, shared_dir, small_enough
 
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see. The cluster names it in spark.checkpoint.dir; where that is
-    unset (tests on one machine) a temporary folder is made and set."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="paperlake-")
-        spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends there, so a lost executor costs one task's work."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/paperlake/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.saved_at = path
-    return out
-
+__all__ = ["bits", "connected", "drop", "forest", "read", "save", "shared_dir", "small_enough"]
 
-def drop(*saved: DataFrame) -> None:
-    """Remove tables written by save() once nothing reads them any more."""
-    for df in saved:
-        jvm = df.sparkSession.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df.saved_at)
-        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
-
-def small_enough(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """df, a written table, marked for broadcast if it has at most that many rows, else as it is: Spark then shuffles and
-    splits skew. Counting reads the files' footers only."""
-    return F.broadcast(df) if df.count() <= rows else df
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def bits(column, n: int):
     """The first n (<= 60) bits of a column's md5 as a long; null counts as a value of its own."""
     text = F.coalesce(F.concat(F.lit("v"), column.cast("string")), F.lit("n"))
     return F.shiftright(F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long"), 60 - n)
-
-
-def connected(edges: DataFrame, a: str = "src", b: str = "dst", rounds: int = 60) -> DataFrame:
-    """Components of an undirected graph by alternating large-star and small-star steps.
-
-    edges: two long columns. Returns (node, component): component is the smallest node reachable, for every node that
-    has an edge to another one. Each round is two aggregations with map-side combine and two equi-joins, and its
-    result is written to the shared folder; nothing is collected but the number of changed rows.
-    """
-
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        both = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))) if large else e
-        low = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("low"))
-        got = both.join(low, "src")
-        if large:
-            return got.where("dst > src").select(F.col("dst").alias("src"), F.col("low").alias("dst")).where("src <> dst").distinct()
-        # the node itself hangs below its smallest neighbour too
-        return got.select(F.col("dst").alias("src"), F.col("low").alias("dst")).unionByName(low.select("src", F.col("low").alias("dst"))).where("src <> dst").distinct()
-
-    now = save(edges.select(F.greatest(a, b).alias("src"), F.least(a, b).alias("dst")).where("src <> dst").distinct(), "edges")
-    last = None
-    for _ in range(rounds):
-        new = save(star(star(now, True), False), "edges")
-        state = new.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
-        drop(now)
-        now = new
-        if state == last:
-            break
-        last = state
-    else:
-        raise RuntimeError("components did not settle")
-    return now.select(F.col("src").alias("node"), F.col("dst").alias("component")).unionByName(now.select(F.col("dst").alias("node"), F.col("dst").alias("component")).distinct())

@@ -92,7 +92,7 @@ def shard(docs: DataFrame, dims: tuple[str, ...] = ("source", "lang", "size"), s
     ranges = ranges.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("base"), F.sum("n").over(Window.partitionBy()).alias("total"))
     starts = counts.withColumn("own", F.sum("n").over(Window.partitionBy("range").orderBy("hilbert", "sub")) - F.col("n")).join(F.broadcast(ranges), "range").select("hilbert", "sub", (F.col("base") + F.col("own")).alias("start"), "total")
     rank = F.row_number().over(Window.partitionBy("hilbert", "sub").orderBy(F.col("h").bitwiseXOR(F.lit(-1 << 63)), "doc_id", "size", "text_crc32")) - 1
-    out = rows.withColumn("rank", rank).join(small_enough(save(starts, "hilbert-starts"), 20_000), ["hilbert", "sub"]).withColumn("at", F.col("start") + F.col("rank"))
+    out = rows.withColumn("rank", rank).join(small_enough(save(starts, "hilbert-starts")), ["hilbert", "sub"]).withColumn("at", F.col("start") + F.col("rank"))
     out = out.withColumn("shard", F.expr(f"CAST(at * {shards} DIV total AS INT)"))
     return out.select("doc_id", "size", "text_crc32", "hilbert", "shard", F.expr(f"at - (shard * total + {shards - 1}) DIV {shards}").cast("long").alias("slot"))
 

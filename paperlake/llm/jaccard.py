@@ -168,7 +168,7 @@ def candidates(sets: DataFrame, depth: int = DEPTH) -> DataFrame:
         if parents is not None:
             rows = rows.join(parents, ["rid", "parent"], "left_semi")
         rows = rows.select("rid", "node")
-        counts = small_enough(save(rows.groupBy("node").agg(F.count("*").alias("n"), F.min("rid").alias("first")).where("n > 1"), "buckets"), 1_000_000)
+        counts = small_enough(save(rows.groupBy("node").agg(F.count("*").alias("n"), F.min("rid").alias("first")).where("n > 1"), "buckets"))
         shared = save(rows.join(counts, "node").join(sketches, "rid"), "shared")
         found.append(save(alike(shared.where(F.col("n") <= SMALL)), "pairs"))
         large = shared.where(F.col("n") > SMALL)
@@ -180,7 +180,7 @@ def candidates(sets: DataFrame, depth: int = DEPTH) -> DataFrame:
         found.append(save(compared.where((F.col("agree") >= AGREE) & (F.col("rid") != F.col("first"))).select(F.col("first").alias("src"), F.col("rid").alias("dst")).distinct(), "pairs"))
         open_ = compared.where(F.col("agree") < SURE)
         if level < depth - 1:
-            parents = small_enough(save(open_.select("rid", F.col("node").alias("parent")), "parents"), 1_000_000)
+            parents = small_enough(save(open_.select("rid", F.col("node").alias("parent")), "parents"))
         else:
             left = save(open_.groupBy("node").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "left")
             rest = open_.join(left, "node").withColumn("own", F.pmod(F.xxhash64("node", "rid"), "blocks").cast("int"))
@@ -255,14 +255,14 @@ def join(docs: DataFrame, similarity: float = 0.8, words: int = 5, key: str = "d
     usable = rows.where("doc_id IS NOT NULL AND same IS NOT NULL")
     sets = save(usable.groupBy("same").agg(F.min("doc_id").alias("rid"), F.count("*").alias("copies")), "sets")
     # one row a set; where there are few enough sets, the rows with their nodes aren't shuffled for it
-    firsts = small_enough(save(sets.select("same", F.col("rid").alias("doc_id")), "firsts"), 1_000_000)
+    firsts = small_enough(save(sets.select("same", F.col("rid").alias("doc_id")), "firsts"))
     whole = usable.join(firsts, ["same", "doc_id"], "left_semi").select(F.col("doc_id").alias("rid"), "sketch", "nodes")
     comps = save(connected(candidates(whole)).withColumnRenamed("node", "rid").withColumnRenamed("component", "comp"), "groups")
     sizes = comps.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = comps.join(sizes, "comp").join(sets.select("rid", "copies"), "rid")
     members = members.withColumn("own", F.pmod(F.xxhash64("rid"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     members = members.select("comp", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "rid", "copies")
-    texts = docs.select(F.col(key).cast("long").alias("rid"), F.col(text).alias("text")).where("rid IS NOT NULL").join(small_enough(save(comps.select("rid").distinct(), "wanted"), 1_000_000), "rid", "left_semi").dropDuplicates(["rid"])
+    texts = docs.select(F.col(key).cast("long").alias("rid"), F.col(text).alias("text")).where("rid IS NOT NULL").join(small_enough(save(comps.select("rid").distinct(), "wanted")), "rid", "left_semi").dropDuplicates(["rid"])
     found = save(verified(members.join(texts, "rid"), similarity, words), "links")
     final = connected(found.where("to IS NOT NULL").select(F.col("rid").alias("src"), F.col("to").alias("dst"))).withColumnRenamed("node", "rid").withColumnRenamed("component", "class")
     linked = found.where("to IS NULL").groupBy("rid").agg(F.sum("links").alias("links"))

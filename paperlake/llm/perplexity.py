@@ -367,7 +367,7 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, order: i
     """
     trusted = labels.where((F.col("quality") == 1) & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("row"), F.lit(True).alias("trusted")).distinct()
     held = F.crc32(F.coalesce(F.col("row").cast("string"), F.lit(""))) % 5 == 0
-    rows = docs.select(F.col(key).cast("long").alias("row"), F.col("lang").cast("string").alias("lang"), "text").join(small_enough(save(trusted, "trusted"), 1_000_000), "row", "left")
+    rows = docs.select(F.col(key).cast("long").alias("row"), F.col("lang").cast("string").alias("lang"), "text").join(small_enough(save(trusted, "trusted")), "row", "left")
     rows = rows.select("row", "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"), held.alias("held"), "text").withColumn("trained", F.expr("trusted AND NOT held"))
     if unit == "words":
         means = word_score(rows, *word_model(rows), most)
@@ -380,6 +380,6 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, order: i
     scored = save(scored.withColumn("lkey", F.coalesce(F.concat(F.lit("s"), F.col("lang")), F.lit("n"))), "perplexities")
     good = scored.where("trusted AND held AND perplexity IS NOT NULL")
     every = good.agg(F.percentile_approx("perplexity", quantile, 10_000)).first()[0]
-    cuts = small_enough(save(good.groupBy("lkey").agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold")), "cuts"), 10_000)
+    cuts = small_enough(save(good.groupBy("lkey").agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold")), "cuts"))
     out = scored.join(cuts, "lkey", "left").withColumn("threshold", F.coalesce("threshold", F.lit(every).cast("double"), F.lit(float("inf"))))
     return out.select(F.col("row").alias("doc_id"), "lang", "n_bytes", "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)).alias("kept"))

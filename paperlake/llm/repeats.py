@@ -11,24 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import save, small_enough
+from .common import drop, save, small_enough
 from .hashing import U, mix
 from .suffixes import common_prefixes, suffix_array
 
-#: Bytes of an anchor; bytes of text that are looked at together; bytes of a suffix array's shard.
-ANCHOR, BUFFER, SHARD = 24, 1 << 20, 2 << 20
-#: Different surroundings of one anchor up to which they go to one shard; those of a hotter anchor are compared window
-#: by window in a counted aggregation.
-HOT = 4_000
-TABLE = mix(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15))
-STEP = 0x2545F4914F6CDD1D
-BACK = pow(STEP, -1, 2**64)
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, U)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+#: Bytes of an anchor; bytes of text that are looked at together; bytes of a suffix array's shard; bytes up to which
+#: neighbouring segments travel as one piece.
+ANCHOR, BUFFER, SHARD, PIECE = 24, 1 << 19, 1 << 20, 1 << 16
 
 
 def lowest(key: np.ndarray, w: int) -> np.ndarray:
@@ -52,10 +41,10 @@ class Anchors:
 
     def __init__(self, length: int):
         self.length = length
-        self.up, self.down = powers(STEP, BUFFER * 2 + 1), powers(BACK, BUFFER * 2 + 1)
 
     def __call__(self, texts: list[bytes]) -> list[tuple[np.ndarray, ...]]:
-        """(text, first byte, bytes, anchor, digest, whether the anchor stands in it more than once) of segments."""
+        """(text, first byte, bytes, anchor, digest of the content, whether the anchor stands in it more than once) of
+        segments. The digest has 128 bits of blake2b: no two contents are known or can be made to share one."""
         out, held, size = [], [], 0
         for d, t in enumerate(texts):
             # longer texts go in parts that overlap by a window less a byte; each part has windows of its own
@@ -90,8 +79,8 @@ class Anchors:
         first = s[cut]
         last = s[np.concatenate([cut[1:], [True]])]
         end = last + self.length
-        run = np.concatenate([[U(0)], np.cumsum(TABLE[b] * self.up[:n], dtype=U)])
-        digest = mix((run[end] - run[first]) * self.down[first] + (end - first).astype(U))
+        view, blake = memoryview(b), hashlib.blake2b
+        digest = [blake(view[x:y], digest_size=16).digest() for x, y in zip(first.tolist(), end.tolist(), strict=True)]
         own = which[first]
         return np.array([d for d, _, _ in parts])[own], first - starts[own] + np.array([a for _, a, _ in parts])[own], end - first, h[best[first]], digest, best[first] != best[last]
 
@@ -121,12 +110,14 @@ def repeated(contents: list[bytes], length: int) -> list[np.ndarray]:
     return [np.flatnonzero(mark[a : a + n]) for a, n in zip(starts, sizes.tolist(), strict=True)]
 
 
-KEY = "k1 bigint, k2 int"
+KEY = "k1 bigint, k2 bigint"
 
 
-def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """k1 (the id) and k2 (a hash of the text, which tells rows apart that repeat an id), the text as bytes."""
-    return docs.withColumns({"__k1": F.coalesce(F.col(key).cast("long"), F.lit(-1)), "__k2": F.hash(text), "__bytes": F.coalesce(F.encode(F.col(text), "UTF-8"), F.lit("").cast("binary"))})
+def keyed(docs: DataFrame, key: str, text: str, passed: list[str]) -> DataFrame:
+    """k1 (the id) and k2 (a hash of the text, which tells rows apart that repeat an id), the text as bytes, whether it
+    is null, and the columns to pass on as one struct, where their names clash with none."""
+    of = lambda c: F.col(f"`{c}`")
+    return docs.select(F.coalesce(of(key).cast("long"), F.lit(-1)).alias("k1"), F.xxhash64(of(text)).alias("k2"), F.coalesce(F.encode(of(text), "UTF-8"), F.lit("").cast("binary")).alias("bytes"), of(text).isNull().alias("null"), F.struct(*map(of, passed)).alias("row"))
 
 
 def segments(docs: DataFrame, length: int) -> DataFrame:
@@ -137,29 +128,28 @@ def segments(docs: DataFrame, length: int) -> DataFrame:
                 batch = whole.slice(at, 1000)
                 k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
                 for d, first, n, h, digest, inner in anchors(batch.column(2).to_pylist()):
-                    cols = [k1[d], k2[d], first.astype(np.int64), n.astype(np.int32), h.view(np.int64), digest.view(np.int64), inner]
+                    cols = [k1[d], k2[d], first.astype(np.int64), n.astype(np.int32), h.view(np.int64), pa.array(digest, pa.binary()), inner]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["k1", "k2", "first", "n", "anchor", "digest", "inner"])
 
-    return docs.select("__k1", "__k2", "__bytes").mapInArrow(run, f"{KEY}, first bigint, n int, anchor bigint, digest bigint, inner boolean")
+    return docs.select("k1", "k2", "bytes").mapInArrow(run, f"{KEY}, first bigint, n int, anchor bigint, digest binary, inner boolean")
 
 
-MEMBERS = "members array<struct<anchor:bigint,digest:bigint,offset:int,n:int>>"
+MEMBERS = "members array<struct<anchor:bigint,digest:binary,offset:int,n:int>>"
 
 
-def fetch(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """Bytes of segments, by key: wanted has k1, k2, first, n, anchor, digest, copies, alone.
+def fetch(docs: DataFrame, lists: DataFrame, length: int) -> DataFrame:
+    """Bytes of segments, by key: lists has k1, k2, w (array of first, n, anchor, digest, copies, alone).
 
     Segments whose anchor stands in different surroundings come one by one, their key being the anchor. Those whose
     surroundings are always the same (alone) need not meet others; where they follow each other in a text they come as
-    one piece, so its bytes aren't read once for each of them.
+    one piece of PIECE bytes at most, so its bytes aren't read once for each of them.
     """
-    lists = save(wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "n", "anchor", "digest", "copies", "alone")).alias("w")), "wanted")
-    kind = pa.list_(pa.struct([("anchor", pa.int64()), ("digest", pa.int64()), ("offset", pa.int32()), ("n", pa.int32())]))
+    kind = pa.list_(pa.struct([("anchor", pa.int64()), ("digest", pa.binary()), ("offset", pa.int32()), ("n", pa.int32())]))
 
     def one(b: bytes, segments: list[dict]) -> Iterator[tuple]:
         run: list[dict] = []
         for x in [*sorted((x for x in segments if x["alone"]), key=lambda x: x["first"]), None]:
-            if run and (x is None or x["first"] != run[-1]["first"] + run[-1]["n"] - length + 1):
+            if run and (x is None or x["first"] != run[-1]["first"] + run[-1]["n"] - length + 1 or x["first"] - run[0]["first"] > PIECE):
                 a = run[0]["first"]
                 yield run[0]["anchor"], 2, b[a : run[-1]["first"] + run[-1]["n"]], [{"anchor": r["anchor"], "digest": r["digest"], "offset": r["first"] - a, "n": r["n"]} for r in run]
                 run = []
@@ -176,11 +166,11 @@ def fetch(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 cols = list(zip(*out, strict=True)) or [[], [], [], []]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), kind), strict=True)], names=["key", "copies", "content", "members"])
 
-    rows = docs.select("__k1", "__k2", "__bytes").join(small_enough(lists, 200_000), (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2"))).select("__bytes", "w")
+    rows = docs.select("k1", "k2", "bytes").join(small_enough(lists), ["k1", "k2"]).select("bytes", "w")
     return rows.mapInArrow(run, f"key bigint, copies bigint, content binary, {MEMBERS}")
 
 
-SPANS = "anchor bigint, digest bigint, spans array<struct<a:int,b:int>>"
+SPANS = "anchor bigint, digest binary, spans array<struct<a:int,b:int>>"
 
 
 def sharded(contents: DataFrame, length: int) -> DataFrame:
@@ -201,7 +191,7 @@ def sharded(contents: DataFrame, length: int) -> DataFrame:
                     anchor.append(m["anchor"])
                     digest.append(m["digest"])
                     spans.append([{"a": x, "b": y} for x, y in windows(starts[lo:hi] - m["offset"], m["n"], length)])
-        return pa.RecordBatch.from_arrays([pa.array(anchor, pa.int64()), pa.array(digest, pa.int64()), pa.array(spans, kind)], names=["anchor", "digest", "spans"])
+        return pa.RecordBatch.from_arrays([pa.array(anchor, pa.int64()), pa.array(digest, pa.binary()), pa.array(spans, kind)], names=["anchor", "digest", "spans"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -221,38 +211,45 @@ def sharded(contents: DataFrame, length: int) -> DataFrame:
 
 
 def counted(contents: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many surroundings: 128-bit digests of all their windows are counted, which spreads
-    an anchor over all tasks and combines equal windows before the shuffle."""
+    """The same for an anchor whose different surroundings are more than a shard holds: the shard would sort their
+    windows, and here 128-bit digests of these windows are counted instead, which spreads the anchor over all tasks and
+    combines equal windows before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, d, n, c in zip(*(x.to_pylist() for x in batch.columns), strict=True):
-                at = range(len(c) - length + 1)
-                yield pa.RecordBatch.from_arrays([pa.array([a] * len(at)), pa.array([d] * len(at)), pa.array([n] * len(at)), pa.array(at, pa.int32()), pa.array([hashlib.blake2b(c[i : i + length], digest_size=16).digest() for i in at], pa.binary())], names=["anchor", "digest", "copies", "at", "window"])
+                for lo in range(0, len(c) - length + 1, 5000):
+                    at = range(lo, min(lo + 5000, len(c) - length + 1))
+                    yield pa.RecordBatch.from_arrays([pa.array([a] * len(at)), pa.array([d] * len(at), pa.binary()), pa.array([n] * len(at)), pa.array(at, pa.int32()), pa.array([hashlib.blake2b(c[i : i + length], digest_size=16).digest() for i in at], pa.binary())], names=["anchor", "digest", "copies", "at", "window"])
 
     contents = contents.select(F.col("members")[0]["anchor"].alias("anchor"), F.col("members")[0]["digest"].alias("digest"), "copies", "content")
-    rows = save(contents.mapInArrow(run, "anchor bigint, digest bigint, copies bigint, at int, window binary"), "windows")
+    rows = save(contents.mapInArrow(run, "anchor bigint, digest binary, copies bigint, at int, window binary"), "windows")
     twice = rows.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window")
     marks = rows.join(twice, "window", "left_semi")
     return marks.groupBy("anchor", "digest").agg(F.transform(F.array_sort(F.collect_set("at")), lambda x: F.struct(x.alias("a"), (x + length).alias("b"))).alias("spans"))
 
 
 def find(docs: DataFrame, length: int) -> DataFrame:
-    """k1, k2, spans: byte ranges (a, b) to remove, not merged, of documents (see keyed) that have any."""
+    """k1, k2, spans: byte ranges (a, b) to remove, not merged, of documents (see keyed) that have any; written."""
     rows = save(segments(docs, length), "segments")
     often = save(rows.groupBy("anchor").agg(F.count("*").alias("all"), F.max("inner").alias("inner")).where("all > 1 OR inner").select("anchor"), "often")
     # of equal segments the one of smallest place stands for all, so that neighbours in a text are found together
-    kinds = rows.join(small_enough(often, 2_000_000), "anchor", "left_semi").groupBy("anchor", "digest").agg(F.count("*").alias("copies"), F.max("inner").alias("inner"), F.min(F.struct("k1", "k2", "first", "n")).alias("at"))
+    kinds = rows.join(small_enough(often), "anchor", "left_semi").groupBy("anchor", "digest").agg(F.count("*").alias("copies"), F.max("inner").alias("inner"), F.min(F.struct("k1", "k2", "first", "n")).alias("at"))
     kinds = save(kinds.select("anchor", "digest", "copies", "inner", "at.*"), "kinds")
-    several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").withColumn("hot", F.col("kinds") > HOT)
-    wanted = kinds.join(small_enough(save(several, "several"), 1_000_000), "anchor", "left")
-    wanted = save(wanted.withColumn("alone", F.expr("kinds IS NULL AND copies > 1")).withColumn("hot", F.coalesce("hot", F.lit(False))), "repeats")
-    spans = sharded(fetch(docs, wanted.where("NOT hot"), length), length)
-    if wanted.where("hot").limit(1).count():
-        spans = spans.unionByName(counted(save(fetch(docs, wanted.where("hot"), length), "hot"), length))
-    spans = small_enough(save(spans, "spans"), 1_000_000)
-    found = rows.join(spans, ["anchor", "digest"]).select("k1", "k2", F.explode(F.transform("spans", lambda s: F.struct((s["a"] + F.col("first")).alias("a"), (s["b"] + F.col("first")).alias("b")))).alias("s"))
-    return found.groupBy("k1", "k2").agg(F.collect_set("s").alias("spans"))
+    several = save(kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), (F.sum(F.col("n").cast("long")) > SHARD).alias("hot")).where("kinds > 1 OR hot"), "several")
+    wanted = kinds.join(small_enough(several), "anchor", "left")
+    wanted = wanted.withColumn("alone", F.expr("kinds IS NULL AND copies > 1")).withColumn("hot", F.coalesce("hot", F.lit(False))).where("kinds IS NOT NULL OR copies > 1 OR inner")
+    lists = save(wanted.groupBy("hot", "k1", "k2").agg(F.collect_list(F.struct("first", "n", "anchor", "digest", "copies", "alone")).alias("w")), "wanted")
+    cold, hot = (save(lists.where(f).drop("hot"), "wanted") for f in ("NOT hot", "hot"))
+    spans = sharded(fetch(docs, cold, length), length)
+    if hot.limit(1).count():
+        spans = spans.unionByName(counted(fetch(docs, hot, length), length))
+    spans = save(spans, "spans")
+    drop(often, kinds, several, lists, cold, hot)
+    found = rows.join(small_enough(spans), ["anchor", "digest"]).select("k1", "k2", F.explode(F.transform("spans", lambda s: F.struct((s["a"] + F.col("first")).alias("a"), (s["b"] + F.col("first")).alias("b")))).alias("s"))
+    found = save(found.groupBy("k1", "k2").agg(F.collect_set("s").alias("spans")), "found")
+    drop(rows, spans)
+    return found
 
 
 def remove(docs: DataFrame, length: int = 200, key: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
@@ -265,21 +262,20 @@ def remove(docs: DataFrame, length: int = 200, key: str = "doc_id", text: str =
 
     Returns doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256; with keep_text instead docs with
     the text replaced by its kept bytes (what is left of a character that is cut is dropped; null stays null). Null and
-    empty texts have nothing to remove. Rows that repeat in id and text are copies of each other. Empty table: no rows.
+    empty texts have nothing to remove. Rows that repeat in id and text are copies of each other; rows of one id with
+    different texts, and rows without id, are documents of their own. Other columns may have any name. Empty table: no
+    rows.
     """
-    docs = keyed(docs, key, text)
-    found = small_enough(save(find(docs, length).toDF("__f1", "__f2", "__spans"), "found"), 200_000)
-    joined = docs.join(found, (F.col("__k1") == F.col("__f1")) & (F.col("__k2") == F.col("__f2")), "left")
-    passed = [c for c in docs.columns if not c.startswith("__") and c != text] if keep_text else [key]
-    rows = joined.select(*[F.col(c) for c in passed], F.col(text).isNull().alias("__null"), "__bytes", "__spans")
-    n = len(passed)
+    passed = [c for c in docs.columns if c != text] if keep_text else [key]
+    rows = keyed(docs, key, text, passed)
+    rows = rows.join(small_enough(find(rows, length)), ["k1", "k2"], "left").select("row", "null", "bytes", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
                 out = []
-                for null, b, spans in zip(*(batch.column(n + i).to_pylist() for i in range(3)), strict=True):
+                for null, b, spans in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
                     kept, runs, gone, last = [], 0, 0, 0
                     for a, e in sorted((s["a"], s["b"]) for s in spans or []):
                         if a > last or not runs:
@@ -295,9 +291,12 @@ def remove(docs: DataFrame, length: int = 200, key: str = "doc_id", text: str =
                     out.append((None if null else left.decode("utf-8", "ignore"),) if keep_text else (len(b), gone, runs, hashlib.sha256(left).hexdigest()))
                 kinds = [pa.string()] if keep_text else [pa.int64(), pa.int64(), pa.int64(), pa.string()]
                 made = [pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:n], *made], names=[*passed, *([text] if keep_text else ["n_bytes", "n_removed", "n_spans", "kept_sha256"])])
+                yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=names)
 
-    schema = T.StructType([docs.schema[c] for c in passed])
-    schema = schema.add(text, "string") if keep_text else schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
+    names = ["row", "text"] if keep_text else ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    schema = T.StructType([rows.schema["row"]])
+    schema = schema.add("text", "string") if keep_text else schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
     done = rows.mapInArrow(run, schema)
-    return done.select(*[c for c in docs.columns if not c.startswith("__")]) if keep_text else done.withColumnRenamed(key, "doc_id")
+    if keep_text:
+        return done.select(*[F.col("text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
+    return done.select(F.col("row").getField(key).alias("doc_id"), *names[1:])

@@ -237,6 +237,6 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings:
     """
     model = model or fit(docs, labels, label, settings)
     scored = save(score(docs, model, into=into, keep_text=keep_text), "scored")
-    cuts = small_enough(save(thresholds(scored, labels, label, column=into), "cuts"), 10_000)
+    cuts = small_enough(save(thresholds(scored, labels, label, column=into), "cuts"))
     out = scored.withColumn("__lkey", F.coalesce(F.concat(F.lit("s"), F.col("lang")), F.lit("n"))).join(cuts.withColumnRenamed("lkey", "__lkey").withColumnRenamed("threshold", "__cut"), "__lkey", "left")
     return out.withColumn("__cut", F.coalesce("__cut", F.lit(0.5))).withColumn("__flagged", F.col(into) >= F.col("__cut")).drop("__lkey")

@@ -242,14 +242,36 @@ def removed(texts, length):
     return out
 
 
-@pytest.mark.parametrize("hot", [False, True])
-def test_repeats(spark, docs, monkeypatch, hot):
-    monkeypatch.setattr(repeats, "HOT", 1 if hot else 4_000)
+@pytest.mark.parametrize("shard", [300, 1 << 20])
+def test_repeats(spark, docs, monkeypatch, shard):
+    monkeypatch.setattr(repeats, "SHARD", shard)
     rows = docs.collect()
     got = {r["doc_id"]: tuple(r)[1:] for r in repeats.remove(docs).collect()}
     assert got == {r["doc_id"]: w for r, w in zip(rows, removed([r["text"].encode() for r in rows], 200), strict=True)}
 
 
+def test_repeats_tells_alike_looking_bytes_apart(spark):
+    """Segments that differ in the bits of a Thue-Morse sequence collide in polynomial hashes modulo a power of two."""
+    rng = random.Random(4)
+    head, tails = "a" * 24, ["".join(rng.choice("bcdefghijklmnopqrstuvwxyz") for _ in range(125)) for _ in range(1024)]
+    bit = [bin(i).count("1") % 2 for i in range(1024)]
+    texts = ["".join(head + "xy"[b ^ flip] + t for b, t in zip(bit, tails, strict=True)) for flip in (0, 1)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: tuple(r)[1:] for r in repeats.remove(df).collect()}
+    assert got == dict(enumerate(removed([t.encode() for t in texts], 200)))
+    tails = tails[:1]
+    texts = ["".join(head + "xy"[b ^ flip] + tails[0] for b in bit) for flip in (0, 1)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: tuple(r)[1:] for r in repeats.remove(df).collect()}
+    assert got == dict(enumerate(removed([t.encode() for t in texts], 200)))
+
+
+def test_repeats_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "x" * 500, 1, 2, 3), (2, "y", None, 5, 6)], "doc_id long, text string, `__k1` int, `row` int, `a.b` int")
+    out = repeats.remove(df, keep_text=True)
+    assert out.columns == df.columns and sorted(map(tuple, out.collect()), key=str) == [(1, "", 1, 2, 3), (2, "y", None, 5, 6)]
+
+
 def test_repeats_edges(spark, edges, empty):
     more = [(20, "ab" * 400, "", "", 0, 0.0, 0, 0), (21, "ä" * 350, "", "", 0, 0.0, 0, 0), (22, "x" * 199, "", "", 0, 0.0, 0, 0), (23, "x" * 199, "", "", 0, 0.0, 0, 0)]
     all_rows = EDGES + more
