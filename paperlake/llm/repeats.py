@@ -93,19 +93,26 @@ def windows(spans: np.ndarray, n: int, length: int) -> list[tuple[int, int]]:
     return list(zip(spans[np.concatenate([[0], cut + 1])].tolist(), (spans[np.concatenate([cut, [len(spans) - 1]])] + length).tolist(), strict=True))
 
 
-def repeated(contents: list[bytes], length: int) -> list[np.ndarray]:
+def repeated(contents: list[bytes], length: int, several: np.ndarray | None = None) -> list[np.ndarray]:
     """Of each byte string, where windows start that also start elsewhere among all of them, by a suffix array of all
-    and its permuted common prefixes. 0xFF, which UTF-8 never has, stands between them."""
+    and its permuted common prefixes. 0xFF, which UTF-8 never has, stands between them. several: which of them stand
+    for more than one copy, so that all their windows start elsewhere too."""
     raw = np.frombuffer(b"\xff".join(contents) + b"\xff", np.uint8)
-    sa = suffix_array(np.concatenate([raw.astype(np.int64) + 1, [0]]), 257)
+    t = np.zeros(len(raw) + 1, np.int16)
+    t[:-1] = raw
+    t[:-1] += 1
+    sa = suffix_array(t, 257)
     shared, before = common_prefixes(raw, sa)
     sizes = np.array([len(c) for c in contents]) + 1
     ends = np.cumsum(sizes)
-    room = np.repeat(ends - 1, sizes) - np.arange(len(raw))
+    room = np.repeat(ends - 1, sizes)
+    room -= np.arange(len(raw))
     hit = np.flatnonzero((shared >= length) & (room >= length))
     mark = np.zeros(len(raw), bool)
     mark[hit] = True
     mark[before[hit]] = True
+    if several is not None:
+        mark |= np.repeat(several, sizes) & (room >= length)
     starts = (ends - sizes).tolist()
     return [np.flatnonzero(mark[a : a + n]) for a, n in zip(starts, sizes.tolist(), strict=True)]
 
@@ -174,17 +181,13 @@ SPANS = "anchor bigint, digest binary, spans array<struct<a:int,b:int>>"
 
 
 def sharded(contents: DataFrame, length: int) -> DataFrame:
-    """Spans of repeated windows, by suffix arrays of shards. All segments of a key are in one shard; content that
-    stands for several copies is entered twice. A task cuts its share into shards of about SHARD bytes."""
+    """Spans of repeated windows, by suffix arrays of shards. All segments of a key are in one shard; of copies one is
+    entered. A task cuts its share into shards of about SHARD bytes."""
     kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
     def solve(held: list[tuple]) -> pa.RecordBatch:
-        own = [h for h in held for _ in range(1 if h[1] == 1 else 2)]
-        anchor, digest, spans, seen = [], [], [], set()
-        for h, starts in zip(own, repeated([h[2] for h in own], length), strict=True):
-            if id(h) in seen:  # the second copy of it
-                continue
-            seen.add(id(h))
+        anchor, digest, spans = [], [], []
+        for h, starts in zip(held, repeated([h[2] for h in held], length, np.array([h[1] > 1 for h in held])), strict=True):
             for m in h[3]:
                 lo, hi = np.searchsorted(starts, [m["offset"], m["offset"] + m["n"] - length + 1])
                 if hi > lo:
@@ -198,11 +201,11 @@ def sharded(contents: DataFrame, length: int) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 for row in zip(*(c.to_pylist() for c in whole.slice(at, 1000).columns), strict=True):
-                    if size > SHARD and row[0] != held[-1][0]:
+                    if size + len(row[2]) > SHARD and held and row[0] != held[-1][0]:
                         yield solve(held)
                         held, size = [], 0
                     held.append(row)
-                    size += len(row[2]) * (1 if row[1] == 1 else 2)
+                    size += len(row[2])
         if held:
             yield solve(held)
 

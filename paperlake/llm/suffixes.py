@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Alphabets up to this size are sorted as they are; symbols of larger ones are written as two digits.
-ALPHABET = 1024
+#: Alphabets up to this size, or up to one symbol in SHARE positions, are sorted as they are; symbols of larger ones are
+#: written as two digits.
+ALPHABET, SHARE = 1024, 32
 
 
 def doubling(t: np.ndarray) -> np.ndarray:
@@ -36,7 +37,7 @@ def falling(t: np.ndarray) -> np.ndarray:
     up = np.empty(n, np.int8)
     up[:-1] = np.sign(t[1:] - t[:-1])
     up[-1] = 1
-    at = np.where(up != 0, np.arange(n), n)
+    at = np.where(up != 0, np.arange(n, dtype=np.int32), np.int32(n))
     return up[np.minimum.accumulate(at[::-1])[::-1]] > 0
 
 
@@ -46,7 +47,7 @@ def induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, k: int) -> np.nd
     counts = np.bincount(t, minlength=k)
     ends = np.cumsum(counts)
     starts = ends - counts
-    sa = np.full(n, -1, np.int64)
+    sa = np.full(n, -1, np.int32)
     first = t[seeds]
     seeds = seeds[np.argsort(first, kind="stable")]
     seeded = np.bincount(first, minlength=k)
@@ -54,12 +55,12 @@ def induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, k: int) -> np.nd
     head, tail = starts.copy(), ends.copy()
     full = np.flatnonzero(counts).tolist()
     # of every suffix, the type and the symbol of the one that starts a symbol earlier
-    before = np.zeros(n, np.uint16 if k <= 1 << 16 else np.int64)
+    before = np.zeros(n, np.uint16 if k <= 1 << 16 else np.int32)
     before[1:] = t[:-1]
     is_small, is_large = np.zeros(n, bool), np.zeros(n, bool)
     is_small[1:] = small[:-1]
     is_large[1:] = ~small[:-1]
-    steps = np.arange(int(counts.max()) + 1)
+    steps = np.arange(int(counts.max()) + 1, dtype=np.int32)
 
     def push(block: np.ndarray, want_small: bool) -> None:
         block = block[(is_small if want_small else is_large)[block]]
@@ -68,7 +69,8 @@ def induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, k: int) -> np.nd
             return
         c = before[block]
         order = c.argsort(kind="stable")
-        c, j = c[order], block[order] - 1
+        c, j = c[order], block[order]
+        j -= 1
         cut = (c[1:] != c[:-1]).nonzero()[0]
         at = np.zeros(len(cut) + 1, np.int64)
         at[1:] = cut + 1
@@ -99,22 +101,43 @@ def induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, k: int) -> np.nd
     return sa
 
 
-def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
-    """Suffix array of t: symbols 0 to k-1, of which 0 stands at the end and nowhere else."""
+def named(t: np.ndarray, small: np.ndarray, lms: np.ndarray, k: int) -> np.ndarray:
+    """Of each substring from one leftmost-smaller position to the next, its number among the distinct ones in order.
+
+    Substrings of few symbols are put into one or more numbers and these sorted. Behind its end a substring counts as
+    larger than any symbol: there it has a smaller-type suffix, and a longer substring with the same symbols so far a
+    larger-type one, which comes first. Longer ones are sorted by inducing.
+    """
     n = len(t)
-    if n <= 64:
-        return doubling(t)
-    small = falling(t)
-    lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    length = np.ones(len(lms), np.int64)
+    length[:-1] = np.diff(lms) + 1
+    bits = int(k).bit_length()
+    per, longest = 63 // bits, int(length.max())
+    if longest <= 4 * per:
+        rank = None
+        for at in range(0, longest, per):
+            key = np.zeros(len(lms), np.int64)
+            for j in range(at, at + per):
+                key <<= bits
+                key |= np.where(j < length, t[np.minimum(lms + j, n - 1)], k)
+            live = slice(None) if rank is None else np.flatnonzero(length > at)
+            values, own = np.unique(key[live], return_inverse=True)
+            if rank is None:
+                rank = own
+            else:  # shorter ones have no like among the longer
+                more = np.full(len(lms), len(values), np.int64)
+                more[live] = own
+                rank = np.unique(rank * (len(values) + 1) + more, return_inverse=True)[1]
+        return rank
     sorted_once = induce(t, small, lms, k)
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     order = sorted_once[is_lms[sorted_once]]
     # name the substrings from one leftmost-smaller position to the next; equal ones share a name
-    length = np.zeros(n, np.int64)
-    length[lms[:-1]] = np.diff(lms) + 1
+    size = np.zeros(n, np.int64)
+    size[lms] = length
     a, b = order[:-1], order[1:]
-    same = length[a] == length[b]
+    same = size[a] == size[b]
     live = np.flatnonzero(same)
     offset = 0
     while len(live):
@@ -122,21 +145,31 @@ def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
         same[live[~equal]] = False
         offset += 1
         live = live[equal]
-        live = live[length[a[live]] > offset]
+        live = live[size[a[live]] > offset]
     name = np.empty(n, np.int64)
     name[order] = np.cumsum(np.concatenate([[False], ~same]))
-    reduced, m = name[lms], len(lms)
+    return name[lms]
+
+
+def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
+    """Suffix array of t (shorter than 2**31): symbols 0 to k-1, of which 0 stands at the end and nowhere else."""
+    n = len(t)
+    if n <= 64:
+        return doubling(t)
+    small = falling(t)
+    lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    reduced, m = named(t, small, lms, k), len(lms)
     names = int(reduced.max()) + 1
     if names == m:
         deep = np.empty(m, np.int64)
         deep[reduced] = np.arange(m)
-    elif names <= ALPHABET:
-        deep = suffix_array(reduced, names)
+    elif names <= max(ALPHABET, m // SHARE):
+        deep = suffix_array(reduced.astype(np.int32), names)
     elif 2 * m > 0.9 * n:
         deep = doubling(reduced)
     else:
         base = int(np.ceil(np.sqrt(names)))
-        digits = np.zeros(2 * m - 1, np.int64)
+        digits = np.zeros(2 * m - 1, np.int32)
         digits[0:-1:2], digits[1::2] = reduced[:-1] // base + 1, reduced[:-1] % base + 1
         deep = suffix_array(digits, base + 1)
         deep = deep[deep % 2 == 0] // 2
@@ -152,28 +185,28 @@ def common_prefixes(raw: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.nda
     """
     n = len(raw)
     sa = sa[1:]  # the end symbol
-    phi = np.full(n, -1, np.int64)
+    phi = np.full(n, -1, np.int32)
     phi[sa[1:]] = sa[:-1]
-    i = np.arange(n)
-    p = np.maximum(phi, 1)
-    lead = (phi <= 0) | (i == 0)
-    lead[1:] |= raw[:-1] != raw[p[1:] - 1]
-    buffer = np.concatenate([raw, np.zeros(16, np.uint8)])
-    word = np.ndarray(n + 8, "<u8", buffer, strides=(1,))
-    at = np.flatnonzero(lead & (phi >= 0))
-    with_ = phi[at]
-    got = np.zeros(len(at), np.int64)
-    live = np.arange(len(at))
-    room = n - np.maximum(at, with_)
-    while len(live):
-        x = word[at[live] + got[live]] ^ word[with_[live] + got[live]]
+    i = np.arange(n, dtype=np.int32)
+    lead = phi <= 0
+    lead[1:] |= raw[:-1] != raw[np.maximum(phi[1:], 1) - 1]
+    lead[:1] = True
+    word = np.ndarray(n + 8, "<u8", np.concatenate([raw, np.zeros(16, np.uint8)]), strides=(1,)).copy()
+    a = np.flatnonzero(lead & (phi >= 0))
+    b = phi[a]
+    value = np.zeros(n, np.int32)
+    start, end, done = a, n - np.maximum(a, b), 0
+    while len(a):
+        x = word[a] ^ word[b]
         differ = x != 0
-        low = x[differ] & (~x[differ] + np.uint64(1))
-        got[live[differ]] += np.log2(low.astype(np.float64)).astype(np.int64) >> 3
-        live = live[~differ]
-        got[live] += 8
-        live = live[got[live] < room[live]]
-    value = np.zeros(n, np.int64)
-    value[at] = np.minimum(got, room)
-    last = np.maximum.accumulate(np.where(lead, i, 0))
+        low = x[differ]
+        low &= ~low + np.uint64(1)
+        value[start[differ]] = np.minimum(done + (np.frexp(low.astype(np.float64))[1] - 1 >> 3), end[differ])
+        done += 8
+        live = np.flatnonzero(~differ)
+        more = end[live] > done
+        value[start[live[~more]]] = end[live[~more]]
+        live = live[more]
+        a, b, start, end = a[live] + 8, b[live] + 8, start[live], end[live]
+    last = np.maximum.accumulate(np.where(lead, i, np.int32(0)))
     return value[last] - (i - last), phi
