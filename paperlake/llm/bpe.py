@@ -8,8 +8,8 @@ import heapq
 import json
 import re
 import unicodedata
+import uuid
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -19,13 +19,15 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import shared_dir
+
 #: Parts of the rank map, by CRC of the piece: a map value in Spark is found by going through its keys.
 PARTS = 1 << 14
-#: Text that one chunk row stands for at most (a longer text has one for itself), and the longest word, in bytes, that
-#: is merged by higher-order functions, whose work grows with the square of the length.
-CHUNK, LONG = 64 << 20, 128
-#: Texts, those of smallest hash, from which common words are taken; and how many words are taken at most.
-SAMPLE, COMMON = 20_000, 60_000
+#: Text, in characters, that one chunk stands for at most (a longer text has one for itself).
+CHUNK = 16 << 20
+#: The longest word, in bytes, that is merged by higher-order functions, whose work grows with the square of the length;
+#: longer ones, which are single strings of base64 and the like, are merged with a heap.
+LONG = 256
 #: White space by Unicode, spelt out because regex libraries differ on U+001C to U+001F.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -147,113 +149,178 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def common(docs: DataFrame, table: dict[bytes, int], pattern: str, text: str) -> dict[bytes, bytes]:
-    """The most frequent words of a bounded sample of texts that aren't ranks themselves, with their ids (as unsigned
-    32-bit integers). They are merged once and sent along, so tasks merge other words only; which words they are makes
-    no difference to any result."""
-    n = docs.count()
-    some = docs.select(text).where(F.pmod(F.xxhash64(text), F.lit(1_000_003)) < int(min(1, SAMPLE / max(n, 1)) * 1_000_003))
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = finder(pattern)
-        for b in batches:
-            seen = Counter(w for t in b.column(0).to_pylist() for w in find(t or ""))
-            yield pa.RecordBatch.from_arrays([pa.array([w.encode("utf-8", "surrogatepass") for w in seen], pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["w", "n"])
-
-    top = some.mapInArrow(words, "w binary, n bigint").where(F.length("w") <= LONG).groupBy("w").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "w").limit(COMMON).select("w").collect()
-    top = [bytes(r["w"]) for r in top if bytes(r["w"]) not in table]
-    if not top:
-        return {}
-    step = -(-len(top) // 24)
-    rows = docs.sparkSession.createDataFrame([([w.decode("latin-1") for w in top[a : a + step]],) for a in range(0, len(top), step)], "words array<string>").repartition(24)
-    done = rows.select("words", bound(table, lambda m: F.transform("words", lambda w: merged(w, m))).alias("ids")).toLocalIterator()
-    return {w.encode("latin-1"): np.array(i, np.uint32).tobytes() for r in done for w, i in zip(r["words"], r["ids"], strict=True)}
-
-
 def bound(table: dict[bytes, int], f) -> Column:
     """f of the rank map, which the plan then holds once."""
     return F.get(F.transform(F.array(rank_map(table)), f), F.lit(0))
 
 
-CHUNKS = "ids array<bigint>, words array<string>, known array<binary>, stream binary, counts binary"
+CHUNKS = "chunk bigint, shard int, docs array<bigint>, counts binary, stream binary, sizes binary, ids binary, words binary"
 
 
-def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
-    """Encodes every whole text and decodes it again.
+def planes(x: np.ndarray) -> bytes:
+    """Numbers under 2**32, their low bytes first, then the next ones, as many as are needed: this compresses well."""
+    k = 3 if not len(x) or x.max() < 1 << 24 else 4
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :k].T).tobytes()
 
-    Narrow from end to end (no shuffle of the corpus, nothing gathered): a task cuts its texts into words and keeps the distinct
-    ones of each chunk of texts with the texts' words as numbers; Spark's higher-order functions merge the distinct
-    words by the literal rank map; a second Arrow step puts each text's ids together, and its bytes again from the
-    ids' binary pieces. Common words are merged beforehand (see
-    common); words over 128 bytes are merged by an exact heap in the second step. A lost executor costs the
-    chunks of its tasks.
 
-    Returns doc_id, n_tokens, ids_sha256 (ids as little-endian unsigned 32-bit integers), decoded_sha256, and with
-    keep_ids the ids. Null or empty text: no ids. Ids that are null or repeat are kept row by row. Other columns of
-    docs are not read.
+def unplaned(b: bytes, n: int) -> np.ndarray:
+    out, k = np.zeros((n, 4), np.uint8), len(b) // max(n, 1)
+    out[:, :k] = np.frombuffer(b, np.uint8).reshape(k, n).T
+    return out.view("<u4").reshape(-1)
+
+
+def chunks(docs: DataFrame, shards: int, find, table) -> DataFrame:
+    """One row a chunk of texts, with the texts' words as numbers, and one for each shard that holds words of the chunk.
+
+    A chunk's distinct words are numbered: first those that are ranks themselves or too long for the fold, whose ids
+    (sizes, ids) its own row has, then the others by shard, in the order in which the shard's row lists them (words, one
+    after the other, and their sizes). docs: doc_id, text. table: the ranks, as a broadcast.
     """
-    table = ranks(path)
-    spark = docs.sparkSession.sparkContext
-    shared, often = spark.broadcast(table), spark.broadcast(common(docs, table, pattern, text))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = finder(pattern)
-        whole = {p: np.array([r], np.uint32).tobytes() for p, r in shared.value.items()} | often.value
+        ranks = table.value
 
-        def row() -> pa.RecordBatch:
-            # ids of a word, or nothing where it is still to be merged; long words go along as they are, after a mark
+        def rows() -> pa.RecordBatch:
             words = [w.encode("utf-8", "surrogatepass") for w in seen]
-            known = [b"i" + k if (k := whole.get(w)) else b"" if len(w) <= LONG else b"w" + w for w in words]
-            rest = [w.decode("latin-1") for w, k in zip(words, known, strict=True) if not k]
-            return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([rest], pa.list_(pa.string())), pa.array([known], pa.list_(pa.binary())), pa.array([b"".join(stream)], pa.binary()), pa.array([np.array(counts, np.int64).tobytes()], pa.binary())], names=["ids", "words", "known", "stream", "counts"])
+            to = np.full(len(words), -1, np.int32)
+            own, sizes = [], []
+            for i, w in enumerate(words):
+                r = ranks.get(w)
+                if r is not None:
+                    own.append(r)
+                    sizes.append(1)
+                elif len(w) > LONG:
+                    own += (got := merge_long(w, ranks))
+                    sizes.append(len(got))
+                else:
+                    to[i] = zlib.crc32(w) % shards
+            order = np.argsort(to, kind="stable")
+            number = np.empty(len(words), np.int64)
+            number[order] = np.arange(len(words))
+            name = uuid.uuid4().int >> 65
+            out = [(name, None, ids, np.array(counts, np.uint32).tobytes(), planes(number[np.concatenate(stream)]), np.array(sizes, np.uint32).tobytes(), np.array(own, np.uint32).tobytes(), None)]
+            asked = order[len(sizes) :]
+            for part in np.split(asked, np.flatnonzero(np.diff(to[asked])) + 1):
+                if len(part):
+                    own = [words[i] for i in part.tolist()]
+                    out.append((name, int(to[part[0]]), None, None, None, np.array([len(w) for w in own], np.uint16).tobytes(), None, b"".join(own)))
+            kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), *[pa.binary()] * 5]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["chunk", "shard", "docs", "counts", "stream", "sizes", "ids", "words"])
 
         ids, seen, stream, counts, size = [], {}, [], [], 0
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 t = t or ""
                 if size and size + len(t) > CHUNK:
-                    yield row()
+                    yield rows()
                     ids, seen, stream, counts, size = [], {}, [], [], 0
                 got = np.array([seen.setdefault(w, len(seen)) for w in find(t)], np.uint32)
                 ids.append(i)
-                stream.append(got.tobytes())
+                stream.append(got)
                 counts.append(len(got))
                 size += len(t)
         if ids:
+            yield rows()
+
+    return docs.mapInArrow(cut, CHUNKS)
+
+
+def gathered(asked: DataFrame, shards: int) -> DataFrame:
+    """One row a shard: its distinct words, and for each chunk that asks for some (chunk, shard) their numbers."""
+    kind = pa.list_(pa.struct([("chunk", pa.int64()), ("at", pa.binary())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, seen, asks = None, {}, []
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([[w.decode("latin-1") for w in seen]], pa.list_(pa.string())), pa.array([asks], kind)], names=["shard", "words", "asks"])
+
+        for batch in batches:
+            for chunk, s, sizes, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if s != shard:
+                    if seen:
+                        yield row()
+                    shard, seen, asks = s, {}, []
+                ends = np.cumsum(np.frombuffer(sizes, np.uint16), dtype=np.int64).tolist()
+                at = [seen.setdefault(words[a:b], len(seen)) for a, b in zip([0, *ends], ends, strict=False)]
+                asks.append({"chunk": chunk, "at": np.array(at, np.uint32).tobytes()})
+        if seen:
             yield row()
 
-    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        pieces = [b""] * (max(table.values(), default=-1) + 1)
-        for p, r in table.items():
-            pieces[r] = p
+    return asked.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(run, "shard int, words array<string>, asks array<struct<chunk:bigint,at:binary>>")
+
+
+def answers(merged: DataFrame) -> DataFrame:
+    """chunk, shard, sizes, ids: the ids of the words that a chunk asked a shard for, in the order of its list."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in range(batch.num_rows):
                 lists = batch.column(1).slice(b, 1).flatten()
                 offsets = lists.offsets.to_numpy().astype(np.int64)
                 values = lists.values.to_numpy(zero_copy_only=False).astype(np.uint32)
-                known = [np.array(merge_long(k[1:], table), np.uint32).tobytes() if k[:1] == b"w" else k[1:] for k in batch.column(2)[b].as_py()]
-                sizes = np.array([len(k) // 4 for k in known], np.int64)
-                starts, lengths = len(values) + np.cumsum(sizes) - sizes, sizes
-                rest = np.flatnonzero(sizes == 0)
-                starts[rest], lengths[rest] = offsets[:-1], np.diff(offsets)
-                values = np.concatenate([values, np.frombuffer(b"".join(known), np.uint32)])
-                stream, counts = (np.frombuffer(batch.column(c)[b].as_buffer(), t) for c, t in ((3, np.uint32), (4, np.int64)))
-                made, at = [], 0
-                for n in counts.tolist():
-                    own = stream[at : at + n]
-                    at += n
-                    got = values[ragged(starts[own], lengths[own])]
-                    text = b"".join([pieces[x] for x in got.tolist()])
-                    made.append((len(got), hashlib.sha256(got.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(text).hexdigest(), got if keep_ids else None))
-                out = [batch.column(0).slice(b, 1).flatten(), *[pa.array([m[k] for m in made], t) for k, t in ((0, pa.int64()), (1, pa.string()), (2, pa.string()))]]
-                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-                if keep_ids:
-                    out.append(pa.array([m[3].astype(np.int32) for m in made], pa.list_(pa.int32())))
-                    names.append("ids")
-                whole = pa.RecordBatch.from_arrays(out, names=names)
-                yield from (whole.slice(a, 2000) for a in range(0, whole.num_rows, 2000))
-
-    chunks = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, CHUNKS)
-    encoded = chunks.select("ids", bound(table, lambda m: F.transform("words", lambda w: merged(w, m))).alias("merged"), "known", "stream", "counts")
-    return encoded.mapInArrow(put, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids)
+                starts, lengths = offsets[:-1], np.diff(offsets)
+                shard, out = batch.column(0)[b].as_py(), []
+                for ask in batch.column(2)[b].as_py():
+                    at = np.frombuffer(ask["at"], np.uint32)
+                    out.append((ask["chunk"], shard, lengths[at].astype(np.uint16).tobytes(), values[ragged(starts[at], lengths[at])].tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["chunk", "shard", "sizes", "ids"])
+
+    return merged.mapInArrow(run, "chunk bigint, shard int, sizes binary, ids binary")
+
+
+def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
+    """Encodes every whole text and decodes it again.
+
+    A task cuts its texts into words and writes, for each chunk of texts, the words as numbers (see chunks), bucketed by
+    chunk, so that texts are not shuffled. The distinct words of a chunk go to their shards, where the distinct words of
+    the whole corpus are merged once each by Spark's higher-order functions with the literal rank map; what returns to a
+    chunk is ids in the order in which it asked. Each text's ids are then put together, and its bytes again by
+    concatenating the binary pieces of its ids. A lost executor costs the chunks of its tasks.
+
+    Returns doc_id, n_tokens, ids_sha256 (ids as little-endian unsigned 32-bit integers), decoded_sha256, and with
+    keep_ids the ids. Null or empty text: no ids. Ids that are null or repeat are kept row by row; ties and repeated
+    rows are encoded alike. Empty table: no rows. Other columns of docs are not read.
+    """
+    table, spark = ranks(path), docs.sparkSession
+    shared, find = spark.sparkContext.broadcast(table), finder(pattern)
+    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"bpe_chunks_{uuid.uuid4().hex}"
+    rows = chunks(docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")), shards, find, shared)
+    rows.write.format("parquet").option("compression", "zstd").bucketBy(shards, "chunk").option("path", f"{shared_dir(spark)}/paperlake/{name}").saveAsTable(name)
+    rows = spark.table(name)
+    asked = gathered(rows.where("shard IS NOT NULL").select("chunk", "shard", "sizes", "words"), shards)
+    done = answers(asked.select("shard", bound(table, lambda m: F.transform("words", lambda w: merged(w, m))).alias("merged"), "asks"))
+    done = done.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("shard", F.col("sizes").alias("s"), F.col("ids").alias("i")))).alias("done"))
+    whole = rows.where("shard IS NULL").select("chunk", "docs", "counts", "stream", "sizes", "ids").join(done, "chunk", "left")
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = [b""] * (max(shared.value.values(), default=-1) + 1)
+        for p, r in shared.value.items():
+            pieces[r] = p
+        for batch in batches:
+            for b in range(batch.num_rows):
+                parts = batch.column(6)[b].as_py() or []
+                lengths = np.concatenate([np.frombuffer(batch.column(4)[b].as_py(), np.uint32), *[np.frombuffer(p["s"], np.uint16) for p in parts]]).astype(np.int64)
+                values = np.frombuffer(batch.column(5)[b].as_py() + b"".join(p["i"] for p in parts), np.uint32)
+                ends = np.cumsum(lengths)
+                starts, decoded = ends - lengths, [pieces[x] for x in values.tolist()]
+                words = [b"".join(decoded[x:y]) for x, y in zip(starts.tolist(), ends.tolist(), strict=True)]
+                del parts, decoded
+                ids = batch.column(1).slice(b, 1).flatten()
+                counts, at = np.frombuffer(batch.column(2)[b].as_py(), np.uint32), 0
+                stream = unplaned(batch.column(3)[b].as_py(), int(counts.sum()))
+                for lo in range(0, len(counts), 1000):
+                    made = []
+                    for n in counts[lo : lo + 1000].tolist():
+                        own = stream[at : at + n]
+                        at += n
+                        got = values[ragged(starts[own], lengths[own])]
+                        text = b"".join([words[x] for x in own.tolist()])
+                        made.append((len(got), hashlib.sha256(got.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(text).hexdigest(), got.astype(np.int32) if keep_ids else None))
+                    out = [ids.slice(lo, 1000), *[pa.array([m[k] for m in made], t) for k, t in ((0, pa.int64()), (1, pa.string()), (2, pa.string()))]]
+                    if keep_ids:
+                        out.append(pa.array([m[3] for m in made], pa.list_(pa.int32())))
+                    yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(out)])
+
+    return whole.mapInArrow(put, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids)

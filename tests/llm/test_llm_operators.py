@@ -286,7 +286,9 @@ def test_repeats_edges(spark, edges, empty):
 # --- 4 BPE -----------------------------------------------------------------------------------------------------------
 
 
-def test_bpe(spark, docs, edges, empty):
+@pytest.mark.parametrize("size", [bpe.CHUNK, 2000])
+def test_bpe(spark, docs, edges, empty, monkeypatch, size):
+    monkeypatch.setattr(bpe, "CHUNK", size)
     rng = random.Random(1)
     texts = ["", None, "a" * 2000, "ab" * 200 + "\x00\x1c\x1d  x\x85y ﻿", "don't I'LL we're", "日本語" * 40, "👩‍👩‍👧 emoji", "  \n\n\t x  \n", "".join(chr(c) for c in range(0x250)), "".join(chr(c) for c in range(0x3000))]
     texts += ["".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(0x250), rng.randrange(0x2000, 0x3100), 32, 10])) for _ in range(50)) for _ in range(100)]
