@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,13 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop, save, small_enough
+from .common import drop, save
 from .hashing import U, mix
 from .suffixes import common_prefixes, suffix_array
 
 #: Bytes of an anchor; bytes of text that are looked at together; bytes of a suffix array's shard; bytes up to which
 #: neighbouring segments travel as one piece.
-ANCHOR, BUFFER, SHARD, PIECE = 24, 1 << 19, 1 << 20, 1 << 16
+ANCHOR, BUFFER, SHARD, PIECE = 24, 1 << 18, 1 << 19, 1 << 16
 
 
 def lowest(key: np.ndarray, w: int) -> np.ndarray:
@@ -173,7 +174,7 @@ def fetch(docs: DataFrame, lists: DataFrame, length: int) -> DataFrame:
                 cols = list(zip(*out, strict=True)) or [[], [], [], []]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), kind), strict=True)], names=["key", "copies", "content", "members"])
 
-    rows = docs.select("k1", "k2", "bytes").join(small_enough(lists), ["k1", "k2"]).select("bytes", "w")
+    rows = docs.select("k1", "k2", "bytes").join(lists, ["k1", "k2"]).select("bytes", "w")
     return rows.mapInArrow(run, f"key bigint, copies bigint, content binary, {MEMBERS}")
 
 
@@ -226,32 +227,39 @@ def counted(contents: DataFrame, length: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([a] * len(at)), pa.array([d] * len(at), pa.binary()), pa.array([n] * len(at)), pa.array(at, pa.int32()), pa.array([hashlib.blake2b(c[i : i + length], digest_size=16).digest() for i in at], pa.binary())], names=["anchor", "digest", "copies", "at", "window"])
 
     contents = contents.select(F.col("members")[0]["anchor"].alias("anchor"), F.col("members")[0]["digest"].alias("digest"), "copies", "content")
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = [[{"a": a, "b": b} for a, b in windows(np.sort(np.array(at)), 0, length)] for at in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))], names=["anchor", "digest", "spans"])
+
     rows = save(contents.mapInArrow(run, "anchor bigint, digest binary, copies bigint, at int, window binary"), "windows")
     twice = rows.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window")
-    marks = rows.join(twice, "window", "left_semi")
-    return marks.groupBy("anchor", "digest").agg(F.transform(F.array_sort(F.collect_set("at")), lambda x: F.struct(x.alias("a"), (x + length).alias("b"))).alias("spans"))
+    marks = rows.join(twice, "window", "left_semi").groupBy("anchor", "digest").agg(F.collect_list("at").alias("at"))
+    spans = save(marks.mapInArrow(merge, SPANS), "spans")
+    drop(rows)
+    return spans
 
 
 def find(docs: DataFrame, length: int) -> DataFrame:
     """k1, k2, spans: byte ranges (a, b) to remove, not merged, of documents (see keyed) that have any; written."""
-    rows = save(segments(docs, length), "segments")
-    often = save(rows.groupBy("anchor").agg(F.count("*").alias("all"), F.max("inner").alias("inner")).where("all > 1 OR inner").select("anchor"), "often")
+    every = save(segments(docs, length), "segments")
+    often = every.groupBy("anchor").agg(F.count("*").alias("all"), F.max("inner").alias("inner")).where("all > 1 OR inner").select("anchor")
+    rows = save(every.join(often, "anchor", "left_semi"), "segments")
+    drop(every)
     # of equal segments the one of smallest place stands for all, so that neighbours in a text are found together
-    kinds = rows.join(small_enough(often), "anchor", "left_semi").groupBy("anchor", "digest").agg(F.count("*").alias("copies"), F.max("inner").alias("inner"), F.min(F.struct("k1", "k2", "first", "n")).alias("at"))
+    kinds = rows.groupBy("anchor", "digest").agg(F.count("*").alias("copies"), F.max("inner").alias("inner"), F.min(F.struct("k1", "k2", "first", "n")).alias("at"))
     kinds = save(kinds.select("anchor", "digest", "copies", "inner", "at.*"), "kinds")
-    several = save(kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), (F.sum(F.col("n").cast("long")) > SHARD).alias("hot")).where("kinds > 1 OR hot"), "several")
-    wanted = kinds.join(small_enough(several), "anchor", "left")
-    wanted = wanted.withColumn("alone", F.expr("kinds IS NULL AND copies > 1")).withColumn("hot", F.coalesce("hot", F.lit(False))).where("kinds IS NOT NULL OR copies > 1 OR inner")
+    several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), (F.sum(F.col("n").cast("long")) > SHARD).alias("hot")).where("kinds > 1 OR hot")
+    wanted = kinds.join(several, "anchor", "left").withColumn("alone", F.expr("kinds IS NULL AND copies > 1")).withColumn("hot", F.coalesce("hot", F.lit(False)))
     lists = save(wanted.groupBy("hot", "k1", "k2").agg(F.collect_list(F.struct("first", "n", "anchor", "digest", "copies", "alone")).alias("w")), "wanted")
-    cold, hot = (save(lists.where(f).drop("hot"), "wanted") for f in ("NOT hot", "hot"))
-    spans = sharded(fetch(docs, cold, length), length)
-    if hot.limit(1).count():
-        spans = spans.unionByName(counted(fetch(docs, hot, length), length))
+    drop(kinds)
+    spans = sharded(fetch(docs, lists.where("NOT hot"), length), length)
+    parts = [counted(fetch(docs, lists.where("hot"), length), length)] if lists.where("hot").limit(1).count() else []
     spans = save(spans, "spans")
-    drop(often, kinds, several, lists, cold, hot)
-    found = rows.join(small_enough(spans), ["anchor", "digest"]).select("k1", "k2", F.explode(F.transform("spans", lambda s: F.struct((s["a"] + F.col("first")).alias("a"), (s["b"] + F.col("first")).alias("b")))).alias("s"))
+    found = reduce(DataFrame.unionByName, [spans, *parts])
+    found = rows.join(found, ["anchor", "digest"]).select("k1", "k2", F.explode(F.transform("spans", lambda s: F.struct((s["a"] + F.col("first")).alias("a"), (s["b"] + F.col("first")).alias("b")))).alias("s"))
     found = save(found.groupBy("k1", "k2").agg(F.collect_set("s").alias("spans")), "found")
-    drop(rows, spans)
+    drop(rows, lists, spans, *parts)
     return found
 
 
@@ -271,7 +279,7 @@ def remove(docs: DataFrame, length: int = 200, key: str = "doc_id", text: str =
     """
     passed = [c for c in docs.columns if c != text] if keep_text else [key]
     rows = keyed(docs, key, text, passed)
-    rows = rows.join(small_enough(find(rows, length)), ["k1", "k2"], "left").select("row", "null", "bytes", "spans")
+    rows = rows.join(find(rows, length), ["k1", "k2"], "left").select("row", "null", "bytes", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
