@@ -2,43 +2,49 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected, save, small_enough
+from .common import connected, drop, save, small_enough
 from .hashing import U, WordHashes, mix, shingles
 
-#: Runs of the recursion, its depth, and the largest bucket that is compared pair by pair where it stands.
-RUNS, DEPTH, SMALL = 12, 3, 64
-#: Coordinates of a sketch (one byte each); how many must agree before two sets are looked at closely (at Jaccard 0.8
-#: fewer agree in one of a million pairs); and from how many on two sets are alike for sure, at Jaccard 0.8 or more: all
-#: that links to one of them then is at 0.6 or more to the other, by the triangle inequality.
-SKETCH, AGREE, SURE = 64, 34, 58
+#: Share of the pairs at the least similarity that must meet in a bucket of the deepest level; the recursion's depth; runs
+#: after which sets that are alike for sure leave; and the largest bucket that is compared pair by pair where it stands.
+TARGET, DEPTH, FIRST, SMALL = 0.9999, 3, 4, 64
+#: Coordinates of a sketch (one byte each); how many must agree before two sets are looked at closely; and from how many
+#: on a set is alike for sure to its bucket's head. What links to such a set at 0.8 is at 0.6 or so to the head (by the
+#: triangle inequality), where fewer than NEAR agree in one of 8,000 pairs, and at 0.8 in none of 10**12.
+SKETCH, NEAR, SURE = 64, 24, 58
 #: Sets that one task compares with as many others at a time.
 BLOCK = 128
 
 
-def paths(tokens: np.ndarray, similarity: float, runs: int = RUNS, depth: int = DEPTH) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The nodes that a set goes to, by level: (parent, node). At each node it takes the tokens whose hash, seeded by
-    the node's own path, is under 1 / (similarity * size): two similar sets share one such token on average, whereas
-    unlike sets share few tokens to take. So the recursion needs the set alone and not the others in its bucket."""
-    top = min(2.0**64 / (similarity * len(tokens)), 2.0**64 - 2048)
-    now = mix(np.arange(1, runs + 1, dtype=U) * U(0x9E3779B97F4A7C15))
-    out = []
-    for level in range(depth):
-        r = mix(tokens[None, :] ^ now[:, None])
-        p, t = np.nonzero(r < U(int(top)))
-        nodes = mix(now[p] + mix(tokens[t] + U(level + 1)))
-        out.append((now[p], nodes))
-        now = nodes
-        if not len(now):
-            break
-    return out
+def runs_needed(target: float = TARGET, depth: int = DEPTH) -> int:
+    """Runs until a pair at the least similarity meets at the last level with probability `target`. At a node the two take
+    one shared token on average in the worst case (one set within the other), so a run fails with exp(-(1 - fail of the
+    levels below))."""
+    fail = 0.0
+    for _ in range(depth):
+        fail = math.exp(fail - 1)
+    return math.ceil(math.log(1 - target) / math.log(fail))
+
+
+def children(tokens: np.ndarray, parents: np.ndarray, level: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the nodes a set goes on from, and the nodes it goes to. At each node it takes the tokens whose hash,
+    seeded by the node's own path, is under 1 / (similarity * size): two similar sets share one such token on average,
+    whereas unlike sets share few tokens to take. So the recursion needs the set alone and not the others in its bucket."""
+    top = U(int(min(2.0**64 / (similarity * len(tokens)), 2.0**64 - 2048)))
+    found = [np.flatnonzero(mix(tokens ^ p) < top) for p in parents]
+    p = np.repeat(np.arange(len(parents)), [len(f) for f in found])
+    t = tokens[np.concatenate([*found, np.zeros(0, np.int64)]).astype(np.int64)]
+    return p, mix(parents[p] + mix(t + U(level + 1)))
 
 
 MULTIPLIERS = mix(np.arange(1, SKETCH + 1, dtype=U) * U(0xA0761D6478BD642F)) | U(1)
@@ -53,32 +59,49 @@ def sketch(tokens: np.ndarray) -> bytes:
     return mix(best).astype(np.uint8).tobytes()
 
 
-def signatures(docs: DataFrame, similarity: float, words: int, key: str, text: str) -> DataFrame:
-    """doc_id, same (hash of the set; null: no words), size, sketch, nodes (level, parent, node)."""
+def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """doc_id, th (a hash of the text, which tells rows apart that repeat an id), text."""
+    of = F.col(f"`{text}`").cast("string")
+    return docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.xxhash64(of).alias("th"), of.alias("text"))
+
+
+def signatures(docs: DataFrame, similarity: float, words: int, runs: int) -> DataFrame:
+    """doc_id, th, same (hash of the set; null: no words), sketch, nodes (run, node) of the first level."""
+    roots = mix(np.arange(1, runs + 1, dtype=U) * U(0x9E3779B97F4A7C15))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        kind = pa.list_(pa.struct([("level", pa.int32()), ("parent", pa.int64()), ("node", pa.int64())]))
+        kind = pa.list_(pa.struct([("run", pa.int32()), ("node", pa.int64())]))
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                same, size, sketches, offsets, level, parent, node = [], [], [], [0], [], [], []
-                for t in batch.column(1).to_pylist():
+                same, sketches, offsets, own, nodes = [], [], [0], [], []
+                for t in batch.column(2).to_pylist():
                     s = shingles(hashes(t), words)
-                    size.append(len(s))
                     same.append(blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                     sketches.append(sketch(s) if len(s) else None)
-                    n = 0
-                    for k, (p, c) in enumerate(paths(s, similarity) if len(s) else []):
-                        level.append(np.full(len(c), k, np.int32))
-                        parent.append(p)
-                        node.append(c)
-                        n += len(c)
-                    offsets.append(offsets[-1] + n)
-                flat = pa.StructArray.from_arrays([np.concatenate([*level, np.zeros(0, np.int32)]), np.concatenate([*parent, np.zeros(0, U)]).view(np.int64), np.concatenate([*node, np.zeros(0, U)]).view(np.int64)], fields=list(kind.value_type))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.binary()), pa.array(size, pa.int32()), pa.array(sketches, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat, type=kind)], names=["doc_id", "same", "size", "sketch", "nodes"])
+                    if len(s):
+                        p, c = children(s, roots, 0, similarity)
+                        own.append(p)
+                        nodes.append(c)
+                    offsets.append(offsets[-1] + (len(p) if len(s) else 0))
+                flat = pa.StructArray.from_arrays([np.concatenate([*own, np.zeros(0, np.int64)]).astype(np.int32), np.concatenate([*nodes, np.zeros(0, U)]).view(np.int64)], fields=list(kind.value_type))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.binary()), pa.array(sketches, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat, type=kind)], names=["doc_id", "th", "same", "sketch", "nodes"])
+
+    return docs.mapInArrow(run, "doc_id bigint, th bigint, same binary, sketch binary, nodes array<struct<run:int,node:bigint>>")
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id bigint, same binary, size int, sketch binary, nodes array<struct<level:int,parent:bigint,node:bigint>>")
+
+def deeper(texts: DataFrame, level: int, similarity: float, words: int) -> DataFrame:
+    """rid, node: where sets go from the nodes they are at. texts: rid, text, parents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes(100_000)
+        for batch in batches:
+            for rid, t, parents in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                nodes = np.unique(children(shingles(hashes(t), words), np.array(parents, np.int64).view(U), level, similarity)[1])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(nodes), rid, np.int64)), pa.array(nodes.view(np.int64))], names=["rid", "node"])
+
+    return texts.select("rid", "text", "parents").mapInArrow(run, "rid bigint, node bigint")
 
 
 def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -137,7 +160,7 @@ def alike(rows: DataFrame) -> DataFrame:
             if t.num_rows > 1:
                 rid = t.column(1).to_numpy()
                 s = np.frombuffer(b"".join(t.column(2).to_pylist()), np.uint8).reshape(-1, SKETCH)
-                near = (s[:, None, :] == s[None, :, :]).sum(2) >= AGREE
+                near = (s[:, None, :] == s[None, :, :]).sum(2) >= NEAR
                 for x, y in forest(len(rid), *np.nonzero(np.triu(near, 1))):
                     a, b = root(int(rid[x])), root(int(rid[y]))
                     if a != b:  # not yet connected by this task's other buckets
@@ -153,43 +176,49 @@ def alike(rows: DataFrame) -> DataFrame:
     return rows.select("node", "rid", "sketch").repartition(int(n), "node").sortWithinPartitions("node").mapInArrow(run, "src bigint, dst bigint").distinct()
 
 
-def candidates(sets: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Edges (src, dst) that connect all sets worth comparing.
+def candidates(sets: DataFrame, texts, similarity: float, words: int, runs: int, depth: int = DEPTH) -> tuple[DataFrame, list[DataFrame]]:
+    """Edges (src, dst) that connect all sets worth comparing, and the written tables that they come from.
 
-    sets: rid, sketch, nodes. Level by level: buckets of at most SMALL sets are compared by their sketches; of a larger
-    one every set is compared with the bucket's smallest, and those that aren't alike for sure go on to the next level.
-    What is still in large buckets at the last level is compared in blocks, each with each. Sketches are fetched only
-    for sets that share a bucket.
+    sets: rid, sketch, nodes; texts: a function that joins texts to a table with rid. Level by level: buckets of at most
+    SMALL sets are compared by their sketches; of a larger one every set is compared with the bucket's smallest, and
+    those that aren't alike for sure go on to the next level. What is still in large buckets at the last level is
+    compared in blocks, each with each. Sketches are fetched only for sets that share a bucket. After the first runs,
+    sets that are alike for sure to a head are left out: it stands for them in the other runs, so a group of near copies
+    is in large buckets a few times only.
     """
-    sketches = sets.select("rid", "sketch")
-    found, parents = [], None
-    for level in range(depth):
-        rows = sets.select("rid", F.explode(F.filter("nodes", lambda n: n["level"] == level)).alias("n")).select("rid", "n.parent", "n.node")
-        if parents is not None:
-            rows = rows.join(parents, ["rid", "parent"], "left_semi")
-        rows = rows.select("rid", "node")
-        counts = small_enough(save(rows.groupBy("node").agg(F.count("*").alias("n"), F.min("rid").alias("first")).where("n > 1"), "buckets"))
-        shared = save(rows.join(counts, "node").join(sketches, "rid"), "shared")
-        found.append(save(alike(shared.where(F.col("n") <= SMALL)), "pairs"))
-        large = shared.where(F.col("n") > SMALL)
-        if not large.limit(1).count():
-            break
-        heads = large.where("rid = first").select("node", F.col("sketch").alias("head"))
-        same = F.size(F.filter(F.sequence(F.lit(1), F.lit(SKETCH)), lambda i: F.substring("sketch", i, F.lit(1)) == F.substring("head", i, F.lit(1))))
-        compared = save(large.join(small_enough(save(heads, "heads")), "node").withColumn("agree", same).drop("head"), "compared")
-        found.append(save(compared.where((F.col("agree") >= AGREE) & (F.col("rid") != F.col("first"))).select(F.col("first").alias("src"), F.col("rid").alias("dst")).distinct(), "pairs"))
-        open_ = compared.where(F.col("agree") < SURE)
-        if level < depth - 1:
-            parents = small_enough(save(open_.select("rid", F.col("node").alias("parent")), "parents"))
-        else:
-            left = save(open_.groupBy("node").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "left")
-            rest = open_.join(left, "node").withColumn("own", F.pmod(F.xxhash64("node", "rid"), "blocks").cast("int"))
-            rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            found.append(save(alike(rest.select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "rid", "sketch")), "pairs"))
-    out = found[0]
-    for x in found[1:]:
-        out = out.unionByName(x)
-    return out
+    sketches, found, used, gone = sets.select("rid", "sketch"), [], [], None
+    keep = lambda df, name: used.append(save(df, name)) or used[-1]
+    for first, last in ((0, min(FIRST, runs)), (min(FIRST, runs), runs)):
+        if first == last:
+            continue
+        rows = sets.select("rid", F.explode(F.filter("nodes", lambda n: (n["run"] >= first) & (n["run"] < last))).alias("n")).select("rid", "n.node")
+        if gone is not None:
+            rows = rows.join(small_enough(gone), "rid", "left_anti")
+        sure = []
+        for level in range(depth):
+            counts = small_enough(keep(rows.groupBy("node").agg(F.count("*").alias("n"), F.min("rid").alias("first")).where("n > 1"), "buckets"))
+            shared = keep(rows.join(counts, "node").join(sketches, "rid"), "shared")
+            found.append(keep(alike(shared.where(F.col("n") <= SMALL)), "pairs"))
+            large = shared.where(F.col("n") > SMALL)
+            if not large.limit(1).count():
+                break
+            heads = keep(large.where("rid = first").select("node", F.col("sketch").alias("head")), "heads")
+            same = F.size(F.filter(F.sequence(F.lit(1), F.lit(SKETCH)), lambda i: F.substring("sketch", i, F.lit(1)) == F.substring("head", i, F.lit(1))))
+            compared = keep(large.join(small_enough(heads), "node").withColumn("agree", same).drop("head"), "compared")
+            found.append(compared.where((F.col("agree") >= NEAR) & (F.col("rid") != F.col("first"))).select(F.col("first").alias("src"), F.col("rid").alias("dst")))
+            sure.append(compared.where((F.col("agree") >= SURE) & (F.col("rid") != F.col("first"))).select("rid"))
+            open_ = compared.where(F.col("agree") < SURE)
+            if level < depth - 1:
+                parents = open_.groupBy("rid").agg(F.collect_list("node").alias("parents"))
+                rows = keep(deeper(texts(parents), level + 1, similarity, words), "nodes")
+            else:
+                left = open_.groupBy("node").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+                rest = open_.join(left, "node").withColumn("own", F.pmod(F.xxhash64("node", "rid"), "blocks").cast("int"))
+                rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                found.append(keep(alike(rest.select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "rid", "sketch")), "pairs"))
+        if sure:
+            gone = keep(reduce(DataFrame.unionByName, sure).distinct(), "gone")
+    return reduce(DataFrame.unionByName, found), used
 
 
 def verified(members: DataFrame, similarity: float, words: int) -> DataFrame:
@@ -238,45 +267,63 @@ def verified(members: DataFrame, similarity: float, words: int) -> DataFrame:
     return members.select("comp", "x", "y", "own", "rid", "copies", "text").repartition(int(n), "comp", "x", "y").sortWithinPartitions("comp", "x", "y").mapInArrow(run, "rid bigint, links bigint, to bigint")
 
 
+def classes(docs: DataFrame, similarity: float, words: int, key: str, text: str) -> DataFrame:
+    """One row a document: doc_id, th, class_id, class_th (those of the class's smallest doc_id and th), n_links."""
+    docs, runs = keyed(docs, key, text), runs_needed()
+    rows = save(signatures(docs, similarity, words, runs), "signatures")
+    usable = rows.where("doc_id IS NOT NULL AND same IS NOT NULL")
+    # a set is known by a number; of its copies the smallest lends it the text
+    sets = save(usable.groupBy("same").agg(F.min(F.struct("doc_id", "th")).alias("at"), F.count("*").alias("copies")).select("same", "at.*", "copies").withColumn("rid", F.monotonically_increasing_id()), "sets")
+    whole = save(usable.join(small_enough(sets).select("rid", "same", "doc_id", "th"), ["same", "doc_id", "th"]).select("rid", "sketch", "nodes").dropDuplicates(["rid"]), "firsts")
+
+    def texts(some: DataFrame) -> DataFrame:
+        named = save(some.join(sets.select("rid", "doc_id", "th"), "rid"), "wanted")
+        return docs.join(small_enough(named), ["doc_id", "th"]).dropDuplicates(["rid"])
+
+    edges, used = candidates(whole, texts, similarity, words, runs)
+    comps = save(connected(edges).withColumnRenamed("node", "rid").withColumnRenamed("component", "comp"), "groups")
+    drop(whole, *used)
+    sizes = comps.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    members = comps.join(sizes, "comp").join(sets.select("rid", "copies"), "rid")
+    members = members.withColumn("own", F.pmod(F.xxhash64("rid"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    members = members.select("comp", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "rid", "copies")
+    found = save(verified(members.join(texts(comps.select("rid")).select("rid", "text"), "rid"), similarity, words), "links")
+    linked = connected(found.where("to IS NOT NULL").select(F.col("rid").alias("src"), F.col("to").alias("dst")))
+    ends = sets.select("rid", F.struct("doc_id", "th").alias("at"))
+    final = save(linked.withColumnRenamed("node", "rid").join(ends, "rid"), "classes")
+    final = final.join(final.groupBy("component").agg(F.min("at").alias("head")), "component").select("rid", "head")
+    links = found.where("to IS NULL").groupBy("rid").agg(F.sum("links").alias("links"))
+    out = sets.join(final, "rid", "left").join(links, "rid", "left")
+    out = save(out.select("same", F.coalesce("head", F.struct("doc_id", "th")).alias("head"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes")
+    named = rows.select("doc_id", "th", F.when(F.col("doc_id").isNotNull(), F.col("same")).alias("same")).join(small_enough(out), "same", "left")
+    return named.select("doc_id", "th", F.coalesce("head.doc_id", "doc_id").alias("class_id"), F.coalesce("head.th", "th").alias("class_th"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
 def join(docs: DataFrame, similarity: float = 0.8, words: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a document: doc_id, class_id (smallest doc_id that links lead to), n_links (documents linked directly).
 
     Two documents link if the Jaccard similarity of their sets of word n-grams is `similarity` or more. Documents with
-    equal sets are one set with a count. Chosen paths find what is worth comparing (see paths, candidates): a pair at
-    0.8 shares no bucket of the first level in fewer than 2 in a million cases. Each group so connected is then
-    compared exactly, all sets with all sets in blocks of BLOCK, so links are counted without writing pairs, those that
-    no path found included; only edges that connect a group are passed on.
+    equal sets are one set with a count. Chosen paths find what is worth comparing (see children, candidates): runs are
+    as many as bring a pair at 0.8 together with probability TARGET even if only buckets of the deepest level compare
+    it. Each group so connected is then compared exactly, all sets with all sets in blocks of BLOCK, so links are
+    counted without writing pairs, those that no path found included; only edges that connect a group are passed on.
 
     Nulls and empty texts have no words and link with nothing. A text of fewer words than `words` is one n-gram. Rows
-    without an id take no part and are returned with null class and 0 links. Rows that repeat an id count as documents
-    of their own in n_links. Empty table: no rows. Other columns are not read.
+    without an id take no part and are returned with null class and 0 links. Rows that repeat an id, with equal texts or
+    others, count as documents of their own in n_links. Empty table: no rows. Other columns are not read.
     """
-    rows = save(signatures(docs, similarity, words, key, text), "signatures")
-    usable = rows.where("doc_id IS NOT NULL AND same IS NOT NULL")
-    sets = save(usable.groupBy("same").agg(F.min("doc_id").alias("rid"), F.count("*").alias("copies")), "sets")
-    # one row a set; where there are few enough sets, the rows with their nodes aren't shuffled for it
-    firsts = small_enough(save(sets.select("same", F.col("rid").alias("doc_id")), "firsts"))
-    whole = usable.join(firsts, ["same", "doc_id"], "left_semi").select(F.col("doc_id").alias("rid"), "sketch", "nodes")
-    comps = save(connected(candidates(whole)).withColumnRenamed("node", "rid").withColumnRenamed("component", "comp"), "groups")
-    sizes = comps.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    members = comps.join(sizes, "comp").join(sets.select("rid", "copies"), "rid")
-    members = members.withColumn("own", F.pmod(F.xxhash64("rid"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.select("comp", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "rid", "copies")
-    texts = docs.select(F.col(key).cast("long").alias("rid"), F.col(text).alias("text")).where("rid IS NOT NULL").join(small_enough(save(comps.select("rid").distinct(), "wanted")), "rid", "left_semi").dropDuplicates(["rid"])
-    found = save(verified(members.join(texts, "rid"), similarity, words), "links")
-    final = connected(found.where("to IS NOT NULL").select(F.col("rid").alias("src"), F.col("to").alias("dst"))).withColumnRenamed("node", "rid").withColumnRenamed("component", "class")
-    linked = found.where("to IS NULL").groupBy("rid").agg(F.sum("links").alias("links"))
-    classes = sets.select("same", "rid", "copies").join(final, "rid", "left").join(linked, "rid", "left")
-    classes = classes.select("same", F.coalesce("class", "rid").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    out = rows.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("same")).alias("same")).join(classes, "same", "left")
-    return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-
-
-def keep_one(docs: DataFrame, similarity: float = 0.8, words: int = 5, key: str = "doc_id") -> DataFrame:
-    """docs without the documents whose class has a smaller id. Rows without id stay; of rows that repeat an id one
-    stays."""
-    linked = join(docs, similarity, words, key)
-    kept = linked.where("doc_id = class_id").select(F.col("doc_id").alias("__kept"))
-    own = docs.where(F.col(key).isNotNull())
-    stay = own.join(save(kept, "kept"), own[key] == F.col("__kept"), "left_semi").dropDuplicates([key])
-    return stay.unionByName(docs.where(F.col(key).isNull()))
+    return classes(docs, similarity, words, key, text).select("doc_id", "class_id", "n_links")
+
+
+def keep_one(docs: DataFrame, similarity: float = 0.8, words: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs without the documents whose class has one of smaller id (of equal ids: of smaller hash of the text). Rows
+    without id stay. Of rows that agree in id and text one stays, that whose other columns come first as JSON."""
+    of = classes(docs, similarity, words, key, text).where("doc_id = class_id AND th = class_th")
+    kept = save(of.groupBy("doc_id", "th").agg((F.count("*") > 1).alias("more")), "kept")
+    names = lambda more: small_enough(save(kept.where("more" if more else "NOT more").select(F.col("doc_id").alias("__near_id"), F.col("th").alias("__near_th")), "kept"))
+    own = (F.col(f"`{key}`").cast("long") == F.col("__near_id")) & (F.xxhash64(F.col(f"`{text}`").cast("string")) == F.col("__near_th"))
+    rest = docs.join(names(True), own, "inner")
+    order = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+    rest = rest.withColumn("__near_at", F.row_number().over(Window.partitionBy("__near_id", "__near_th").orderBy(order))).where("__near_at = 1")
+    rest = rest.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.join(names(False), own, "left_semi").unionByName(rest).unionByName(docs.where(F.col(f"`{key}`").isNull()))

@@ -16,7 +16,7 @@ from conftest import SF
 from pyspark.sql import functions as F
 
 from paperlake.llm import bpe, chat, common, hilbert, jaccard, mixing, multiindex, perplexity, repeats, search, suffixes, toxicity
-from paperlake.llm.hashing import WordHashes, shingles
+from paperlake.llm.hashing import WordHashes, mix, shingles
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, k1 long, size int"
@@ -485,6 +485,31 @@ def test_jaccard(spark, docs, monkeypatch, small):
     assert got == {d: (roots[d], links[d]) for d in texts}
 
 
+def test_jaccard_tells_texts_of_one_id_apart(spark):
+    """Rows that repeat an id with different texts are documents of their own."""
+    a, b = " ".join(f"a{i}" for i in range(50)), " ".join(f"b{i}" for i in range(50))
+    rows = [(7, a), (7, b), (8, a + " end"), (9, b + " end"), (7, a), (10, "alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.Counter(map(tuple, jaccard.join(df).collect()))
+    assert got == collections.Counter([(7, 7, 2), (7, 7, 2), (7, 7, 1), (8, 7, 2), (9, 7, 1), (10, 10, 0)])
+    kept = sorted(map(tuple, jaccard.keep_one(df).collect()))
+    assert kept == sorted([(7, a), (7, b), (10, "alone")]) and jaccard.keep_one(df).columns == df.columns
+
+
+def test_jaccard_recall_of_the_deepest_level():
+    """Sets that meet only at the last level, at the least similarity, one within the other."""
+    rng, runs, met = np.random.default_rng(3), jaccard.runs_needed(), 0
+    roots = mix(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    for _ in range(400):
+        big = rng.integers(0, 2**63, 100).astype(np.uint64)
+        nodes = [roots, roots]
+        for level in range(jaccard.DEPTH):
+            nodes = [np.unique(jaccard.children(s, n, level, 0.8)[1]) for s, n in zip((big, big[:80]), nodes, strict=True)]
+            nodes = [np.intersect1d(*nodes)] * 2
+        met += len(nodes[0]) > 0
+    assert runs == 20 and met == 400
+
+
 def test_jaccard_edges(spark, edges, empty):
     rows = [tuple(r) for r in jaccard.join(edges).collect()]
     assert sorted(rows, key=str) == sorted([(1, 1, 0), (2, 2, 0), (3, 3, 2), (4, 3, 2), (4, 3, 2), (None, None, 0), (None, None, 0), (5, 5, 0), (6, 6, 0), (7, 7, 0)], key=str)
