@@ -20,7 +20,7 @@ def op1_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     out = toxicity.classify(docs, read(spark, sf_dir, "labels"), into="score", keep_text=False)
-    return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.col("__cut").alias("threshold"), F.col("__flagged").alias("flagged"))
+    return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.col("score_threshold").alias("threshold"), F.col("score_flagged").alias("flagged"))
 
 
 def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,8 +30,10 @@ class Settings:
     batch: int = 64
     rate: float = 0.01
     seed: int = 0
-    #: Bound of the training sample: labelled documents of either class, those of smallest id hash.
+    #: Bounds of the training sample: labelled documents of either class, those of smallest id hash, and bytes of their
+    #: (whole) texts together.
     sample: int = 3000
+    sample_bytes: int = 16 << 20
     #: Words that go through the convolution at once; a longer text goes in overlapping parts.
     window: int = 100_000
 
@@ -73,7 +75,7 @@ def train(texts: list[np.ndarray], labels: np.ndarray, s: Settings) -> Model:
     p[0][-1] = 0  # padding
     m, v, t = [np.zeros_like(x) for x in p], [np.zeros_like(x) for x in p], 0
     widest, k = max(s.widths), len(s.widths)
-    pad = np.full((widest - 1, FEATURES), s.buckets, np.int64)
+    pad = np.full((widest - 1, FEATURES), s.buckets, np.uint32)
     for _ in range(s.epochs):
         order = rng.permutation(len(texts))
         for at in range(0, len(order), s.batch):
@@ -166,33 +168,49 @@ class Scorer:
             np.maximum.at(best[:, c * s.filters : (c + 1) * s.filters], docs, top)
 
 
+def fold(key: str = "doc_id"):
+    """0: held out; 1: for thresholds; 2 to 4: for training."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % 5
+
+
 def held_out(key: str = "doc_id"):
-    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % 5 == 0
+    return fold(key) == 0
+
+
+def labelled(labels: DataFrame, label: str, key: str, folds: tuple[int, ...]) -> DataFrame:
+    """doc_id, label of some folds; a document labelled twice is 1 if one label says so."""
+    known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(key).alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("label"))
+    return known.where(fold().isin(*folds))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Settings = Settings(), key: str = "doc_id") -> Model:
-    """Trains on labelled documents whose crc32(id) mod 5 is not 0: of either class at most settings.sample, those whose
-    id has the smallest hash. What comes to the driver is bucket numbers of their words. Labels of one
-    class or none: a model that says the same, under 0.5, to everything."""
+    """Trains on labelled documents whose crc32(id) mod 5 is 2 to 4: of either class at most settings.sample of those
+    whose id has the smallest hash, as far as settings.sample_bytes reach. What comes to the driver is bucket numbers of
+    their words. Labels of one class or none: a model that says the same, under 0.5, to everything."""
     s = settings
-    known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1) & ~held_out(key)).groupBy(F.col(key).alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("label"))
+    known = labelled(labels, label, key, (2, 3, 4))
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     chosen = [known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.sample) for c in (0, 1)]
     rows = docs.select(F.col(key).alias("doc_id"), F.col("text")).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+    rows = rows.withColumn("bytes", F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).over(order)).where(F.col("bytes") <= s.sample_bytes).select("doc_id", "text", "label")
 
     def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            words = Words()
-            flat, n = words(b.column(1).to_pylist())
-            f = np.array([features(w, s.buckets) for w in words.seen], np.uint32).reshape(-1, FEATURES)
-            ends = np.cumsum(n)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([f[flat[e - k : e]].tobytes() for e, k in zip(ends, n, strict=True)], pa.binary())], names=["doc_id", "label", "f"])
-
-    got = sorted(rows.mapInArrow(bucket, "doc_id bigint, label int, f binary").toLocalIterator(), key=lambda r: (r["doc_id"], r["f"]))
-    y = np.array([r["label"] for r in got], np.float32)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                b, words = whole.slice(at, 500), Words()
+                flat, n = words(b.column(1).to_pylist())
+                f = np.array([features(w, s.buckets) for w in words.seen], np.uint32).reshape(-1, FEATURES)
+                ends = np.cumsum(n)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([f[flat[e - k : e]].tobytes() for e, k in zip(ends, n, strict=True)], pa.binary())], names=["doc_id", "label", "f"])
+
+    got = sorted((r["doc_id"], bytes(r["f"]), r["label"]) for r in rows.mapInArrow(bucket, "doc_id bigint, label int, f binary").toLocalIterator())
+    y = np.array([r[2] for r in got], np.float32)
     if not 0 < y.sum() < len(y):
         return Model(s, np.zeros((s.buckets + 1, s.dim), np.float32), [np.zeros((w, s.dim, s.filters), np.float32) for w in s.widths], np.zeros(len(s.widths) * s.filters, np.float32), np.zeros(len(s.widths) * s.filters, np.float32), float(min(np.log((counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 1)), np.log(0.5))))
-    model = train([np.frombuffer(r["f"], np.uint32).reshape(-1, FEATURES).astype(np.int64) for r in got], y, s)
+    texts = [np.frombuffer(f, np.uint32).reshape(-1, FEATURES) for _, f, _ in got]
+    del got
+    model = train(texts, y, s)
     # the sample has the classes about even; shift to their true odds
     model.out_bias += float(np.log(counts[1] / counts[0]) - np.log(y.sum() / (len(y) - y.sum())))
     return model
@@ -214,29 +232,50 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score"
     return docs.mapInArrow(run, T.StructType([docs.schema[i] for i in kept]).add(into, "double"))
 
 
-def thresholds(scored: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", lang: str = "lang", column: str = "score", bins: int = 1000, least: float = 0.1) -> DataFrame:
-    """For each language the cut with the best F1 over all its labelled documents outside the held-out fold (the
-    highest of equal cuts): histograms of the scores by language, summed map-side. No cut is under `least`, which a few odd labels
-    could else bring about. Languages without toxic labels: 0.5.
-    Returns lkey ('s' and the language, 'n' for null), threshold."""
-    known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1) & ~held_out(key)).groupBy(F.col(key).alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("label"))
-    rows = scored.select(F.col(key).alias("doc_id"), F.coalesce(F.concat(F.lit("s"), F.col(lang)), F.lit("n")).alias("lkey"), F.floor(F.col(column) * bins).alias("bin"))
-    hist = rows.join(known, "doc_id", "left").groupBy("lkey", "bin").agg(F.coalesce(F.sum("label"), F.lit(0)).alias("pos"), F.count("label").alias("n"))
-    down = Window.partitionBy("lkey").orderBy(F.desc("bin"))
-    every = Window.partitionBy("lkey")
-    f1 = F.try_divide(2 * F.sum("pos").over(down), F.sum("n").over(down) + F.sum("pos").over(every))
-    best = hist.withColumn("f1", f1).withColumn("bin", F.when(F.col("f1") > 0, F.col("bin")))
-    return best.groupBy("lkey").agg(F.greatest(F.coalesce(F.max_by("bin", F.struct(F.round("f1", 9), "bin")), F.lit(bins / 2)) / bins, F.lit(least)).alias("threshold"))
+def thresholds(scored: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", bins: int = 1000, least: int = 10) -> DataFrame:
+    """lkey, threshold: for each language the cut with the best F1 over its labelled documents whose crc32(id) mod 5 is 1,
+    none of which was trained on (the highest of equal cuts). Histograms of the scores by language are summed map-side.
+    A language with fewer than `least` toxic labels among these has the cut over all languages; if all together have
+    fewer, it is 0.5. scored: doc_id, lkey, score."""
+    known = labelled(labels, label, key, (1,))
+    rows = scored.select("doc_id", "lkey", F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).alias("bin"))
+    hist = save(rows.join(known, "doc_id", "left").groupBy("lkey", "bin").agg(F.coalesce(F.sum("label"), F.lit(0)).alias("pos"), F.count("label").alias("n")), "histograms")
+
+    def best(h: DataFrame) -> DataFrame:
+        down, every = Window.partitionBy("lkey").orderBy(F.desc("bin")), Window.partitionBy("lkey")
+        f1 = F.try_divide(2 * F.sum("pos").over(down), F.sum("n").over(down) + F.sum("pos").over(every))
+        h = h.withColumn("f1", f1).withColumn("all", F.sum("pos").over(every))
+        return h.groupBy("lkey").agg(F.when(F.max("all") >= least, F.max_by("bin", F.struct(F.round("f1", 9), "bin")) / bins).alias("threshold"))
+
+    pooled = best(hist.groupBy("bin").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")).withColumn("lkey", F.lit(""))).select(F.col("threshold").alias("pooled"))
+    return best(hist).crossJoin(F.broadcast(pooled)).select("lkey", F.coalesce("threshold", "pooled", F.lit(0.5)).alias("threshold"))
+
+
+def judged(docs: DataFrame, labels: DataFrame, passed: list[str], label: str = "toxic", settings: Settings = Settings(), model: Model | None = None, key: str = "doc_id", lang: str = "lang") -> DataFrame:
+    """row (a struct of the columns of docs that are passed on, where their names clash with none), score, threshold,
+    flagged."""
+    model = model or fit(docs, labels, label, settings, key)
+    of = lambda c: F.col(f"`{c}`")
+    rows = docs.select(F.struct(*map(of, passed)).alias("row"), of(key).alias("doc_id"), F.coalesce(F.concat(F.lit("s"), of(lang)), F.lit("n")).alias("lkey"), of("text").alias("text"))
+    scored = save(score(rows, model, keep_text=False), "scored")
+    cuts = save(thresholds(scored, labels, label, key), "cuts")
+    out = scored.join(small_enough(cuts), "lkey", "left")
+    return out.select("row", "score", F.coalesce("threshold", F.lit(0.5)).alias("threshold")).withColumn("flagged", F.col("score") >= F.col("threshold"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Settings = Settings(), model: Model | None = None, into: str = "score", keep_text: bool = True) -> DataFrame:
-    """docs (written once to the shared folder) with `into`, `threshold` and `flagged` (score >= its language's threshold).
+    """docs with `into`, the threshold of its language (`into`_threshold) and whether the score reaches it (`into`_flagged).
 
     Scores cover whole texts; a null or empty text has the score of no activation. Null or unknown languages have
-    thresholds of their own. Ties and repeated rows are scored alike. Empty table: no rows.
+    thresholds of their own. Ties and repeated rows are scored alike. Other columns pass through whatever their names;
+    one named like a result needs another `into`. Empty table: no rows.
     """
-    model = model or fit(docs, labels, label, settings)
-    scored = save(score(docs, model, into=into, keep_text=keep_text), "scored")
-    cuts = small_enough(save(thresholds(scored, labels, label, column=into), "cuts"))
-    out = scored.withColumn("__lkey", F.coalesce(F.concat(F.lit("s"), F.col("lang")), F.lit("n"))).join(cuts.withColumnRenamed("lkey", "__lkey").withColumnRenamed("threshold", "__cut"), "__lkey", "left")
-    return out.withColumn("__cut", F.coalesce("__cut", F.lit(0.5))).withColumn("__flagged", F.col(into) >= F.col("__cut")).drop("__lkey")
+    passed = [c for c in docs.columns if keep_text or c != "text"]
+    out = judged(docs, labels, passed, label, settings, model)
+    return out.select(*[F.col("row").getField(c).alias(c) for c in passed], F.col("score").alias(into), F.col("threshold").alias(f"{into}_threshold"), F.col("flagged").alias(f"{into}_flagged"))
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Settings = Settings()) -> DataFrame:
+    """docs without those that reach their language's threshold (see classify); no column is added."""
+    out = judged(docs, labels, docs.columns, label, settings).where("NOT flagged")
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -197,11 +197,31 @@ def test_toxicity(spark, docs, labels, edges, empty):
     assert len(rows) == len(EDGES) and all(0 <= r["__p"] <= 1 for r in rows) and {r["score"] for r in rows} == {1.0, None}
     assert len({r["__p"] for r in rows if r["text"] == SAME}) == 1
     assert toxicity.classify(empty, labels, model=model, into="__p").count() == 0
+    assert toxicity.keep_clean(edges, labels, settings=FEW).columns == edges.columns and toxicity.keep_clean(empty, labels, settings=FEW).count() == 0
     none = toxicity.fit(docs, labels.limit(0), settings=FEW)
     same = {r["__p"] for r in toxicity.score(edges, none, into="__p").collect()}
     assert len(same) == 1 and same.pop() < 0.5
 
 
+def test_thresholds_by_language(spark):
+    """Against every cut by hand: best F1 over fold 1, the highest of equal ones; few labels: the cut of all languages."""
+    rng = random.Random(8)
+    ids = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 5 == 1][:600]
+    rows = [(i, "sen" if k % 3 else "sde" if k % 2 else "n", rng.random()) for k, i in enumerate(ids)]
+    marks = {i: int(s + rng.gauss(0, 0.3) > {"sen": 0.5, "sde": 0.8, "n": 5}[lang]) for i, lang, s in rows}
+    more = [(i, "sen", 0.99) for i in range(4000) if zlib.crc32(str(i).encode()) % 5 != 1][:50]  # other folds count for nothing
+    labels = spark.createDataFrame([*marks.items(), *[(i, 0) for i, _, _ in more]], "doc_id long, toxic int")
+    got = {r["lkey"]: r["threshold"] for r in toxicity.thresholds(spark.createDataFrame(rows + more, "doc_id long, lkey string, score double"), labels).collect()}
+
+    def best(own):
+        pos = sum(marks[i] for i, _ in own)
+        f1 = {b: 2 * sum(marks[i] for i, s in own if int(s * 1000) >= b) / (sum(int(s * 1000) >= b for _, s in own) + pos) for b in {int(s * 1000) for _, s in own}}
+        return max(f1, key=lambda b: (round(f1[b], 9), b)) / 1000
+
+    want = {lang: best([(i, s) for i, x, s in rows if x == lang]) for lang in ("sen", "sde")}
+    assert {k: got[k] for k in want} == want and got["n"] == best([(i, s) for i, _, s in rows])
+
+
 def test_long_text_in_windows(docs, labels):
     model = toxicity.fit(docs, labels, settings=FEW)
     whole = toxicity.Scorer(model)([LONG, "", None, "a b"])
