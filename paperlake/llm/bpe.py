@@ -25,6 +25,8 @@ from .common import shared_dir
 PARTS = 1 << 14
 #: Text, in characters, that one chunk stands for at most (a longer text has one for itself).
 CHUNK = 16 << 20
+#: Words that are merged as one row.
+PART = 2048
 #: The longest word, in bytes, that is merged by higher-order functions, whose work grows with the square of the length;
 #: longer ones, which are single strings of base64 and the like, are merged with a heap.
 LONG = 256
@@ -160,7 +162,7 @@ CHUNKS = "chunk bigint, shard int, docs array<bigint>, counts binary, stream bin
 def planes(x: np.ndarray) -> bytes:
     """Numbers under 2**32, their low bytes first, then the next ones, as many as are needed: this compresses well."""
     k = 3 if not len(x) or x.max() < 1 << 24 else 4
-    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :k].T).tobytes()
+    return b"".join((x >> 8 * j).astype(np.uint8).tobytes() for j in range(k))
 
 
 def unplaned(b: bytes, n: int) -> np.ndarray:
@@ -182,6 +184,7 @@ def chunks(docs: DataFrame, shards: int, find, table) -> DataFrame:
 
         def rows() -> pa.RecordBatch:
             words = [w.encode("utf-8", "surrogatepass") for w in seen]
+            seen.clear()
             to = np.full(len(words), -1, np.int32)
             own, sizes = [], []
             for i, w in enumerate(words):
@@ -195,7 +198,7 @@ def chunks(docs: DataFrame, shards: int, find, table) -> DataFrame:
                 else:
                     to[i] = zlib.crc32(w) % shards
             order = np.argsort(to, kind="stable")
-            number = np.empty(len(words), np.int64)
+            number = np.empty(len(words), np.uint32)
             number[order] = np.arange(len(words))
             name = uuid.uuid4().int >> 65
             out = [(name, None, ids, np.array(counts, np.uint32).tobytes(), planes(number[np.concatenate(stream)]), np.array(sizes, np.uint32).tobytes(), np.array(own, np.uint32).tobytes(), None)]
@@ -208,17 +211,19 @@ def chunks(docs: DataFrame, shards: int, find, table) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["chunk", "shard", "docs", "counts", "stream", "sizes", "ids", "words"])
 
         ids, seen, stream, counts, size = [], {}, [], [], 0
-        for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                t = t or ""
-                if size and size + len(t) > CHUNK:
-                    yield rows()
-                    ids, seen, stream, counts, size = [], {}, [], [], 0
-                got = np.array([seen.setdefault(w, len(seen)) for w in find(t)], np.uint32)
-                ids.append(i)
-                stream.append(got)
-                counts.append(len(got))
-                size += len(t)
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 200):
+                batch = whole.slice(lo, 200)
+                for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    t = t or ""
+                    if size and size + len(t) > CHUNK:
+                        yield rows()
+                        ids, seen, stream, counts, size = [], {}, [], [], 0
+                    got = np.array([seen.setdefault(w, len(seen)) for w in find(t)], np.uint32)
+                    ids.append(i)
+                    stream.append(got)
+                    counts.append(len(got))
+                    size += len(t)
         if ids:
             yield rows()
 
@@ -226,45 +231,62 @@ def chunks(docs: DataFrame, shards: int, find, table) -> DataFrame:
 
 
 def gathered(asked: DataFrame, shards: int) -> DataFrame:
-    """One row a shard: its distinct words, and for each chunk that asks for some (chunk, shard) their numbers."""
+    """Rows of a shard, one after the other: its distinct words, PART to a row, then for each chunk that asks for some
+    (chunk, at) their numbers."""
     kind = pa.list_(pa.struct([("chunk", pa.int64()), ("at", pa.binary())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, seen, asks = None, {}, []
+        shard, seen, asks, new = None, {}, [], []
 
-        def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([[w.decode("latin-1") for w in seen]], pa.list_(pa.string())), pa.array([asks], kind)], names=["shard", "words", "asks"])
+        def row(last: bool) -> pa.RecordBatch:
+            out = [pa.array([shard], pa.int32()), pa.array([new], pa.list_(pa.string())), pa.array([asks if last else None], kind)]
+            return pa.RecordBatch.from_arrays(out, names=["shard", "words", "asks"])
 
         for batch in batches:
-            for chunk, s, sizes, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for i in range(batch.num_rows):
+                chunk, s, sizes, words = (c[i].as_py() for c in batch.columns)
                 if s != shard:
-                    if seen:
-                        yield row()
-                    shard, seen, asks = s, {}, []
+                    if asks:
+                        yield row(True)
+                    shard, seen, asks, new = s, {}, [], []
                 ends = np.cumsum(np.frombuffer(sizes, np.uint16), dtype=np.int64).tolist()
-                at = [seen.setdefault(words[a:b], len(seen)) for a, b in zip([0, *ends], ends, strict=False)]
-                asks.append({"chunk": chunk, "at": np.array(at, np.uint32).tobytes()})
-        if seen:
-            yield row()
+                at = np.empty(len(ends), np.uint32)
+                for k, (a, b) in enumerate(zip([0, *ends], ends, strict=False)):
+                    w = words[a:b]
+                    n = seen.get(w)
+                    if n is None:
+                        n = seen[w] = len(seen)
+                        new.append(w.decode("latin-1"))
+                        if len(new) == PART:
+                            yield row(False)
+                            new = []
+                    at[k] = n
+                asks.append({"chunk": chunk, "at": at.tobytes()})
+        if asks:
+            yield row(True)
 
     return asked.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(run, "shard int, words array<string>, asks array<struct<chunk:bigint,at:binary>>")
 
 
 def answers(merged: DataFrame) -> DataFrame:
-    """chunk, shard, sizes, ids: the ids of the words that a chunk asked a shard for, in the order of its list."""
+    """chunk, shard, sizes, ids: the ids of the words that a chunk asked a shard for, in the order of its list. merged:
+    the rows of gathered(), in its order, with ids in place of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes, ids = [], []
         for batch in batches:
             for b in range(batch.num_rows):
                 lists = batch.column(1).slice(b, 1).flatten()
-                offsets = lists.offsets.to_numpy().astype(np.int64)
-                values = lists.values.to_numpy(zero_copy_only=False).astype(np.uint32)
-                starts, lengths = offsets[:-1], np.diff(offsets)
-                shard, out = batch.column(0)[b].as_py(), []
+                sizes.append(np.diff(lists.offsets.to_numpy()).astype(np.int64))
+                ids.append(lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint32))
+                if not batch.column(2)[b].is_valid:
+                    continue
+                lengths, values = np.concatenate(sizes), np.concatenate(ids)
+                starts, shard, sizes, ids = np.cumsum(lengths) - lengths, batch.column(0)[b].as_py(), [], []
                 for ask in batch.column(2)[b].as_py():
                     at = np.frombuffer(ask["at"], np.uint32)
-                    out.append((ask["chunk"], shard, lengths[at].astype(np.uint16).tobytes(), values[ragged(starts[at], lengths[at])].tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["chunk", "shard", "sizes", "ids"])
+                    out = (ask["chunk"], shard, lengths[at].astype(np.uint16).tobytes(), values[ragged(starts[at], lengths[at])].tobytes())
+                    yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["chunk", "shard", "sizes", "ids"])
 
     return merged.mapInArrow(run, "chunk bigint, shard int, sizes binary, ids binary")
 
