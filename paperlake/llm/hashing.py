@@ -18,24 +18,26 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(32))
 
 
+class Seen(dict):
+    """Hashes of words; one that is asked for and isn't there is made and kept."""
+
+    def __missing__(self, word: str) -> int:
+        h = self[word] = int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        return h
+
+
 class WordHashes:
     """64-bit hashes of a text's words (lower case, runs of word characters); hashes of known words are remembered, up
     to a bound."""
 
-    def __init__(self, most: int = 400_000):
-        self.most, self.seen = most, {}
+    def __init__(self, most: int = 200_000):
+        self.most, self.seen = most, Seen()
 
     def __call__(self, text: str | None) -> np.ndarray:
-        seen = self.seen
-        if len(seen) > self.most:
-            seen.clear()
-        out = []
-        for w in WORD.findall((text or "").lower()):
-            h = seen.get(w)
-            if h is None:
-                h = seen[w] = int.from_bytes(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-            out.append(h)
-        return np.array(out, U)
+        if len(self.seen) > self.most:
+            self.seen.clear()
+        words = WORD.findall((text or "").lower())
+        return np.fromiter(map(self.seen.__getitem__, words), U, len(words))
 
 
 def shingles(words: np.ndarray, n: int = 5) -> np.ndarray:

@@ -22,8 +22,8 @@ TARGET, DEPTH, FIRST, SMALL = 0.9999, 3, 4, 64
 #: on a set is alike for sure to its bucket's head. What links to such a set at 0.8 is at 0.6 or so to the head (by the
 #: triangle inequality), where fewer than NEAR agree in one of 8,000 pairs, and at 0.8 in none of 10**12.
 SKETCH, NEAR, SURE = 64, 24, 58
-#: Sets that one task compares with as many others at a time.
-BLOCK = 128
+#: Sets that one task compares with as many others at a time, and about how many of their n-grams are held for it.
+BLOCK, SLICE = 128, 1 << 18
 
 
 def runs_needed(target: float = TARGET, depth: int = DEPTH) -> int:
@@ -41,10 +41,12 @@ def children(tokens: np.ndarray, parents: np.ndarray, level: int, similarity: fl
     seeded by the node's own path, is under 1 / (similarity * size): two similar sets share one such token on average,
     whereas unlike sets share few tokens to take. So the recursion needs the set alone and not the others in its bucket."""
     top = U(int(min(2.0**64 / (similarity * len(tokens)), 2.0**64 - 2048)))
-    found = [np.flatnonzero(mix(tokens ^ p) < top) for p in parents]
-    p = np.repeat(np.arange(len(parents)), [len(f) for f in found])
-    t = tokens[np.concatenate([*found, np.zeros(0, np.int64)]).astype(np.int64)]
-    return p, mix(parents[p] + mix(t + U(level + 1)))
+    by, found = (mix(parents) | U(1))[:, None], []
+    for a in range(0, len(tokens), 4096):
+        p, t = np.nonzero(tokens[None, a : a + 4096] * by < top)
+        found.append((p, t + a))
+    p, t = (np.concatenate(x) for x in zip(*found, strict=True))
+    return p, mix(parents[p] + mix(tokens[t] + U(level + 1)))
 
 
 MULTIPLIERS = mix(np.arange(1, SKETCH + 1, dtype=U) * U(0xA0761D6478BD642F)) | U(1)
@@ -54,8 +56,7 @@ def sketch(tokens: np.ndarray) -> bytes:
     """The last byte of each of SKETCH minima under different hash functions."""
     best = np.full(SKETCH, 2**64 - 1, U)
     for a in range(0, len(tokens), 4096):
-        v = tokens[a : a + 4096, None] * MULTIPLIERS[None, :]
-        best = np.minimum(best, ((v ^ (v >> U(29))) * U(0xBF58476D1CE4E5B9)).min(0))
+        best = np.minimum(best, (MULTIPLIERS[:, None] * tokens[None, a : a + 4096]).min(1))
     return mix(best).astype(np.uint8).tobytes()
 
 
@@ -234,17 +235,23 @@ def verified(members: DataFrame, similarity: float, words: int) -> DataFrame:
             own, ids, copies = (t.column(c).to_numpy() for c in (3, 4, 5))
             sets = [shingles(hashes(s), words) for s in t.column(6).to_pylist()]
             n = np.array([len(s) for s in sets])
-            _, which = np.unique(np.concatenate(sets), return_inverse=True)
-            row = np.repeat(np.arange(len(sets)), n)
             both = np.zeros((len(sets), len(sets)), np.float32)
-            order = np.argsort(which, kind="stable")
-            which, row = which[order], row[order]
-            width, top = 4096, which[-1] + 1 if len(which) else 0
-            for a in range(0, top, width):
-                lo, hi = np.searchsorted(which, [a, a + width])
-                m = np.zeros((len(sets), width), np.float32)
-                m[row[lo:hi], which[lo:hi] - a] = 1
-                both += m @ m.T
+            # sets are sorted: a range of hashes, SLICE of them or so, is a slice of each
+            ranges = int(n.sum()) // SLICE + 1
+            ends = [np.searchsorted(s, np.array([2**64 * k // ranges for k in range(1, ranges)], U)) for s in sets]
+            ends = np.array([[0, *e, m] for e, m in zip(ends, n.tolist(), strict=True)])
+            for k in range(ranges):
+                own = [s[a:b] for s, a, b in zip(sets, ends[:, k], ends[:, k + 1], strict=True)]
+                _, which = np.unique(np.concatenate(own), return_inverse=True)
+                row = np.repeat(np.arange(len(sets)), ends[:, k + 1] - ends[:, k])
+                order = np.argsort(which, kind="stable")
+                which, row = which[order], row[order]
+                width, top = 4096, which[-1] + 1 if len(which) else 0
+                for a in range(0, top, width):
+                    lo, hi = np.searchsorted(which, [a, a + width])
+                    m = np.zeros((len(sets), width), np.float32)
+                    m[row[lo:hi], which[lo:hi] - a] = 1
+                    both += m @ m.T
             linked = both >= similarity * (n[:, None] + n[None, :] - both) - 1e-6
             np.fill_diagonal(linked, False)
             if x != y:
