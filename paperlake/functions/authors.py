@@ -14,19 +14,10 @@ from pyspark.sql import types as T
 from .tex import decode
 
 # Particles that belong to a surname, suffixes, and words that name a group.
-PARTICLES = "van|der|de|la|von|del|della|da|mac|ter|dem|di|vaziri"
-SUFFIXES = r"I|II|III|IV|V|Sr|Jr|Sr\.|Jr\."
+PARTICLES = set("van der de la von del della da mac ter dem di vaziri".split())
+SUFFIXES = set("i ii iii iv v sr jr sr. jr.".split())
 GROUP = re.compile(r"([a-z0-9\s]+\s+(?:collaboration|group|team))", re.I)
 
-_SHAPES = [
-    re.compile(rf"^(?P<first>.*)\s+(?P<a>{PARTICLES})\s(?P<b>{PARTICLES})\s(?P<key>\S+)$", re.I),
-    re.compile(rf"^(?P<first>.*)\s+(?P<a>{PARTICLES})\s(?P<key>\S+)$", re.I),
-    re.compile(rf"^(?P<first>.*)\s+(?P<key>\S+)\s(?P<suffix>{SUFFIXES})$", re.I),
-    re.compile(r"^(?P<first>.*)\s+(?P<key>\S+)$", re.I),
-]
-_JUNIOR = re.compile(r"^Jr\.?$")
-_ET_AL = re.compile(r"^\s*et\.?\s+al\.?\s*", re.I)
-
 
 @dataclass
 class Author:
@@ -36,95 +27,118 @@ class Author:
     affiliations: list[str] = field(default_factory=list)
 
 
-def _blocks(line: str) -> Iterator[str]:
-    """Stretches outside parentheses and whole outermost parentheses, in turn. A stretch before a parenthesis counts
-    even if it is empty; one at the end doesn't. What follows a parenthesis that never closes is one block with it."""
-    if not re.search(r"[()]", line):
-        yield line
-        return
-    depth = start = 0
-    for m in re.finditer(r"[()]", line):
-        if m[0] == "(":
-            depth += 1
-            if depth == 1:
-                yield line[start : m.start()]
-                start = m.start()
-        else:
-            depth -= 1
-            if depth == 0:
-                yield line[start : m.end()]
-                start = m.end()
-    if start < len(line):
-        yield line[start:]
+class Scanner:
+    """Reads an author line once, character by character, into parts: names, the marks ',' and ':', and notes (outermost
+    parentheses with all in them; one that never closes runs to the end). White space counts as one space, 'and' and '&'
+    between spaces as a comma, and a junior after a comma belongs to the name before it."""
+
+    def __init__(self, line: str):
+        self.parts: list[tuple[str, str]] = []
+        self.words: list[str] = []
+        word, spaced, depth, opened = "", False, 0, 0
+        for i, c in enumerate(line):
+            if depth:
+                depth += (c == "(") - (c == ")")
+                if not depth:
+                    self.parts.append(("note", line[opened : i + 1]))
+            elif c in "(,:" or c.isspace():
+                if c.isspace() and spaced and word in ("and", "&"):
+                    self.name()
+                    self.parts.append(("mark", ","))
+                elif word:
+                    self.words.append(word)
+                word, spaced = "", c.isspace()
+                if not spaced:
+                    self.name()
+                    if c == "(":
+                        depth, opened = 1, i
+                    else:
+                        self.parts.append(("mark", c))
+            else:
+                word += c
+        if word:
+            self.words.append(word)
+        self.name()
+        if depth:
+            self.parts.append(("note", line[opened:]))
+
+    def name(self) -> None:
+        """Ends the name whose words were read last, if any."""
+        text, self.words = " ".join(self.words), []
+        if text in ("Jr", "Jr.") and len(self.parts) > 1 and self.parts[-1] == ("mark", ",") and self.parts[-2][0] == "name":
+            self.parts.pop()
+            self.parts[-1] = ("name", f"{self.parts[-1][1]}, {text}")
+        elif text:
+            self.parts.append(("name", text))
 
 
 def split_line(line: str | None) -> list[str]:
-    """Names, separators (',' and ':') and parentheses of an author line, in order; spacing and 'and' are normalised,
-    and a junior after a comma belongs to the name before."""
-    out: list[str] = []
-    for block in _blocks(line) if line else ():
-        block = re.sub(r"\s+", " ", block)
-        if block.startswith("("):
-            tokens = [block]
-        else:
-            block = re.sub(r",?\s+(?:and|&)\s", ",", block)
-            tokens = [t.strip() for t in re.split(r"(,|:)\s*", block) if t and t.strip()]
-        for t in tokens:
-            if _JUNIOR.match(t) and len(out) >= 2 and out[-1] == "," and out[-2] != ")":
-                out[-2:] = [f"{out[-2]}, {t}"]
-            else:
-                out.append(t)
-    return out
+    """Names, marks and notes of an author line, in order (see Scanner)."""
+    return [" ".join(text.split()) for _, text in Scanner(line).parts] if line else []
 
 
-def tidy(name: str) -> str:
-    """One space at a time, and one after every dot that no backslash precedes."""
-    return re.sub(r"(?<!\\)\.(\S)", r". \1", re.sub(r"\s\s+", " ", name))
+def spread(name: str) -> str:
+    """A space after every dot that stands before a letter or sign, unless a backslash makes it an accent."""
+    out = ""
+    for before, c in zip(" " + name, name, strict=False):
+        accent = len(out) > 1 and out[-2] == "\\"
+        out += " " + c if before == "." and c != " " and not accent else c
+    return out
 
 
-def numbered(line: str) -> dict[str, str]:
-    """Affiliations by number, from a list in double parentheses at the end of the line."""
-    m = re.search(r"\(\s*\((.*)$", line)
-    listed = re.sub(r"\s*\)\s*$", "", m[1]).split("(") if m else []
-    found = (re.match(r"^(\d+)\)\s*(\S.*\S)\s*$", x) for x in listed)
-    return {x[1]: re.sub(r"[.,\s]*$", "", x[2]) for x in found if x}
+def person(name: str) -> Author:
+    """The last word is the surname, with one or two particles before it if a first name is left; a suffix stands last."""
+    words = name.split()
+    if len(words) < 2:
+        return Author(name)
+    if len(words) > 2 and words[-1].lower() in SUFFIXES:
+        return Author(words[-2], " ".join(words[:-2]), words[-1])
+    particles = 0
+    while particles < min(2, len(words) - 2) and words[-2 - particles].lower() in PARTICLES:
+        particles += 1
+    return Author(" ".join(words[-1 - particles :]), " ".join(words[: -1 - particles]))
 
 
-def affiliations(line: str, name: str, by_number: dict[str, str]) -> list[str]:
-    """What stands in parentheses after the name's first place in the line: numbers are looked up (those that aren't
-    written exactly like a listed one are lost), anything else is an affiliation itself."""
-    # spaces of the name are written as any number of letters s here: names of several words match where the line has
-    # them run together only if it does so; kept as observed
-    m = re.search(re.escape(name).replace(" ", "s*") + r"\s*\(([^()]+)", line, re.I)
-    if not m:
-        return []
-    inside = m[1].strip()
-    if re.match(r"^[\d,\s]+$", inside):
-        return [by_number[x] for x in inside.split(",") if x in by_number]
-    return [inside]
+def listed(note: str) -> dict[str, str]:
+    """Affiliations by number, of a note that lists them: ((1) one; (2) another)."""
+    if not re.match(r"\(\s*\(", note):
+        return {}
+    inside = note.rstrip()[1:]
+    inside = inside[:-1] if inside.endswith(")") else inside
+    found = ((n, rest.strip()) for n, rest in re.findall(r"\((\d+)\)([^(]*)", inside))
+    return {n: rest.rstrip("., \t\r\n") for n, rest in found if len(rest) > 1}
 
 
 def parse(line: str | None, propagate: bool = True) -> list[Author]:
-    """Authors of a line. With propagate, an author without affiliation has those of the next one that has any; groups
-    at the line's start are authors of their own and get none that way."""
-    tokens = split_line(line)
-    names = [tidy(t) for t in tokens if re.match(r"^[^](,]", t)]
-    names = [n for n in names if not _ET_AL.match(n)]
+    """Authors of a line. The note right after a name has its affiliation, or numbers of a list that stands in a note of
+    its own (numbers that aren't listed are lost). With propagate, authors without affiliation get those of the next one
+    that has any; groups at the line's start are authors of their own and get none that way."""
+    parts = Scanner(line).parts if line else []
+    numbers = {n: a for kind, text in parts if kind == "note" for n, a in listed(text).items()}
     out: list[Author] = []
-    while names and (m := GROUP.search(names[0])):
-        out.append(Author(m[1]))
-        del names[: 2 if len(names) > 1 and names[1] in (",", ":") else 1]
-    groups = len(out)
-    by_number = numbered(line) if line else {}
-    for name in names:
-        m = next((m for shape in _SHAPES if (m := shape.match(name))), None)
-        part = m.groupdict() if m else {"key": name}
-        key = " ".join(part[k] for k in ("a", "b", "key") if part.get(k))
-        out.append(Author(key, part.get("first") or "", part.get("suffix") or "", affiliations(line, name, by_number)))
-    if propagate:
-        last: list[str] = []
-        for author in reversed(out[groups:]):
-            last = author.affiliations = author.affiliations or list(last)
+    waiting: list[Author] = []
+    people = False
+    for (kind, text), (next_kind, note) in zip(parts, [*parts[1:], ("", "")], strict=False):
+        if kind != "name" or re.match(r"et\b\.?\s+al\b", text, re.I):
+            continue
+        group = None if people else GROUP.search(text)
+        if group:
+            out.append(Author(group[1]))
+            continue
+        people = True
+        author = person(spread(text))
+        said = re.match(r"[^()]*", note[1:])[0].strip() if next_kind == "note" else ""
+        if said and not re.sub(r"[\d,\s]", "", said):
+            author.affiliations = [numbers[n] for n in said.split(",") if n in numbers]
+        elif said:
+            author.affiliations = [said]
+        out.append(author)
+        waiting.append(author)
+        if author.affiliations:
+            if propagate:
+                for a in waiting:
+                    a.affiliations = list(author.affiliations)
+            waiting = []
     return out
 
 

@@ -32,6 +32,7 @@ def _any(names: list[str]) -> str:
 def patterns(last_year: int = 19) -> dict[str, str]:
     """The patterns by name, in the syntax that Java, RE2 and Python share. Identifiers may be dated 1991 to 20yy, yy
     being last_year (19 unless changed: later ones are then not found)."""
+    # The grammar of identifiers in prose and the order of its alternatives, which decide what is found
     tens, ones = divmod(last_year, 10)
     year = "|".join(filter(None, [f"[0-{tens - 1}][0-9]" if tens else "", f"{tens}[0-{ones}]", "9[1-9]"]))
     stamp = rf"(?:{year})(?:0[1-9]|1[0-2])"
@@ -61,8 +62,11 @@ def found(text: Column, pattern: str) -> Column:
 
 
 def references(text: Column, pattern: str = PATTERNS["flexible"]) -> Column:
-    """Distinct canonical identifiers in a text, sorted. Texts without any plain identifier skip the long pattern."""
-    return F.when(F.rlike(text, F.lit(JAVA + PATTERNS["simple"])), F.array_sort(F.array_distinct(F.transform(found(text, pattern), clean)))).otherwise(F.array().cast("array<string>"))
+    """Distinct canonical identifiers in a text, sorted. The pattern runs only over lines that hold a plain identifier,
+    up to the last one, so a hint after which no identifier follows never makes it search the rest of a line."""
+    upto = F.transform(F.split(text, "\n"), lambda line: F.regexp_extract(line, JAVA + "^.*" + PATTERNS["simple"], 0))
+    some = F.flatten(F.transform(F.filter(upto, lambda line: line != ""), lambda line: found(line, pattern)))
+    return F.array_sort(F.array_distinct(F.transform(some, clean)))
 
 
 def strip_version(name: Column) -> Column:

@@ -41,42 +41,99 @@ SIGNS = {"P": "¶", "S": "§", "copyright": "©", "guillemotleft": "«", "guille
 ACCENTED = {command + letter: unicodedata.normalize("NFC", letter + mark) for command, (mark, letters) in ACCENTS.items() for letter in letters}
 
 
-def _command(names: dict[str, str]) -> re.Pattern:
-    """A command, in braces or else with what ends it: an escaped space (the space stays), a space or {}."""
-    body = r"\\(?P<{}>" + "|".join(names) + r")(?:\b|(?=_))"
-    return re.compile(r"\{" + body.format("inner") + r"\}|" + body.format("bare") + r"(?:\\(?= )| |\{\})?")
-
-
-_LETTERS, _SIGNS = _command(LETTERS), _command(SIGNS)
-_NESTED = re.compile(r"\{\{([^}]*)\}\}")
-_AFTER_SLASH = re.compile(r"/(\\['`^\"~=.uvH])\{\\([ij])\}")
-
-
-def _look_up(names: dict[str, str]):
-    return lambda m: names[m["inner"] or m["bare"]]
-
-
-def _accent(m: re.Match) -> str:
-    """The letter with its accent; of a pair that is not known its word characters stay."""
-    key = "".join(m.groups())
-    return ACCENTED.get(key) or re.sub(r"\W+", "", key)
+# A command of letters or of one other character, a brace, or what is between.
+_TOKEN = re.compile(r"\\[A-Za-z]+|\\.|[{}]|[^\\{}]+|\\", re.S)
+#: Commands that put an accent on what follows: signs take a letter, with or without braces; letters one in braces.
+_SIGNS_ABOVE, _LETTERS_ABOVE = set("'`^\"~=."), set("Hckoruv")
+
+
+class _Reader:
+    """Reads tokens once, from left to right; a group in braces is read by a call of its own."""
+
+    def __init__(self, text: str, letters: bool):
+        self.tokens, self.at = _TOKEN.findall(text), 0
+        self.names = SIGNS | (LETTERS if letters else {})
+
+    def peek(self, ahead: int = 0) -> str:
+        return self.tokens[self.at + ahead] if self.at + ahead < len(self.tokens) else ""
+
+    def take(self) -> None:
+        """Passes over the first character of the next token."""
+        self.tokens[self.at] = self.tokens[self.at][1:]
+        self.at += not self.tokens[self.at]
+
+    def group(self) -> tuple[str, bool]:
+        """What is in the braces that open here, and whether they close. Braces directly within braces are one pair; those
+        around a single letter or sign command go with it."""
+        self.at += 1
+        if self.peek()[:1] == "\\" and self.peek(1) == "}" and (name := self.peek()[1:]) and (name in self.names or name == "j"):
+            self.at += 2
+            return self.names.get(name, "j"), True
+        inside, whole = self.read(nested=True)
+        if not whole:
+            return "{" + inside, False
+        self.at += 1
+        doubled = inside.startswith("{") and inside.find("}") == len(inside) - 1
+        return (inside if doubled else "{" + inside + "}"), True
+
+    def read(self, nested: bool = False) -> tuple[str, bool]:
+        """The text up to the brace that closes the group read (or the end), and whether that brace is there."""
+        out = []
+        while self.at < len(self.tokens):
+            token = self.peek()
+            if token == "}" and nested:
+                return "".join(out), True
+            if token == "{":
+                out.append(self.group()[0])
+                continue
+            self.at += 1
+            out.append(self.command(token) if token[0] == "\\" and len(token) > 1 else token)
+        return "".join(out), False
+
+    def command(self, token: str) -> str:
+        name, after = token[1:], self.peek()
+        if name in self.names and not re.match(r"\w", after[:1].replace("_", " ")):
+            return self.names[name] + self.skip()
+        if name == "j" and after[:1].isspace():
+            self.take()
+            return name
+        if name in _SIGNS_ABOVE and re.match("[a-zA-Z]", after):
+            self.take()
+            return self.accent(name, after[0])
+        if after == "{" and (name in _SIGNS_ABOVE or name in _LETTERS_ABOVE or name == "t"):
+            base = self.group()[0]
+            letter = base[1:-1]
+            if name == "t":
+                return letter if len(letter) == 1 and base[0] == "{" else token + base
+            return self.accent(name, letter) if re.fullmatch(r"\{[a-zA-Z]\}", base) else token + base
+        return token
+
+    def skip(self) -> str:
+        """Passes over what ends a command: {}, a space, or the backslash of an escaped space."""
+        if self.peek() == "{" and self.peek(1) == "}":
+            self.at += 2
+        elif self.peek() == "\\ ":
+            self.at += 1
+            return " "
+        elif self.peek().startswith(" "):
+            self.take()
+        return ""
+
+    @staticmethod
+    def accent(command: str, letter: str) -> str:
+        """The letter with its accent; of a pair that is not known, the letters."""
+        return ACCENTED.get(command + letter) or (command if command.isalpha() else "") + letter
 
 
 def decode(text: str | None, letters: bool = True) -> str | None:
-    """One string. Steps: dotless letters after a slash; letters; signs; \\j; doubled braces; accents by sign, without
-    and with braces; accents by letter; \\t{x}. letters=False leaves letters alone."""
+    """One string. Commands for letters, signs and accents become characters, doubled braces single ones; whatever is not
+    known stays as it is. letters=False leaves letters alone."""
     if not text or "\\" not in text and "{{" not in text:
         return text
-    out = _AFTER_SLASH.sub(r"\1\{\2\}", text)
-    if letters:
-        out = _LETTERS.sub(_look_up(LETTERS), out)
-    out = _SIGNS.sub(_look_up(SIGNS), out)
-    out = re.sub(r"\{\\j\}|\\j\s", "j", out)
-    while _NESTED.search(out):
-        out = _NESTED.sub(r"{\1}", out)
-    for pattern in (r"\\([\'`^\"~=.][a-zA-Z])", r"\\([\'`^\"~=.])\{([a-zA-Z])\}", r"\\([Hckoruv])\{([a-zA-Z])\}"):
-        out = re.sub(pattern, _accent, out)
-    return re.sub(r"\\t\{([^}])\}", r"\1", out)
+    reader, out = _Reader(text, letters), ""
+    while reader.at < len(reader.tokens):
+        out += reader.read()[0]
+    return out
 
 
 @F.pandas_udf(T.StringType())

@@ -67,31 +67,31 @@ def without_junk(text: Column) -> Column:
     return F.regexp_replace(text, JUNK, "")
 
 
-def _stamp() -> str:
-    """The banner that runs along a first page: identifier, class in brackets and date, with spaces anywhere."""
-    digit, letter = r"\s*\d\s*", r"\s*[a-zA-Z.\-]\s*"
-    number = rf"(?:(?:{digit}){{4}}\.(?:{digit}){{4,5}}|(?:{digit}){{7}})"
-    return rf"\s*a\s*r\s*X\s*i\s*v\s*:\s*{number}(?:\s*[vV]\s*\d+\s*)?\[(?:{letter})+\](?:{digit})+(?:{letter})+(?:{digit}){{2,4}}"
-
-
-STAMP = _stamp()
+# Fixed value: the banner that runs along a first page, without its white space: identifier, class in brackets, date.
+STAMP = r"arXiv:(?:\d{4}\.\d{4,5}|\d{7})(?:[vV]\d+)?\[[a-zA-Z.\-]+\]\d+[a-zA-Z.\-]+\d{2,4}"
 
 
 def remove_stamp(text: Column, within: int = 1000) -> Column:
     """Removes the banner from the first characters, as it stands or else back to front. What is left of these
     characters is trimmed on both sides of the cut and joined by a space, so a text that began with the banner begins
-    with a space."""
+    with a space.
+
+    White space may stand anywhere in a banner. So it is looked for in the characters without white space, and where it
+    begins and ends there, in characters, is counted off again in the text.
+    """
     head, tail = F.substring(text, 1, within), F.substr(text, F.lit(within + 1))
+    squeeze = lambda s: F.regexp_replace(s, SPACES, "")
+    strip = lambda s: F.regexp_replace(s, r"(?U)^\s+|\s+$", "")
+    first = lambda s, n: F.coalesce(F.regexp_substr(s, F.concat(F.lit(r"(?U)^(?:\s*\S){"), n.cast("string"), F.lit("}"))), F.lit(""))
 
     def cut(s: Column) -> Column:
-        at = F.regexp_instr(s, F.lit("(?U)" + STAMP))
-        size = F.length(F.regexp_extract(s, "(?U)(" + STAMP + ")", 1))
-        strip = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-        return F.concat(strip(F.substr(s, F.lit(1), at - 1)), F.lit(" "), strip(F.substr(s, at + size)))
+        start = F.regexp_instr(squeeze(s), F.lit(STAMP)) - 1
+        end = start + F.length(F.regexp_extract(squeeze(s), STAMP, 0))
+        return F.concat(strip(first(s, start)), F.lit(" "), strip(F.substr(s, F.length(first(s, end)) + 1)))
 
-    mark = F.lit("(?U)" + STAMP)
     back = F.reverse(head)
-    return F.when(F.rlike(head, mark), F.concat(cut(head), tail)).when(F.rlike(back, mark), F.concat(F.reverse(cut(back)), tail)).otherwise(text)
+    has = lambda s: F.rlike(squeeze(s), F.lit(STAMP))
+    return F.when(has(head), F.concat(cut(head), tail)).when(has(back), F.concat(F.reverse(cut(back)), tail)).otherwise(text)
 
 
 def numeric_order(path: Column) -> list[Column]:

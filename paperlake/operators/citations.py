@@ -34,7 +34,7 @@ def from_json(lines: DataFrame) -> DataFrame:
 
 def error_rate(fulltext: DataFrame, known: DataFrame, pattern: str = ids.PATTERNS["simple"]) -> DataFrame:
     """One row: matches, and the share whose canonical id is not known."""
-    m = fulltext.select(F.explode(ids.found(F.col("text"), pattern)).alias("m")).select(ids.clean(F.col("m")).alias("id"))
+    m = fulltext.select(F.explode_outer(ids.found(F.col("text"), pattern)).alias("m")).where("m IS NOT NULL").select(ids.clean(F.col("m")).alias("id"))
     hit = m.join(known.select("id", F.lit(True).alias("known")).distinct(), "id", "left")
     return hit.agg(F.count("*").alias("matches"), F.avg(F.col("known").isNull().cast("double")).alias("error_rate"))
 

@@ -14,8 +14,8 @@ from .shared import connected, save
 def edges(citations: DataFrame, nodes: DataFrame, directed: bool = True, cleaned: bool = True) -> DataFrame:
     """src, dst of citations (id, refs) within nodes (id): canonical targets, no self-citations, no parallel edges.
     Undirected edges go from the smaller id to the larger."""
-    ref = F.explode("refs")
-    e = citations.select(F.col("id").alias("src"), ref.alias("dst"))
+    # the outer form: the inner one makes Spark compute refs a second time to filter out empty ones
+    e = citations.select(F.col("id").alias("src"), F.explode_outer("refs").alias("dst")).where("dst IS NOT NULL")
     if cleaned:
         e = e.withColumn("dst", clean_node(F.col("dst")))
     e = e.where("src <> dst").join(nodes.select(F.col("id").alias("dst")), "dst", "left_semi")

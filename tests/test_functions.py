@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperlake.functions import authors, ids, tex, text
 
+# Citations as they stand in papers, and what is to be found in them.
 CITED = {
     "arXiv:quant-ph 1503.01017v3": ["1503.01017v3"],
     "math. RT/0903.2992": ["0903.2992"],
@@ -56,6 +57,26 @@ def test_path_to_id(spark, path, name):
 TEX = {r"\"{o}": "ö", r"\'e": "é", r"\c{c}": "ç", r"\v{s}": "š", r"S\o ren": "Søren", r"\L{}ukasz": "Łukasz", r"{\ss}": "ß", r"\upsilon": r"\upsilon", r"\c{x}": "cx", "{{x}}": "{x}", "plain": "plain", "": "", None: None}
 
 
+MORE_TEX = {
+    r"\alpha_1 \alpha1": r"α_1 \alpha1",
+    r'G\"odel, \L\'od\'z': "Gödel, Łódź",
+    r'\"{{o}}': "ö",
+    r"{\'e}": "{é}",
+    r"\'b": "b",
+    r"\t{x} \j x": "x jx",
+    r"Erd\H{o}s, P\'olya": "Erdős, Pólya",
+    r"\AA\ ngstrom": "Å ngstrom",
+    r"a } b { c \'e": "a } b { c é",
+    r"\unknown{x} \'{ab}": r"\unknown{x} \'{ab}",
+    "\\": "\\",
+}
+
+
+def test_tex_by_tokens():
+    assert {k: tex.decode(k) for k in MORE_TEX} == MORE_TEX
+    assert tex.decode(r"\o \'o", letters=False) == r"\o ó"
+
+
 def test_tex(spark):
     assert {k: tex.decode(k) for k in TEX} == TEX
     assert len(tex.ACCENTED) == 185 and all(len(v) == 1 for v in tex.ACCENTED.values())
@@ -63,6 +84,7 @@ def test_tex(spark):
     assert {r["t"]: r["u"] for r in rows.select("t", tex.tex_to_utf("t").alias("u")).collect()} == TEX
 
 
+# Author lines as they stand in records.
 LINES = {
     "A. Losev, S. Shadrin, I. Shneiberg": "Losev, A.; Shadrin, S.; Shneiberg, I.",
     r"C. Bal\'azs, E. L. Berger, P. M. Nadolsky, C.-P. Yuan": "Balázs, C.; Berger, E. L.; Nadolsky, P. M.; Yuan, C. -P.",
