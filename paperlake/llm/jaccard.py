@@ -241,8 +241,8 @@ def verified(members: DataFrame, similarity: float, words: int) -> DataFrame:
             ends = [np.searchsorted(s, np.array([2**64 * k // ranges for k in range(1, ranges)], U)) for s in sets]
             ends = np.array([[0, *e, m] for e, m in zip(ends, n.tolist(), strict=True)])
             for k in range(ranges):
-                own = [s[a:b] for s, a, b in zip(sets, ends[:, k], ends[:, k + 1], strict=True)]
-                _, which = np.unique(np.concatenate(own), return_inverse=True)
+                part = [s[a:b] for s, a, b in zip(sets, ends[:, k], ends[:, k + 1], strict=True)]
+                _, which = np.unique(np.concatenate(part), return_inverse=True)
                 row = np.repeat(np.arange(len(sets)), ends[:, k + 1] - ends[:, k])
                 order = np.argsort(which, kind="stable")
                 which, row = which[order], row[order]
