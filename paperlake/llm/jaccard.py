@@ -19,9 +19,10 @@ from .hashing import U, WordHashes, mix, shingles
 #: after which sets that are alike for sure leave; and the largest bucket that is compared pair by pair where it stands.
 TARGET, DEPTH, FIRST, SMALL = 0.9999, 3, 4, 64
 #: Coordinates of a sketch (one byte each); how many must agree before two sets are looked at closely; and from how many
-#: on a set is alike for sure to its bucket's head. What links to such a set at 0.8 is at 0.6 or so to the head (by the
-#: triangle inequality), where fewer than NEAR agree in one of 8,000 pairs, and at 0.8 in none of 10**12.
-SKETCH, NEAR, SURE = 64, 24, 58
+#: on a set is alike enough to its bucket's head to be left to it. That happens at 0.8 or so; what links to such a set at
+#: 0.8 is then at 0.6 or so to the head (by the triangle inequality), where fewer than NEAR agree in one of 100,000
+#: pairs, and at 0.8 in none of 10**12.
+SKETCH, NEAR, SURE = 64, 22, 52
 #: Sets that one task compares with as many others at a time, and about how many of their n-grams are held for it.
 BLOCK, SLICE = 128, 1 << 18
 
