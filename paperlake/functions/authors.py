@@ -44,7 +44,8 @@ class Scanner:
             elif c in "(,:" or c.isspace():
                 if c.isspace() and spaced and word in ("and", "&"):
                     self.name()
-                    self.parts.append(("mark", ","))
+                    if (self.parts or [None])[-1] != ("mark", ","):
+                        self.parts.append(("mark", ","))
                 elif word:
                     self.words.append(word)
                 word, spaced = "", c.isspace()
@@ -52,7 +53,7 @@ class Scanner:
                     self.name()
                     if c == "(":
                         depth, opened = 1, i
-                    else:
+                    elif ("mark", c) != (self.parts or [None])[-1] or c != ",":
                         self.parts.append(("mark", c))
             else:
                 word += c
@@ -166,6 +167,11 @@ def parse_authors(lines: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"authors": rows, "error": errors})
 
 
+def without_repeats(tokens: Column, mark: str = ",") -> Column:
+    """An array of tokens in which no `mark` follows another."""
+    return F.filter(tokens, lambda t, i: (i == 0) | (t != mark) | (F.get(tokens, i - 1) != mark))
+
+
 def author_line(authors: Column) -> Column:
     """`keyname, firstnames; keyname, firstnames` of parsed authors."""
     return F.array_join(F.transform(authors, lambda a: F.array_join(F.filter(F.array(a["keyname"], a["firstnames"]), lambda x: x != ""), ", ")), "; ")

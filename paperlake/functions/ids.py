@@ -96,6 +96,12 @@ def clean_node(name: Column) -> Column:
     return strip_version(format_archive(name))
 
 
+def clean_variant(name: Column) -> Column:
+    """A spelling of clean() in use that takes everything from the first 'v' on for the version, so that archives with a
+    'v' in their name lose what follows it."""
+    return reduce(lambda c, f: f(c), (lambda c: F.split_part(c, F.lit("v"), F.lit(1)), format_archive, pad_number), name)
+
+
 def path_to_id(path: Column) -> Column:
     """Identifier of an article's text file; a version in an old-style file name is dropped."""
     base = F.regexp_replace(F.substring_index(path, "/", -1), r"\.[^./]*$", "")
@@ -109,6 +115,11 @@ def id_to_path(name: Column, root: str = "") -> Column:
     return F.when(new, F.concat(F.lit(f"{root}arxiv/"), F.split_part(name, F.lit("."), F.lit(1)), F.lit("/"), name, F.lit(".txt"))).otherwise(F.concat(F.lit(root), archive, F.lit("/"), F.substring(number, 1, 4), F.lit("/"), archive, number, F.lit(".txt")))
 
 
+def file_to_path(name: Column, root: str = "") -> Column:
+    """The same by the name of the article's text file."""
+    return id_to_path(path_to_id(name), root)
+
+
 def id_to_member(name: Column) -> Column:
     """Where the PDF of an article is in its bulk archive."""
     new = F.contains(name, F.lit("."))

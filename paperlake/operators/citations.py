@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +13,15 @@ def extract(fulltext: DataFrame, pattern: str = ids.PATTERNS["flexible"]) -> Dat
     return fulltext.select("id", F.coalesce(ids.references(F.col("text"), pattern), F.array().cast("array<string>")).alias("refs"))
 
 
+def extract_files(files: DataFrame, pattern: str = ids.PATTERNS["flexible"]) -> DataFrame:
+    """id, refs, error of text files (path, content: bytes): a file that isn't UTF-8 has no refs and an error, and the
+    others go on."""
+    text = F.try_validate_utf8(F.col("content").cast("string"))
+    rows = files.select(ids.path_to_id(F.col("path")).alias("id"), text.alias("text"), F.when(F.col("content").isNull(), "no content").when(text.isNull(), "not UTF-8").alias("error"))
+    refs = F.when(F.col("error").isNull(), F.coalesce(ids.references(F.col("text"), pattern), F.array().cast("array<string>")))
+    return rows.select("id", refs.alias("refs"), "error")
+
+
 def merged(citations: DataFrame) -> DataFrame:
     """One row an id: of several that whose list is the longest, then the greatest."""
     return citations.groupBy("id").agg(F.max_by("refs", F.struct(F.size("refs"), "refs")).alias("refs"))
@@ -40,17 +45,13 @@ def error_rate(fulltext: DataFrame, known: DataFrame, pattern: str = ids.PATTERN
 
 
 def contexts(fulltext: DataFrame, pattern: str, pad: int = 10) -> DataFrame:
-    """id, context: matches with `pad` characters on either side; the left side ends at the match before."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        find = re.compile(pattern)
-        for f in frames:
-            rows = []
-            for i, text in zip(f["id"], f["text"], strict=True):
-                end = 0
-                for m in find.finditer(text or ""):
-                    rows.append((i, text[max(end, m.start() - pad) : m.end() + pad]))
-                    end = m.end()
-            yield pd.DataFrame(rows, columns=["id", "context"])
-
-    return fulltext.select("id", "text").mapInPandas(run, "id string, context string")
+    """id, context: matches with `pad` characters on either side; the left side ends at the match before. The texts
+    between matches and the matches are two arrays, from which each context is put together."""
+    java = F.lit(ids.JAVA + pattern)
+    rows = fulltext.select("id", F.regexp_extract_all("text", java, F.lit(0)).alias("m"), F.split("text", ids.JAVA + pattern, -1).alias("between")).where(F.size("m") > 0)
+
+    def one(match, i):
+        after = F.array_join(F.flatten(F.transform(F.sequence(i, F.least(i + pad, F.size("m") - 1)), lambda k: F.array(F.when(k > i, F.get("m", k)).otherwise(""), F.get("between", k + 1)))), "")
+        return F.concat(F.right(F.get("between", i), F.lit(pad)), match, F.left(after, F.lit(pad)))
+
+    return rows.select("id", F.explode(F.transform("m", one)).alias("context"))

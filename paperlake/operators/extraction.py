@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import multiprocessing
+import os
+import subprocess
+import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,6 +17,61 @@ from pyspark.sql import functions as F
 Extractor = Callable[[bytes], str]
 
 
+def within(extractor: Extractor, seconds: float) -> Extractor:
+    """The extractor in a process of its own, which is ended when it takes longer: a file that hangs costs its time and
+    not the task."""
+
+    def work(pipe, content: bytes) -> None:
+        try:
+            pipe.send((extractor(content), None))
+        except BaseException as e:
+            pipe.send((None, f"{type(e).__name__}: {e}"))
+
+    def run(content: bytes) -> str:
+        fork = multiprocessing.get_context("fork")
+        here, there = fork.Pipe(False)
+        child = fork.Process(target=work, args=(there, content))
+        child.start()
+        there.close()
+        try:
+            if not here.poll(seconds):
+                raise TimeoutError(f"more than {seconds:g} seconds")
+            text, error = here.recv()
+        except EOFError:
+            text, error = None, "the extractor ended without a text"
+        finally:
+            child.kill()
+            child.join()
+            here.close()
+        if error:
+            raise RuntimeError(error)
+        return text
+
+    return run
+
+
+def command(*line: str, seconds: float = 120, suffix: str = ".pdf") -> Extractor:
+    """An external tool with a time limit. line: its words, of which IN and OUT stand for the file's path and the text's."""
+
+    def run(content: bytes) -> str:
+        with tempfile.TemporaryDirectory() as folder:
+            at = {"IN": os.path.join(folder, f"in{suffix}"), "OUT": os.path.join(folder, "out.txt")}
+            with open(at["IN"], "wb") as f:
+                f.write(content)
+            done = subprocess.run([at.get(w, w) for w in line], timeout=seconds, capture_output=True, check=False)
+            if done.returncode or not os.path.exists(at["OUT"]):
+                raise RuntimeError(done.stderr.decode("utf-8", "replace").strip()[-500:] or f"status {done.returncode}")
+            with open(at["OUT"], encoding="utf-8", errors="replace") as f:
+                return f.read()
+
+    return run
+
+
+def pdf_tools(seconds: float = 120) -> list[Extractor]:
+    """The usual tools for PDF, in the order in which they are tried; the last one reads the layout anew."""
+    return [command("pdftotext", "IN", "OUT", seconds=seconds), command("pdf2txt.py", "-o", "OUT", "IN", seconds=seconds), command("pdf2txt.py", "-A", "-o", "OUT", "IN", seconds=seconds)]
+
+
 def extract(files: DataFrame, extractors: list[Extractor], normalise: Callable[[str], str] = lambda t: t, most: float = 45.0) -> DataFrame:
     """id, text, error: the first extractor whose text has words of `most` characters or fewer on average. Files: id,
     content. A file that all fail on keeps the last error; the others go on."""
@@ -43,13 +102,15 @@ def pending(files: DataFrame, done: DataFrame) -> DataFrame:
 
 
 def hashed_bag(texts: list[str], dim: int = 64) -> np.ndarray:
-    """A deterministic stand-in for a trained encoder: signed hashed words, of unit length."""
-    out = np.zeros((len(texts), dim), np.float32)
+    """A deterministic stand-in for a trained encoder: words signed and placed by their md5, of unit length."""
+    out, seen = np.zeros((len(texts), dim)), {}
     for i, t in enumerate(texts):
         for w in t.lower().split():
-            h = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
-            out[i, h % dim] += 1 if h >> 63 else -1
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+            h = seen.get(w)
+            if h is None:
+                h = seen[w] = int(hashlib.md5(w.encode("utf-8", "surrogatepass")).hexdigest()[:15], 16)
+            out[i, h // 2 % dim] += 1 if h % 2 else -1
+    return (out / np.maximum(np.sqrt((out * out).sum(1, keepdims=True)), 1e-12)).astype(np.float32)
 
 
 def embed(fulltext: DataFrame, encoder: Callable[[list[str]], np.ndarray] = hashed_bag) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import drop, save
+from .shared import drop, positions, save, small_enough
 
 
 def primary_category(categories: Column) -> Column:
@@ -29,11 +29,12 @@ def label_cut_compat(label: Column) -> Column:
 
 
 def encode_labels(rows: DataFrame, column: str, into: str = "label") -> DataFrame:
-    """Numbers by sorted label, the same in every run; and the one-hot form. Labels are a small vocabulary, ranked in a
-    table of their own."""
-    names = rows.select(column).distinct().withColumn(into, F.row_number().over(Window.orderBy(column)) - 1).withColumn("width", F.count("*").over(Window.partitionBy()))
-    out = rows.join(F.broadcast(names), column)
-    return out.withColumn("one_hot", F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda i: (i == F.col(into)).cast("int"))).drop("width")
+    """Numbers by sorted label, the same in every run; and the one-hot form. The vocabulary is numbered in a table of its
+    own, which is broadcast if it is small."""
+    names = save(positions(rows.select(column).distinct(), column, into="place"), "labels")
+    width = names.count()
+    out = rows.join(small_enough(names), column).withColumn(into, F.col("place") - 1).drop("place")
+    return out.withColumn("one_hot", F.transform(F.sequence(F.lit(0), F.lit(max(width - 1, 0))), lambda i: (i == F.col(into)).cast("int")))
 
 
 def counts_by_category(rows: DataFrame, column: str) -> DataFrame:
@@ -85,9 +86,11 @@ def metrics(scores: DataFrame, label: str = "label", probability: str = "probabi
     return scores.agg(*top, F.sum(ll).alias("loglikelihood"), F.exp(-F.avg(ll)).alias("perplexity"))
 
 
-def train_and_score(rows: DataFrame, features: list[str], iterations: int = 50, regularization: float = 1e-7) -> DataFrame:
-    """Scores of the rows outside the training split by one logistic model per label, normalised to sum to one.
-    rows: id, label, train, and array columns of features."""
+def train_and_score(rows: DataFrame, features: list[str], iterations: int = 50, regularization: float = 1e-7, classifier=None) -> DataFrame:
+    """Scores of the rows outside the training split by one model per label, normalised to sum to one. rows: id, label,
+    train, and array columns of features. classifier: makes an estimator of names of columns (labelCol, featuresCol,
+    probabilityCol, rawPredictionCol, predictionCol); a logistic model unless given."""
+    classifier = classifier or (lambda **names: LogisticRegression(maxIter=iterations, regParam=regularization, **names))
     vectors = rows.select("id", "label", "train", *[array_to_vector(F.transform(f, lambda x: x.cast("double"))).alias(f) for f in features])
     vectors = VectorAssembler(inputCols=features, outputCol="all").transform(vectors)
     scaled = StandardScaler(inputCol="all", outputCol="features", withMean=False).fit(vectors.where("train")).transform(vectors).select("id", "label", "train", "features")
@@ -95,7 +98,7 @@ def train_and_score(rows: DataFrame, features: list[str], iterations: int = 50,
     labels = sorted(r[0] for r in train.select("label").distinct().collect())
     width = max(labels) + 1
     for k in labels:
-        one = LogisticRegression(labelCol="own", featuresCol="features", probabilityCol=f"p{k}", rawPredictionCol=f"r{k}", predictionCol=f"y{k}", maxIter=iterations, regParam=regularization)
+        one = classifier(labelCol="own", featuresCol="features", probabilityCol=f"p{k}", rawPredictionCol=f"r{k}", predictionCol=f"y{k}")
         out = one.fit(train.withColumn("own", (F.col("label") == k).cast("double"))).transform(out)
     train.unpersist()
     odds = out.select("id", "label", F.array(*[vector_to_array(f"p{k}")[1] if k in labels else F.lit(0.0) for k in range(width)]).alias("odds"))
@@ -190,6 +193,21 @@ def chebyshev(laplacian: DataFrame, features: DataFrame, order: int = 2) -> list
     return out[: order + 1]
 
 
+def masked(rows: DataFrame, index: DataFrame, into: str = "mask", key: str = "i") -> DataFrame:
+    """rows with a flag: whether their key is in index (a column of that name)."""
+    known = index.select(key).distinct().withColumn(into, F.lit(True))
+    return rows.join(known, key, "left").withColumn(into, F.coalesce(into, F.lit(False)))
+
+
+def split_by_place(rows: DataFrame, train: int, valid: int, test: DataFrame, key: str = "i") -> DataFrame:
+    """rows with `split`: the test set is listed; of the others the first by key train, the next validate, the rest have
+    none."""
+    tested = masked(rows, test, "__test", key)
+    free = positions(tested.where("NOT __test").select(key), key)
+    split = F.when(F.col("__test"), "test").when(F.col("position") <= train, "train").when(F.col("position") <= train + valid, "valid").otherwise("none")
+    return tested.join(free, key, "left").withColumn("split", split).drop("__test", "position")
+
+
 def masked_accuracy(scores: DataFrame, mask: str = "mask") -> DataFrame:
     """Accuracy and mean cross-entropy over the rows of a mask."""
     p, y = F.col("probability"), F.col("label")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import clean_node
-from .shared import connected, save
+from .shared import connected, positions, save
 
 
 def edges(citations: DataFrame, nodes: DataFrame, directed: bool = True, cleaned: bool = True) -> DataFrame:
@@ -55,6 +55,22 @@ def largest(nodes: DataFrame, e: DataFrame) -> tuple[DataFrame, DataFrame]:
     return inside, kept.select("src", "dst")
 
 
+def first_nodes(nodes: DataFrame, e: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """The first n nodes, by id, of the largest component: id, i (from 0); and the edges among them by these numbers (src,
+    dst)."""
+    inside, kept = largest(nodes, e)
+    few = save(positions(inside.orderBy("id").limit(n), "id").select("id", (F.col("position") - 1).alias("i")), "first")
+    named = lambda end: few.select(F.col("id").alias(end), F.col("i").alias(f"{end}_i"))
+    return few, kept.join(named("src"), "src").join(named("dst"), "dst").select(F.col("src_i").alias("src"), F.col("dst_i").alias("dst"))
+
+
+def aligned(numbered: DataFrame, *tables: DataFrame) -> DataFrame:
+    """Numbered nodes (id, i) with the columns of tables that have an id; a node that a table lacks has nulls there."""
+    for t in tables:
+        numbered = numbered.join(t, "id", "left")
+    return numbered
+
+
 def clustering(nodes: DataFrame, e: DataFrame) -> DataFrame:
     """id, clustering: directed clustering coefficient of every node.
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 import io
 import tarfile
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from .shared import positions
+
 FIELDS = ("filename", "md5sum", "first_item", "last_item")
 
 
@@ -30,10 +32,8 @@ def missing(index: DataFrame, done: DataFrame) -> DataFrame:
 
 
 def rerun_order(missing_by_tar: DataFrame) -> DataFrame:
-    """tar, backlog, position: larger backlogs first, of equal ones the later archive first. Archives number in the
-    thousands; the window sees one slim row each."""
-    sized = missing_by_tar.select("tar", F.size("pdfs").alias("backlog"))
-    return sized.withColumn("position", F.row_number().over(Window.orderBy(F.desc("backlog"), F.desc("tar"))))
+    """tar, backlog, position: larger backlogs first, of equal ones the later archive first."""
+    return positions(missing_by_tar.select("tar", F.size("pdfs").alias("backlog")), F.desc("backlog"), F.desc("tar"))
 
 
 def processed(manifest: DataFrame, done: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -54,6 +54,17 @@ def small_enough(df: DataFrame, size: int = 4 << 20) -> DataFrame:
     return F.broadcast(df) if store.getContentSummary(path).getLength() <= size else df
 
 
+def positions(rows: DataFrame, *order, into: str = "position") -> DataFrame:
+    """rows with their place, from 1, in an order: a sort by ranges, whose parts number their rows on their own; what is
+    summed in one task is one number a part."""
+    at = F.monotonically_increasing_id()
+    placed = save(rows.orderBy(*order).withColumn("__at", at).withColumn("__part", F.shiftright("__at", 33)), "sorted")
+    parts = placed.groupBy("__part").agg(F.count("*").alias("n"))
+    before = parts.select("__part", (F.sum("n").over(Window.orderBy("__part")) - F.col("n")).alias("__before"))
+    place = F.col("__before") + F.col("__at").bitwiseAND((1 << 33) - 1) + 1
+    return placed.join(F.broadcast(before), "__part").withColumn(into, place.cast("int")).drop("__part", "__at", "__before")
+
+
 class Union:
     """Numbers joined into sets, each known by its smallest member."""
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import math
 import re
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import authors, ids, tex, text
-from ..operators import citations, extraction, features, graph, manifest, metadata
-from ..sources import corpora
+from ..operators import archives, citations, extraction, features, graph, manifest, metadata, networks
+from ..operators.shared import positions, save, shared_dir
+from ..sources import corpora, stores
 from . import views
 from .views import SQL, SQL_ID, read
 
@@ -94,9 +97,9 @@ def id_format_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loose(spark, sf_dir).select("k", ids.format_archive(ids.strip_version(F.col("raw"))).alias("name"))
 
 
-@query("SELECT k, CASE WHEN NOT contains(raw, '/') AND split_part(raw, '.', 1)::INT > 1500 AND length(split_part(raw, '.', 2)) < 5 THEN split_part(raw, '.', 1) || '.0' || split_part(raw, '.', 2) ELSE raw END AS name FROM (SELECT k, raw FROM loose WHERE k % 3 <> 0)")
+@query("SELECT k, CASE WHEN NOT contains(raw, '/') AND try_cast(split_part(raw, '.', 1) AS INT) > 1500 AND length(split_part(raw, '.', 2)) < 5 THEN split_part(raw, '.', 1) || '.0' || split_part(raw, '.', 2) ELSE raw END AS name FROM loose")
 def id_zeropad(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _loose(spark, sf_dir).where("k % 3 <> 0").select("k", ids.pad_number(F.col("raw")).alias("name"))
+    return _loose(spark, sf_dir).select("k", ids.pad_number(F.col("raw")).alias("name"))
 
 
 @query(f"SELECT k, {_sql_clean('raw')} AS name FROM loose")
@@ -122,7 +125,8 @@ def extraction_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return citations.error_rate(views.fulltext(spark, sf_dir), views.nodes(spark, sf_dir))
 
 
-@query()
+@query(f"""SELECT id, right(b[i], 10) || m[i] || left(b[i + 1] || coalesce(m[i + 1] || b[i + 2], ''), 10) AS context FROM (
+  SELECT id, m, b, unnest(range(1, len(m) + 1)) AS i FROM (SELECT id, regexp_extract_all(text, {_quoted(ids.PATTERNS['simple'])}) AS m, regexp_split_to_array(text, {_quoted(ids.PATTERNS['simple'])}) AS b FROM fulltext))""")
 def context_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return citations.contexts(views.fulltext(spark, sf_dir), ids.PATTERNS["simple"])
 
@@ -132,6 +136,34 @@ def citation_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return citations.from_json(citations.as_json(views.citations(spark, sf_dir))).select("id", F.array_sort("refs").alias("refs"))
 
 
+@query("SELECT id, CASE WHEN n % 2 = 0 THEN refs ELSE list_sort(list_concat(refs, ['x'])) END AS refs FROM (SELECT id, list_sort(list(ref)) AS refs, count(*) AS n FROM refs GROUP BY id)")
+def citation_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two extractions of an article the longer list counts; equal ones are one."""
+    c = views.citations(spark, sf_dir).select("id", F.array_sort("refs").alias("refs"))
+    longer = c.where("size(refs) % 2 = 1").select("id", F.array_sort(F.concat("refs", F.array(F.lit("x")))).alias("refs"))
+    return citations.merged(c.unionByName(longer).unionByName(c.select("id", F.slice("refs", 1, 1).alias("refs"))))
+
+
+@query(f"""SELECT id, CASE WHEN NOT bad THEN list_sort(list_distinct(list_transform({_sql_found(ids.PATTERNS['simple'])}, lambda x: {_sql_clean('x')}))) END AS refs, CASE WHEN bad THEN 'not UTF-8' END AS error
+  FROM (SELECT id, text, length(text) % 7 = 0 AS bad FROM fulltext)""")
+def citation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Citations of files, some of which aren't text."""
+    t = views.fulltext(spark, sf_dir)
+    content = F.concat(F.when(F.length("text") % 7 == 0, F.unhex(F.lit("FF"))).otherwise(F.lit("").cast("binary")), F.encode("text", "UTF-8"))
+    return citations.extract_files(t.select(ids.id_to_path(F.col("id")).alias("path"), content.alias("content")), ids.PATTERNS["simple"])
+
+
+@query(f"SELECT k, CASE WHEN contains(n, '/') THEN CASE split_part(split_part(n, '/', 1), '.', 1) {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in sorted(ids.HYPHENS.items()))} ELSE split_part(split_part(n, '/', 1), '.', 1) END || '/' || split_part(n, '/', 2) WHEN try_cast(split_part(n, '.', 1) AS INT) > 1500 AND length(split_part(n, '.', 2)) < 5 THEN split_part(n, '.', 1) || '.0' || split_part(n, '.', 2) ELSE n END AS name FROM (SELECT k, split_part(raw, 'v', 1) AS n FROM loose)")
+def id_clean_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _loose(spark, sf_dir).select("k", ids.clean_variant(F.col("raw")).alias("name"))
+
+
+@query("SELECT replace(id, '/', '') || '.txt' AS file, CASE WHEN contains(id, '.') THEN 'arxiv/' || split_part(id, '.', 1) || '/' || id || '.txt' ELSE split_part(id, '/', 1) || '/' || substr(split_part(id, '/', 2), 1, 4) || '/' || replace(id, '/', '') || '.txt' END AS path FROM nodes")
+def id_file_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    file = F.concat(F.replace(F.col("id"), F.lit("/"), F.lit("")), F.lit(".txt"))
+    return views.nodes(spark, sf_dir).select(file.alias("file")).select("file", ids.file_to_path(F.col("file")).alias("path"))
+
+
 # --- citation graph --------------------------------------------------------------------------------------------------
 
 
@@ -163,7 +195,7 @@ def graph_degree_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.histogram(graph.degrees(*_graph(spark, sf_dir)), "in_degree")
 
 
-@query()
+@query(f"SELECT CASE WHEN hi = lo THEN 0 ELSE least(floor((x - lo) * 50 / (hi - lo)), 49) END::INT AS bin, count(*) AS n FROM (SELECT log10(in_degree) AS x FROM {_DEGREES} WHERE in_degree > 0), (SELECT min(log10(in_degree)) AS lo, max(log10(in_degree)) AS hi FROM {_DEGREES} WHERE in_degree > 0) GROUP BY 1")
 def graph_degree_log_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.log_histogram(graph.degrees(*_graph(spark, sf_dir)), "in_degree")
 
@@ -218,9 +250,28 @@ def powerlaw_fixed_xmin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit.select("xmin", "tail", F.round("alpha", 8).alias("alpha"))
 
 
-@query()
+@query(f"""SELECT xmin::DOUBLE AS xmin, round(alpha, 6) AS alpha, round(distance, 6) AS distance FROM (
+  SELECT xmin, alpha, max(greatest(abs(below / n - 1 + pow(x / xmin, 1 - alpha)), abs((below + c) / n - 1 + pow(x / xmin, 1 - alpha)))) AS distance FROM (
+    SELECT a.x AS xmin, b.x, b.c, sum(b.c) OVER (PARTITION BY a.x) AS n, 1 + sum(b.c) OVER (PARTITION BY a.x) / sum(b.c * ln(b.x / a.x)) OVER (PARTITION BY a.x) AS alpha, sum(b.c) OVER (PARTITION BY a.x ORDER BY b.x) - b.c AS below
+    FROM (SELECT in_degree::DOUBLE AS x FROM {_DEGREES} WHERE in_degree > 0 GROUP BY 1) a JOIN (SELECT in_degree::DOUBLE AS x, count(*)::DOUBLE AS c FROM {_DEGREES} WHERE in_degree > 0 GROUP BY 1) b ON b.x >= a.x
+    WHERE a.x < (SELECT max(in_degree) FROM {_DEGREES})) GROUP BY xmin, alpha) ORDER BY distance, xmin LIMIT 1""")
 def powerlaw_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([graph.best_power_law(graph.degrees(*_graph(spark, sf_dir)), "in_degree")], "xmin double, alpha double, distance double")
+    fit = spark.createDataFrame([graph.best_power_law(graph.degrees(*_graph(spark, sf_dir)), "in_degree")], "xmin double, alpha double, distance double")
+    return fit.select("xmin", F.round("alpha", 6).alias("alpha"), F.round("distance", 6).alias("distance"))
+
+
+_FIRST = ", few AS (SELECT id, (row_number() OVER (ORDER BY id) - 1)::INT AS i FROM (SELECT id FROM comp WHERE component = (SELECT component FROM comp GROUP BY component ORDER BY count(*) DESC, component LIMIT 1) ORDER BY id LIMIT 500))"
+
+
+@query(_components_sql("")[: -len(" ")] + _FIRST + " SELECT a.i AS src, b.i AS dst FROM edges JOIN few a ON a.id = src JOIN few b ON b.id = dst", views=False)
+def graph_first_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.first_nodes(*_graph(spark, sf_dir), 500)[1]
+
+
+@query(_components_sql("")[: -len(" ")] + _FIRST + " SELECT few.id, few.i, label, train, refs FROM few JOIN nodes USING (id) LEFT JOIN (SELECT id, list_sort(list(ref)) AS refs FROM refs GROUP BY id) USING (id)", views=False)
+def graph_first_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n, e = _graph(spark, sf_dir)
+    return graph.aligned(graph.first_nodes(n, e, 500)[0], n, views.citations(spark, sf_dir).select("id", F.array_sort("refs").alias("refs")))
 
 
 @query(r"SELECT label::VARCHAR || ' & ' || count(*)::VARCHAR || ' \\' AS line FROM nodes GROUP BY label")
@@ -338,6 +389,36 @@ def features_row_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.row_normalised(m).select("i", "j", F.round("value", 9).alias("value"))
 
 
+@query("SELECT p_partkey AS i, p_size, p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 50) AS mask FROM part", views=False)
+def sample_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    big = read(spark, sf_dir, "lineitem").where("l_quantity >= 50").select(F.col("l_partkey").alias("i"))
+    return features.masked(read(spark, sf_dir, "part").select(F.col("p_partkey").alias("i"), "p_size"), big)
+
+
+@query("SELECT p_partkey AS i, CASE WHEN p_size = 1 THEN 'test' WHEN row_number() OVER (PARTITION BY p_size = 1 ORDER BY p_partkey) <= 100 THEN 'train' WHEN row_number() OVER (PARTITION BY p_size = 1 ORDER BY p_partkey) <= 150 THEN 'valid' ELSE 'none' END AS split FROM part", views=False)
+def split_by_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("i"), "p_size")
+    return features.split_by_place(p.select("i"), 100, 50, p.where("p_size = 1"))
+
+
+def _network(spark: SparkSession, sf_dir: str, with_graph: bool) -> DataFrame:
+    n, e = _graph(spark, sf_dir, False)
+    rows = n.select("id", F.transform(F.sequence(F.lit(0), F.lit(4)), lambda k: (k == F.col("label")).cast("double")).alias("x"), "label", F.when(F.col("train"), "train").otherwise("valid").alias("split"))
+    matrix = features.adjacency_normalised(n, e) if with_graph else None
+    return networks.Network(networks.Settings(epochs=3, rate=0.1)).fit(rows, matrix, 5).predict(rows, matrix)
+
+
+@query()
+def network_graph_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities of a graph convolution network after three epochs over all nodes."""
+    return _network(spark, sf_dir, True)
+
+
+@query()
+def network_perceptron(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _network(spark, sf_dir, False)
+
+
 # --- text ------------------------------------------------------------------------------------------------------------
 
 _WORDS = r"len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> ''))"
@@ -378,21 +459,38 @@ def text_junk_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _odd(spark, sf_dir).select("doc_id", F.md5(text.without_junk(F.col("text"))).alias("text_md5"))
 
 
-@query("SELECT doc_id, md5(' ' || regexp_replace(substr(text, 1, 1000 - 39), '^\\s+|\\s+$', '', 'g') || substr(text, 1000 - 38)) AS text_md5 FROM documents", views=False)
+#: Banners by a document's id modulo their number; the last is none.
+_STAMPS = ["arXiv:1203.0023v2 [math.RT] 29 Jan 2012", "a r X i v : 1 2 0 3 . 0 0 2 3 [ cs . L G ] 1 Feb 19", "arXiv:0903123V1 [hep-th] 3 Mar 99", "2102 naJ 92 ]TR.htam[ 2v3200.3021:viXra", "arXiv 1203.0023 [none] 2012"]
+_STRIP = "regexp_replace({}, '^\\s+|\\s+$', '', 'g')"
+
+
+@query("SELECT doc_id, md5(CASE WHEN doc_id % 5 = 4 THEN t ELSE " + _STRIP.format("substr(text, 1, 5)") + " || ' ' || " + _STRIP.format("substr(text, 6, 1000 - 5 - length(s))") + " || substr(t, 1001) END) AS text_md5 FROM (SELECT doc_id, text, s, substr(text, 1, 5) || s || substr(text, 6) AS t FROM (SELECT doc_id, '(x) ' || chr(10) || ' ' || text AS text, ([" + ", ".join(map(_quoted, _STAMPS)) + "])[(doc_id % 5 + 1)::INT] AS s FROM documents))", views=False)
 def text_remove_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stamp = "arXiv:1203.0023v2 [math.RT] 29 Jan 2012"
-    return read(spark, sf_dir, "documents").select("doc_id", F.md5(text.remove_stamp(F.concat(F.lit(stamp), F.col("text")))).alias("text_md5"))
+    stamp = F.get(F.array(*map(F.lit, _STAMPS)), (F.col("doc_id") % 5).cast("int"))
+    made = F.concat(F.lit("(x) \n"), stamp, F.lit(" "), "text")
+    return read(spark, sf_dir, "documents").select("doc_id", F.md5(text.remove_stamp(made)).alias("text_md5"))
 
 
 @query("SELECT page_id, url, row_number() OVER (ORDER BY list_transform(regexp_extract_all(url, '\\d+'), lambda d: regexp_replace(d, '^0+(\\d)', '\\1')), url, page_id)::INT AS position FROM pages", views=False)
 def file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read(spark, sf_dir, "pages")
-    return p.select("page_id", "url", F.row_number().over(Window.orderBy(*text.numeric_order(F.col("url")), "page_id")).alias("position"))
+    return positions(p.select("page_id", "url"), *text.numeric_order(F.col("url")), "page_id")
+
+
+#: Marked-up names by a customer's key modulo their number, # standing for the key, and what they are without markup.
+_TEX = [
+    (r"Bal\'azs # \O{}re \L{}ukasz {\ss} \~{n}", "Balázs # Øre Łukasz ß ñ"),
+    (r"G\"odel \"{{o}} # {\'e}", "Gödel ö # {é}"),
+    (r"Erd\H{o}s \v{s}\c{c}\c{x} \'b #", "Erdős šçcx b #"),
+    (r"$\alpha_1$ \alpha1 \upsilon \Omega{}# \copyright x", r"$α_1$ \alpha1 \upsilon Ω# ©x"),
+    (r"\t{o} \unknown{#} \'{ab} } { \AA\ ng", r"o \unknown{#} \'{ab} } { Å ng"),
+    ("plain # name", "plain # name"),
+]
 
 
-@query("""SELECT c_custkey, 'Balázs ' || c_custkey || ' Øre Łukasz ß ñ' AS name FROM customer""", views=False)
+@query("SELECT c_custkey, CASE c_custkey % " + str(len(_TEX)) + " " + " ".join(f"WHEN {t} THEN replace({_quoted(plain)}, '#', c_custkey::VARCHAR)" for t, (_, plain) in enumerate(_TEX)) + " END AS name FROM customer", views=False)
 def tex_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = F.concat(F.lit(r"Bal\'azs "), F.col("c_custkey").cast("string"), F.lit(r" \O{}re \L{}ukasz {\ss} \~{n}"))
+    made = F.replace(F.get(F.array(*[F.lit(t) for t, _ in _TEX]), (F.col("c_custkey") % len(_TEX)).cast("int")), F.lit("#"), F.col("c_custkey").cast("string"))
     return read(spark, sf_dir, "customer").select("c_custkey", tex.tex_to_utf(made).alias("name"))
 
 
@@ -402,9 +500,32 @@ def _author_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", plain.alias("plain"), F.concat(plain, F.lit(" (1), E. Last (2) ((1) Lab "), k, F.lit("; (2) Elsewhere)")).alias("full"))
 
 
-@query()
+#: Author lines by a customer's key modulo their number, # standing for the key, and the authors in them: surname, first
+#: names, suffix, affiliations.
+_AUTHORS = [
+    ("A. B. Name# (1), Clara van der Surname# and D. Other (2) ((1) Lab #, Town.; (2) Elsewhere)", [("Name#", "A. B.", "", ["Lab #, Town.;"]), ("van der Surname#", "Clara", "", ["Elsewhere"]), ("Other", "D.", "", ["Elsewhere"])]),
+    ("BIG# Collaboration: A. One#, B. Two (Lab (x) of #)", [("BIG# Collaboration", "", "", []), ("One#", "A.", "", ["Lab"]), ("Two", "B.", "", ["Lab"])]),
+    ("X. Y. Name#, Jr, Someone#,, E.-F. Third &  G. Fourth#, et al.", [("Name#,", "X. Y.", "Jr", []), ("Someone#", "", "", []), ("Third", "E. -F.", "", []), ("Fourth#", "G.", "", [])]),
+    (r"J\'er\^ome de la Cruz# (A & B, #), S\o ren Ek III", [("de la Cruz#", "Jérôme", "", ["A & B, #"]), ("Ek", "Søren", "III", [])]),
+    ("Plato#", [("Plato#", "", "", [])]),
+    ("H. Name# (1,2,9), I. Last ((1) First #; (2) Second)", [("Name#", "H.", "", ["First #;", "Second"]), ("Last", "I.", "", [])]),
+]
+
+
+def _sql_of(v) -> str:
+    if isinstance(v, list):
+        return "[" + ", ".join(map(_sql_of, v)) + "]::VARCHAR[]"
+    return "replace(" + _quoted(v) + ", '#', c_custkey::VARCHAR)"
+
+
+_AUTHORS_SQL = " UNION ALL ".join(f"SELECT c_custkey, {i}::INT AS place, {_sql_of(key)} AS keyname, {_sql_of(first)} AS firstnames, {_sql_of(suffix)} AS suffix, {_sql_of(said)} AS affiliations FROM customer WHERE c_custkey % {len(_AUTHORS)} = {t}" for t, (_, people) in enumerate(_AUTHORS) for i, (key, first, suffix, said) in enumerate(people))
+
+
+@query(_AUTHORS_SQL, views=False)
 def author_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _author_lines(spark, sf_dir).select("c_custkey", authors.parse_authors("full").alias("p")).select("c_custkey", "p.authors", "p.error")
+    line = F.replace(F.get(F.array(*[F.lit(t) for t, _ in _AUTHORS]), (F.col("c_custkey") % len(_AUTHORS)).cast("int")), F.lit("#"), F.col("c_custkey").cast("string"))
+    p = read(spark, sf_dir, "customer").select("c_custkey", authors.parse_authors(line).alias("p"))
+    return p.where("p.error IS NULL").select("c_custkey", F.posexplode("p.authors").alias("place", "a")).select("c_custkey", "place", "a.*")
 
 
 @query("SELECT c_custkey, 'Name' || c_custkey || ', A. B.; van der Surname' || c_custkey || ', Clara; Other' || c_nationkey || ', D.' AS line FROM customer", views=False)
@@ -472,15 +593,23 @@ def meta_with_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpora.with_text(d, read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id")), 50)
 
 
-@query()
+_UNIFORM = "(('0x' || substr(md5('{seed}:' || doc_id), 1, 12))::BIGINT::DOUBLE / 281474976710656)"
+
+
+@query(f"SELECT doc_id AS id, lang, {_UNIFORM.format(seed=0)} < 0.9 AS train FROM (SELECT *, unnest(range(" + " + ".join(f"(u >= {math.exp(-0.5) * sum(0.5**j / math.factorial(j) for j in range(k + 1))!r}::DOUBLE)::INT" for k in range(12)) + f")) FROM (SELECT *, {_UNIFORM.format(seed=1)} AS u FROM documents))", views=False)
 def split_and_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang")
     return corpora.sampled(corpora.shuffled_split(d, 0.9), 0.5, 1)
 
 
-@query()
+_BAG = """(SELECT doc_id, k, s, sqrt(sum(s * s) OVER (PARTITION BY doc_id)) AS norm FROM (SELECT doc_id, (h // 2) % 64 AS k, sum(CASE WHEN h % 2 = 1 THEN 1 ELSE -1 END)::DOUBLE AS s FROM (
+  SELECT doc_id, ('0x' || substr(md5(w), 1, 15))::BIGINT AS h FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '\\s+')) AS w FROM documents) WHERE w <> '') GROUP BY 1, 2))"""
+
+
+@query(f"SELECT doc_id::VARCHAR AS id, k::INT AS place, round((s / norm)::FLOAT::DOUBLE, 5) AS x FROM {_BAG} WHERE s <> 0", views=False)
 def text_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extraction.embed(read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text"))
+    e = extraction.embed(read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text"))
+    return e.select("id", F.posexplode("embedding").alias("place", "x")).where("x <> 0").select("id", "place", F.round(F.col("x").cast("double"), 5).alias("x"))
 
 
 @query("SELECT doc_id AS id, pos::INT AS position, tok AS token FROM (SELECT doc_id, unnest(l) AS tok, generate_subscripts(l, 1) - 1 AS pos FROM (SELECT doc_id, [doc_id * 3, doc_id + 1] AS l FROM documents))", views=False)
@@ -548,3 +677,89 @@ def manifest_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = F.concat(F.lit("<file><filename>a"), k, F.lit(".tar</filename><md5sum>"), F.md5("c_name"), F.lit("</md5sum><first_item>"), k, F.lit("</first_item><last_item>"), (F.col("c_custkey") + 9).cast("string"), F.lit("</last_item><size>1</size></file>"))
     xml = read(spark, sf_dir, "customer").groupBy(F.floor(F.col("c_custkey") / 50)).agg(F.concat(F.lit("<manifest>"), F.array_join(F.collect_list(one), ""), F.lit("</manifest>")).alias("xml"))
     return manifest.parse(xml)
+
+
+def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files of documents, fifty ids an archive; files whose id is a multiple of nine aren't text."""
+    d = read(spark, sf_dir, "documents")
+    content = F.when(F.col("doc_id") % 9 == 0, F.unhex(F.lit("FFFE"))).otherwise(F.encode("text", "UTF-8"))
+    return d.select(F.concat(F.lit("t"), F.floor(F.col("doc_id") / 50).cast("string")).alias("tar"), F.concat(F.lit("1501."), F.lpad(F.col("doc_id").cast("string"), 6, "0"), F.lit(".txt")).alias("member"), content.alias("content"))
+
+
+_TEXT_ID = "'1501.' || lpad(doc_id::VARCHAR, 6, '0')"
+
+
+@query(f"SELECT 't' || (doc_id // 50) AS tar, {_TEXT_ID} || '.txt' AS member, CASE WHEN doc_id % 9 = 0 THEN md5(unhex('FFFE')) ELSE md5(text) END AS content_md5, NULL::VARCHAR AS error FROM documents", views=False)
+def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = archives.contents(archives.packed(_members(spark, sf_dir)))
+    return m.select("tar", "member", F.md5("content").alias("content_md5"), "error")
+
+
+@query(f"SELECT {_TEXT_ID} AS id, CASE WHEN doc_id % 9 <> 0 THEN md5(text) END AS text_md5, doc_id % 9 = 0 AS failed FROM documents WHERE doc_id % 3 <> 1", views=False)
+def archive_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extraction job over archives that ran for a part of them first and then for the rest; a second extractor is
+    tried where the first fails, and neither may take long."""
+
+    def refuses(content: bytes) -> str:
+        raise ValueError("not my kind of file")
+
+    m, path = _members(spark, sf_dir), f"{shared_dir(spark)}/paperlake/texts-{uuid.uuid4().hex}"
+    packed = save(archives.packed(m), "archives")
+    index = m.where("int(substr(member, 6, 6)) % 3 <> 1").select("tar", F.col("member").alias("pdf"))
+    for part in (packed.where("tar IN ('t0', 't1')"), packed):
+        archives.process(part, index, path, [refuses, lambda b: b.decode("utf-8")], most=1e9)
+    return spark.read.parquet(path).select("id", F.md5("text").alias("text_md5"), F.col("error").isNotNull().alias("failed"))
+
+
+def _at(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/paperlake/{name}-{uuid.uuid4().hex}"
+
+
+@query(f"SELECT doc_id::VARCHAR AS id, k::INT AS place, round((s / norm)::FLOAT::DOUBLE, 5) AS x, 'hashed_bag' AS encoder FROM {_BAG} WHERE s <> 0", views=False)
+def store_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _at(spark, "embeddings")
+    stores.write_embeddings(read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text"), path, extraction.embed, {"encoder": "hashed_bag"})
+    headers, e = stores.read_embeddings(spark, path)
+    return e.select("id", F.posexplode("embedding").alias("place", "x")).where("x <> 0").select("id", "place", F.round(F.col("x").cast("double"), 5).alias("x"), F.lit(headers["encoder"]).alias("encoder"))
+
+
+@query("SELECT id, list_sort(list(ref)) AS refs FROM refs GROUP BY id")
+def store_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _at(spark, "citations")
+    stores.write_citations(views.citations(spark, sf_dir), path)
+    return stores.read_citations(spark, path).select("id", F.array_sort("refs").alias("refs"))
+
+
+@query(_AUTHORS_SQL, views=False)
+def store_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _at(spark, "authors")
+    stores.write_json(author_parse(spark, sf_dir), path)
+    return stores.read_json(spark, path, "c_custkey bigint, place int, keyname string, firstnames string, suffix string, affiliations array<string>")
+
+
+@query(ORACLES["classifier_metrics"], views=False)
+def store_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _at(spark, "results")
+    stores.write_json(classifier_metrics(spark, sf_dir), path)
+    return stores.read_json(spark, path, "top1 double, top3 double, top5 double, loglikelihood double, perplexity double")
+
+
+@query(f"SELECT * FROM {_DEGREES}")
+def store_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _at(spark, "degrees")
+    stores.write_lines(graph.degrees(*_graph(spark, sf_dir)), path)
+    return stores.read_lines(spark, path, id="string", in_degree="bigint", out_degree="bigint")
+
+
+@query(ORACLES["meta_slice"], views=False)
+def store_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _at(spark, "slice")
+    stores.write_json(meta_slice(spark, sf_dir), path)
+    return stores.read_json(spark, path, "id bigint, lang string")
+
+
+@query("SELECT id, label FROM nodes WHERE NOT train")
+def store_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _at(spark, "split")
+    stores.write_split(views.nodes(spark, sf_dir).select("id", "label", F.when(F.col("train"), "train").otherwise("test").alias("split")), path)
+    return stores.read_split(spark, path, "test")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import path_to_id
@@ -29,7 +30,8 @@ class Settings:
 
 def metadata(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines, gzip or not. A gzip file is one task's work, so what is read is dealt out again."""
-    return spark.read.schema(METADATA).json(path)
+    rows = spark.read.schema(METADATA).json(path)
+    return rows.repartition(spark.sparkContext.defaultParallelism) if path.endswith(".gz") else rows
 
 
 def newest(spark: SparkSession, pattern: str) -> str | None:
@@ -55,10 +57,11 @@ def fulltext(spark: SparkSession, folder: str, glob: str = "*txt*") -> DataFrame
     return files.select(path_to_id(F.input_file_name()).alias("id"), F.col("value").alias("text"))
 
 
-def write_fulltext(texts: DataFrame, path: str) -> None:
-    """Parquet by year and month of the identifier, so that readers of some months read these only."""
+def write_fulltext(texts: DataFrame, path: str, parts: int = 16) -> None:
+    """Parquet by year and month of the identifier, so that readers of some months read these only; a month is written by
+    up to `parts` tasks."""
     month = F.regexp_extract("id", r"(?:^|/)(\d{4})", 1)
-    texts.withColumn("yymm", month).repartition("yymm").write.mode("append").partitionBy("yymm").parquet(path)
+    texts.withColumn("yymm", month).repartition("yymm", F.pmod(F.xxhash64("id"), F.lit(parts))).write.mode("append").partitionBy("yymm").parquet(path)
 
 
 def with_text(articles: DataFrame, texts: DataFrame, limit: int | None = None) -> DataFrame:
@@ -67,14 +70,25 @@ def with_text(articles: DataFrame, texts: DataFrame, limit: int | None = None) -
     return out.orderBy("id").limit(limit) if limit is not None else out
 
 
+def uniform(seed: int) -> Column:
+    """A number from 0 to 1, under it, from a hash of the id and the seed: the same in every run and for every size."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string"))), 1, 12), 16, 10).cast("double") / float(1 << 48)
+
+
 def shuffled_split(rows: DataFrame, share: float, seed: int = 0) -> DataFrame:
-    """rows with `train`: about that share, chosen by a hash of the id, so the same in every run and for every size."""
-    return rows.withColumn("train", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))
+    """rows with `train`: about that share, chosen by a hash of the id."""
+    return rows.withColumn("train", uniform(seed) < share)
 
 
-def sampled(rows: DataFrame, share: float, seed: int = 0) -> DataFrame:
-    """A random sample with replacement."""
-    return rows.sample(True, share, seed)
+def sampled(rows: DataFrame, share: float, seed: int = 0, most: int = 12) -> DataFrame:
+    """A sample with replacement: each row as often as a Poisson variable of mean `share` says (at most `most` times),
+    whose value is read off a hash of the id."""
+    total, p, times = 0.0, math.exp(-share), F.lit(0)
+    for k in range(most):
+        total += p
+        p *= share / (k + 1)
+        times = times + F.when(uniform(seed) >= total, 1).otherwise(0)
+    return rows.withColumn("__times", times).where("__times > 0").withColumn("__times", F.explode(F.sequence(F.lit(1), F.col("__times")))).drop("__times")
 
 
 def archives(spark: SparkSession, path: str) -> DataFrame:
@@ -88,6 +102,6 @@ def integers(spark: SparkSession, path: str) -> DataFrame:
 
 def padded_rows(rows: DataFrame, dim: int) -> DataFrame:
     """i, features: rows for every index from the least to the greatest, zeros where there was none."""
-    ends = rows.agg(F.min("i").alias("a"), F.max("i").alias("b"))
-    every = ends.select(F.explode(F.sequence("a", "b")).alias("i"))
+    a, b = rows.agg(F.min("i"), F.max("i")).first()
+    every = rows.sparkSession.range(a or 0, (b or 0) + 1 if b is not None else 0).select(F.col("id").cast("int").alias("i"))
     return every.join(rows, "i", "left").select("i", F.coalesce("features", F.array_repeat(F.lit(0.0), dim)).alias("features"))

@@ -15,15 +15,15 @@ def page(ids, token):
 def test_batch_and_stream(spark, tmp_path):
     pages = tmp_path / "pages"
     pages.mkdir()
-    for n, ids in enumerate((["a", "b"], ["c", "b"], ["d"])):
+    for n, ids in enumerate((["1501.00001", "b"], ["c", "b"], ["1501.00001", "hep-th/9901001"])):
         (pages / f"p{n}.xml").write_text(page(ids, "x"))
     harvest.register(spark, "paged", harvest.folder(str(pages)))
     assert [r["page"] for r in spark.read.format("paged").load().orderBy("page").collect()] == [0, 1, 2]
-    assert sorted(r["id"] for r in records(spark.read.format("paged").load()).collect()) == ["a", "b", "b", "c", "d"]
+    assert sorted(r["id"] for r in records(spark.read.format("paged").load()).collect()) == ["1501.00001", "1501.00001", "b", "b", "c", "hep-th/9901001"]
     out, check = str(tmp_path / "out"), str(tmp_path / "check")
     for _ in range(5):  # each run takes one page; the last finds none
         into_table(spark.readStream.format("paged").load(), out, check, {"availableNow": True}).awaitTermination(120)
-    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == ["a", "b", "c", "d"]
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == ["1501.00001", "b", "c", "hep-th/9901001"]
 
 
 def test_requests():
