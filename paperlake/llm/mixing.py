@@ -34,9 +34,11 @@ def fill(sources: DataFrame, weights: tuple[int, ...], epochs: int) -> DataFrame
 
 
 def ready(docs: DataFrame, seed: int, key: str, source: str, text: str) -> DataFrame:
-    """docs with what the mix reads of a row: id, size, key of the source, hash."""
-    h = bits(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("long").cast("string"), F.lit(""))), HASH)
-    return docs.withColumns({"__id": F.coalesce(F.col(key).cast("long"), F.lit(-1)), "__size": words(F.col(text)), "__skey": F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n")), "__h": h})
+    """row (a struct of all columns of docs, where their names clash with none), and what the mix reads of it: id, size,
+    key of the source, hash."""
+    of = lambda c: F.col(f"`{c}`")
+    h = bits(F.concat(F.lit(f"{seed}:"), F.coalesce(of(key).cast("long").cast("string"), F.lit(""))), HASH)
+    return docs.select(F.struct(*map(of, docs.columns)).alias("row"), F.coalesce(of(key).cast("long"), F.lit(-1)).alias("__id"), words(of(text)).alias("__size"), F.coalesce(F.concat(F.lit("s"), of(source)), F.lit("n")).alias("__skey"), h.alias("__h"))
 
 
 def plan(rows: DataFrame, weights: tuple[int, ...], epochs: int) -> DataFrame:
@@ -81,7 +83,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3,
     Empty texts: size 0, taken 0. A source without any word is repeated once. Ties: rows of one id are ordered by size,
     and rows that agree in both are taken alike. Empty table: no rows. Other columns of docs are ignored.
     """
-    rows = save(ready(docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text")), seed, "doc_id", "source", "text").select("doc_id", "__id", "__size", "__skey", "__h"), "mix-rows")
+    rows = save(ready(docs, seed, key, source, text).select(F.col("row").getField(key).alias("doc_id"), "__id", "__size", "__skey", "__h"), "mix-rows")
     out = repeats(rows, plan(rows, weights, epochs))
     return out.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__repeats").cast("int").alias("repeats"), (F.col("__repeats") * F.col("__size")).cast("long").alias("taken"))
 
@@ -91,7 +93,7 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3
     rows = ready(docs, seed, key, source, text)
     slim = save(rows.select("__id", "__size", "__skey", "__h"), "mix-rows")
     out = repeats(rows, plan(slim, weights, epochs)).where("__repeats > 0")
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__repeats")))).select(*docs.columns)
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("__repeats"))).alias("__copy")).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 SQL = r"""

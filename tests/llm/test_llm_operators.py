@@ -472,6 +472,13 @@ def test_mix(spark, docs, edges, which):
     assert mixing.mixed(df).columns == df.columns and mixing.mixed(df).count() == sum(r["repeats"] for r in out)
 
 
+def test_mix_keeps_columns_of_any_name(spark):
+    rows = [(i, "word " * (i + 1), "ab"[i % 2], i, i, i) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, `__copy` int, `__h` int, `row` int")
+    out = mixing.mixed(df)
+    assert out.columns == df.columns and set(map(tuple, out.collect())) <= set(rows) and mixing.mix(df).count() == 20
+
+
 # --- 9 Jaccard -------------------------------------------------------------------------------------------------------
 
 
