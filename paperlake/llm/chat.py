@@ -25,7 +25,9 @@ def preference(pairs: DataFrame) -> DataFrame:
     The longest common prefix of turns (equal role and text) is the prompt, rendered once. What follows it on either
     side is that side's completion; its mask lists (start, end, train): character ranges of the turns in the
     completion, train being true where the role is assistant. Equal conversations: both completions are empty. A
-    missing side: nothing is common, its completion and mask are null. Empty table: no rows.
+    missing side: nothing is common, its completion and mask are null. Empty table: no rows. Turns that repeat count
+    each; turns of one number are ordered by role and text. Texts may be of any length; turns of a conversation are one
+    array, so its size is a row's. Other columns are not read.
     """
     first = F.filter(F.sequence(F.lit(1), F.greatest(F.least(F.size("chosen"), F.size("rejected")), F.lit(1))), lambda i: ~F.get(F.col("chosen"), i - 1).eqNullSafe(F.get(F.col("rejected"), i - 1)))
     both = F.least(F.size("chosen"), F.size("rejected"))
@@ -35,15 +37,9 @@ def preference(pairs: DataFrame) -> DataFrame:
     out = out.withColumn("prompt", F.coalesce(join(F.slice("chosen", 1, F.col("common_turns"))), F.lit("")))
     for side in ("chosen", "rejected"):
         rest = F.slice(side, F.col("common_turns") + 1, F.greatest(F.size(side) - F.col("common_turns"), F.lit(0)))
-        ends = F.aggregate(
-            rest,
-            F.array().cast("array<struct<start:int,end:int,train:boolean>>"),
-            lambda acc, t: F.concat(acc, F.array(F.struct(
-                F.coalesce(F.get(acc, F.size(acc) - 1)["end"], F.lit(0)).alias("start"),
-                (F.coalesce(F.get(acc, F.size(acc) - 1)["end"], F.lit(0)) + F.length(render(t))).alias("end"),
-                (t["role"] == "assistant").alias("train"),
-            ))),
-        )
+        sizes = F.transform(rest, lambda t: F.length(render(t)))
+        upto = lambda i: F.aggregate(F.slice(sizes, 1, i), F.lit(0), lambda a, b: a + b)
+        ends = F.transform(rest, lambda t, i: F.struct(upto(i).alias("start"), (upto(i) + F.length(render(t))).alias("end"), (t["role"] == "assistant").alias("train")))
         out = out.withColumn(f"{side}_completion", join(rest)).withColumn(f"{side}_mask", ends)
     return out.select("pair_id", "chosen_id", "rejected_id", "common_turns", "prompt", "chosen_completion", "chosen_mask", "rejected_completion", "rejected_mask")
 
@@ -67,12 +63,15 @@ p AS (SELECT pair_id, max(CASE WHEN odd = 0 THEN conv_id END) AS chosen_id, max(
              count(*) FILTER (odd = 0) AS nc, count(*) FILTER (odd = 1) AS nr FROM t GROUP BY pair_id),
 m AS (SELECT a.pair_id, min(a.k) - 1 AS n FROM t a LEFT JOIN t b ON a.pair_id = b.pair_id AND b.odd = 1 AND a.k = b.k AND a.role = b.role AND a.text = b.text
       WHERE a.odd = 0 AND b.k IS NULL GROUP BY a.pair_id),
-c AS (SELECT p.*, CASE WHEN nc = 0 OR nr = 0 THEN 0 ELSE coalesce(m.n, nc) END AS n FROM p LEFT JOIN m USING (pair_id))
+c AS (SELECT p.*, CASE WHEN nc = 0 OR nr = 0 THEN 0 ELSE coalesce(m.n, nc) END AS n FROM p LEFT JOIN m USING (pair_id)),
+e AS (SELECT r.*, sum(length(s)) OVER (PARTITION BY pair_id, odd ORDER BY k) - sum(CASE WHEN k <= n THEN length(s) ELSE 0 END) OVER (PARTITION BY pair_id, odd) AS stop FROM c JOIN r USING (pair_id))
 SELECT c.pair_id, c.chosen_id, c.rejected_id, c.n::INT AS common_turns,
        coalesce(string_agg(s, '' ORDER BY k) FILTER (odd = 0 AND k <= n), '') AS prompt,
        CASE WHEN nc > 0 THEN coalesce(string_agg(s, '' ORDER BY k) FILTER (odd = 0 AND k > n), '') END AS chosen_completion,
        CASE WHEN nr > 0 THEN coalesce(string_agg(s, '' ORDER BY k) FILTER (odd = 1 AND k > n), '') END AS rejected_completion,
+       CASE WHEN nc > 0 THEN coalesce(string_agg((stop - length(s)) || '-' || stop || ':' || (role = 'assistant'), ',' ORDER BY k) FILTER (odd = 0 AND k > n), '') END AS chosen_mask,
+       CASE WHEN nr > 0 THEN coalesce(string_agg((stop - length(s)) || '-' || stop || ':' || (role = 'assistant'), ',' ORDER BY k) FILTER (odd = 1 AND k > n), '') END AS rejected_mask,
        CASE WHEN nc > 0 THEN coalesce(sum(length(s)) FILTER (odd = 0 AND k > n AND role = 'assistant'), 0)::BIGINT END AS chosen_trained,
        CASE WHEN nr > 0 THEN coalesce(sum(length(s)) FILTER (odd = 1 AND k > n AND role = 'assistant'), 0)::BIGINT END AS rejected_trained
-FROM c JOIN r USING (pair_id) GROUP BY c.pair_id, c.chosen_id, c.rejected_id, c.n, nc, nr
+FROM c JOIN e USING (pair_id) GROUP BY c.pair_id, c.chosen_id, c.rejected_id, c.n, nc, nr
 """

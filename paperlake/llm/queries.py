@@ -43,7 +43,8 @@ def op6_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = chat.preference(chat.neighbours(read(spark, sf_dir, "conversations")))
     trained = lambda side: F.aggregate(f"{side}_mask", F.lit(0), lambda a, m: a + F.when(m["train"], m["end"] - m["start"]).otherwise(0)).cast("long").alias(f"{side}_trained")
-    return out.select("pair_id", "chosen_id", "rejected_id", "common_turns", "prompt", "chosen_completion", "rejected_completion", trained("chosen"), trained("rejected"))
+    mask = lambda side: F.array_join(F.transform(f"{side}_mask", lambda m: F.concat(m["start"].cast("string"), F.lit("-"), m["end"].cast("string"), F.lit(":"), m["train"].cast("string"))), ",").alias(f"{side}_mask")
+    return out.select("pair_id", "chosen_id", "rejected_id", "common_turns", "prompt", "chosen_completion", "rejected_completion", mask("chosen"), mask("rejected"), trained("chosen"), trained("rejected"))
 
 
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
