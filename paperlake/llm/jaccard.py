@@ -129,7 +129,7 @@ def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+def spanning(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     """Edges among (a, b) that connect as much as all of them."""
     up = list(range(n))
 
@@ -163,7 +163,7 @@ def alike(rows: DataFrame) -> DataFrame:
                 rid = t.column(1).to_numpy()
                 s = np.frombuffer(b"".join(t.column(2).to_pylist()), np.uint8).reshape(-1, SKETCH)
                 near = (s[:, None, :] == s[None, :, :]).sum(2) >= NEAR
-                for x, y in forest(len(rid), *np.nonzero(np.triu(near, 1))):
+                for x, y in spanning(len(rid), *np.nonzero(np.triu(near, 1))):
                     a, b = root(int(rid[x])), root(int(rid[y]))
                     if a != b:  # not yet connected by this task's other buckets
                         up[max(a, b)] = min(a, b)
@@ -262,7 +262,7 @@ def verified(members: DataFrame, similarity: float, words: int) -> DataFrame:
                 rid.append(ids[i])
                 links.append(count[i])
                 to.append(None)
-            for a, b in forest(len(ids), *np.nonzero(np.triu(linked))):
+            for a, b in spanning(len(ids), *np.nonzero(np.triu(linked))):
                 rid.append(ids[a])
                 links.append(0)
                 to.append(ids[b])

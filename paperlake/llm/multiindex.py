@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import connected, save
 from .hashing import U, mix
-from .jaccard import forest, groups
+from .jaccard import groups, spanning
 
 #: Bound of the sample (vectors of smallest id hash) on which codebooks and the number of visits are fitted.
 SAMPLE = 20_000
@@ -73,13 +74,14 @@ class Index:
         self.dim, self.reach = x.shape[1], float(np.sqrt(max(2 - 2 * cosine, 0)))
         h = self.dim // 2
         self.books = [kmeans(x[:, :h], k), kmeans(x[:, h:], k)]
-        self.n = MOST
+        self.n, self.recall = MOST, None
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> None:
         """Visits enough for RECALL of the links between the rows of x and y, however many they are; for all of these
         links, and MOST at least, if they are fewer than FEW."""
         ranks = np.minimum(self.ranks(x, y), self.ranks(y, x)) if len(x) else np.zeros(0, int)
         self.n = max(LEAST, int(np.quantile(ranks, RECALL, method="higher"))) if len(ranks) >= FEW else max([MOST, *ranks.tolist()])
+        self.recall = float((ranks <= self.n).mean()) if len(ranks) else None
 
     def ranks(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """The cells that each row of x visits until it meets the home of that row of y."""
@@ -129,6 +131,22 @@ def matrix(column: pa.ChunkedArray) -> np.ndarray:
     return unit(np.frombuffer(b"".join(rows)).reshape(len(rows), -1))
 
 
+#: Cosines nearer to the limit than this are computed again, each sum rounded once.
+CLOSE = 1e-9
+
+
+def pairs(x: np.ndarray, y: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of x and of y (unit vectors) whose cosine is `cosine` or more. Products of matrices round by the order of their
+    sums; where that could matter the cosine is taken from exact sums, so a pair links wherever it is compared."""
+    c = x @ y.T
+    i, j = np.nonzero(c >= cosine - CLOSE)
+    for k in np.flatnonzero(c[i, j] < cosine + CLOSE).tolist():
+        a, b = x[i[k]], y[j[k]]
+        if math.fsum(a * b) / math.sqrt(math.fsum(a * a) * math.fsum(b * b)) < cosine:
+            i[k] = -1
+    return i[i >= 0], j[i >= 0]
+
+
 def linked(sets: DataFrame, sample: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]], dim: int, cosine: float) -> DataFrame:
     """q, rid: for each sampled vector that links with any vector of the table one of these, by the smallest hash.
 
@@ -152,7 +170,7 @@ def linked(sets: DataFrame, sample: dict[str, tuple[np.ndarray, np.ndarray, np.n
                 for at in range(0, len(own), 256):
                     part = t.take(pa.array(own[at : at + 256]))
                     rid = part.column(0).to_numpy()
-                    i, j = np.nonzero(matrix(part.column(3)) @ y.T >= cosine - 1e-12)
+                    i, j = pairs(matrix(part.column(3)), y, cosine)
                     other = rid[i] != ids[j]
                     i, j = i[other], j[other]
                     h = mix(mix(rid[i].view(U)) + ids[j].view(U))
@@ -209,8 +227,8 @@ def near(sets: DataFrame, index: Index | None, cosine: float) -> DataFrame:
             if len(lives) and len(rid) > 1:
                 x = matrix(t.column(3))
                 for a in range(0, len(rid), 2048):
-                    p, q = np.nonzero(x[a : a + 2048] @ x[lives].T >= cosine - 1e-12)
-                    for i, j in forest(len(rid), p + a, lives[q]):
+                    p, q = pairs(x[a : a + 2048], x[lives], cosine)
+                    for i, j in spanning(len(rid), p + a, lives[q]):
                         src.append(rid[i])
                         dst.append(rid[j])
             if len(src) > 5000:
@@ -237,7 +255,8 @@ def counted(members: DataFrame, cosine: float) -> DataFrame:
             x, y = t.column(1)[0].as_py(), t.column(2)[0].as_py()
             own, rid, copies = (t.column(c).to_numpy() for c in (3, 4, 5))
             v = matrix(t.column(6))
-            linked = v @ v.T >= cosine - 1e-12
+            linked = np.zeros((len(v), len(v)), bool)
+            linked[pairs(v, v, cosine)] = True
             np.fill_diagonal(linked, False)
             if x != y:
                 linked &= own[:, None] != own[None, :]
@@ -248,7 +267,9 @@ def counted(members: DataFrame, cosine: float) -> DataFrame:
 
 
 def dedup(vectors: DataFrame, cosine: float = 0.98, key: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
-    """One row a vector: vec_id, n_links, component_id (smallest vec_id that links lead to), kept (it is that one).
+    """One row a vector: vec_id, n_links, component_id (smallest vec_id that links lead to), kept (it is that one), recall
+    (the share of the sampled vectors' links, one of each with any vector of the table, that traversals reach; null
+    without any).
 
     Vectors link if their labels are equal and their cosine, in double precision, is `cosine` or more. Equal vectors of
     a label are one with a count. Codebooks of both halves are fitted on a bounded sample; the number of cells to visit
@@ -259,12 +280,15 @@ def dedup(vectors: DataFrame, cosine: float = 0.98, key: str = "vec_id", vector:
 
     Null labels, and vectors that are null, empty, zero or hold null or non-finite components, link with nothing and
     are components of their own. Vectors of different length don't link. A null vec_id links with nothing (component
-    null, kept). Rows that repeat an id should be equal. Empty table: no rows. Other columns are not read.
+    null, kept). Rows that repeat an id are vectors of their own, alike or not; ties are broken by the smaller id. Empty
+    table: no rows. Other columns are not read.
     """
     rows = save(prepare(vectors, key, vector, label), "vectors")
     usable = rows.where("vec_id IS NOT NULL AND same IS NOT NULL")
-    sets = save(usable.groupBy("same").agg(F.min("vec_id").alias("rid"), F.first("label").alias("label"), F.first("dim").alias("dim"), F.first("x").alias("x"), F.count("*").alias("copies")), "vector-sets")
-    sample = sets.orderBy(F.xxhash64("rid"), "rid").limit(SAMPLE).select("dim", "label", "x", "rid").toLocalIterator()
+    # equal vectors are one set, known by a number
+    sets = usable.groupBy("same").agg(F.min("vec_id").alias("first"), F.first("label").alias("label"), F.first("dim").alias("dim"), F.first("x").alias("x"), F.count("*").alias("copies"))
+    sets = save(sets.withColumn("rid", F.monotonically_increasing_id()), "vector-sets")
+    sample = sets.orderBy(F.xxhash64("first"), "same").limit(SAMPLE).select("dim", "label", "x", "rid").toLocalIterator()
     sample = [(r["dim"], r["label"], bytes(r["x"]), r["rid"]) for r in sample]
     index = None
     if sample:
@@ -288,8 +312,10 @@ def dedup(vectors: DataFrame, cosine: float = 0.98, key: str = "vec_id", vector:
     members = members.withColumn("own", F.pmod(F.xxhash64("rid"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     members = members.select("comp", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "rid", "copies", "v")
     links = counted(members, cosine).groupBy("rid").agg(F.sum("links").alias("links"))
-    classes = sets.select("same", "rid", "copies").join(comps, "rid", "left").join(links, "rid", "left")
-    classes = classes.select("same", F.coalesce("comp", "rid").alias("component"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"))
+    least = comps.join(sets.select("rid", "first"), "rid").groupBy("comp").agg(F.min("first").alias("least"))
+    classes = sets.select("same", "rid", "first", "copies").join(comps.join(least, "comp"), "rid", "left").join(links, "rid", "left")
+    classes = classes.select("same", F.coalesce("least", "first").alias("component"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"))
     out = rows.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("same")).alias("same")).join(classes, "same", "left")
     out = out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    recall = F.lit(index.recall if index else None).cast("double")
+    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))).withColumn("recall", recall)

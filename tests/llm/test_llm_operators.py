@@ -335,7 +335,9 @@ def test_multiindex(spark):
     rows = [(i, v.astype(np.float32).tolist(), i % 2, 0) for i, v in enumerate(x)]
     odd = [(1000, None, 0, 0), (1001, [0.0] * 16, 0, 0), (1002, [float("nan")] + [1.0] * 15, 0, 0), (1003, [1.0, 2.0], 0, 0), (1004, rows[2][1], None, 0), (1005, [], 1, 0), (None, rows[2][1], 0, 0)]
     df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, label int, copies int")
-    got = {r["vec_id"]: tuple(r)[1:] for r in multiindex.dedup(df).collect()}
+    out = multiindex.dedup(df).collect()
+    got = {r["vec_id"]: tuple(r)[1:4] for r in out}
+    assert {r["recall"] for r in out} == {1.0}
     v = np.array([r[1] for r in rows], np.float64)
     v /= np.sqrt((v * v).sum(1))[:, None]
     near = v @ v.T >= 0.98
@@ -346,6 +348,19 @@ def test_multiindex(spark):
     assert multiindex.dedup(df.limit(0)).count() == 0
 
 
+def test_multiindex_decides_at_the_limit(spark):
+    """Vectors whose cosine is exactly the limit link, the next number below doesn't; repeated ids are told apart."""
+    x, y = [1.0, 0.0, 0.0, 0.0], [0.98, math.sqrt(1 - 0.98**2), 0.0, 0.0]
+    c = math.fsum(a * b for a, b in zip(x, y, strict=True)) / math.sqrt(math.fsum(a * a for a in y))
+    u = multiindex.unit(np.array([x, y]))
+    exact = math.fsum(u[0] * u[1]) / math.sqrt(math.fsum(u[0] ** 2) * math.fsum(u[1] ** 2))
+    assert abs(c - 0.98) < 1e-15
+    assert len(multiindex.pairs(u[:1], u[1:], exact)[0]) == 1 and len(multiindex.pairs(u[:1], u[1:], np.nextafter(exact, 1))[0]) == 0
+    df = spark.createDataFrame([(5, x, 0), (5, [0.0, 0.0, 1.0, 0.0], 0), (6, [0.0, 0.0, 1.0, 0.001], 0), (7, [1.0, 0.001, 0.0, 0.0], 0)], "vec_id long, embedding array<double>, label int")
+    got = sorted(tuple(r)[:3] for r in multiindex.dedup(df).collect())
+    assert got == [(5, 1, 5), (5, 1, 5), (6, 1, 5), (7, 1, 5)]
+
+
 def test_multiindex_fits_visits_on_the_whole_table(spark, monkeypatch):
     """Pairs of which the sample holds one end at most still say how many cells to visit."""
     rng = np.random.default_rng(6)
@@ -428,6 +443,17 @@ def test_preferences(spark):
     assert chat.preference(chat.neighbours(df.limit(0))).count() == 0
 
 
+def test_preferences_of_long_and_repeated_conversations(spark):
+    turns = [(i, "user" if i % 2 else "assistant", f"turn {i}") for i in range(600)]
+    c = [(20, *t) for t in turns] + [(21, *t) for t in turns[:-1]] + [(21, 599, "user", "x" * 200_000)] + [(22, 0, "user", "a")] * 2 + [(23, 0, "user", "a")]
+    df = spark.createDataFrame([(*r, r[0], "b") for r in c], "conv_id long, turn long, role string, text string, pair_id long, chosen string")
+    got = {r["pair_id"]: r for r in chat.preference(chat.neighbours(df)).collect()}
+    r = got[10]
+    assert r["common_turns"] == 599 and len(r["rejected_completion"]) > 200_000 and r["prompt"].count("<|end|>") == 599
+    assert [tuple(m) for m in r["chosen_mask"]] == [(0, len(r["chosen_completion"]), False)]
+    assert (got[11]["common_turns"], got[11]["chosen_completion"], got[11]["rejected_completion"]) == (1, "<|user|>\na<|end|>\n", "")
+
+
 # --- 8 mixing --------------------------------------------------------------------------------------------------------
 
 
@@ -556,6 +582,35 @@ def test_curve_visits_neighbours():
         assert all(abs(cells[p + 1] - cells[p]).sum() == 1 for p in range(len(at) - 1))
 
 
+@pytest.mark.parametrize("which", ["many", "two"])
+def test_hilbert_levels(spark, which):
+    """Curve places by levels worked out row by row; sources that share a long prefix keep levels of their own."""
+    rows = {
+        "many": [(i, "t" * (i * i % 500), f"https://a.common.host/{i * 7 % 90:03d}", None if i % 11 == 0 else "de") for i in range(400)],
+        "two": [(i, "t" * i, "common_crawl_" + "de fr".split()[i % 2], "en") for i in range(60)],
+    }[which]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+
+    def strings(column):
+        values = sorted(v for v in column if v is not None)
+        level, before = {}, 0
+        for v, n in sorted(collections.Counter(values).items()):
+            level[v] = before * 32 // len(values)
+            before += n
+        rank = {x: k for k, x in enumerate(sorted(set(level.values())))}
+        return [0 if v is None else rank[level[v]] for v in column]
+
+    def numbers(column):
+        order = sorted(column)
+        cuts = {order[max(math.ceil(j / 32 * len(order)) - 1, 0)] for j in range(1, 32)}
+        return [sum(v > c for c in cuts) for v in column]
+
+    levels = zip(strings([r[2] for r in rows]), strings([r[3] for r in rows]), numbers([len(r[1]) + 1 for r in rows]), strict=True)
+    want = {r[0]: hilbert.position(list(x)) for r, x in zip(rows, levels, strict=True)}
+    got = {r["doc_id"]: r["hilbert"] for r in hilbert.shard(df).collect()}
+    assert got == want and (which == "many" or len(set(strings([r[2] for r in rows]))) == 2)
+
+
 @pytest.mark.parametrize("which", ["docs", "edges", "empty"])
 def test_hilbert(spark, docs, edges, empty, which):
     df = {"docs": docs, "edges": edges, "empty": empty}[which]
