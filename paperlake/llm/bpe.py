@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import lean, shared_dir, trim
 
 #: Parts of the rank map, by CRC of the piece: a map value in Spark is found by going through its keys.
 PARTS = 1 << 14
@@ -219,6 +219,7 @@ def chunks(docs: DataFrame, shards: int, find, table) -> DataFrame:
                     if size and size + len(t) > CHUNK:
                         yield rows()
                         ids, seen, stream, counts, size = [], {}, [], [], 0
+                        trim()
                     got = np.array([seen.setdefault(w, len(seen)) for w in find(t)], np.uint32)
                     ids.append(i)
                     stream.append(got)
@@ -227,7 +228,7 @@ def chunks(docs: DataFrame, shards: int, find, table) -> DataFrame:
         if ids:
             yield rows()
 
-    return docs.mapInArrow(cut, CHUNKS)
+    return docs.mapInArrow(lean(cut), CHUNKS)
 
 
 def gathered(asked: DataFrame, shards: int) -> DataFrame:
@@ -265,7 +266,7 @@ def gathered(asked: DataFrame, shards: int) -> DataFrame:
         if asks:
             yield row(True)
 
-    return asked.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(run, "shard int, words array<string>, asks array<struct<chunk:bigint,at:binary>>")
+    return asked.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(lean(run), "shard int, words array<string>, asks array<struct<chunk:bigint,at:binary>>")
 
 
 def answers(merged: DataFrame) -> DataFrame:
@@ -288,7 +289,7 @@ def answers(merged: DataFrame) -> DataFrame:
                     out = (ask["chunk"], shard, lengths[at].astype(np.uint16).tobytes(), values[ragged(starts[at], lengths[at])].tobytes())
                     yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["chunk", "shard", "sizes", "ids"])
 
-    return merged.mapInArrow(run, "chunk bigint, shard int, sizes binary, ids binary")
+    return merged.mapInArrow(lean(run), "chunk bigint, shard int, sizes binary, ids binary")
 
 
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
@@ -330,6 +331,7 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
                 words = [b"".join(decoded[x:y]) for x, y in zip(starts.tolist(), ends.tolist(), strict=True)]
                 del parts, decoded
                 ids = batch.column(1).slice(b, 1).flatten()
+                trim()
                 counts, at = np.frombuffer(batch.column(2)[b].as_py(), np.uint32), 0
                 stream = unplaned(batch.column(3)[b].as_py(), int(counts.sum()))
                 for lo in range(0, len(counts), 1000):
@@ -345,4 +347,4 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
                         out.append(pa.array([m[3] for m in made], pa.list_(pa.int32())))
                     yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(out)])
 
-    return whole.mapInArrow(put, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids)
+    return whole.mapInArrow(lean(put), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected, drop, save, small_enough
+from .common import connected, drop, lean, save, small_enough
 from .hashing import U, WordHashes, mix, shingles
 
 #: Share of the pairs at the least similarity that must meet in a bucket of the deepest level; the recursion's depth; runs
@@ -90,7 +90,7 @@ def signatures(docs: DataFrame, similarity: float, words: int, runs: int) -> Dat
                 flat = pa.StructArray.from_arrays([np.concatenate([*own, np.zeros(0, np.int64)]).astype(np.int32), np.concatenate([*nodes, np.zeros(0, U)]).view(np.int64)], fields=list(kind.value_type))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.binary()), pa.array(sketches, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat, type=kind)], names=["doc_id", "th", "same", "sketch", "nodes"])
 
-    return docs.mapInArrow(run, "doc_id bigint, th bigint, same binary, sketch binary, nodes array<struct<run:int,node:bigint>>")
+    return docs.mapInArrow(lean(run), "doc_id bigint, th bigint, same binary, sketch binary, nodes array<struct<run:int,node:bigint>>")
 
 
 def deeper(texts: DataFrame, level: int, similarity: float, words: int) -> DataFrame:
@@ -103,7 +103,7 @@ def deeper(texts: DataFrame, level: int, similarity: float, words: int) -> DataF
                 nodes = np.unique(children(shingles(hashes(t), words), np.array(parents, np.int64).view(U), level, similarity)[1])
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(nodes), rid, np.int64)), pa.array(nodes.view(np.int64))], names=["rid", "node"])
 
-    return texts.select("rid", "text", "parents").mapInArrow(run, "rid bigint, node bigint")
+    return texts.select("rid", "text", "parents").mapInArrow(lean(run), "rid bigint, node bigint")
 
 
 def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -175,7 +175,7 @@ def alike(rows: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], names=["src", "dst"])
 
     n = rows.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return rows.select("node", "rid", "sketch").repartition(int(n), "node").sortWithinPartitions("node").mapInArrow(run, "src bigint, dst bigint").distinct()
+    return rows.select("node", "rid", "sketch").repartition(int(n), "node").sortWithinPartitions("node").mapInArrow(lean(run), "src bigint, dst bigint").distinct()
 
 
 def candidates(sets: DataFrame, texts, similarity: float, words: int, runs: int, depth: int = DEPTH) -> tuple[DataFrame, list[DataFrame]]:
@@ -272,7 +272,7 @@ def verified(members: DataFrame, similarity: float, words: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(rid, pa.int64()), pa.array(links, pa.int64()), pa.array(to, pa.int64())], names=["rid", "links", "to"])
 
     n = members.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return members.select("comp", "x", "y", "own", "rid", "copies", "text").repartition(int(n), "comp", "x", "y").sortWithinPartitions("comp", "x", "y").mapInArrow(run, "rid bigint, links bigint, to bigint")
+    return members.select("comp", "x", "y", "own", "rid", "copies", "text").repartition(int(n), "comp", "x", "y").sortWithinPartitions("comp", "x", "y").mapInArrow(lean(run), "rid bigint, links bigint, to bigint")
 
 
 def classes(docs: DataFrame, similarity: float, words: int, key: str, text: str) -> DataFrame:

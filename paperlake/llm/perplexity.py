@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import save, small_enough
+from .common import lean, save, small_enough
 from .hashing import U, WordHashes, mix
 
 #: Bytes of an n-gram; symbols (256 bytes and the start, which is 0xFF and in no UTF-8); bytes that are counted at once.
@@ -63,7 +63,7 @@ def count(docs: DataFrame, order: int) -> DataFrame:
                     key, n = np.unique(grams(part, order)[0], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n * flag, pa.int64())], names=["key", "n"])
 
-    return docs.select("text", "trained").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    return docs.select("text", "trained").mapInArrow(lean(run), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def model(all_grams: DataFrame, order: int) -> DataFrame:
@@ -147,7 +147,7 @@ def score(docs: DataFrame, logs: DataFrame, order: int, most: int = BROADCAST) -
                     sums.append(total[ends] - total[ends - size])
                 yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(np.concatenate(sizes)), pa.array(np.concatenate(sums))], names=["row", "lang", "trusted", "held", "n_bytes", "logp"])
 
-        return docs.select("row", "lang", "trusted", "held", "text").mapInArrow(run, "row bigint, lang string, trusted boolean, held boolean, n_bytes bigint, logp double")
+        return docs.select("row", "lang", "trusted", "held", "text").mapInArrow(lean(run), "row bigint, lang string, trusted boolean, held boolean, n_bytes bigint, logp double")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,7 +158,7 @@ def score(docs: DataFrame, logs: DataFrame, order: int, most: int = BROADCAST) -
 
     # rows that agree in id and text have one mean, which each of them gets
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
-    rows = docs.select(F.coalesce("row", F.lit(-1)).alias("row"), "text_hash", "text").mapInArrow(cut, "row bigint, text_hash bigint, key bigint, k bigint")
+    rows = docs.select(F.coalesce("row", F.lit(-1)).alias("row"), "text_hash", "text").mapInArrow(lean(cut), "row bigint, text_hash bigint, key bigint, k bigint")
     means = rows.join(logs, "key").groupBy("row", "text_hash").agg((F.sum(F.col("k") * F.col("logp")) / F.sum("k")).alias("mean")).withColumnRenamed("row", "r")
     slim = docs.select("row", "lang", "trusted", "held", "text_hash", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     out = slim.join(means, (F.coalesce(slim["row"], F.lit(-1)) == means["r"]) & (slim["text_hash"] == means["text_hash"]), "left")
@@ -206,7 +206,7 @@ def word_model(docs: DataFrame) -> tuple[DataFrame, float]:
             g = np.stack([c.to_numpy() for c in batch.columns[:-1]], 1)
             yield pa.RecordBatch.from_arrays([pa.array(word_keys(g).view(np.int64)), batch.columns[-1]], names=["key", "f"])
 
-    rows = docs.where("trained").select("text").mapInArrow(run, "u bigint, v bigint, w bigint, n bigint")
+    rows = docs.where("trained").select("text").mapInArrow(lean(run), "u bigint, v bigint, w bigint, n bigint")
     c3 = save(rows.groupBy("u", "v", "w").agg(F.sum("n").alias("c")), "kn-counts")
     c2 = save(c3.groupBy("v", "w").agg(F.count("*").alias("c")), "kn-counts")
     c1 = save(c2.groupBy("w").agg(F.count("*").alias("c")), "kn-counts")
@@ -236,7 +236,7 @@ def word_model(docs: DataFrame) -> tuple[DataFrame, float]:
     f2 = p2.select("v", "w", (F.log("p2") - F.col("low")).alias("f")).unionByName(b2.select(F.col("u").alias("v"), F.col("v").alias("w"), F.col("logb").alias("f")))
     f1 = p1.select("w", (F.log("p1") - F.lit(float(np.log(unknown)))).alias("f")).unionByName(b1.select(F.col("v").alias("w"), F.col("logb").alias("f")))
     f2, f1 = (f.groupBy(*f.columns[:-1]).agg(F.sum("f").cast("float").alias("f")) for f in (f2, f1))
-    out = [f.mapInArrow(keyed, "key bigint, f float") for f in (f3, f2, f1)]
+    out = [f.mapInArrow(lean(keyed), "key bigint, f float") for f in (f3, f2, f1)]
     return save(out[0].unionByName(out[1]).unionByName(out[2]), "kn-f"), float(np.log(unknown))
 
 
@@ -281,7 +281,7 @@ def word_score(docs: DataFrame, logs: DataFrame, unknown: float, most: int = BRO
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), pa.array(sums, pa.float64()), pa.array(sizes)], names=["text_hash", "f", "n"])
                     at += len(part)
 
-        sums = docs.mapInArrow(run, "text_hash bigint, f double, n bigint")
+        sums = docs.mapInArrow(lean(run), "text_hash bigint, f double, n bigint")
     else:
         shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         kind = "shard int, kind int, texts binary, sizes binary, keys binary, data binary"
@@ -345,8 +345,8 @@ def word_score(docs: DataFrame, logs: DataFrame, unknown: float, most: int = BRO
                     words = sizes if what == 1 else np.zeros(len(names), np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(sums), pa.array(words)], names=["text_hash", "f", "n"])
 
-        rows = logs.select("key", "f").mapInArrow(pack, kind).unionByName(docs.mapInArrow(cut, kind))
-        sums = rows.repartition(shards, "shard").sortWithinPartitions("shard", "kind").mapInArrow(look_up, "text_hash bigint, f double, n bigint")
+        rows = logs.select("key", "f").mapInArrow(lean(pack), kind).unionByName(docs.mapInArrow(lean(cut), kind))
+        sums = rows.repartition(shards, "shard").sortWithinPartitions("shard", "kind").mapInArrow(lean(look_up), "text_hash bigint, f double, n bigint")
     # equal texts have one mean
     return sums.groupBy("text_hash").agg(F.sum("f").alias("f"), F.sum("n").alias("n")).where("n > 0").select("text_hash", (F.col("f") / F.col("n") + F.lit(unknown)).alias("mean"))
 

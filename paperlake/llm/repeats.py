@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop, save
+from .common import drop, lean, save
 from .hashing import U, mix
 from .suffixes import common_prefixes, suffix_array
 
@@ -139,7 +139,7 @@ def segments(docs: DataFrame, length: int) -> DataFrame:
                     cols = [k1[d], k2[d], first.astype(np.int64), n.astype(np.int32), h.view(np.int64), pa.array(digest, pa.binary()), inner]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["k1", "k2", "first", "n", "anchor", "digest", "inner"])
 
-    return docs.select("k1", "k2", "bytes").mapInArrow(run, f"{KEY}, first bigint, n int, anchor bigint, digest binary, inner boolean")
+    return docs.select("k1", "k2", "bytes").mapInArrow(lean(run), f"{KEY}, first bigint, n int, anchor bigint, digest binary, inner boolean")
 
 
 MEMBERS = "members array<struct<anchor:bigint,digest:binary,offset:int,n:int>>"
@@ -175,7 +175,7 @@ def fetch(docs: DataFrame, lists: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), kind), strict=True)], names=["key", "copies", "content", "members"])
 
     rows = docs.select("k1", "k2", "bytes").join(lists, ["k1", "k2"]).select("bytes", "w")
-    return rows.mapInArrow(run, f"key bigint, copies bigint, content binary, {MEMBERS}")
+    return rows.mapInArrow(lean(run), f"key bigint, copies bigint, content binary, {MEMBERS}")
 
 
 SPANS = "anchor bigint, digest binary, spans array<struct<a:int,b:int>>"
@@ -211,7 +211,7 @@ def sharded(contents: DataFrame, length: int) -> DataFrame:
             yield solve(held)
 
     n = int(contents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return contents.repartition(n, "key").sortWithinPartitions("key").mapInArrow(run, SPANS)
+    return contents.repartition(n, "key").sortWithinPartitions("key").mapInArrow(lean(run), SPANS)
 
 
 def counted(contents: DataFrame, length: int) -> DataFrame:
@@ -232,10 +232,10 @@ def counted(contents: DataFrame, length: int) -> DataFrame:
             spans = [[{"a": a, "b": b} for a, b in windows(np.sort(np.array(at)), 0, length)] for at in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))], names=["anchor", "digest", "spans"])
 
-    rows = save(contents.mapInArrow(run, "anchor bigint, digest binary, copies bigint, at int, window binary"), "windows")
+    rows = save(contents.mapInArrow(lean(run), "anchor bigint, digest binary, copies bigint, at int, window binary"), "windows")
     twice = rows.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window")
     marks = rows.join(twice, "window", "left_semi").groupBy("anchor", "digest").agg(F.collect_list("at").alias("at"))
-    spans = save(marks.mapInArrow(merge, SPANS), "spans")
+    spans = save(marks.mapInArrow(lean(merge), SPANS), "spans")
     drop(rows)
     return spans
 
@@ -307,7 +307,7 @@ def remove(docs: DataFrame, length: int = 200, key: str = "doc_id", text: str =
     names = ["row", "text"] if keep_text else ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     schema = T.StructType([rows.schema["row"]])
     schema = schema.add("text", "string") if keep_text else schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
-    done = rows.mapInArrow(run, schema)
+    done = rows.mapInArrow(lean(run), schema)
     if keep_text:
         return done.select(*[F.col("text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
     return done.select(F.col("row").getField(key).alias("doc_id"), *names[1:])

@@ -6,14 +6,16 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import save, small_enough
+from .common import lean, save, small_enough
 
 WORD = re.compile(r"\w+")
 #: Features of a word: itself, its first and its last four letters.
@@ -35,7 +37,7 @@ class Settings:
     sample: int = 3000
     sample_bytes: int = 16 << 20
     #: Words that go through the convolution at once; a longer text goes in overlapping parts.
-    window: int = 100_000
+    window: int = 50_000
 
 
 @dataclass
@@ -55,15 +57,14 @@ def features(word: str, buckets: int) -> list[int]:
 class Words:
     """Numbers words within a task; forgets them all when there are too many, so memory stays bounded."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 150_000):
         self.most, self.seen = most, {}
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Flat word numbers and the number of words of each text."""
         seen = self.seen
-        lists = [[seen.setdefault(w, len(seen)) for w in WORD.findall((t or "").lower())] for t in texts]
-        counts = np.array([len(x) for x in lists], np.int64)
-        return np.fromiter((i for x in lists for i in x), np.int64, int(counts.sum())), counts
+        lists = [np.array([seen.setdefault(w, len(seen)) for w in WORD.findall((t or "").lower())], np.int32) for t in texts]
+        return np.concatenate([np.zeros(0, np.int32), *lists]), np.array([len(x) for x in lists], np.int64)
 
 
 def train(texts: list[np.ndarray], labels: np.ndarray, s: Settings) -> Model:
@@ -121,19 +122,25 @@ class Scorer:
         s = self.s = model.settings
         self.model = model
         self.table = np.concatenate([model.emb @ c[j] for c in model.conv for j in range(len(c))], 1).astype(np.float32)
-        self.words, self.rows = Words(), np.zeros((0, self.table.shape[1]), np.float32)
+        self.words, self.known, self.rows = Words(), 0, np.zeros((1 << 12, self.table.shape[1]), np.float32)
 
     def _known(self) -> None:
-        seen = self.words.seen
-        if len(self.rows) < len(seen):
-            new = list(seen)[len(self.rows) :]
-            f = np.array([features(w, self.s.buckets) for w in new], np.int64)
-            self.rows = np.concatenate([self.rows, self.table[f].sum(1)])
+        """Rows of words that are new, which are the last of those seen."""
+        n = len(self.words.seen)
+        if n > len(self.rows):
+            more = np.zeros((n + n // 2 - len(self.rows), self.rows.shape[1]), np.float32)
+            self.rows = np.concatenate([self.rows, more])
+        new = list(islice(reversed(self.words.seen), n - self.known))[::-1]
+        for a in range(0, len(new), 5000):
+            f = np.array([features(w, self.s.buckets) for w in new[a : a + 5000]], np.int64)
+            self.rows[self.known + a : self.known + a + len(f)] = self.table[f].sum(1)
+        self.known = n
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         s, model = self.s, self.model
         if len(self.words.seen) > self.words.most:
-            self.words.seen, self.rows = {}, self.rows[:0]
+            self.words.seen.clear()
+            self.known = 0
         flat, counts = self.words(texts)
         self._known()
         starts = np.cumsum(counts) - counts
@@ -204,7 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Sett
                 ends = np.cumsum(n)
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([f[flat[e - k : e]].tobytes() for e, k in zip(ends, n, strict=True)], pa.binary())], names=["doc_id", "label", "f"])
 
-    got = sorted((r["doc_id"], bytes(r["f"]), r["label"]) for r in rows.mapInArrow(bucket, "doc_id bigint, label int, f binary").toLocalIterator())
+    got = sorted((r["doc_id"], bytes(r["f"]), r["label"]) for r in rows.mapInArrow(lean(bucket), "doc_id bigint, label int, f binary").toLocalIterator())
     y = np.array([r[2] for r in got], np.float32)
     if not 0 < y.sum() < len(y):
         return Model(s, np.zeros((s.buckets + 1, s.dim), np.float32), [np.zeros((w, s.dim, s.filters), np.float32) for w in s.widths], np.zeros(len(s.widths) * s.filters, np.float32), np.zeros(len(s.widths) * s.filters, np.float32), float(min(np.log((counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 1)), np.log(0.5))))
@@ -216,20 +223,32 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Sett
     return model
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score", keep_text: bool = True) -> DataFrame:
-    """docs with a column of scores; all other columns pass through. Reads nothing but the text."""
+#: Texts, and characters of them together, that are scored at a time.
+TOGETHER, CHARACTERS = 512, 1 << 20
+
+
+def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score", keep_text: bool = True, within: str | None = None) -> DataFrame:
+    """docs with a column of scores; all other columns pass through. Reads nothing but the text, which is a column or, with
+    `within`, a field of the struct of that name."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text)
+    at = docs.columns.index(within or text)
     kept = [i for i, c in enumerate(docs.columns) if keep_text or c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for b in batches:
-            for i in range(0, b.num_rows, 512):
-                part = b.slice(i, 512)
-                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in kept], pa.array(scorer(part.column(at).to_pylist()), pa.float64())], names=[*[part.schema.names[i] for i in kept], into])
+            texts = b.column(at).field(text) if within else b.column(at)
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+            start, held = 0, 0
+            for i, n in enumerate(sizes.tolist()):
+                held += n
+                if held >= CHARACTERS or i + 1 - start == TOGETHER or i + 1 == b.num_rows:
+                    part = b.slice(start, i + 1 - start)
+                    scores = pa.array(scorer(texts.slice(start, i + 1 - start).to_pylist()), pa.float64())
+                    yield pa.RecordBatch.from_arrays([*[part.column(k) for k in kept], scores], names=[*[part.schema.names[k] for k in kept], into])
+                    start, held = i + 1, 0
 
-    return docs.mapInArrow(run, T.StructType([docs.schema[i] for i in kept]).add(into, "double"))
+    return docs.mapInArrow(lean(run), T.StructType([docs.schema[i] for i in kept]).add(into, "double"))
 
 
 def thresholds(scored: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", bins: int = 1000, least: int = 10) -> DataFrame:
@@ -256,8 +275,8 @@ def judged(docs: DataFrame, labels: DataFrame, passed: list[str], label: str = "
     flagged."""
     model = model or fit(docs, labels, label, settings, key)
     of = lambda c: F.col(f"`{c}`")
-    rows = docs.select(F.struct(*map(of, passed)).alias("row"), of(key).alias("doc_id"), F.coalesce(F.concat(F.lit("s"), of(lang)), F.lit("n")).alias("lkey"), of("text").alias("text"))
-    scored = save(score(rows, model, keep_text=False), "scored")
+    rows = docs.select(F.struct(*map(of, passed)).alias("row"), of(key).alias("doc_id"), F.coalesce(F.concat(F.lit("s"), of(lang)), F.lit("n")).alias("lkey"), *([] if "text" in passed else [of("text").alias("text")]))
+    scored = save(score(rows, model, keep_text=False, within="row" if "text" in passed else None), "scored")
     cuts = save(thresholds(scored, labels, label, key), "cuts")
     out = scored.join(small_enough(cuts), "lkey", "left")
     return out.select("row", "score", F.coalesce("threshold", F.lit(0.5)).alias("threshold")).withColumn("flagged", F.col("score") >= F.col("threshold"))
