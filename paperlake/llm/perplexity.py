@@ -1,5 +1,4 @@
-"""Quality by perplexity: an interpolated modified Kneser-Ney n-gram model over words or UTF-8 bytes, trained on trusted
-text."""
+"""Quality by perplexity: an interpolated modified Kneser-Ney n-gram model over words, trained on trusted text."""
 
 from __future__ import annotations
 
@@ -11,33 +10,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, save, small_enough
+from .common import drop, lean, save, small_enough
 from .hashing import U, WordHashes, mix
 
-#: Bytes of an n-gram; symbols (256 bytes and the start, which is 0xFF and in no UTF-8); bytes that are counted at once.
-ORDER, SYMBOLS, BUFFER = 5, 257, 4 << 20
-#: Distinct n-grams up to which their probabilities are broadcast (16 bytes each); beyond, they are joined.
-BROADCAST = 4_000_000
+#: Bytes of text that are counted at once.
+BUFFER = 4 << 20
 #: Words of an n-gram, and what stands before and after a text's words.
 WORDS, START, END = 3, 1, 2
 #: Letters of scripts that put no space between words are words of their own.
 LETTER = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
 
 
-def grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram that ends at each byte of each text, as a number, and the texts' lengths."""
-    start = b"\xff" * (order - 1)
-    b = np.frombuffer(start + start.join(texts), np.uint8)
-    sizes = np.array([len(t) for t in texts], np.int64)
-    key = np.zeros(max(len(b) - order + 1, 0), np.int64)
-    for j in range(order):
-        key <<= 8
-        key |= b[j : len(b) - order + 1 + j]
-    # n-grams that end in the filling before the next text go
-    own = np.repeat(np.arange(len(texts)) * (order - 1), sizes) + np.arange(sizes.sum())
-    return key[own], sizes
-
-
 def pieces(texts: list[str | None], size: int) -> Iterator[list[bytes]]:
     held, n = [], 0
     for t in texts:
@@ -51,50 +34,6 @@ def pieces(texts: list[str | None], size: int) -> Iterator[list[bytes]]:
         yield held
 
 
-def count(docs: DataFrame, order: int) -> DataFrame:
-    """key, n (occurrences in trained documents): all distinct n-grams of the corpus. docs: text, trained."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            trained = batch.column(1).to_numpy(zero_copy_only=False)
-            texts = batch.column(0).to_pylist()
-            for flag in (True, False):
-                for part in pieces([t for t, k in zip(texts, trained, strict=True) if bool(k) == flag], BUFFER):
-                    key, n = np.unique(grams(part, order)[0], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n * flag, pa.int64())], names=["key", "n"])
-
-    return docs.select("text", "trained").mapInArrow(lean(run), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def model(all_grams: DataFrame, order: int) -> DataFrame:
-    """key, logp: the log probability of the last byte of every n-gram of the corpus after the others.
-
-    Counts of the highest order are occurrences, those of lower orders the distinct n-grams one byte longer that end in
-    them. Each order's discounts come from its counts of counts; context totals are summed by prefix; a probability is
-    put together by equi-joins, hash-sharded on the n-gram, its prefix and its suffix, from the lowest order up.
-    """
-    mask = lambda k: F.lit((1 << 8 * k) - 1)
-    counts = {order: all_grams.where("n > 0").select(F.col("key").alias("g"), F.col("n").alias("c"))}
-    for k in range(order - 1, 0, -1):
-        counts[k] = save(counts[k + 1].groupBy(F.col("g").bitwiseAND(mask(k)).alias("g")).agg(F.count("*").alias("c")), "kn-counts")
-    p = None
-    for k in range(1, order + 1):
-        n1, n2, n3, n4 = (x or 0 for x in counts[k].agg(*[F.sum((F.col("c") == i).cast("long")) for i in range(1, 5)]).first())
-        y = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
-        cut = [max(0.0, min(i, i - (i + 1) * y * b / a)) if a and b else y for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-        discount = F.when(F.col("c") == 1, cut[0]).when(F.col("c") == 2, cut[1]).otherwise(cut[2])
-        context = counts[k].groupBy(F.shiftright("g", 8).alias("h")).agg(F.sum("c").alias("total"), F.sum(discount).alias("held"))
-        context = context.select("h", "total", (F.col("held") / F.col("total")).alias("back"))
-        wanted = (all_grams if k == order else all_grams.select(F.col("key").bitwiseAND(mask(k)).alias("key")).distinct()).select(F.col("key").alias("g"))
-        rows = wanted.join(counts[k].withColumn("less", F.col("c") - discount), "g", "left").withColumn("h", F.shiftright("g", 8)).join(context, "h", "left")
-        lower = F.lit(1 / SYMBOLS)
-        if p is not None:
-            rows = rows.withColumn("s", F.col("g").bitwiseAND(mask(k - 1))).join(p.select(F.col("g").alias("s"), F.col("p").alias("low")), "s")
-            lower = F.col("low")
-        p = save(rows.select("g", (F.coalesce(F.col("less") / F.col("total"), F.lit(0.0)) + F.coalesce("back", F.lit(1.0)) * lower).alias("p")), "kn-p")
-    return p.select(F.col("g").alias("key"), F.log("p").alias("logp"))
-
-
 class Table:
     """Numbers by key: open addressing with linear probing, looked up many at a time."""
 
@@ -126,45 +65,6 @@ class Table:
         return self.values[at]
 
 
-def score(docs: DataFrame, logs: DataFrame, order: int, most: int = BROADCAST) -> DataFrame:
-    """docs (row, lang, trusted, held, text) without text, with n_bytes and logp (the sum over the text's bytes)."""
-    n = logs.count()
-    if n <= most:
-        keys, values = np.empty(n, np.int64), np.empty(n, np.float32)
-        for i, r in enumerate(logs.toLocalIterator()):
-            keys[i], values[i] = r[0], r[1]
-        shared = docs.sparkSession.sparkContext.broadcast((keys, values))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = Table(*shared.value)
-            for batch in batches:
-                sizes, sums = [np.zeros(0, np.int64)], [np.zeros(0)]
-                for part in pieces(batch.column(4).to_pylist(), BUFFER // 4):
-                    key, size = grams(part, order)
-                    total = np.concatenate([[0.0], np.cumsum(table(key), dtype=np.float64)])
-                    ends = np.cumsum(size)
-                    sizes.append(size)
-                    sums.append(total[ends] - total[ends - size])
-                yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(np.concatenate(sizes)), pa.array(np.concatenate(sums))], names=["row", "lang", "trusted", "held", "n_bytes", "logp"])
-
-        return docs.select("row", "lang", "trusted", "held", "text").mapInArrow(lean(run), "row bigint, lang string, trusted boolean, held boolean, n_bytes bigint, logp double")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, t in enumerate(batch.column(2).to_pylist()):
-                key, k = np.unique(grams([(t or "").encode("utf-8", "surrogatepass")], order)[0], return_counts=True)
-                one = batch.slice(i, 1).take(pa.array(np.zeros(len(key), np.int64)))
-                yield pa.RecordBatch.from_arrays([*one.columns[:2], pa.array(key), pa.array(k, pa.int64())], names=["row", "text_hash", "key", "k"])
-
-    # rows that agree in id and text have one mean, which each of them gets
-    docs = docs.withColumn("text_hash", F.xxhash64("text"))
-    rows = docs.select(F.coalesce("row", F.lit(-1)).alias("row"), "text_hash", "text").mapInArrow(lean(cut), "row bigint, text_hash bigint, key bigint, k bigint")
-    means = rows.join(logs, "key").groupBy("row", "text_hash").agg((F.sum(F.col("k") * F.col("logp")) / F.sum("k")).alias("mean")).withColumnRenamed("row", "r")
-    slim = docs.select("row", "lang", "trusted", "held", "text_hash", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    out = slim.join(means, (F.coalesce(slim["row"], F.lit(-1)) == means["r"]) & (slim["text_hash"] == means["text_hash"]), "left")
-    return out.select("row", "lang", "trusted", "held", "n_bytes", (F.coalesce("mean", F.lit(0.0)) * F.col("n_bytes")).alias("logp"))
-
-
 def word_grams(texts: list[str | None], words: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     """The hashed words that end at each word of each text and at its end, WORDS to a row, and the texts' rows; a text
     without words has none."""
@@ -207,9 +107,9 @@ def word_model(docs: DataFrame) -> tuple[DataFrame, float]:
             yield pa.RecordBatch.from_arrays([pa.array(word_keys(g).view(np.int64)), batch.columns[-1]], names=["key", "f"])
 
     rows = docs.where("trained").select("text").mapInArrow(lean(run), "u bigint, v bigint, w bigint, n bigint")
-    c3 = save(rows.groupBy("u", "v", "w").agg(F.sum("n").alias("c")), "kn-counts")
-    c2 = save(c3.groupBy("v", "w").agg(F.count("*").alias("c")), "kn-counts")
-    c1 = save(c2.groupBy("w").agg(F.count("*").alias("c")), "kn-counts")
+    used = [save(rows.groupBy("u", "v", "w").agg(F.sum("n").alias("c")), "kn-counts")]
+    used.append(save(used[0].groupBy("v", "w").agg(F.count("*").alias("c")), "kn-counts"))
+    used.append(save(used[1].groupBy("w").agg(F.count("*").alias("c")), "kn-counts"))
 
     def less(c: DataFrame) -> DataFrame:
         """With what the discount leaves of c, and the discount."""
@@ -223,7 +123,7 @@ def word_model(docs: DataFrame) -> tuple[DataFrame, float]:
         back = F.sum("cut") / F.sum("c")
         return c.groupBy(*by).agg(F.sum("c").alias("total"), back.alias("back"), F.log(back).alias("logb"))
 
-    c1, c2, c3 = less(c1), less(c2), less(c3)
+    c3, c2, c1 = map(less, used)
     n, total, held = c1.agg(F.count("*"), F.sum("c"), F.sum("cut")).first()
     unknown = (held / total if n else 1.0) / (n + 1)
     b1, b2 = save(contexts(c2, "v"), "kn-contexts"), save(contexts(c3, "u", "v"), "kn-contexts")
@@ -237,7 +137,9 @@ def word_model(docs: DataFrame) -> tuple[DataFrame, float]:
     f1 = p1.select("w", (F.log("p1") - F.lit(float(np.log(unknown)))).alias("f")).unionByName(b1.select(F.col("v").alias("w"), F.col("logb").alias("f")))
     f2, f1 = (f.groupBy(*f.columns[:-1]).agg(F.sum("f").cast("float").alias("f")) for f in (f2, f1))
     out = [f.mapInArrow(lean(keyed), "key bigint, f float") for f in (f3, f2, f1)]
-    return save(out[0].unionByName(out[1]).unionByName(out[2]), "kn-f"), float(np.log(unknown))
+    out = save(out[0].unionByName(out[1]).unionByName(out[2]), "kn-f")
+    drop(*used, b1, b2, p1, p2)
+    return out, float(np.log(unknown))
 
 
 def word_entries(texts: list[bytes], words: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -257,129 +159,111 @@ def word_entries(texts: list[bytes], words: WordHashes) -> tuple[np.ndarray, np.
     return at[first], keys[first], np.diff(np.append(first, len(at))), sizes
 
 
-def word_score(docs: DataFrame, logs: DataFrame, unknown: float, most: int = BROADCAST) -> DataFrame:
+def word_score(docs: DataFrame, logs: DataFrame, unknown: float) -> DataFrame:
     """text_hash, mean (of the log probability of the text's words and its end): the distinct texts that have words.
 
-    Beyond `most` n-grams of the model, those of the texts travel to its shards packed, six bytes and a count each (with
-    the two bytes that choose the shard, a key is whole), and sums return.
+    N-grams of the texts travel to the model's shards packed, six bytes and a count each (with the two bytes that choose
+    the shard, a key is whole), and sums return.
     """
-    n = logs.count()
     docs = docs.select(F.xxhash64("text").alias("text_hash"), "text")
-    if n <= most:
-        keys, values = np.empty(n, np.int64), np.empty(n, np.float32)
-        for i, r in enumerate(logs.toLocalIterator()):
-            keys[i], values[i] = r[0], r[1]
-        shared = docs.sparkSession.sparkContext.broadcast((keys, values))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table, words = Table(*shared.value), WordHashes()
-            for batch in batches:
-                at = 0
-                for part in pieces(batch.column(1).to_pylist(), BUFFER // 4):
-                    own, key, k, sizes = word_entries(part, words)
-                    sums = np.bincount(own, table(key.view(np.int64)) * k, len(part)).astype(np.float64)
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), pa.array(sums, pa.float64()), pa.array(sizes)], names=["text_hash", "f", "n"])
-                    at += len(part)
-
-        sums = docs.mapInArrow(lean(run), "text_hash bigint, f double, n bigint")
-    else:
-        shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        kind = "shard int, kind int, texts binary, sizes binary, keys binary, data binary"
-
-        def short(keys: np.ndarray) -> bytes:
-            return np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
-
-        def long(keys: bytes) -> np.ndarray:
-            out = np.zeros((len(keys) // 6, 8), np.uint8)
-            out[:, :6] = np.frombuffer(keys, np.uint8).reshape(-1, 6)
-            return out.reshape(-1).view(np.int64)
-
-        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), *[pa.binary()] * 4), strict=True)], names=["shard", "kind", "texts", "sizes", "keys", "data"])
-
-        def dealt(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-            to = ((keys >> U(48)) % U(shards)).astype(np.int64)
-            order = np.argsort(to, kind="stable")
-            for own in np.split(order, np.flatnonzero(np.diff(to[order])) + 1):
-                if len(own):
-                    yield int(to[own[0]]), own
-
-        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keys, f = batch.column(0).to_numpy().view(U), batch.column(1).to_numpy()
-                rows = [(s, 0, b"", b"", short(keys[own]), f[own].tobytes()) for s, own in dealt(keys)]
-                if rows:
-                    yield batch_of(rows)
-
-        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            words = WordHashes()
-            for batch in batches:
-                at = 0
-                for part in pieces(batch.column(1).to_pylist(), BUFFER):
-                    names = batch.column(0).slice(at, len(part)).to_numpy()
-                    at += len(part)
-                    text, keys, k, sizes = word_entries(part, words)
-                    rows = [(int(names[0]) % shards, 1, names.tobytes(), sizes.tobytes(), b"", b"")]
-                    for s, own in dealt(keys):
-                        seen, first = np.unique(text[own], return_index=True)
-                        rows.append((s, 2, names[seen].tobytes(), np.diff(np.append(first, len(own))).tobytes(), short(keys[own]), k[own].astype(np.int32).tobytes()))
-                    yield batch_of(rows)
-
-        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            shard, held, table = None, [], None
-            for batch in batches:
-                for at in range(batch.num_rows):
-                    s, what, texts, sizes, keys, data = (c[at].as_py() for c in batch.columns)
-                    if s != shard:
-                        shard, held, table = s, [], None
-                    if what == 0:
-                        held.append((long(keys), np.frombuffer(data, np.float32)))
-                        continue
-                    names, sizes = np.frombuffer(texts, np.int64), np.frombuffer(sizes, np.int64)
-                    sums = np.zeros(len(names))
-                    if what == 2 and held:
-                        table = Table(*map(np.concatenate, zip(*held, strict=True)))
-                        held = []
-                    if what == 2 and table:
-                        sums = np.add.reduceat(table(long(keys)) * np.frombuffer(data, np.int32).astype(np.float64), np.cumsum(sizes) - sizes)
-                    words = sizes if what == 1 else np.zeros(len(names), np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(sums), pa.array(words)], names=["text_hash", "f", "n"])
-
-        rows = logs.select("key", "f").mapInArrow(lean(pack), kind).unionByName(docs.mapInArrow(lean(cut), kind))
-        sums = rows.repartition(shards, "shard").sortWithinPartitions("shard", "kind").mapInArrow(lean(look_up), "text_hash bigint, f double, n bigint")
+    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind = "shard int, kind int, texts binary, sizes binary, keys binary, data binary"
+
+    def short(keys: np.ndarray) -> bytes:
+        return np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+    def long(keys: bytes) -> np.ndarray:
+        out = np.zeros((len(keys) // 6, 8), np.uint8)
+        out[:, :6] = np.frombuffer(keys, np.uint8).reshape(-1, 6)
+        return out.reshape(-1).view(np.int64)
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), *[pa.binary()] * 4), strict=True)], names=["shard", "kind", "texts", "sizes", "keys", "data"])
+
+    def dealt(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        to = ((keys >> U(48)) % U(shards)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(to[order])) + 1):
+            if len(own):
+                yield int(to[own[0]]), own
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, f = batch.column(0).to_numpy().view(U), batch.column(1).to_numpy()
+            rows = [(s, 0, b"", b"", short(keys[own]), f[own].tobytes()) for s, own in dealt(keys)]
+            if rows:
+                yield batch_of(rows)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for batch in batches:
+            at = 0
+            for part in pieces(batch.column(1).to_pylist(), BUFFER):
+                names = batch.column(0).slice(at, len(part)).to_numpy()
+                at += len(part)
+                text, keys, k, sizes = word_entries(part, words)
+                rows = [(int(names[0]) % shards, 1, names.tobytes(), sizes.tobytes(), b"", b"")]
+                for s, own in dealt(keys):
+                    seen, first = np.unique(text[own], return_index=True)
+                    rows.append((s, 2, names[seen].tobytes(), np.diff(np.append(first, len(own))).tobytes(), short(keys[own]), k[own].astype(np.int32).tobytes()))
+                yield batch_of(rows)
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, held, table = None, [], None
+        for batch in batches:
+            for at in range(batch.num_rows):
+                s, what, texts, sizes, keys, data = (c[at].as_py() for c in batch.columns)
+                if s != shard:
+                    shard, held, table = s, [], None
+                if what == 0:
+                    held.append((long(keys), np.frombuffer(data, np.float32)))
+                    continue
+                names, sizes = np.frombuffer(texts, np.int64), np.frombuffer(sizes, np.int64)
+                sums = np.zeros(len(names))
+                if what == 2 and held:
+                    table = Table(*map(np.concatenate, zip(*held, strict=True)))
+                    held = []
+                if what == 2 and table:
+                    sums = np.add.reduceat(table(long(keys)) * np.frombuffer(data, np.int32).astype(np.float64), np.cumsum(sizes) - sizes)
+                words = sizes if what == 1 else np.zeros(len(names), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(sums), pa.array(words)], names=["text_hash", "f", "n"])
+
+    rows = logs.select("key", "f").mapInArrow(lean(pack), kind).unionByName(docs.mapInArrow(lean(cut), kind))
+    sums = rows.repartition(shards, "shard").sortWithinPartitions("shard", "kind").mapInArrow(lean(look_up), "text_hash bigint, f double, n bigint")
     # equal texts have one mean
     return sums.groupBy("text_hash").agg(F.sum("f").alias("f"), F.sum("n").alias("n")).where("n > 0").select("text_hash", (F.col("f") / F.col("n") + F.lit(unknown)).alias("mean"))
 
 
-def quality(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, order: int = ORDER, most: int = BROADCAST, key: str = "doc_id", unit: str = "bytes") -> DataFrame:
-    """Perplexity of every whole text, a byte or (unit "words") a word and the text's end, and whether it is kept.
+def quality(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, key: str = "doc_id") -> DataFrame:
+    """Perplexity of every whole text, a word and the text's end, and whether it is kept.
 
     Trusted are documents labelled quality 1; the model is trained on those whose crc32(id) mod 5 is not 0. A language's
     threshold is the given quantile of the perplexity of its other trusted documents (if it has none, of all
-    languages'; if there are none at all, everything is kept). N-grams are counted in shards by n-gram after a map-side
-    combine. Words are hashed and n-grams of them (WORDS; `order` is for bytes) grow with the input; byte n-grams hardly
-    do. The model is broadcast if its n-grams are few enough, else joined.
-
-    Returns doc_id, lang, n_bytes, perplexity, threshold, kept. Null and empty texts, and with words those without any:
-    perplexity null, not kept. Null
-    languages have a threshold of their own. Rows that repeat an id are scored row by row; one labelled twice is trusted
-    if one label says so. Empty table: no rows. Other columns are not read.
+    languages'; if there are none at all, everything is kept). N-grams of WORDS hashed words are counted in shards by
+    n-gram after a map-side combine, and grow with the input; counts, contexts and texts meet by joins at every size.
+
+    Returns doc_id, lang, n_bytes, perplexity, threshold, kept. Null and empty texts, and those without any word:
+    perplexity null, not kept. Null languages have a threshold of their own. Rows that repeat an id are scored row by row;
+    one labelled twice is trusted if one label says so. Ties with the threshold are kept. Empty table: no rows. Other
+    columns are not read.
     """
     trusted = labels.where((F.col("quality") == 1) & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("row"), F.lit(True).alias("trusted")).distinct()
     held = F.crc32(F.coalesce(F.col("row").cast("string"), F.lit(""))) % 5 == 0
     rows = docs.select(F.col(key).cast("long").alias("row"), F.col("lang").cast("string").alias("lang"), "text").join(small_enough(save(trusted, "trusted")), "row", "left")
     rows = rows.select("row", "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"), held.alias("held"), "text").withColumn("trained", F.expr("trusted AND NOT held"))
-    if unit == "words":
-        means = word_score(rows, *word_model(rows), most)
-        slim = rows.select("row", "lang", "trusted", "held", F.xxhash64("text").alias("text_hash"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-        scored = slim.join(means, "text_hash", "left").select("row", "lang", "trusted", "held", "n_bytes", F.exp(-F.col("mean")).alias("perplexity"))
-    else:
-        counts = save(count(rows, order), "grams")
-        scored = score(rows, model(counts, order), order, most)
-        scored = scored.withColumn("perplexity", F.when(F.col("n_bytes") > 0, F.exp(-F.col("logp") / F.col("n_bytes"))))
+    model, unknown = word_model(rows)
+    slim = rows.select("row", "lang", "trusted", "held", F.xxhash64("text").alias("text_hash"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
+    scored = slim.join(word_score(rows, model, unknown), "text_hash", "left").select("row", "lang", "trusted", "held", "n_bytes", F.exp(-F.col("mean")).alias("perplexity"))
     scored = save(scored.withColumn("lkey", F.coalesce(F.concat(F.lit("s"), F.col("lang")), F.lit("n"))), "perplexities")
-    good = scored.where("trusted AND held AND perplexity IS NOT NULL")
-    every = good.agg(F.percentile_approx("perplexity", quantile, 10_000)).first()[0]
-    cuts = small_enough(save(good.groupBy("lkey").agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold")), "cuts"))
-    out = scored.join(cuts, "lkey", "left").withColumn("threshold", F.coalesce("threshold", F.lit(every).cast("double"), F.lit(float("inf"))))
+    drop(model)
+    cuts = save(thresholds(scored.where("trusted AND held AND perplexity IS NOT NULL"), quantile), "cuts")
+    every = cuts.where("lkey = ''").select(F.col("threshold").alias("every"))
+    out = scored.join(small_enough(cuts), "lkey", "left").crossJoin(F.broadcast(every)).withColumn("threshold", F.coalesce("threshold", "every", F.lit(float("inf"))))
     return out.select(F.col("row").alias("doc_id"), "lang", "n_bytes", "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)).alias("kept"))
+
+
+def thresholds(good: DataFrame, quantile: float) -> DataFrame:
+    """lkey, threshold: the quantile of each language's perplexities, and, by the empty lkey, of all (null of none). good:
+    lkey, perplexity."""
+    cut = F.percentile_approx("perplexity", quantile, 10_000).alias("threshold")
+    return good.groupBy("lkey").agg(cut).unionByName(good.agg(cut).select(F.lit("").alias("lkey"), "threshold"))

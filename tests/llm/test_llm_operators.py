@@ -74,63 +74,28 @@ def components(ids, pairs):
 # --- 1 perplexity ----------------------------------------------------------------------------------------------------
 
 
-def kneser_ney(texts, n=5):
-    counts = {n: collections.Counter()}
-    for b in texts:
-        x = b"\xff" * (n - 1) + b
-        counts[n].update(x[i - n + 1 : i + 1] for i in range(n - 1, len(x)))
-    for k in range(n - 1, 0, -1):
-        counts[k] = collections.Counter(g[1:] for g in counts[k + 1])
-    tables = {}
-    for k, c in counts.items():
-        m = [sum(1 for v in c.values() if v == i) for i in range(5)]
-        y = m[1] / (m[1] + 2 * m[2])
-        cut = [0] + [max(0, min(i, i - (i + 1) * y * m[i + 1] / m[i])) if m[i] and m[i + 1] else y for i in (1, 2, 3)]
-        total, held = collections.Counter(), collections.Counter()
-        for g, v in c.items():
-            total[g[:-1]] += v
-            held[g[:-1]] += cut[min(v, 3)]
-        tables[k] = cut, total, held
-
-    def p(g):
-        out = 1 / 257
-        for k in range(1, n + 1):
-            s = g[n - k :]
-            cut, total, held = tables[k]
-            if total[s[:-1]]:
-                v = counts[k][s]
-                out = (v - cut[min(v, 3)]) / total[s[:-1]] * (v > 0) + held[s[:-1]] / total[s[:-1]] * out
-        return out
-
-    return p
-
-
-def test_perplexity(spark, docs, labels):
-    got = {r["doc_id"]: r for r in perplexity.quality(docs, labels).collect()}
-    joined = {r["doc_id"]: r for r in perplexity.quality(docs, labels, most=0).collect()}
-    texts = {r["doc_id"]: r["text"].encode() for r in docs.collect()}
+def test_perplexity_thresholds(spark, docs, labels, edges, empty):
+    """A language's threshold is a quantile of its trusted documents outside training, or else that of all languages."""
+    rows = perplexity.quality(docs, labels, quantile=0.7).collect()
     good = {r["doc_id"] for r in labels.collect() if r["quality"] == 1}
-    p = kneser_ney([b for d, b in texts.items() if d in good and zlib.crc32(str(d).encode()) % 5])
-    assert set(got) == set(texts) == set(joined)
-    for d, b in list(texts.items())[:25]:
-        x = b"\xff" * 4 + b
-        want = math.exp(-sum(math.log(p(x[i - 4 : i + 1])) for i in range(4, len(x))) / len(b))
-        assert got[d]["perplexity"] == pytest.approx(want, rel=1e-5) and joined[d]["perplexity"] == pytest.approx(want, rel=1e-5)
-    probabilities = [p(b"that"[:4] + bytes([c])) for c in range(256)]
-    assert 0.99 < sum(probabilities) <= 1 + 1e-9
+    held = [r for r in rows if r["doc_id"] in good and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
 
+    def cut(own):
+        own = sorted(r["perplexity"] for r in own)
+        return own[max(math.ceil(0.7 * len(own)) - 1, 0)]
 
-def test_perplexity_edges(spark, edges, empty, labels):
+    for r in rows:
+        own = [h for h in held if h["lang"] == r["lang"]] or held
+        assert r["threshold"] == cut(own) and r["kept"] == (r["perplexity"] <= r["threshold"])
     marks = spark.createDataFrame([(5, 1, 0), (4, 1, 0), (3, 0, 1), (None, 1, None), (5, 1, 1)], "doc_id long, quality int, toxic int")
-    for most in (0, 10**6):
-        rows = perplexity.quality(edges, marks, most=most).collect()
-        assert len(rows) == len(EDGES)
-        assert all((r["perplexity"] is None) == (r["n_bytes"] == 0) and (r["kept"] or r["perplexity"] is not None or r["n_bytes"] == 0) for r in rows)
-        assert perplexity.quality(empty, labels, most=most).count() == 0
+    rows = perplexity.quality(edges, marks).collect()
+    assert len(rows) == len(EDGES)
+    assert all((r["perplexity"] is None) == (r["n_bytes"] == 0) and (r["kept"] or r["perplexity"] is not None or r["n_bytes"] == 0) for r in rows)
+    assert perplexity.quality(empty, labels).count() == 0
 
 
 def test_perplexity_of_words(spark, edges, labels):
-    """Familiar words in senseless order are less probable than trained sentences; both ways agree with brute force."""
+    """Familiar words in senseless order are less probable than trained sentences; against brute force."""
     rng = random.Random(3)
     sentences = ["the cat sat on the old mat", "a dog ran in the green park", "rain fell on the old town", "he \u6771\u4eac met a dog"]
     texts = {i: " ".join(rng.choice(sentences) for _ in range(6)) for i in range(40)}
@@ -139,7 +104,7 @@ def test_perplexity_of_words(spark, edges, labels):
     texts |= {100: " ".join(jumbled), 101: "quite other words", 102: "!!!", 103: texts[1]}
     df = spark.createDataFrame([(i, t, "en") for i, t in texts.items()], "doc_id long, text string, lang string")
     marks = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int")
-    got, joined = ({r["doc_id"]: r["perplexity"] for r in perplexity.quality(df, marks, most=m, unit="words").collect()} for m in (10**6, 0))
+    got = {r["doc_id"]: r["perplexity"] for r in perplexity.quality(df, marks).collect()}
     split = lambda t: ["<s>", "<s>", *re.sub("([\u6771\u4eac])", r" \1 ", t).split(), "</s>"]
     counts = {3: collections.Counter()}
     for i in range(40):
@@ -163,15 +128,12 @@ def test_perplexity_of_words(spark, edges, labels):
                 out = (max(c[s] - d[min(c[s], 3)], 0) + sum(d[min(v, 3)] for v in own.values()) * out) / sum(own.values())
         return out
 
-    assert set(got) == set(joined) == set(texts) and got[102] is None and joined[102] is None
+    assert set(got) == set(texts) and got[102] is None
     for i in (0, 1, 2, 100, 101, 103):
         x = split(texts[i])
         want = math.exp(-sum(math.log(p(tuple(x[j - 2 : j + 1]))) for j in range(2, len(x))) / (len(x) - 2))
-        assert got[i] == pytest.approx(want, rel=1e-4) and joined[i] == pytest.approx(want, rel=1e-4)
+        assert got[i] == pytest.approx(want, rel=1e-4)
     assert got[100] > 2 * got[0]
-    for most in (0, 10**6):
-        rows = perplexity.quality(edges, labels, most=most, unit="words").collect()
-        assert len(rows) == len(EDGES) and perplexity.quality(edges.limit(0), labels, most=most, unit="words").count() == 0
 
 
 def test_op1_counts_words(spark, monkeypatch):
