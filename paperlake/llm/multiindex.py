@@ -52,18 +52,17 @@ def traverse(d1: np.ndarray, d2: np.ndarray, visits: int, reach: float) -> list[
     o1, o2 = d1.argsort(kind="stable"), d2.argsort(kind="stable")
     a, b = d1[o1], d2[o2]
     a, b = a[a - a[0] <= 2 * reach + 1e-4], b[b - b[0] <= 2 * reach + 1e-4]
-    heap, out, done = [(a[0] ** 2 + b[0] ** 2, 0, 0)], [], {}
+    # what is out of reach has nothing within reach behind it in either sequence
+    near = lambda i, j: ((a[i] - a[0]) ** 2 + (b[j] - b[0]) ** 2) / 4 <= reach * reach + 1e-9
+    heap, out, done = [(a[0] ** 2 + b[0] ** 2, 0, 0)], [], set()
     while heap and len(out) < visits:
         _, i, j = heapq.heappop(heap)
-        if ((a[i] - a[0]) ** 2 + (b[j] - b[0]) ** 2) / 4 <= reach * reach + 1e-9:
-            out.append(int(o1[i]) * len(d2) + int(o2[j]))
-        done[i, j] = True
-        if i + 1 < len(a) and (j == 0 or (i + 1, j - 1) in done):
+        out.append(int(o1[i]) * len(d2) + int(o2[j]))
+        done.add((i, j))
+        if i + 1 < len(a) and (j == 0 or (i + 1, j - 1) in done) and near(i + 1, j):
             heapq.heappush(heap, (a[i + 1] ** 2 + b[j] ** 2, i + 1, j))
-        if j + 1 < len(b) and (i == 0 or (i - 1, j + 1) in done):
+        if j + 1 < len(b) and (i == 0 or (i - 1, j + 1) in done) and near(i, j + 1):
             heapq.heappush(heap, (a[i] ** 2 + b[j + 1] ** 2, i, j + 1))
-        if not out and len(done) > visits:
-            break
     return out
 
 

@@ -176,7 +176,7 @@ class Scorer:
 
 
 def fold(key: str = "doc_id"):
-    """0: held out; 1: for thresholds; 2 to 4: for training."""
+    """0: held out; 1: for thresholds, which come from a model that the others trained; 1 to 4: for training."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % 5
 
 
@@ -190,12 +190,12 @@ def labelled(labels: DataFrame, label: str, key: str, folds: tuple[int, ...]) ->
     return known.where(fold().isin(*folds))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Settings = Settings(), key: str = "doc_id") -> Model:
-    """Trains on labelled documents whose crc32(id) mod 5 is 2 to 4: of either class at most settings.sample of those
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Settings = Settings(), key: str = "doc_id", folds: tuple[int, ...] = (1, 2, 3, 4)) -> Model:
+    """Trains on labelled documents of the given folds (see fold): of either class at most settings.sample of those
     whose id has the smallest hash, as far as settings.sample_bytes reach. What comes to the driver is bucket numbers of
     their words. Labels of one class or none: a model that says the same, under 0.5, to everything."""
     s = settings
-    known = labelled(labels, label, key, (2, 3, 4))
+    known = labelled(labels, label, key, folds)
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     chosen = [known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.sample) for c in (0, 1)]
     rows = docs.select(F.col(key).alias("doc_id"), F.col("text")).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
@@ -252,10 +252,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score"
 
 
 def thresholds(scored: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", bins: int = 1000, least: int = 10) -> DataFrame:
-    """lkey, threshold: for each language the cut with the best F1 over its labelled documents whose crc32(id) mod 5 is 1,
-    none of which was trained on (the highest of equal cuts). Histograms of the scores by language are summed map-side.
-    A language with fewer than `least` toxic labels among these has the cut over all languages; if all together have
-    fewer, it is 0.5. scored: doc_id, lkey, score."""
+    """lkey, threshold: for each language the cut with the best F1 over its labelled documents of fold 1, on which the model
+    that scored them wasn't trained (the highest of equal cuts). Histograms of the scores by language are summed map-side.
+    A language with fewer than `least` toxic labels among these has the cut over all languages, which the empty lkey has
+    too; if all together have fewer, it is 0.5. scored: doc_id, lkey, score."""
     known = labelled(labels, label, key, (1,))
     rows = scored.select("doc_id", "lkey", F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).alias("bin"))
     hist = save(rows.join(known, "doc_id", "left").groupBy("lkey", "bin").agg(F.coalesce(F.sum("label"), F.lit(0)).alias("pos"), F.count("label").alias("n")), "histograms")
@@ -266,20 +266,27 @@ def thresholds(scored: DataFrame, labels: DataFrame, label: str = "toxic", key:
         h = h.withColumn("f1", f1).withColumn("all", F.sum("pos").over(every))
         return h.groupBy("lkey").agg(F.when(F.max("all") >= least, F.max_by("bin", F.struct(F.round("f1", 9), "bin")) / bins).alias("threshold"))
 
-    pooled = best(hist.groupBy("bin").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")).withColumn("lkey", F.lit(""))).select(F.col("threshold").alias("pooled"))
-    return best(hist).crossJoin(F.broadcast(pooled)).select("lkey", F.coalesce("threshold", "pooled", F.lit(0.5)).alias("threshold"))
+    pooled = hist.agg(F.lit("").alias("lkey")).select("lkey")
+    pooled = pooled.join(best(hist.groupBy("bin").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")).withColumn("lkey", F.lit(""))), "lkey", "left")
+    pooled = pooled.select("lkey", F.coalesce("threshold", F.lit(0.5)).alias("threshold"))
+    all_of = F.broadcast(pooled.select(F.col("threshold").alias("pooled")))
+    return best(hist).crossJoin(all_of).select("lkey", F.coalesce("threshold", "pooled").alias("threshold")).unionByName(pooled)
 
 
 def judged(docs: DataFrame, labels: DataFrame, passed: list[str], label: str = "toxic", settings: Settings = Settings(), model: Model | None = None, key: str = "doc_id", lang: str = "lang") -> DataFrame:
     """row (a struct of the columns of docs that are passed on, where their names clash with none), score, threshold,
     flagged."""
-    model = model or fit(docs, labels, label, settings, key)
     of = lambda c: F.col(f"`{c}`")
-    rows = docs.select(F.struct(*map(of, passed)).alias("row"), of(key).alias("doc_id"), F.coalesce(F.concat(F.lit("s"), of(lang)), F.lit("n")).alias("lkey"), *([] if "text" in passed else [of("text").alias("text")]))
-    scored = save(score(rows, model, keep_text=False, within="row" if "text" in passed else None), "scored")
-    cuts = save(thresholds(scored, labels, label, key), "cuts")
-    out = scored.join(small_enough(cuts), "lkey", "left")
-    return out.select("row", "score", F.coalesce("threshold", F.lit(0.5)).alias("threshold")).withColumn("flagged", F.col("score") >= F.col("threshold"))
+    lkey = F.coalesce(F.concat(F.lit("s"), of(lang)), F.lit("n")).alias("lkey")
+    trial = model or fit(docs, labels, label, settings, key, (2, 3, 4))
+    known = docs.select(of(key).alias("doc_id"), lkey, of("text").alias("text")).join(labelled(labels, label, key, (1,)).select("doc_id"), "doc_id", "left_semi")
+    cuts = save(thresholds(score(known, trial, keep_text=False), labels, label, key), "cuts")
+    model = model or fit(docs, labels, label, settings, key)
+    rows = docs.select(F.struct(*map(of, passed)).alias("row"), lkey, *([] if "text" in passed else [of("text").alias("text")]))
+    scored = score(rows, model, keep_text=False, within="row" if "text" in passed else None)
+    other = cuts.where("lkey = ''").select(F.col("threshold").alias("pooled"))
+    out = scored.join(small_enough(cuts), "lkey", "left").crossJoin(F.broadcast(other))
+    return out.select("row", "score", F.coalesce("threshold", "pooled").alias("threshold")).withColumn("flagged", F.col("score") >= F.col("threshold"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Settings = Settings(), model: Model | None = None, into: str = "score", keep_text: bool = True) -> DataFrame:
