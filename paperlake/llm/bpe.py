@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, shared_dir, trim
+from .common import lean, settle, shared_dir, trim
 
 #: Parts of the rank map, by CRC of the piece: a map value in Spark is found by going through its keys.
 PARTS = 1 << 14
@@ -311,6 +311,7 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     name = f"bpe_chunks_{uuid.uuid4().hex}"
     rows = chunks(docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")), shards, find, shared)
     rows.write.format("parquet").option("compression", "zstd").bucketBy(shards, "chunk").option("path", f"{shared_dir(spark)}/paperlake/{name}").saveAsTable(name)
+    settle(spark)
     rows = spark.table(name)
     asked = gathered(rows.where("shard IS NOT NULL").select("chunk", "shard", "sizes", "words"), shards)
     done = answers(asked.select("shard", bound(table, lambda m: F.transform("words", lambda w: merged(w, m))).alias("merged"), "asks"))

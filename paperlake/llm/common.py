@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.shared import connected, drop, forest, save, shared_dir, small_enough
 
-__all__ = ["bits", "connected", "drop", "forest", "lean", "read", "save", "shared_dir", "small_enough", "trim"]
+__all__ = ["bits", "connected", "drop", "finish", "forest", "lean", "read", "save", "settle", "shared_dir", "small_enough", "trim"]
 
 Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
@@ -47,3 +47,16 @@ def lean(run: Run) -> Run:
         trim()
 
     return step
+
+
+def settle(spark: SparkSession) -> None:
+    """Has the driver collect what no step refers to any more. Spark's cleaner then removes shuffle files and broadcasts of
+    steps that are over, which else stay until the driver happens to collect, and the driver's memory shrinks."""
+    trim()
+    spark.sparkContext._jvm.System.gc()
+
+
+def finish(*saved: DataFrame) -> None:
+    """Remove tables written by save() once nothing reads them any more, and what is left of the steps between."""
+    drop(*saved)
+    settle(saved[0].sparkSession)

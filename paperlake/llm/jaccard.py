@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected, drop, lean, save, small_enough
+from .common import connected, finish, lean, save, settle, small_enough
 from .hashing import U, WordHashes, mix, shingles
 
 #: Share of the pairs at the least similarity that must meet in a bucket of the deepest level; the recursion's depth; runs
@@ -220,6 +220,7 @@ def candidates(sets: DataFrame, texts, similarity: float, words: int, runs: int,
                 found.append(keep(alike(rest.select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "rid", "sketch")), "pairs"))
         if sure:
             gone = keep(reduce(DataFrame.unionByName, sure).distinct(), "gone")
+        settle(sets.sparkSession)
     return reduce(DataFrame.unionByName, found), used
 
 
@@ -290,7 +291,7 @@ def classes(docs: DataFrame, similarity: float, words: int, key: str, text: str)
 
     edges, used = candidates(whole, texts, similarity, words, runs)
     comps = save(connected(edges).withColumnRenamed("node", "rid").withColumnRenamed("component", "comp"), "groups")
-    drop(whole, *used)
+    finish(whole, *used)
     sizes = comps.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = comps.join(sizes, "comp").join(sets.select("rid", "copies"), "rid")
     members = members.withColumn("own", F.pmod(F.xxhash64("rid"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -303,6 +304,7 @@ def classes(docs: DataFrame, similarity: float, words: int, key: str, text: str)
     links = found.where("to IS NULL").groupBy("rid").agg(F.sum("links").alias("links"))
     out = sets.join(final, "rid", "left").join(links, "rid", "left")
     out = save(out.select("same", F.coalesce("head", F.struct("doc_id", "th")).alias("head"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes")
+    settle(docs.sparkSession)
     named = rows.select("doc_id", "th", F.when(F.col("doc_id").isNotNull(), F.col("same")).alias("same")).join(small_enough(out), "same", "left")
     return named.select("doc_id", "th", F.coalesce("head.doc_id", "doc_id").alias("class_id"), F.coalesce("head.th", "th").alias("class_th"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, lean, save, small_enough
+from .common import finish, lean, save, small_enough
 from .hashing import U, WordHashes, mix
 
 #: Bytes of text that are counted at once.
@@ -138,7 +138,7 @@ def word_model(docs: DataFrame) -> tuple[DataFrame, float]:
     f2, f1 = (f.groupBy(*f.columns[:-1]).agg(F.sum("f").cast("float").alias("f")) for f in (f2, f1))
     out = [f.mapInArrow(lean(keyed), "key bigint, f float") for f in (f3, f2, f1)]
     out = save(out[0].unionByName(out[1]).unionByName(out[2]), "kn-f")
-    drop(*used, b1, b2, p1, p2)
+    finish(*used, b1, b2, p1, p2)
     return out, float(np.log(unknown))
 
 
@@ -255,7 +255,7 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, key: str
     slim = rows.select("row", "lang", "trusted", "held", F.xxhash64("text").alias("text_hash"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     scored = slim.join(word_score(rows, model, unknown), "text_hash", "left").select("row", "lang", "trusted", "held", "n_bytes", F.exp(-F.col("mean")).alias("perplexity"))
     scored = save(scored.withColumn("lkey", F.coalesce(F.concat(F.lit("s"), F.col("lang")), F.lit("n"))), "perplexities")
-    drop(model)
+    finish(model)
     cuts = save(thresholds(scored.where("trusted AND held AND perplexity IS NOT NULL"), quantile), "cuts")
     every = cuts.where("lkey = ''").select(F.col("threshold").alias("every"))
     out = scored.join(small_enough(cuts), "lkey", "left").crossJoin(F.broadcast(every)).withColumn("threshold", F.coalesce("threshold", "every", F.lit(float("inf"))))

@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop, lean, save
+from .common import finish, lean, save
 from .hashing import U, mix
 from .suffixes import common_prefixes, suffix_array
 
 #: Bytes of an anchor; bytes of text that are looked at together; bytes of a suffix array's shard; bytes up to which
 #: neighbouring segments travel as one piece.
-ANCHOR, BUFFER, SHARD, PIECE = 24, 1 << 18, 1 << 19, 1 << 16
+ANCHOR, BUFFER, SHARD, PIECE = 24, 1 << 18, 1 << 20, 1 << 16
 
 
 def lowest(key: np.ndarray, w: int) -> np.ndarray:
@@ -236,7 +236,7 @@ def counted(contents: DataFrame, length: int) -> DataFrame:
     twice = rows.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window")
     marks = rows.join(twice, "window", "left_semi").groupBy("anchor", "digest").agg(F.collect_list("at").alias("at"))
     spans = save(marks.mapInArrow(lean(merge), SPANS), "spans")
-    drop(rows)
+    finish(rows)
     return spans
 
 
@@ -245,21 +245,21 @@ def find(docs: DataFrame, length: int) -> DataFrame:
     every = save(segments(docs, length), "segments")
     often = every.groupBy("anchor").agg(F.count("*").alias("all"), F.max("inner").alias("inner")).where("all > 1 OR inner").select("anchor")
     rows = save(every.join(often, "anchor", "left_semi"), "segments")
-    drop(every)
+    finish(every)
     # of equal segments the one of smallest place stands for all, so that neighbours in a text are found together
     kinds = rows.groupBy("anchor", "digest").agg(F.count("*").alias("copies"), F.max("inner").alias("inner"), F.min(F.struct("k1", "k2", "first", "n")).alias("at"))
     kinds = save(kinds.select("anchor", "digest", "copies", "inner", "at.*"), "kinds")
     several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), (F.sum(F.col("n").cast("long")) > SHARD).alias("hot")).where("kinds > 1 OR hot")
     wanted = kinds.join(several, "anchor", "left").withColumn("alone", F.expr("kinds IS NULL AND copies > 1")).withColumn("hot", F.coalesce("hot", F.lit(False)))
     lists = save(wanted.groupBy("hot", "k1", "k2").agg(F.collect_list(F.struct("first", "n", "anchor", "digest", "copies", "alone")).alias("w")), "wanted")
-    drop(kinds)
+    finish(kinds)
     spans = sharded(fetch(docs, lists.where("NOT hot"), length), length)
     parts = [counted(fetch(docs, lists.where("hot"), length), length)] if lists.where("hot").limit(1).count() else []
     spans = save(spans, "spans")
     found = reduce(DataFrame.unionByName, [spans, *parts])
     found = rows.join(found, ["anchor", "digest"]).select("k1", "k2", F.explode(F.transform("spans", lambda s: F.struct((s["a"] + F.col("first")).alias("a"), (s["b"] + F.col("first")).alias("b")))).alias("s"))
     found = save(found.groupBy("k1", "k2").agg(F.collect_set("s").alias("spans")), "found")
-    drop(rows, lists, spans, *parts)
+    finish(rows, lists, spans, *parts)
     return found
 
 

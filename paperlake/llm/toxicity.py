@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lean, save, small_enough
+from .common import lean, save, settle, small_enough
 
 WORD = re.compile(r"\w+")
 #: Features of a word: itself, its first and its last four letters.
@@ -282,6 +282,7 @@ def judged(docs: DataFrame, labels: DataFrame, passed: list[str], label: str = "
     known = docs.select(of(key).alias("doc_id"), lkey, of("text").alias("text")).join(labelled(labels, label, key, (1,)).select("doc_id"), "doc_id", "left_semi")
     cuts = save(thresholds(score(known, trial, keep_text=False), labels, label, key), "cuts")
     model = model or fit(docs, labels, label, settings, key)
+    settle(docs.sparkSession)
     rows = docs.select(F.struct(*map(of, passed)).alias("row"), lkey, *([] if "text" in passed else [of("text").alias("text")]))
     scored = score(rows, model, keep_text=False, within="row" if "text" in passed else None)
     other = cuts.where("lkey = ''").select(F.col("threshold").alias("pooled"))
