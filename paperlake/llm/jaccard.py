@@ -184,9 +184,9 @@ def candidates(sets: DataFrame, texts, similarity: float, words: int, runs: int,
     sets: rid, sketch, nodes; texts: a function that joins texts to a table with rid. Level by level: buckets of at most
     SMALL sets are compared by their sketches; of a larger one every set is compared with the bucket's smallest, and
     those that aren't alike for sure go on to the next level. What is still in large buckets at the last level is
-    compared in blocks, each with each. Sketches are fetched only for sets that share a bucket. After the first runs,
-    sets that are alike for sure to a head are left out: it stands for them in the other runs, so a group of near copies
-    is in large buckets a few times only.
+    compared in blocks, each with each. Sketches are fetched only for sets that share a bucket. A set that is alike for
+    sure to one of its heads is left to it: it goes to no deeper level, and after the first runs it is in no bucket, so a
+    group of near copies is in large buckets a few times only.
     """
     sketches, found, used, gone = sets.select("rid", "sketch"), [], [], None
     keep = lambda df, name: used.append(save(df, name)) or used[-1]
@@ -208,14 +208,15 @@ def candidates(sets: DataFrame, texts, similarity: float, words: int, runs: int,
             same = F.size(F.filter(F.sequence(F.lit(1), F.lit(SKETCH)), lambda i: F.substring("sketch", i, F.lit(1)) == F.substring("head", i, F.lit(1))))
             compared = keep(large.join(small_enough(heads), "node").withColumn("agree", same).drop("head"), "compared")
             found.append(compared.where((F.col("agree") >= NEAR) & (F.col("rid") != F.col("first"))).select(F.col("first").alias("src"), F.col("rid").alias("dst")))
-            sure.append(compared.where((F.col("agree") >= SURE) & (F.col("rid") != F.col("first"))).select("rid"))
-            open_ = compared.where(F.col("agree") < SURE)
+            left = compared.where((F.col("agree") >= SURE) & (F.col("rid") != F.col("first"))).select("rid").distinct()
+            sure.append(left)
+            open_ = compared.where(F.col("agree") < SURE).join(left, "rid", "left_anti")
             if level < depth - 1:
                 parents = open_.groupBy("rid").agg(F.collect_list("node").alias("parents"))
                 rows = keep(deeper(texts(parents), level + 1, similarity, words), "nodes")
             else:
-                left = open_.groupBy("node").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-                rest = open_.join(left, "node").withColumn("own", F.pmod(F.xxhash64("node", "rid"), "blocks").cast("int"))
+                sizes = open_.groupBy("node").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+                rest = open_.join(sizes, "node").withColumn("own", F.pmod(F.xxhash64("node", "rid"), "blocks").cast("int"))
                 rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                 found.append(keep(alike(rest.select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "rid", "sketch")), "pairs"))
         if sure:
