@@ -35,11 +35,17 @@ class Settings:
     #: Bounds of the training sample: labelled documents of either class, those of smallest id hash, and bytes of their
     #: (whole) texts together.
     sample: int = 3000
-    sample_bytes: int = 16 << 20
+    sample_bytes: int = 8 << 20
     #: Words that go through the convolution at once; a longer text goes in overlapping parts.
     window: int = 50_000
 
 
+    @property
+    def kind(self) -> type:
+        """The numbers that buckets, and one more for padding, fit into."""
+        return np.uint16 if self.buckets < 1 << 16 else np.uint32
+
+
 @dataclass
 class Model:
     settings: Settings
@@ -76,7 +82,7 @@ def train(texts: list[np.ndarray], labels: np.ndarray, s: Settings) -> Model:
     p[0][-1] = 0  # padding
     m, v, t = [np.zeros_like(x) for x in p], [np.zeros_like(x) for x in p], 0
     widest, k = max(s.widths), len(s.widths)
-    pad = np.full((widest - 1, FEATURES), s.buckets, np.uint32)
+    pad = np.full((widest - 1, FEATURES), s.buckets, s.kind)
     for _ in range(s.epochs):
         order = rng.permutation(len(texts))
         for at in range(0, len(order), s.batch):
@@ -200,14 +206,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Sett
     chosen = [known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.sample) for c in (0, 1)]
     rows = docs.select(F.col(key).alias("doc_id"), F.col("text")).join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
     order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    rows = rows.withColumn("bytes", F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).over(order)).where(F.col("bytes") <= s.sample_bytes).select("doc_id", "text", "label")
+    rows = rows.withColumn("bytes", F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).over(order)).where(F.col("bytes") <= s.sample_bytes).select("doc_id", "text", "label").repartition(16)
 
     def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 b, words = whole.slice(at, 500), Words()
                 flat, n = words(b.column(1).to_pylist())
-                f = np.array([features(w, s.buckets) for w in words.seen], np.uint32).reshape(-1, FEATURES)
+                f = np.array([features(w, s.buckets) for w in words.seen], s.kind).reshape(-1, FEATURES)
                 ends = np.cumsum(n)
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([f[flat[e - k : e]].tobytes() for e, k in zip(ends, n, strict=True)], pa.binary())], names=["doc_id", "label", "f"])
 
@@ -215,7 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Sett
     y = np.array([r[2] for r in got], np.float32)
     if not 0 < y.sum() < len(y):
         return Model(s, np.zeros((s.buckets + 1, s.dim), np.float32), [np.zeros((w, s.dim, s.filters), np.float32) for w in s.widths], np.zeros(len(s.widths) * s.filters, np.float32), np.zeros(len(s.widths) * s.filters, np.float32), float(min(np.log((counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 1)), np.log(0.5))))
-    texts = [np.frombuffer(f, np.uint32).reshape(-1, FEATURES) for _, f, _ in got]
+    texts = [np.frombuffer(f, s.kind).reshape(-1, FEATURES) for _, f, _ in got]
     del got
     model = train(texts, y, s)
     # the sample has the classes about even; shift to their true odds
@@ -278,9 +284,12 @@ def judged(docs: DataFrame, labels: DataFrame, passed: list[str], label: str = "
     flagged."""
     of = lambda c: F.col(f"`{c}`")
     lkey = F.coalesce(F.concat(F.lit("s"), of(lang)), F.lit("n")).alias("lkey")
+    settle(docs.sparkSession)
     trial = model or fit(docs, labels, label, settings, key, (2, 3, 4))
+    settle(docs.sparkSession)
     known = docs.select(of(key).alias("doc_id"), lkey, of("text").alias("text")).join(labelled(labels, label, key, (1,)).select("doc_id"), "doc_id", "left_semi")
     cuts = save(thresholds(score(known, trial, keep_text=False), labels, label, key), "cuts")
+    settle(docs.sparkSession)
     model = model or fit(docs, labels, label, settings, key)
     settle(docs.sparkSession)
     rows = docs.select(F.struct(*map(of, passed)).alias("row"), lkey, *([] if "text" in passed else [of("text").alias("text")]))
