@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from .common import connected, finish, lean, save, settle, small_enough
 from .hashing import U, WordHashes, mix, shingles
 
-#: Share of the pairs at the least similarity that must meet in a bucket of the deepest level; the recursion's depth; runs
-#: after which sets that are alike for sure leave; and the largest bucket that is compared pair by pair where it stands.
-TARGET, DEPTH, FIRST, SMALL = 0.9999, 3, 4, 64
+#: Share of the pairs at the least similarity that must meet in a bucket of the deepest level; the recursion's depth; the
+#: largest bucket that is compared pair by pair where it stands; and how many of its buckets must be of that kind for a
+#: set to go no deeper: what is alike at 0.8 is in each of them with that probability, so in none of 8 in 0.2**8 cases.
+TARGET, DEPTH, SMALL, ENOUGH = 0.9999, 3, 64, 8
 #: Coordinates of a sketch (one byte each); how many must agree before two sets are looked at closely; and from how many
 #: on a set is alike enough to its bucket's head to be left to it. That happens at 0.8 or so; what links to such a set at
 #: 0.8 is then at 0.6 or so to the head (by the triangle inequality), where fewer than NEAR agree in one of 100,000
@@ -68,29 +69,25 @@ def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def signatures(docs: DataFrame, similarity: float, words: int, runs: int) -> DataFrame:
-    """doc_id, th, same (hash of the set; null: no words), sketch, nodes (run, node) of the first level."""
+    """doc_id, th, same (hash of the set; null: no words), sketch, nodes of the first level."""
     roots = mix(np.arange(1, runs + 1, dtype=U) * U(0x9E3779B97F4A7C15))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        kind = pa.list_(pa.struct([("run", pa.int32()), ("node", pa.int64())]))
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                same, sketches, offsets, own, nodes = [], [], [0], [], []
+                same, sketches, nodes = [], [], []
                 for t in batch.column(2).to_pylist():
                     s = shingles(hashes(t), words)
                     same.append(blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                     sketches.append(sketch(s) if len(s) else None)
-                    if len(s):
-                        p, c = children(s, roots, 0, similarity)
-                        own.append(p)
-                        nodes.append(c)
-                    offsets.append(offsets[-1] + (len(p) if len(s) else 0))
-                flat = pa.StructArray.from_arrays([np.concatenate([*own, np.zeros(0, np.int64)]).astype(np.int32), np.concatenate([*nodes, np.zeros(0, U)]).view(np.int64)], fields=list(kind.value_type))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.binary()), pa.array(sketches, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat, type=kind)], names=["doc_id", "th", "same", "sketch", "nodes"])
+                    nodes.append(np.unique(children(s, roots, 0, similarity)[1]).view(np.int64) if len(s) else np.zeros(0, np.int64))
+                offsets = pa.array(np.cumsum([0, *map(len, nodes)]), pa.int32())
+                flat = pa.array(np.concatenate([np.zeros(0, np.int64), *nodes]))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.binary()), pa.array(sketches, pa.binary()), pa.ListArray.from_arrays(offsets, flat)], names=["doc_id", "th", "same", "sketch", "nodes"])
 
-    return docs.mapInArrow(lean(run), "doc_id bigint, th bigint, same binary, sketch binary, nodes array<struct<run:int,node:bigint>>")
+    return docs.mapInArrow(lean(run), "doc_id bigint, th bigint, same binary, sketch binary, nodes array<bigint>")
 
 
 def deeper(texts: DataFrame, level: int, similarity: float, words: int) -> DataFrame:
@@ -178,50 +175,44 @@ def alike(rows: DataFrame) -> DataFrame:
     return rows.select("node", "rid", "sketch").repartition(int(n), "node").sortWithinPartitions("node").mapInArrow(lean(run), "src bigint, dst bigint").distinct()
 
 
-def candidates(sets: DataFrame, texts, similarity: float, words: int, runs: int, depth: int = DEPTH) -> tuple[DataFrame, list[DataFrame]]:
+def candidates(sets: DataFrame, texts, similarity: float, words: int, depth: int = DEPTH) -> tuple[DataFrame, list[DataFrame]]:
     """Edges (src, dst) that connect all sets worth comparing, and the written tables that they come from.
 
     sets: rid, sketch, nodes; texts: a function that joins texts to a table with rid. Level by level: buckets of at most
-    SMALL sets are compared by their sketches; of a larger one every set is compared with the bucket's smallest, and
-    those that aren't alike for sure go on to the next level. What is still in large buckets at the last level is
-    compared in blocks, each with each. Sketches are fetched only for sets that share a bucket. A set that is alike for
-    sure to one of its heads is left to it: it goes to no deeper level, and after the first runs it is in no bucket, so a
-    group of near copies is in large buckets a few times only.
+    SMALL sets are compared by their sketches. A set that is in ENOUGH such buckets (alone or not) has met what is like it
+    there; the others are compared with the smallest of them in each larger bucket, and those that aren't alike for sure
+    to one of these heads go on to the next level. What is still in large buckets at the last level is compared in
+    blocks, each with each. So sets that share a frequent passage and no more don't recurse, and a group of near copies
+    is left to its heads. Sketches are fetched only for sets that share a bucket.
     """
-    sketches, found, used, gone = sets.select("rid", "sketch"), [], [], None
+    sketches, found, used = sets.select("rid", "sketch"), [], []
     keep = lambda df, name: used.append(save(df, name)) or used[-1]
-    for first, last in ((0, min(FIRST, runs)), (min(FIRST, runs), runs)):
-        if first == last:
-            continue
-        rows = sets.select("rid", F.explode(F.filter("nodes", lambda n: (n["run"] >= first) & (n["run"] < last))).alias("n")).select("rid", "n.node")
-        if gone is not None:
-            rows = rows.join(small_enough(gone), "rid", "left_anti")
-        sure = []
-        for level in range(depth):
-            counts = small_enough(keep(rows.groupBy("node").agg(F.count("*").alias("n"), F.min("rid").alias("first")).where("n > 1"), "buckets"))
-            shared = keep(rows.join(counts, "node").join(sketches, "rid"), "shared")
-            found.append(keep(alike(shared.where(F.col("n") <= SMALL)), "pairs"))
-            large = shared.where(F.col("n") > SMALL)
-            if not large.limit(1).count():
-                break
-            heads = keep(large.where("rid = first").select("node", F.col("sketch").alias("head")), "heads")
-            same = F.size(F.filter(F.sequence(F.lit(1), F.lit(SKETCH)), lambda i: F.substring("sketch", i, F.lit(1)) == F.substring("head", i, F.lit(1))))
-            compared = keep(large.join(small_enough(heads), "node").withColumn("agree", same).drop("head"), "compared")
-            found.append(compared.where((F.col("agree") >= NEAR) & (F.col("rid") != F.col("first"))).select(F.col("first").alias("src"), F.col("rid").alias("dst")))
-            left = compared.where((F.col("agree") >= SURE) & (F.col("rid") != F.col("first"))).select("rid").distinct()
-            sure.append(left)
-            open_ = compared.where(F.col("agree") < SURE).join(left, "rid", "left_anti")
-            if level < depth - 1:
-                parents = open_.groupBy("rid").agg(F.collect_list("node").alias("parents"))
-                rows = keep(deeper(texts(parents), level + 1, similarity, words), "nodes")
-            else:
-                sizes = open_.groupBy("node").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-                rest = open_.join(sizes, "node").withColumn("own", F.pmod(F.xxhash64("node", "rid"), "blocks").cast("int"))
-                rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                found.append(keep(alike(rest.select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "rid", "sketch")), "pairs"))
-        if sure:
-            gone = keep(reduce(DataFrame.unionByName, sure).distinct(), "gone")
-        settle(sets.sparkSession)
+    rows = sets.select("rid", F.explode("nodes").alias("node"))
+    for level in range(depth):
+        counts = small_enough(keep(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "buckets"))
+        shared = keep(rows.join(counts, "node").join(sketches, "rid"), "shared")
+        found.append(keep(alike(shared.where(F.col("n") <= SMALL)), "pairs"))
+        large = shared.where(F.col("n") > SMALL)
+        if not level:
+            crowded = large.groupBy("rid").agg(F.count("*").alias("crowded")).join(sets.select("rid", F.size("nodes").alias("all")), "rid")
+            large = keep(large.join(crowded.where(F.col("all") - F.col("crowded") < ENOUGH).select("rid"), "rid", "left_semi"), "large")
+        if not large.limit(1).count():
+            break
+        heads = keep(large.groupBy("node").agg(F.min(F.struct("rid", "sketch")).alias("h")).select("node", F.col("h.rid").alias("first"), F.col("h.sketch").alias("head")), "heads")
+        same = F.size(F.filter(F.sequence(F.lit(1), F.lit(SKETCH)), lambda i: F.substring("sketch", i, F.lit(1)) == F.substring("head", i, F.lit(1))))
+        compared = keep(large.join(small_enough(heads), "node").withColumn("agree", same).where("rid <> first").select("node", "rid", "sketch", "first", "agree"), "compared")
+        found.append(compared.where(F.col("agree") >= NEAR).select(F.col("first").alias("src"), F.col("rid").alias("dst")))
+        left = compared.where(F.col("agree") >= SURE).select("rid").distinct()
+        open_ = keep(compared.where(F.col("agree") < SURE).join(left, "rid", "left_anti").select("node", "rid", "sketch"), "open")
+        if level < depth - 1:
+            parents = open_.groupBy("rid").agg(F.collect_list("node").alias("parents"))
+            rows = keep(deeper(texts(parents), level + 1, similarity, words), "nodes")
+        else:
+            sizes = open_.groupBy("node").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+            rest = open_.join(sizes, "node").withColumn("own", F.pmod(F.xxhash64("node", "rid"), "blocks").cast("int"))
+            rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            found.append(keep(alike(rest.select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "rid", "sketch")), "pairs"))
+    settle(sets.sparkSession)
     return reduce(DataFrame.unionByName, found), used
 
 
@@ -290,7 +281,7 @@ def classes(docs: DataFrame, similarity: float, words: int, key: str, text: str)
         named = save(some.join(sets.select("rid", "doc_id", "th"), "rid"), "wanted")
         return docs.join(small_enough(named), ["doc_id", "th"]).dropDuplicates(["rid"])
 
-    edges, used = candidates(whole, texts, similarity, words, runs)
+    edges, used = candidates(whole, texts, similarity, words)
     comps = save(connected(edges).withColumnRenamed("node", "rid").withColumnRenamed("component", "comp"), "groups")
     finish(whole, *used)
     sizes = comps.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
