@@ -146,7 +146,7 @@ MEMBERS = "members array<struct<anchor:bigint,digest:binary,offset:int,n:int>>"
 
 
 def fetch(docs: DataFrame, lists: DataFrame, length: int) -> DataFrame:
-    """Bytes of segments, by key: lists has k1, k2, w (array of first, n, anchor, digest, copies, alone).
+    """Bytes of segments, by key: lists has k1, k2, w (array of first, n, anchor, digest, copies, alone, hot).
 
     Segments whose anchor stands in different surroundings come one by one, their key being the anchor. Those whose
     surroundings are always the same (alone) need not meet others; where they follow each other in a text they come as
@@ -159,23 +159,23 @@ def fetch(docs: DataFrame, lists: DataFrame, length: int) -> DataFrame:
         for x in [*sorted((x for x in segments if x["alone"]), key=lambda x: x["first"]), None]:
             if run and (x is None or x["first"] != run[-1]["first"] + run[-1]["n"] - length + 1 or x["first"] - run[0]["first"] > PIECE):
                 a = run[0]["first"]
-                yield run[0]["anchor"], 2, b[a : run[-1]["first"] + run[-1]["n"]], [{"anchor": r["anchor"], "digest": r["digest"], "offset": r["first"] - a, "n": r["n"]} for r in run]
+                yield False, run[0]["anchor"], 2, b[a : run[-1]["first"] + run[-1]["n"]], [{"anchor": r["anchor"], "digest": r["digest"], "offset": r["first"] - a, "n": r["n"]} for r in run]
                 run = []
             run.append(x)
         for x in segments:
             if not x["alone"]:
-                yield x["anchor"], x["copies"], b[x["first"] : x["first"] + x["n"]], [{"anchor": x["anchor"], "digest": x["digest"], "offset": 0, "n": x["n"]}]
+                yield x["hot"], x["anchor"], x["copies"], b[x["first"] : x["first"] + x["n"]], [{"anchor": x["anchor"], "digest": x["digest"], "offset": 0, "n": x["n"]}]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 100):
                 batch = whole.slice(at, 100)
                 out = [y for b, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for y in one(b, w)]
-                cols = list(zip(*out, strict=True)) or [[], [], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), kind), strict=True)], names=["key", "copies", "content", "members"])
+                cols = list(zip(*out, strict=True)) or [[], [], [], [], []]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.bool_(), pa.int64(), pa.int64(), pa.binary(), kind), strict=True)], names=["hot", "key", "copies", "content", "members"])
 
     rows = docs.select("k1", "k2", "bytes").join(lists, ["k1", "k2"]).select("bytes", "w")
-    return rows.mapInArrow(lean(run), f"key bigint, copies bigint, content binary, {MEMBERS}")
+    return rows.mapInArrow(lean(run), f"hot boolean, key bigint, copies bigint, content binary, {MEMBERS}")
 
 
 SPANS = "anchor bigint, digest binary, spans array<struct<a:int,b:int>>"
@@ -251,15 +251,15 @@ def find(docs: DataFrame, length: int) -> DataFrame:
     kinds = save(kinds.select("anchor", "digest", "copies", "inner", "at.*"), "kinds")
     several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), (F.sum(F.col("n").cast("long")) > SHARD).alias("hot")).where("kinds > 1 OR hot")
     wanted = kinds.join(several, "anchor", "left").withColumn("alone", F.expr("kinds IS NULL AND copies > 1")).withColumn("hot", F.coalesce("hot", F.lit(False)))
-    lists = save(wanted.groupBy("hot", "k1", "k2").agg(F.collect_list(F.struct("first", "n", "anchor", "digest", "copies", "alone")).alias("w")), "wanted")
+    lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "n", "anchor", "digest", "copies", "alone", "hot")).alias("w"))
+    contents = save(fetch(docs, lists, length), "contents")
     finish(kinds)
-    spans = sharded(fetch(docs, lists.where("NOT hot"), length), length)
-    parts = [counted(fetch(docs, lists.where("hot"), length), length)] if lists.where("hot").limit(1).count() else []
-    spans = save(spans, "spans")
+    spans = save(sharded(contents.where("NOT hot").drop("hot"), length), "spans")
+    parts = [counted(contents.where("hot"), length)] if contents.where("hot").limit(1).count() else []
     found = reduce(DataFrame.unionByName, [spans, *parts])
     found = rows.join(found, ["anchor", "digest"]).select("k1", "k2", F.explode(F.transform("spans", lambda s: F.struct((s["a"] + F.col("first")).alias("a"), (s["b"] + F.col("first")).alias("b")))).alias("s"))
     found = save(found.groupBy("k1", "k2").agg(F.collect_set("s").alias("spans")), "found")
-    finish(rows, lists, spans, *parts)
+    finish(rows, contents, spans, *parts)
     return found
 
 
