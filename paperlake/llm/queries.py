@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, chat, hilbert, jaccard, mixing, multiindex, perplexity, repeats, search, toxicity
+from . import bpe, chat, hilbert, jaccard, mixing, multiindex, perplexity, repeats, rolling, search, toxicity
 from .common import read
 
 
@@ -60,6 +60,10 @@ def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int")).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "hilbert")
 
 
+def op13_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rolling.rolling(read(spark, sf_dir, "clicks"), "click_id", "kind", "ts", "value")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,7 +81,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix": op8_mix,
     "op9_jaccard": op9_jaccard,
     "op10_hilbert": op10_hilbert,
+    "op13_rolling": op13_rolling,
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {"op8_mix": mixing.SQL, "op7_preferences": chat.SQL}
+ORACLES: dict[str, str] = {"op8_mix": mixing.SQL, "op7_preferences": chat.SQL, "op13_rolling": rolling.SQL}
