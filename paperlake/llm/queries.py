@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, chat, hilbert, jaccard, mixing, multiindex, perplexity, repeats, rolling, search, toxicity
-from .common import read
+from . import bpe, chat, hilbert, jaccard, mixing, multiindex, perplexity, repeats, rolling, search, toxicity, warc
+from .common import read, shared_dir
 
 
 def op1_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +61,13 @@ def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int")).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "hilbert")
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/paperlake/warc-{uuid.uuid4().hex}"
+    warc.write(read(spark, sf_dir, "pages"), path)
+    found = warc.records(spark, path, payload=False)
+    return found.select(warc.page_key(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), warc.page_key(F.col("refers_to")).alias("refers_to"))
+
+
 def op13_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolling.rolling(read(spark, sf_dir, "clicks"), "click_id", "kind", "ts", "value")
 
@@ -81,8 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix": op8_mix,
     "op9_jaccard": op9_jaccard,
     "op10_hilbert": op10_hilbert,
+    "op12_warc": op12_warc,
     "op13_rolling": op13_rolling,
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {"op8_mix": mixing.SQL, "op7_preferences": chat.SQL, "op13_rolling": rolling.SQL}
+ORACLES: dict[str, str] = {"op8_mix": mixing.SQL, "op7_preferences": chat.SQL, "op12_warc": warc.SQL, "op13_rolling": rolling.SQL}
