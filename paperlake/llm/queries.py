@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, chat, hilbert, jaccard, mixing, multiindex, perplexity, repeats, rolling, search, toxicity, warc
+from . import bpe, chat, hilbert, jaccard, mixing, multiindex, perplexity, phrases, repeats, rolling, search, toxicity, warc
 from .common import read, shared_dir
 
 
@@ -61,6 +61,10 @@ def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int")).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "hilbert")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/paperlake/warc-{uuid.uuid4().hex}"
     warc.write(read(spark, sf_dir, "pages"), path)
@@ -89,9 +93,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix": op8_mix,
     "op9_jaccard": op9_jaccard,
     "op10_hilbert": op10_hilbert,
+    "op11_collocations": op11_collocations,
     "op12_warc": op12_warc,
     "op13_rolling": op13_rolling,
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {"op8_mix": mixing.SQL, "op7_preferences": chat.SQL, "op12_warc": warc.SQL, "op13_rolling": rolling.SQL}
+ORACLES: dict[str, str] = {"op8_mix": mixing.SQL, "op7_preferences": chat.SQL, "op11_collocations": phrases.SQL, "op12_warc": warc.SQL, "op13_rolling": rolling.SQL}
