@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import authors, ids, tex, text
-from ..operators import archives, citations, extraction, features, graph, manifest, metadata, networks
+from ..operators import archives, citations, extraction, features, graph, manifest, metadata, networks, paths
 from ..operators.shared import positions, save, shared_dir
 from ..sources import corpora, stores
 from . import views
@@ -244,6 +244,41 @@ def graph_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("nodes", "edges", F.round("mean_degree", 6).alias("mean_degree"), F.round("mean_clustering", 6).alias("mean_clustering"), F.round("largest_share", 2).alias("largest_share"), F.round("isolated_share", 2).alias("isolated_share"))
 
 
+def graph_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketched: mean distance and effective diameter of the citation graph, links followed either way."""
+    d = paths.distances(paths.neighbourhoods(*_graph(spark, sf_dir)))
+    return d.select(F.round("mean_distance", 6).alias("mean_distance"), F.round("effective_diameter", 6).alias("effective_diameter"))
+
+
+QUERIES["graph_distances"] = graph_distances
+
+
+def graph_diameter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paths.diameter(*graph.largest(*_graph(spark, sf_dir))).select("diameter", "nodes")
+
+
+QUERIES["graph_diameter"] = graph_diameter
+
+
+def _sql_betweenness(pivots: int, levels: int = 12) -> str:
+    """Levels outward from the pivots with counts of paths, and back with shares of them."""
+    out = f"""sym AS MATERIALIZED (SELECT src AS u, dst AS v FROM edges UNION SELECT dst, src FROM edges), ids AS (SELECT DISTINCT id FROM nodes),
+    p0 AS MATERIALIZED (SELECT id AS s, id AS v, 1.0::DOUBLE AS n FROM ids ORDER BY md5('0:' || id), id LIMIT {pivots})"""
+    for t in range(levels):
+        known = " UNION ALL ".join(f"SELECT s, v FROM p{k}" for k in range(t + 1))
+        out += f", p{t + 1} AS MATERIALIZED (SELECT s, v, n FROM (SELECT p.s, e.v, sum(p.n) AS n FROM p{t} p JOIN sym e ON e.u = p.v GROUP BY p.s, e.v) q ANTI JOIN ({known}) USING (s, v))"
+    out += f", b{levels} AS MATERIALIZED (SELECT s, v, n, 0.0::DOUBLE AS share FROM p{levels})"
+    for t in range(levels - 1, 0, -1):
+        out += f", b{t} AS MATERIALIZED (SELECT p.s, p.v, p.n, coalesce(p.n * g.part, 0) AS share FROM p{t} p LEFT JOIN (SELECT b.s, e.u AS v, sum((b.share + 1) / b.n) AS part FROM b{t + 1} b JOIN sym e ON e.v = b.v GROUP BY b.s, e.u) g ON g.s = p.s AND g.v = p.v)"
+    shares = " UNION ALL ".join(f"SELECT v, share FROM b{t}" for t in range(1, levels + 1))
+    return f"{out} SELECT id, round(coalesce(sum(share), 0) * (SELECT count(*) FROM ids) / (SELECT count(*) FROM p0) / 2, 6) AS betweenness FROM ids LEFT JOIN ({shares}) ON v = id GROUP BY id"
+
+
+@query(f"WITH {SQL.strip()}, {_sql_betweenness(16)}", views=False)
+def graph_betweenness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paths.betweenness(*_graph(spark, sf_dir), pivots=16).select("id", F.round("betweenness", 6).alias("betweenness"))
+
+
 @query(f"SELECT 2 AS xmin, count(*) AS tail, round(1 + count(*) / sum(ln(out_degree / 2.0)), 8) AS alpha FROM {_DEGREES} WHERE out_degree >= 2")
 def powerlaw_fixed_xmin(spark: SparkSession, sf_dir: str) -> DataFrame:
     fit = graph.power_law(graph.degrees(*_graph(spark, sf_dir)), "out_degree", 2)
