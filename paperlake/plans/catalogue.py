@@ -291,7 +291,7 @@ def powerlaw_fixed_xmin(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM (SELECT in_degree::DOUBLE AS x FROM {_DEGREES} WHERE in_degree > 0 GROUP BY 1) a JOIN (SELECT in_degree::DOUBLE AS x, count(*)::DOUBLE AS c FROM {_DEGREES} WHERE in_degree > 0 GROUP BY 1) b ON b.x >= a.x
     WHERE a.x < (SELECT max(in_degree) FROM {_DEGREES})) GROUP BY xmin, alpha) ORDER BY distance, xmin LIMIT 1""")
 def powerlaw_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fit = spark.createDataFrame([graph.best_power_law(graph.degrees(*_graph(spark, sf_dir)), "in_degree")], "xmin double, alpha double, distance double")
+    fit = graph.best_power_law(graph.degrees(*_graph(spark, sf_dir)), "in_degree")
     return fit.select("xmin", F.round("alpha", 6).alias("alpha"), F.round("distance", 6).alias("distance"))
 
 
