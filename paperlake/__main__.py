@@ -1,7 +1,7 @@
 """python -m paperlake COMMAND IN OUT: the jobs of a corpus, from the command line.
 
 metadata     a folder of harvested pages, or the address of a harvest -> metadata
-pdfdownload  the manifest (XML) of a folder or address of archives -> these archives, gzipped, and files that differ
+pdfdownload  the manifest (XML) of a folder or address of archives -> these archives, gzipped, and a table `failed` of files that differ or aren't there
 archives     a folder of archives of PDF -> id, text, error; what is there already is not done again
 fulltext     a tree of text files -> texts by year and month
 citations    texts (Parquet: id, text) -> id, refs
@@ -15,11 +15,10 @@ import argparse
 import time
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from .functions import authors
 from .operators import archives, citations, extraction, graph, metadata
-from .sources import corpora, harvest, remote
+from .sources import corpora, harvest, remote, tars
 
 
 def main(args: list[str] | None = None) -> None:
@@ -36,11 +35,9 @@ def main(args: list[str] | None = None) -> None:
     elif a.command == "pdfdownload":
         files = remote.manifest(spark, a.source, f"{a.target}/manifest.xml.gz")
         got = remote.downloads(files, a.source.rsplit("/", 1)[0], a.target)
-        got.where("error IS NOT NULL OR md5sum <> expected").show(1000, False)
+        got.where("error IS NOT NULL OR md5sum <> expected").write.mode("overwrite").json(f"{a.target}/failed")
     elif a.command == "archives":
-        tars = corpora.archives(spark, a.source).select(F.substring_index("path", "/", -1).alias("tar"), "content")
-        index = archives.contents(tars).where("member IS NOT NULL").select("tar", F.col("member").alias("pdf"))
-        archives.process(tars, index, a.target, [extraction.within(f, 300) for f in extraction.pdf_tools()])
+        archives.process_parts(tars.members(spark, a.source), a.target, [extraction.within(f, 300) for f in extraction.pdf_tools()])
     elif a.command == "fulltext":
         corpora.write_fulltext(corpora.fulltext(spark, a.source), a.target)
     elif a.command == "citations":

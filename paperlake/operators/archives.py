@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import io
 import tarfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import path_to_id
+from ..sources import tars
 from . import extraction, manifest
 
 
@@ -63,7 +64,12 @@ def contents(archives: DataFrame, wanted: DataFrame | None = None, at_once: int
 def texts(archives: DataFrame, extractors: list[extraction.Extractor], wanted: DataFrame | None = None, **settings) -> DataFrame:
     """id, text, error of the members of archives (see contents and extraction.extract). Members are dealt out again
     before they are extracted, so a large archive is many tasks' work."""
-    m = contents(archives, wanted).where("member IS NOT NULL").select(path_to_id(F.col("member")).alias("id"), "content")
+    return extracted(contents(archives, wanted), extractors, **settings)
+
+
+def extracted(members: DataFrame, extractors: list[extraction.Extractor], **settings) -> DataFrame:
+    """id, text, error of members (member, content) of archives."""
+    m = members.where("member IS NOT NULL").select(path_to_id(F.col("member")).alias("id"), "content")
     return extraction.extract(m.repartition("id"), extractors, **settings)
 
 
@@ -77,10 +83,21 @@ def process(archives: DataFrame, index: DataFrame, path: str, extractors: list[e
     """Extracts what isn't in the table at `path` yet and appends id, text, error to it; returns how many rows it has
     added. Run again after a failure or with more archives, it does the rest; files that failed are tried again only
     after their rows are removed."""
-    spark = archives.sparkSession
+    return _append(archives.sparkSession, index, path, lambda wanted: texts(archives, extractors, wanted, **settings))
+
+
+def process_parts(members: DataFrame, path: str, extractors: list[extraction.Extractor], at_once: int = 64 << 20, **settings) -> int:
+    """The same for archives of which only an index was read (see tars.members): what isn't done yet is read by byte
+    ranges, many tasks an archive, and no archive is held whole."""
+    name = F.substring_index("tar", "/", -1).alias("tar")
+    index = members.where("member IS NOT NULL").select(name, F.col("member").alias("pdf"))
+    return _append(members.sparkSession, index, path, lambda wanted: extracted(tars.contents(members, wanted, at_once), extractors, **settings))
+
+
+def _append(spark: SparkSession, index: DataFrame, path: str, rows: Callable[[DataFrame], DataFrame]) -> int:
     done = spark.read.parquet(path).select("id") if exists(spark, path) else spark.createDataFrame([], "id string")
     before = done.count()
-    texts(archives, extractors, pending(index, done), **settings).write.mode("append").parquet(path)
+    rows(pending(index, done)).write.mode("append").parquet(path)
     return spark.read.parquet(path).count() - before
 
 

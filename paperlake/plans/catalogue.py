@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import authors, ids, tex, text
 from ..operators import archives, citations, extraction, features, graph, manifest, metadata, networks, paths
 from ..operators.shared import positions, save, shared_dir
-from ..sources import corpora, stores
+from ..sources import corpora, stores, tars
 from . import views
 from .views import SQL, SQL_ID, read
 
@@ -726,7 +726,10 @@ _TEXT_ID = "'1501.' || lpad(doc_id::VARCHAR, 6, '0')"
 
 @query(f"SELECT 't' || (doc_id // 50) AS tar, {_TEXT_ID} || '.txt' AS member, CASE WHEN doc_id % 9 = 0 THEN md5(unhex('FFFE')) ELSE md5(text) END AS content_md5, NULL::VARCHAR AS error FROM documents", views=False)
 def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = archives.contents(archives.packed(_members(spark, sf_dir)))
+    """Archives that tasks write to the shared folder, indexed and read again by byte ranges of 64 KB."""
+    path = _at(spark, "tars")
+    tars.write(_members(spark, sf_dir), path)
+    m = tars.contents(tars.members(spark, path), at_once=64 << 10)
     return m.select("tar", "member", F.md5("content").alias("content_md5"), "error")
 
 

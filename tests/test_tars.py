@@ -6,6 +6,7 @@ import tarfile
 import pytest
 from pyspark.sql import functions as F
 
+from paperlake.operators import archives
 from paperlake.sources import tars
 
 BIG = bytes(range(256)) * 9000
@@ -80,3 +81,17 @@ def test_round_trip(spark, tmp_path):
     assert {(r["tar"], r["members"]) for r in made} == {("x.tar", 50), ("y.tar", 1)} and sorted(p.name for p in (tmp_path / "t").iterdir() if not p.name.endswith(".crc")) == ["x.tar", "y.tar"]
     got = found(tars.contents(tars.members(spark, f"file://{tmp_path}/t"), at_once=3000).collect())
     assert got == sorted([("x.tar", f"m{i}", b"z" * i) for i in range(50)] + [("y.tar", "n", b"")])
+
+
+def test_jobs_over_parts_go_on(spark, folder, tmp_path):
+    """The first run does what its index has, the second the rest; failures are rows."""
+    def text(content):
+        return content.decode("ascii")
+
+    index, out = tars.members(spark, f"file://{folder}/gnu.tar"), str(tmp_path / "out")
+    first = archives.process_parts(index.where("member < '1501/00020.pdf'"), out, [text], at_once=3000, most=1e9)
+    again = archives.process_parts(index, out, [text], at_once=3000, most=1e9)
+    files = [d for _, d in FILES[:40] + FILES[301:302] if d is not None]
+    assert (first, first + again, archives.process_parts(index, out, [text])) == (20, len(files), 0)
+    got = spark.read.parquet(out).collect()
+    assert sorted(r["text"] for r in got if r["text"] is not None) == sorted(d.decode() for d in files if d)
