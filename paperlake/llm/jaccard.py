@@ -15,14 +15,13 @@ from pyspark.sql import functions as F
 from .common import connected, finish, lean, save, settle, small_enough
 from .hashing import U, WordHashes, mix, shingles
 
-#: Share of the pairs at the least similarity that must meet in a bucket of the deepest level; the recursion's depth; the
-#: largest bucket that is compared pair by pair where it stands; and how many of its buckets must be of that kind for a
-#: set to go no deeper: what is alike at 0.8 is in each of them with that probability, so in none of 8 in 0.2**8 cases.
-TARGET, DEPTH, SMALL, ENOUGH = 0.9999, 3, 64, 8
+#: Share of the pairs at the least similarity that must meet in a bucket of the deepest level; the recursion's depth; and
+#: the largest bucket that is compared pair by pair where it stands.
+TARGET, DEPTH, SMALL = 0.9999, 3, 64
 #: Coordinates of a sketch (one byte each); how many must agree before two sets are looked at closely; and from how many
-#: on a set is alike enough to its bucket's head to be left to it. That happens at 0.8 or so; what links to such a set at
-#: 0.8 is then at 0.6 or so to the head (by the triangle inequality), where fewer than NEAR agree in one of 100,000
-#: pairs, and at 0.8 in none of 10**12.
+#: on a set is alike enough to its bucket's head to be left to it in this bucket. That happens at 0.8 or so; what links to
+#: such a set at 0.8 is then at 0.6 or so to the head (by the triangle inequality), where fewer than NEAR agree in one of
+#: 100,000 pairs, and at 0.8 in none of 10**12.
 SKETCH, NEAR, SURE = 64, 22, 52
 #: Sets that one task compares with as many others at a time, and about how many of their n-grams are held for it.
 BLOCK, SLICE = 128, 1 << 18
@@ -179,11 +178,13 @@ def candidates(sets: DataFrame, texts, similarity: float, words: int, depth: int
     """Edges (src, dst) that connect all sets worth comparing, and the written tables that they come from.
 
     sets: rid, sketch, nodes; texts: a function that joins texts to a table with rid. Level by level: buckets of at most
-    SMALL sets are compared by their sketches. A set that is in ENOUGH such buckets (alone or not) has met what is like it
-    there; the others are compared with the smallest of them in each larger bucket, and those that aren't alike for sure
-    to one of these heads go on to the next level. What is still in large buckets at the last level is compared in
-    blocks, each with each. So sets that share a frequent passage and no more don't recurse, and a group of near copies
-    is left to its heads. Sketches are fetched only for sets that share a bucket.
+    SMALL sets are compared by their sketches. In each larger bucket all sets are compared with its smallest, the head;
+    those that are alike for sure leave this bucket to it. Then all edges so far are joined to groups: a bucket whose sets
+    are of one group has done its work, since a group is compared exactly, each with each, in the end. Only what is open in
+    a bucket of several groups goes on to the next level from there. What is still in large buckets at the last level is
+    compared in blocks, each with each. So neither a group of near copies nor a passage that its sets mostly consist of
+    makes a set recurse, and nothing but its own bucket's sets speaks for leaving it. Sketches are fetched only for sets
+    that share a bucket.
     """
     sketches, found, used = sets.select("rid", "sketch"), [], []
     keep = lambda df, name: used.append(save(df, name)) or used[-1]
@@ -193,17 +194,17 @@ def candidates(sets: DataFrame, texts, similarity: float, words: int, depth: int
         shared = keep(rows.join(counts, "node").join(sketches, "rid"), "shared")
         found.append(keep(alike(shared.where(F.col("n") <= SMALL)), "pairs"))
         large = shared.where(F.col("n") > SMALL)
-        if not level:
-            crowded = large.groupBy("rid").agg(F.count("*").alias("crowded")).join(sets.select("rid", F.size("nodes").alias("all")), "rid")
-            large = keep(large.join(crowded.where(F.col("all") - F.col("crowded") < ENOUGH).select("rid"), "rid", "left_semi"), "large")
         if not large.limit(1).count():
             break
         heads = keep(large.groupBy("node").agg(F.min(F.struct("rid", "sketch")).alias("h")).select("node", F.col("h.rid").alias("first"), F.col("h.sketch").alias("head")), "heads")
         same = F.size(F.filter(F.sequence(F.lit(1), F.lit(SKETCH)), lambda i: F.substring("sketch", i, F.lit(1)) == F.substring("head", i, F.lit(1))))
         compared = keep(large.join(small_enough(heads), "node").withColumn("agree", same).where("rid <> first").select("node", "rid", "sketch", "first", "agree"), "compared")
-        found.append(compared.where(F.col("agree") >= NEAR).select(F.col("first").alias("src"), F.col("rid").alias("dst")))
-        left = compared.where(F.col("agree") >= SURE).select("rid").distinct()
-        open_ = keep(compared.where(F.col("agree") < SURE).join(left, "rid", "left_anti").select("node", "rid", "sketch"), "open")
+        found.append(compared.where(F.col("agree") >= NEAR).select(F.col("first").alias("src"), F.col("rid").alias("dst")).distinct())
+        parts = keep(connected(reduce(DataFrame.unionByName, found)).withColumnRenamed("node", "rid"), "groups")
+        found = [parts.select(F.col("component").alias("src"), F.col("rid").alias("dst"))]
+        members = compared.select("node", "rid").unionByName(heads.select("node", F.col("first").alias("rid"))).join(parts, "rid", "left").withColumn("of", F.coalesce("component", "rid"))
+        mixed = keep(members.groupBy("node").agg(F.min("of").alias("a"), F.max("of").alias("b")).where("a <> b").select("node"), "mixed")
+        open_ = keep(compared.where(F.col("agree") < SURE).join(small_enough(mixed), "node", "left_semi").select("node", "rid", "sketch"), "open")
         if level < depth - 1:
             parents = open_.groupBy("rid").agg(F.collect_list("node").alias("parents"))
             rows = keep(deeper(texts(parents), level + 1, similarity, words), "nodes")

@@ -511,6 +511,22 @@ def test_jaccard(spark, docs, monkeypatch, small):
     assert got == {d: (roots[d], links[d]) for d in texts}
 
 
+def test_jaccard_loses_no_link_within_a_passage(spark):
+    """Texts that mostly consist of one passage and link by it, each with all, beside such that share it and don't link,
+    and two families that share it and nothing else."""
+    passage = " ".join(f"s{i}" for i in range(404))
+    own = lambda i, n, k: " ".join(f"{k}{i}x{j}" for j in range(n))
+    texts = {i: f"{own(i, 24, 'a')} {passage} {own(i, 25, 'b')}" for i in range(300)}
+    texts |= {1000 + i: f"{passage} {own(i, 420, 'c')}" for i in range(150)}
+    for family in (2000, 3000):
+        texts |= {family + i: f"{passage} {own(family, 600, 'd')} {own(i, 10, 'e')}" for i in range(100)}
+    roots, links = brute_jaccard(texts)
+    assert set(links[i] for i in range(300)) == {299} and links[1000] == 0 and links[2000] == 99
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard.join(df).collect()}
+    assert got == {d: (roots[d], links[d]) for d in texts}
+
+
 def test_jaccard_tells_texts_of_one_id_apart(spark):
     """Rows that repeat an id with different texts are documents of their own."""
     a, b = " ".join(f"a{i}" for i in range(50)), " ".join(f"b{i}" for i in range(50))
