@@ -184,6 +184,18 @@ def rescaled_laplacian(nodes: DataFrame, e: DataFrame) -> DataFrame:
     return laplacian.select("i", "j", (scale * F.col("value") - F.when(F.col("i") == F.col("j"), 1.0).otherwise(0.0)).alias("value"))
 
 
+def chebyshev_matrices(laplacian: DataFrame, order: int = 2) -> list[DataFrame]:
+    """T_0 .. T_order of a rescaled Laplacian (i, j, value) as matrices, for layers with several supports: products are
+    joins and sums, and T_k has entries between nodes at most k links apart only."""
+    ids = laplacian.select("i").distinct()
+    out = [save(ids.select("i", F.col("i").alias("j"), F.lit(1.0).alias("value")), "chebyshev"), laplacian.select("i", "j", "value")]
+    for _ in range(2, order + 1):
+        product = laplacian.select("i", F.col("j").alias("k"), F.col("value").alias("a")).join(out[-1].select(F.col("i").alias("k"), "j", F.col("value").alias("b")), "k").select("i", "j", (2 * F.col("a") * F.col("b")).alias("value"))
+        both = product.unionByName(out[-2].select("i", "j", (-F.col("value")).alias("value")))
+        out.append(save(both.groupBy("i", "j").agg(F.sum("value").alias("value")), "chebyshev"))
+    return out[: order + 1]
+
+
 def chebyshev(laplacian: DataFrame, features: DataFrame, order: int = 2) -> list[DataFrame]:
     """T_0 x .. T_order x of a rescaled Laplacian by the recurrence T_k = 2 L T_(k-1) - T_(k-2)."""
     out = [features, times(laplacian, features)]

@@ -9,10 +9,11 @@ from __future__ import annotations
 import io
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import drop, save
@@ -36,18 +37,64 @@ class Settings:
     patience: int = 10
     activation: str = "relu"
     seed: int = 0
+    #: Share of the entries of each layer's input that an epoch of training does without.
+    drop: float = 0.0
 
 
 def rows_of(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(float) if len(column) else np.zeros((0, 0))
 
 
-def spread(matrix: DataFrame, rows: DataFrame, column: str, width: int) -> DataFrame:
-    """id, column: the product of a sparse matrix (i, j, value) and rows of arrays. A join, and sums of numbers that are
-    combined before the shuffle, so hubs are no long lists."""
-    parts = matrix.join(rows.select(F.col("id").alias("j"), F.col(column).alias("v")), "j").select("i", *[(F.col("value") * F.get("v", F.lit(k))).alias(f"x{k}") for k in range(width)])
-    sums = parts.groupBy(F.col("i").alias("id")).agg(*[F.sum(f"x{k}").alias(f"x{k}") for k in range(width)])
-    return sums.select("id", F.array(*[f"x{k}" for k in range(width)]).alias(column))
+@dataclass
+class Supports:
+    """Several matrices (i, j, value; symmetric), through each of which a layer sees its input: see several()."""
+
+    pairs: DataFrame
+    count: int
+
+
+def several(*matrices: DataFrame) -> Supports:
+    """Matrices as one table of i, j and their values there, so a layer is one join however many they are."""
+    rows = [m.select("i", "j", *[(F.col("value") if k == n else F.lit(0.0)).alias(f"v{k}") for k in range(len(matrices))]) for n, m in enumerate(matrices)]
+    sums = reduce(DataFrame.unionByName, rows).groupBy("i", "j").agg(*[F.sum(f"v{k}").alias(f"v{k}") for k in range(len(matrices))])
+    return Supports(save(sums.select("i", "j", F.array(*[f"v{k}" for k in range(len(matrices))]).alias("values")), "supports"), len(matrices))
+
+
+def _pairs(matrix: DataFrame | Supports) -> tuple[DataFrame, int]:
+    return (matrix.pairs, matrix.count) if isinstance(matrix, Supports) else (matrix.select("i", "j", F.array("value").alias("values")), 1)
+
+
+def _summed(rows: DataFrame, parts: list[Column], into: str) -> DataFrame:
+    """id, into: sums, an entry a part, combined before the shuffle, so hubs are no long lists."""
+    sums = rows.select("i", *[x.alias(f"x{k}") for k, x in enumerate(parts)]).groupBy(F.col("i").alias("id")).agg(*[F.sum(f"x{k}").alias(f"x{k}") for k in range(len(parts))])
+    return sums.select("id", F.array(*[f"x{k}" for k in range(len(parts))]).alias(into))
+
+
+def spread(matrix: DataFrame | Supports, rows: DataFrame, column: str, width: int) -> DataFrame:
+    """id, column: the products of a sparse matrix (i, j, value), or of each of several, and rows of arrays, side by side."""
+    pairs, count = _pairs(matrix)
+    both = pairs.join(rows.select(F.col("id").alias("j"), F.col(column).alias("v")), "j")
+    return _summed(both, [F.get("values", F.lit(k)) * F.get("v", F.lit(c)) for k in range(count) for c in range(width)], column)
+
+
+def gathered(matrix: DataFrame | Supports, rows: DataFrame, column: str, width: int) -> DataFrame:
+    """id, column: what spread() passes back: of rows of as many parts as there are matrices, the sum of the products of
+    each matrix and its part."""
+    pairs, count = _pairs(matrix)
+    both = pairs.join(rows.select(F.col("id").alias("j"), F.col(column).alias("v")), "j")
+    return _summed(both, [reduce(Column.__add__, [F.get("values", F.lit(k)) * F.get("v", F.lit(k * width + c)) for k in range(count)]) for c in range(width)], column)
+
+
+def kept(rate: float, seed: int, layer: int, epoch: int, place: Column) -> Column:
+    """What a layer's input at a place of a node's row is multiplied by: 0 in a share of `rate` of all, else 1 / (1 - rate);
+    read off a hash, so that it is the same on the way back and whenever a task runs again."""
+    uniform = F.pmod(F.xxhash64(F.col("id"), F.lit(seed), F.lit(layer), F.lit(epoch), place), F.lit(1 << 30)) / float(1 << 30)
+    return F.when(uniform < rate, 0.0).otherwise(1 / (1 - rate))
+
+
+def dropped(rows: DataFrame, column: str, rate: float, seed: int, layer: int, epoch: int) -> DataFrame:
+    """rows (id, column, ...) with the entries of column that this layer keeps in this epoch."""
+    return rows.withColumn(column, F.transform(F.col(column).cast("array<double>"), lambda x, k: x * kept(rate, seed, layer, epoch, k))) if rate else rows
 
 
 def dense(rows: DataFrame, column: str, weights: np.ndarray, into: str, activation: str = "identity") -> DataFrame:
@@ -65,39 +112,51 @@ def dense(rows: DataFrame, column: str, weights: np.ndarray, into: str, activati
 @dataclass
 class Network:
     """A perceptron (matrix=None) or a graph convolution network (matrix: i, j, value, symmetric; see
-    features.adjacency_normalised): softmax(S act(S X W0) W1), S being that matrix or nothing."""
+    features.adjacency_normalised): softmax(S act(S X W0) W1), S being that matrix or nothing. Of several matrices (see
+    several, features.chebyshev_matrices) a layer sums over all of them, each with weights of its own."""
 
     settings: Settings = field(default_factory=Settings)
     weights: list[np.ndarray] = field(default_factory=list)
     costs: list[tuple[float, float]] = field(default_factory=list)
 
-    def _start(self, width: int, classes: int) -> None:
+    def _start(self, width: int, classes: int, supports: int) -> None:
         rng, s = np.random.default_rng(self.settings.seed), self.settings
-        sizes = [(width, s.hidden), (s.hidden, classes)]
+        sizes = [(supports * width, s.hidden), (supports * s.hidden, classes)]
         self.weights = [rng.uniform(-1, 1, z) * np.sqrt(6 / sum(z)) for z in sizes]
 
-    def forward(self, inputs: DataFrame, matrix: DataFrame | None) -> DataFrame:
-        """id, x, q: what the last layer sees of every node. inputs: id, x, spread already."""
+    def forward(self, inputs: DataFrame, matrix: DataFrame | Supports | None, epoch: int | None = None) -> DataFrame:
+        """id, x, q: what the last layer sees of every node. inputs: id, x, spread already. epoch: that of training, whose
+        entries are dropped."""
         hidden = dense(inputs.select("id", "x"), "x", self.weights[0], "q", self.settings.activation)
+        if epoch is not None:
+            hidden = dropped(hidden, "q", self.settings.drop, self.settings.seed, 1, epoch)
         if matrix is None:
             return hidden
         return inputs.select("id", "x").join(spread(matrix, hidden, "q", self.settings.hidden), "id")
 
-    def fit(self, rows: DataFrame, matrix: DataFrame | None = None, classes: int | None = None) -> Network:
+    def fit(self, rows: DataFrame, matrix: DataFrame | Supports | None = None, classes: int | None = None) -> Network:
         """rows: id, x (array of doubles), label, split ('train', 'valid' or another). Adam on the mean cross-entropy of the
-        training nodes; ends early when the cost of the validation nodes rises over the mean of the last epochs'."""
+        training nodes; ends early when the cost of the validation nodes, for which nothing is dropped, rises over the mean
+        of the last epochs'."""
         s = self.settings
         width = rows.agg(F.max(F.size("x"))).first()[0] or 0
         classes = classes or (rows.agg(F.max("label")).first()[0] or 0) + 1
-        self._start(width, classes)
-        inputs = save(spread(matrix, rows, "x", width) if matrix is not None else rows.select("id", F.col("x").cast("array<double>").alias("x")), "inputs")
+        self._start(width, classes, matrix.count if isinstance(matrix, Supports) else 1)
+        plain = rows.select("id", F.col("x").cast("array<double>").alias("x"))
+        shown = lambda x: save(spread(matrix, x, "x", width) if matrix is not None else x, "inputs")
+        inputs = whole = shown(plain)
         marks = rows.select("id", "label", "split").where("split IN ('train', 'valid') AND label IS NOT NULL")
         counts = {r["split"]: r["n"] for r in marks.groupBy("split").agg(F.count("*").alias("n")).collect()}
         m, v = [np.zeros_like(w) for w in self.weights], [np.zeros_like(w) for w in self.weights]
         for epoch in range(1, s.epochs + 1):
-            seen = save(self.forward(inputs, matrix).select("id", "q").join(marks, "id"), "seen")
-            gradients, cost = self._gradients(seen, inputs, matrix, max(counts.get("train", 0), 1))
+            if s.drop:
+                inputs = shown(dropped(plain, "x", s.drop, s.seed, 0, epoch))
+            seen = save(self.forward(inputs, matrix, epoch).select("id", "q").join(marks, "id"), "seen")
+            gradients, cost = self._gradients(seen, inputs, matrix, max(counts.get("train", 0), 1), epoch)
             drop(seen)
+            if s.drop:
+                drop(inputs)
+                cost["valid"] = self._cost(self.forward(whole, matrix).select("id", "q").join(marks.where("split = 'valid'"), "id"))
             gradients[0] += s.decay * self.weights[0]
             for k, g in enumerate(gradients):
                 m[k] += 0.1 * (g - m[k])
@@ -107,11 +166,26 @@ class Network:
             last = [c for _, c in self.costs[-s.patience - 1 : -1]]
             if counts.get("valid") and len(last) == s.patience and self.costs[-1][1] > np.mean(last):
                 break
-        drop(inputs)
+        drop(whole)
         return self
 
-    def _gradients(self, seen: DataFrame, inputs: DataFrame, matrix: DataFrame | None, n: int) -> tuple[list[np.ndarray], dict[str, float]]:
-        weights, slope = self.weights, ACTIVATIONS[self.settings.activation]
+    def _cost(self, seen: DataFrame) -> float:
+        """The summed cross-entropy of nodes (q, label)."""
+        weights = self.weights[1]
+
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = 0.0
+            for f in frames:
+                if len(f):
+                    z = rows_of(f["q"]) @ weights
+                    z = z - z.max(1, keepdims=True)
+                    total += float((np.log(np.exp(z).sum(1)) - z[np.arange(len(z)), f["label"].to_numpy()]).sum())
+            yield pd.DataFrame({"cost": [total]})
+
+        return seen.mapInPandas(run, "cost double").agg(F.sum("cost")).first()[0] or 0.0
+
+    def _gradients(self, seen: DataFrame, inputs: DataFrame, matrix: DataFrame | Supports | None, n: int, epoch: int) -> tuple[list[np.ndarray], dict[str, float]]:
+        s, weights, slope = self.settings, self.weights, ACTIVATIONS[self.settings.activation]
         hidden, classes = weights[1].shape
 
         def loss(f: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -152,13 +226,14 @@ class Network:
         parts = seen.mapInPandas(last, "g array<double>, train double, valid double").collect()
         d = seen.where("split = 'train'").mapInPandas(back, seen.select("id", F.col("q").alias("d")).schema)
         if matrix is not None:
-            d = spread(matrix, d, "d", hidden)
+            d = gathered(matrix, d, "d", s.hidden)
+        d = dropped(d, "d", s.drop, s.seed, 1, epoch)
         lower = inputs.select("id", "x").join(d, "id").mapInPandas(first, "g array<double>").collect()
         return [total(lower, weights[0].shape), total(parts, weights[1].shape)], {k: sum(r[k] for r in parts) for k in ("train", "valid")}
 
-    def predict(self, rows: DataFrame, matrix: DataFrame | None = None) -> DataFrame:
+    def predict(self, rows: DataFrame, matrix: DataFrame | Supports | None = None) -> DataFrame:
         """id, probability of every node. rows: id, x."""
-        width = self.weights[0].shape[0]
+        width = self.weights[0].shape[0] // (matrix.count if isinstance(matrix, Supports) else 1)
         inputs = spread(matrix, rows, "x", width) if matrix is not None else rows.select("id", F.col("x").cast("array<double>").alias("x"))
         z = dense(self.forward(inputs, matrix).select("id", "q"), "q", self.weights[1], "z").select("id", "z")
         e = F.transform("z", lambda x: F.exp(x - F.array_max("z")))

@@ -186,6 +186,62 @@ def test_network(spark, tmp_path, with_graph):
     assert np.allclose([p[str(i)] for i in range(n)], z / z.sum(1, keepdims=True), atol=1e-4)
 
 
+@pytest.mark.parametrize("drop", [0.0, 0.4])
+def test_network_with_several_supports(spark, drop):
+    """Chebyshev's polynomials as supports, entries of both layers' inputs dropped: equal to a dense network with gradients
+    by finite differences."""
+    rng, n, width = np.random.default_rng(2), 9, 2
+    a = np.triu(rng.random((n, n)) < 0.4, 1)
+    nodes = spark.createDataFrame([(str(i),) for i in range(n)], "id string")
+    e = spark.createDataFrame([(str(i), str(j)) for i, j in np.argwhere(a).tolist()], "src string, dst string")
+    laplacian = features.rescaled_laplacian(nodes, e)
+    square = np.zeros((n, n))
+    for r in laplacian.collect():
+        square[int(r["i"]), int(r["j"])] = r["value"]
+    supports = [np.eye(n), square, 2 * square @ square - np.eye(n)]
+    x, y, train = rng.normal(size=(n, width)), rng.integers(0, 3, n), np.arange(n) < 6
+    y[:3] = [0, 1, 2]
+    rows = spark.createDataFrame([(str(i), x[i].tolist(), int(y[i]), "train" if train[i] else "valid") for i in range(n)], "id string, x array<double>, label int, split string")
+    s = networks.Settings(hidden=3, epochs=2, rate=0.05, drop=drop, seed=4, activation="tanh")
+    matrix = networks.several(*features.chebyshev_matrices(laplacian))
+    got = networks.Network(s).fit(rows, matrix)
+
+    def factors(size, layer, epoch):
+        ones = spark.createDataFrame([(str(i), [1.0] * size) for i in range(n)], "id string, x array<double>")
+        m = {r["id"]: r["x"] for r in networks.dropped(ones, "x", drop, 4, layer, epoch).collect()}
+        return np.array([m[str(i)] for i in range(n)])
+
+    start = np.random.default_rng(4)
+    w = [start.uniform(-1, 1, z) * np.sqrt(6 / sum(z)) for z in ((3 * width, 3), (9, 3))]
+    side = lambda h: np.concatenate([t @ h for t in supports], 1)
+
+    def cost(w, at, masks, decay=0.0):
+        z = side(np.tanh(side(x * masks[0]) @ w[0]) * masks[1]) @ w[1]
+        logp = z - np.log(np.exp(z).sum(1, keepdims=True))
+        return -logp[np.arange(n), y][at].mean() + decay / 2 * (w[0] ** 2).sum()
+
+    m, v, costs, none = [0, 0], [0, 0], [], [np.ones((n, width)), np.ones((n, 3))]
+    for t in (1, 2):
+        masks = [factors(width, 0, t), factors(3, 1, t)]
+        costs.append((cost(w, train, masks), cost(w, ~train, none)))
+        new = []
+        for k in range(2):
+            g = np.zeros_like(w[k])
+            for at in np.ndindex(g.shape):
+                up, down = [u.copy() for u in w], [u.copy() for u in w]
+                up[k][at] += 1e-6
+                down[k][at] -= 1e-6
+                g[at] = (cost(up, train, masks, s.decay) - cost(down, train, masks, s.decay)) / 2e-6
+            m[k], v[k] = 0.9 * m[k] + 0.1 * g, 0.999 * v[k] + 0.001 * g * g
+            new.append(w[k] - s.rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8))
+        w = new
+    assert (drop == 0) == bool((masks[0] == 1).all())
+    assert np.allclose(got.costs, costs, atol=1e-5) and all(np.allclose(p, q, atol=1e-4) for p, q in zip(got.weights, w, strict=True))
+    z = np.exp(side(np.tanh(side(x) @ w[0])) @ w[1])
+    p = {r["id"]: r["probability"] for r in got.predict(rows, matrix).collect()}
+    assert np.allclose([p[str(i)] for i in range(n)], z / z.sum(1, keepdims=True), atol=1e-4)
+
+
 def test_network_ends_early(spark):
     rows = spark.createDataFrame([(str(i), [float(i % 2), 1.0], i % 2, "train") for i in range(6)] + [(str(i), [float(i % 2), 1.0], 1 - i % 2, "valid") for i in range(6, 10)], "id string, x array<double>, label int, split string")
     got = networks.Network(networks.Settings(hidden=3, epochs=30, rate=0.3, patience=2, activation="tanh")).fit(rows)
