@@ -123,6 +123,47 @@ def embed(fulltext: DataFrame, encoder: Callable[[list[str]], np.ndarray] = hash
     return fulltext.select("id", "text").mapInPandas(run, "id string, embedding array<float>")
 
 
+Encoder = Callable[[list[str]], np.ndarray]
+#: What a worker has loaded, by name: workers are reused, so a model is loaded once a worker and not once a task.
+_MODELS: dict[str, Encoder] = {}
+
+
+def loaded(name: str, load: Callable[[], Encoder]) -> Encoder:
+    if name not in _MODELS:
+        _MODELS.clear()  # one at a time: models are large
+        _MODELS[name] = load()
+    return _MODELS[name]
+
+
+def by_length(texts: list[str], most: int) -> Iterator[list[int]]:
+    """Places of texts in batches of like length: as many as fill `most` characters, each counted as long as the longest, or
+    one longer text. Encoders that pad so waste little, and none gets more than it can hold."""
+    batch, longest = [], 0
+    for i in sorted(range(len(texts)), key=lambda i: (len(texts[i]), i)):
+        if batch and max(longest, len(texts[i])) * (len(batch) + 1) > most:
+            yield batch
+            batch, longest = [], 0
+        batch.append(i)
+        longest = max(longest, len(texts[i]), 1)
+    if batch:
+        yield batch
+
+
+def embed_loaded(fulltext: DataFrame, name: str, load: Callable[[], Encoder], most: int = 1 << 16) -> DataFrame:
+    """id, embedding of fulltext (id, text) by an encoder that load() gives, known by `name` (with its version: another name
+    is another model). Rows leave in the order in which they came; a null text is an empty one."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            texts, out = [t or "" for t in f["text"]], [None] * len(f)
+            for batch in by_length(texts, most):
+                for i, v in zip(batch, loaded(name, load)([texts[i] for i in batch]), strict=True):
+                    out[i] = v
+            yield pd.DataFrame({"id": f["id"], "embedding": out})
+
+    return fulltext.select("id", "text").mapInPandas(run, "id string, embedding array<float>")
+
+
 def token_triples(tokens: DataFrame) -> DataFrame:
     """Token ids as sparse coordinates: id, position, token."""
     return tokens.select("id", F.posexplode("ids").alias("position", "token"))
