@@ -3,23 +3,26 @@
 from __future__ import annotations
 
 import re
+import time
 from collections import defaultdict
 from collections.abc import Iterator
 from hashlib import blake2b
+from zlib import crc32
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Run, finish, lean, save, small_enough
+from .common import Run, finish, lean, save, settle, small_enough
 from .hashing import U, mix
 
 #: Bytes of text in a block, and of a row of it; n-grams that a shard of the sketch is meant for, and its cells (a power of
 #: two); the most phrases of one automaton.
-BLOCK, ROW, SHARD, CELLS, AUTOMATON = 8 << 20, 1 << 20, 1 << 22, 1 << 24, 250_000
+BLOCK, ROW, SHARD, CELLS, AUTOMATON = 16 << 20, 1 << 20, 1 << 22, 1 << 24, 250_000
 #: What ends a piece becomes a line end, a tab a space, A to Z small letters.
 PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 10 + b" ")
 STEP = U(0x9E3779B97F4A7C15)
@@ -46,8 +49,8 @@ def segments(text: bytes) -> Iterator[bytes]:
 
 
 def blocks() -> Run:
-    """A step from lang, text to block, lang, n (words), text: pieces of texts of one language, some ROW bytes a row. Blocks
-    are numbered by task, so this step's result is written before anything refers to them."""
+    """A step from lang, text to block, lang, n (words), size, text: pieces of texts of one language, some ROW bytes (size) a
+    row, packed. Blocks are numbered by task, so this step's result is written before anything refers to them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = defaultdict(list)
@@ -58,7 +61,8 @@ def blocks() -> Run:
             text = b" \n ".join(held.pop(lang))
             sizes.pop(lang)
             n = text.count(b" ") - text.count(b"\n") + 1
-            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([lang]), pa.array([n], pa.int64()), pa.array([text], pa.binary())], names=["block", "lang", "n", "text"])
+            data = pa.Codec("zstd").compress(text, asbytes=True)
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([lang]), pa.array([n], pa.int64()), pa.array([len(text)], pa.int64()), pa.array([data], pa.binary())], names=["block", "lang", "n", "size", "text"])
 
         for batch in batches:
             for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -78,6 +82,22 @@ def blocks() -> Run:
     return lean(run)
 
 
+def unpacked(rows: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, str, bytes]]:
+    """block, lang, text of rows that blocks() has made."""
+    for block, lang, size, text in zip(*(rows.column(c) for c in ("block", "lang", "size", "text")), strict=True):
+        yield block.as_py(), lang.as_py(), pa.Codec("zstd").decompress(text.as_py(), size.as_py(), asbytes=True)
+
+
+def packed(cells: np.ndarray) -> bytes:
+    """Ascending numbers: the bytes of their differences, place by place."""
+    return pa.Codec("zstd").compress(np.diff(cells, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), asbytes=True)
+
+
+def cells_of(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data, 4 * n, asbytes=True), np.uint8).reshape(4, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
+
+
 class Grams:
     """Runs of words of normalised texts as 64-bit numbers. A word's number is a polynomial of its bytes (a longer one's,
     for whose patterns polynomials of this kind may agree, a digest)."""
@@ -111,7 +131,7 @@ class Grams:
 
 
 def sketch(longest: int, shards: int) -> Run:
-    """A step from block, lang, n, text to block, shard, cells (32-bit), counts (a byte): how often runs of words fall into
+    """A step from block, lang, n, size, text to block, shard, cells, counts (a byte each): how often runs of words fall into
     the sketch's cells, summed a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,16 +147,16 @@ def sketch(longest: int, shards: int) -> Run:
             for at in range(0, len(spans), 256):
                 part = spans[at : at + 256]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([now] * len(part), pa.int64()), pa.array([int(shard[i]) for i, _ in part], pa.int64()), pa.array([cells[i:j].tobytes() for i, j in part], pa.binary()), pa.array([counts[i:j].tobytes() for i, j in part], pa.binary())],
+                    [pa.array([now] * len(part), pa.int64()), pa.array([int(shard[i]) for i, _ in part], pa.int64()), pa.array([packed(cells[i:j]) for i, j in part], pa.binary()), pa.array([counts[i:j].tobytes() for i, j in part], pa.binary())],
                     names=["block", "shard", "cells", "counts"],
                 )
 
         for batch in batches:
-            for block, lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3), strict=True):
+            for block, lang, text in unpacked(batch):
                 if held and block != now:
                     yield from counted()
                 now = block
-                for h, _ in grams(lang, text.as_py())[2]:
+                for h, _ in grams(lang, text)[2]:
                     held.append(place(h, shards))
         if held:
             yield from counted()
@@ -154,29 +174,31 @@ def heavy(least: int):
 
     def run(t: pa.Table) -> pa.Table:
         total = np.zeros(CELLS, np.uint16)
-        cells = [np.frombuffer(x.as_py(), np.uint32) for x in t.column("cells")]
-        for c, n in zip(cells, t.column("counts"), strict=True):
-            total[c] = np.minimum(total[c] + np.frombuffer(n.as_py(), np.uint8), 60_000)
+        counts = [np.frombuffer(x.as_py(), np.uint8) for x in t.column("counts")]
+        cells = [cells_of(x.as_py(), len(n)) for x, n in zip(t.column("cells"), counts, strict=True)]
+        for c, n in zip(cells, counts, strict=True):
+            total[c] = np.minimum(total[c] + n, 60_000)
         enough = total >= least
-        base = U(t.column("shard")[0].as_py()) * U(CELLS)
-        return pa.table({"block": t.column("block"), "keys": pa.array([(c[enough[c]].astype(U) + base).tobytes() for c in cells], pa.binary())})
+        kept = [c[enough[c]] for c in cells]
+        return pa.table({"block": t.column("block"), "shard": t.column("shard"), "n": pa.array([len(c) for c in kept], pa.int64()), "cells": pa.array(list(map(packed, kept)), pa.binary())})
 
     return run
 
 
-def counting(longest: int, shards: int):
+def counting(longest: int, shards: int, parts: int):
     """A step for one block: its texts, and the keys of its heavy cells. The runs of words in these cells are its
-    candidates; automata of AUTOMATON of them at most, guarded by spaces, find all places where they occur."""
+    candidates; automata of AUTOMATON of them at most, guarded by spaces, find all places where they occur. What it has
+    counted leaves in `parts` parts by the phrase, packed: part, lang, n (phrases), size, phrases, counts."""
 
     def run(texts: pa.Table, marks: pa.Table) -> pa.Table:
-        langs, phrases, counts = [], [], []
+        out = []
         bits = np.zeros(1 << 24, np.uint8)
-        for m in marks.column("keys"):
-            k = mix(np.frombuffer(m.as_py(), U))
+        for shard, n, cells in zip(*(marks.column(c).to_pylist() for c in ("shard", "n", "cells")), strict=True):
+            k = mix(cells_of(cells, n).astype(U) + U(shard) * U(CELLS))
             np.bitwise_or.at(bits, (k >> U(3) & U((1 << 24) - 1)).astype(np.int64), (1 << (k & U(7)).astype(np.uint8)).astype(np.uint8))
         grams, of = Grams(longest), defaultdict(list)
-        for lang, text in zip(texts.column("lang").to_pylist(), texts.column("text"), strict=True):
-            of[lang].append(text.as_py())
+        for _, lang, text in unpacked(texts):
+            of[lang].append(text)
         for lang in sorted(of):
             known, found = np.zeros(0, U), []
             for text in of[lang]:
@@ -189,20 +211,35 @@ def counting(longest: int, shards: int):
                     known = np.concatenate([known, new[fresh]])
                     first = first[marked[at[fresh]]]
                     found += [text[a:b] for a, b in zip(begin[first].tolist(), end[first + n].tolist(), strict=True)]
-            found = sorted({p.decode("utf-8", "surrogateescape") for p in found})
+            found = sorted(set(found))
             whole = f" {b' \n '.join(of.pop(lang)).decode('utf-8', 'surrogateescape')} "
             for a in range(0, len(found), AUTOMATON):
-                part = found[a : a + AUTOMATON]
+                some = found[a : a + AUTOMATON]
                 automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-                for i, p in enumerate(part):
-                    automaton.add_word(f" {p} ", i)
+                for i, p in enumerate(some):
+                    automaton.add_word(f" {p.decode('utf-8', 'surrogateescape')} ", i)
                 automaton.make_automaton()
-                times = np.bincount(np.fromiter((i for _, i in automaton.iter(whole)), np.int64), minlength=len(part))
-                langs += [lang] * len(part)
-                phrases += part
-                counts.append(times)
-        names = pa.array([p.encode("utf-8", "surrogateescape") for p in phrases], pa.binary())
-        return pa.table({"lang": pa.array(langs, pa.string()), "phrase": names, "f": pa.array(np.concatenate([np.zeros(0, np.int64), *counts]))})
+                times = np.bincount(np.fromiter((i for _, i in automaton.iter(whole)), np.int64), minlength=len(some)).astype("<u4")
+                part = np.fromiter((crc32(p) % parts for p in some), np.int64, len(some))
+                order = np.argsort(part, kind="stable")
+                for rows in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+                    data = b"\n".join([some[i] for i in rows.tolist()])
+                    out.append((int(part[rows[0]]), lang, len(rows), len(data), pa.Codec("zstd").compress(data, asbytes=True), times[rows].tobytes()))
+        kinds = {"part": pa.int64(), "lang": pa.string(), "n": pa.int64(), "size": pa.int64(), "phrases": pa.binary(), "counts": pa.binary()}
+        return pa.table({c: pa.array([r[i] for r in out], t) for i, (c, t) in enumerate(kinds.items())})
+
+    return run
+
+
+def summing(least: int):
+    """A step for one part of a language's phrases: phrase and f of those that were counted `least` times or more."""
+
+    def run(t: pa.Table) -> pa.Table:
+        names = [p for size, data in zip(t.column("size").to_pylist(), t.column("phrases"), strict=True) for p in pa.Codec("zstd").decompress(data.as_py(), size, asbytes=True).split(b"\n")]
+        counts = np.concatenate([np.frombuffer(c.as_py(), "<u4") for c in t.column("counts")]).astype(np.int64)
+        sums = pa.table({"phrase": pa.array(names, pa.binary()), "f": pa.array(counts)}).group_by("phrase").aggregate([("f", "sum")])
+        sums = sums.filter(pa.compute.greater_equal(sums.column("f_sum"), least))
+        return pa.table({"lang": pa.array([t.column("lang")[0].as_py()] * len(sums), pa.string()), "phrase": sums.column("phrase"), "f": sums.column("f_sum")})
 
     return run
 
@@ -212,13 +249,17 @@ def frequencies(docs: DataFrame, least: int, longest: int, text: str, lang: str)
     and lang, n (words of it)."""
     of = lambda c: F.col(f"`{c}`")
     rows = docs.select(F.coalesce(of(lang).cast("string"), F.lit("und")).alias("lang"), of(text).cast("string").cast("binary").alias("text")).where("text IS NOT NULL")
-    texts = save(rows.mapInArrow(blocks(), "block bigint, lang string, n bigint, text binary"), "texts")
+    texts = save(rows.mapInArrow(blocks(), "block bigint, lang string, n bigint, size bigint, text binary"), "texts")
     words = save(texts.groupBy("lang").agg(F.sum("n").alias("n")), "words")
     shards = max(1, -(-longest * (words.agg(F.sum("n")).first()[0] or 0) // SHARD))
     cells = texts.mapInArrow(sketch(longest, shards), "block bigint, shard bigint, cells binary, counts binary")
-    marks = save(cells.groupBy("shard").applyInArrow(heavy(least), "block bigint, keys binary"), "marks")
-    counted = texts.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(counting(longest, shards), "lang string, phrase binary, f bigint")
-    out = save(counted.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("f").alias("f")).where(F.col("f") >= least), "phrases")
+    marks = save(cells.groupBy("shard").applyInArrow(heavy(least), "block bigint, shard bigint, n bigint, cells binary"), "marks")
+    time.sleep(1)  # until the end of that step has been told to all who listen, and none refers to it
+    settle(docs.sparkSession)  # the cells have been summed; what they took of the disk goes
+    parts = -(-shards // 4)
+    counted = texts.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(counting(longest, shards, parts), "part bigint, lang string, n bigint, size bigint, phrases binary, counts binary")
+    summed = counted.groupBy("part", "lang").applyInArrow(summing(least), "lang string, phrase binary, f bigint")
+    out = save(summed.select("lang", F.col("phrase").cast("string").alias("phrase"), "f"), "phrases")
     finish(texts, marks)
     return out, words
 
@@ -245,7 +286,7 @@ def collocations(docs: DataFrame, least: int = 10, longest: int = 3, cover: int
     table gives no rows. Other columns are not read.
     """
     f, words = frequencies(docs, least, longest, text, lang)
-    named = lambda c, n: small_enough(f).select(F.col("lang").alias(f"{n}_lang"), F.col("phrase").alias(c), F.col("f").alias(n))
+    named = lambda c, n: f.select(F.col("lang").alias(f"{n}_lang"), F.col("phrase").alias(c), F.col("f").alias(n))
     candidates = f.withColumn("words", F.split("phrase", " ")).withColumn("size", F.size("words")).where("size > 1")
     cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
     cuts = cuts.select("lang", "phrase", F.col("f").alias("a"), "k", part(F.lit(1), F.col("k")).alias("first"), part(F.col("k") + 1, F.col("size")).alias("rest"))
