@@ -37,9 +37,10 @@ def preference(pairs: DataFrame) -> DataFrame:
     out = out.withColumn("prompt", F.coalesce(join(F.slice("chosen", 1, F.col("common_turns"))), F.lit("")))
     for side in ("chosen", "rejected"):
         rest = F.slice(side, F.col("common_turns") + 1, F.greatest(F.size(side) - F.col("common_turns"), F.lit(0)))
-        sizes = F.transform(rest, lambda t: F.length(render(t)))
-        upto = lambda i: F.aggregate(F.slice(sizes, 1, i), F.lit(0), lambda a, b: a + b)
-        ends = F.transform(rest, lambda t, i: F.struct(upto(i).alias("start"), (upto(i) + F.length(render(t))).alias("end"), (t["role"] == "assistant").alias("train")))
+        none = F.struct(F.array().cast("array<struct<start:int,end:int,train:boolean>>").alias("mask"), F.lit(0).alias("end"))
+        # a turn is rendered where it is appended, and its start is carried on: each is looked at once
+        further = lambda a, t, size: F.struct(F.array_append(a["mask"], F.struct(a["end"].alias("start"), (a["end"] + size).alias("end"), (t["role"] == "assistant").alias("train"))).alias("mask"), (a["end"] + size).alias("end"))
+        ends = F.aggregate(rest, none, lambda a, t: further(a, t, F.length(render(t))), lambda a: a["mask"])
         out = out.withColumn(f"{side}_completion", join(rest)).withColumn(f"{side}_mask", ends)
     return out.select("pair_id", "chosen_id", "rejected_id", "common_turns", "prompt", "chosen_completion", "chosen_mask", "rejected_completion", "rejected_mask")
 
