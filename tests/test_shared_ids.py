@@ -1,0 +1,18 @@
+"""Tables in which several rows share an article's identifier, against joins and counts of the rows themselves."""
+
+from pyspark.sql import functions as F
+
+from paperlake.plans import views
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_references_of_an_article_are_one_list(spark, tmp_path):
+    keys = [(1, 5), (300_001, 6), (1, 5), (2, 7)]  # 1 and 300,001 number one article
+    spark.createDataFrame(keys, "l_orderkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    name = lambda *k: [r[0] for r in spark.createDataFrame([(x,) for x in k], "k long").select(views.article_id(F.col("k"))).collect()]
+    found = {r["id"]: sorted(r["refs"]) for r in views.citations(spark, str(tmp_path)).collect()}
+    assert found == {name(1)[0]: sorted(name(5, 5, 6)), name(2)[0]: name(7)}
+    assert views.citations(spark, str(tmp_path)).count() == 2
