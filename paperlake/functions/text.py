@@ -77,7 +77,8 @@ def remove_stamp(text: Column, within: int = 1000) -> Column:
     with a space.
 
     White space may stand anywhere in a banner. So it is looked for in the characters without white space, and where it
-    begins and ends there, in characters, is counted off again in the text.
+    begins and ends there, in characters, is counted off again in the text. Only a year whose first two digits stand
+    together ends where they do, or digits that follow the banner would be taken for its own.
     """
     head, tail = F.substring(text, 1, within), F.substr(text, F.lit(within + 1))
     squeeze = lambda s: F.regexp_replace(s, SPACES, "")
@@ -87,7 +88,8 @@ def remove_stamp(text: Column, within: int = 1000) -> Column:
     def cut(s: Column) -> Column:
         start = F.regexp_instr(squeeze(s), F.lit(STAMP)) - 1
         end = start + F.length(F.regexp_extract(squeeze(s), STAMP, 0))
-        return F.concat(strip(first(s, start)), F.lit(" "), strip(F.substr(s, F.length(first(s, end)) + 1)))
+        upto = F.regexp_replace(first(s, end), r"(?U)([^0-9\s]\s*[0-9]{2,3})\s[0-9\s]*$", "$1")
+        return F.concat(strip(first(s, start)), F.lit(" "), strip(F.substr(s, F.length(upto) + 1)))
 
     back = F.reverse(head)
     has = lambda s: F.rlike(squeeze(s), F.lit(STAMP))

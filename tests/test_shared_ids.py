@@ -25,3 +25,9 @@ def test_unknown_share_counts_every_known_row(spark):
     known = spark.createDataFrame([("1203.00231",), ("1203.00231",), ("1203.00231",), ("1203.00232",)], "id string")
     assert rows(citations.error_rate(full, known)) == [(8, 1 / 8)]
     assert rows(citations.error_rate(full.limit(0), known)) == [(0, None)]
+
+
+def test_digits_after_a_banner_stay(spark):
+    stamps = ["a r X i v : 1 2 0 3 . 0 0 2 3 [ cs . L G ] 1 Feb 19 4734 x", "arXiv:0903123V1 [hep-th] 3 Mar 99\n12 y", "a r X i v : 1 2 0 3 . 0 0 2 3 [ c s ] 1 Feb 2 0 1 9 47 z"]
+    got = [r[0] for r in spark.createDataFrame([(s,) for s in stamps], "t string").select(text.remove_stamp(F.col("t"))).collect()]
+    assert got == [" 4734 x", " 12 y", " 47 z"]
