@@ -31,3 +31,12 @@ def test_digits_after_a_banner_stay(spark):
     stamps = ["a r X i v : 1 2 0 3 . 0 0 2 3 [ cs . L G ] 1 Feb 19 4734 x", "arXiv:0903123V1 [hep-th] 3 Mar 99\n12 y", "a r X i v : 1 2 0 3 . 0 0 2 3 [ c s ] 1 Feb 2 0 1 9 47 z"]
     got = [r[0] for r in spark.createDataFrame([(s,) for s in stamps], "t string").select(text.remove_stamp(F.col("t"))).collect()]
     assert got == [" 4734 x", " 12 y", " 47 z"]
+
+
+def test_nodes_that_share_an_id(spark):
+    nodes = spark.createDataFrame([("a",), ("a",), ("b",), ("c",), ("d",), ("d",), ("d",)], "id string")
+    e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "src string, dst string")
+    assert rows(graph.degrees(nodes, e)) == [("a", 1, 1), ("a", 1, 1), ("b", 1, 1), ("c", 1, 1), *[("d", 0, 0)] * 3]
+    assert rows(graph.clustering(nodes, e)) == [("a", 0.5), ("a", 0.5), ("b", 0.5), ("c", 0.5), *[("d", 0.0)] * 3]
+    s = graph.summary(nodes, e).first()
+    assert (s["nodes"], s["mean_clustering"]) == (7, 2 / 7)
