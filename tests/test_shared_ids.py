@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from paperlake.functions import text
-from paperlake.operators import citations, graph
+from paperlake.operators import citations, features, graph
 from paperlake.plans import views
 
 
@@ -40,3 +40,12 @@ def test_nodes_that_share_an_id(spark):
     assert rows(graph.clustering(nodes, e)) == [("a", 0.5), ("a", 0.5), ("b", 0.5), ("c", 0.5), *[("d", 0.0)] * 3]
     s = graph.summary(nodes, e).first()
     assert (s["nodes"], s["mean_clustering"]) == (7, 2 / 7)
+
+
+def test_citation_matrix_counts_pairs_of_rows(spark):
+    split = spark.createDataFrame([("a", 0, True), ("a", 1, False), ("b", 1, True), ("b", 1, True), ("c", 2, False)], "id string, label int, train boolean")
+    refs = spark.createDataFrame([("a", ["b", "c", "b"]), ("c", ["a"])], "id string, refs array<string>")
+    m = features.citation_matrix(refs, split, normalize=False)
+    # two citations of two rows of b by two rows of a; c only by the row of a that isn't training
+    assert rows(m) == [("a", "b", 8.0), ("a", "c", 1.0), ("c", "a", 2.0)]
+    assert rows(features.citation_feature(m, split)) == [("a", 1, 16.0), ("a", 2, 1.0), ("c", 0, 2.0), ("c", 1, 2.0)]
