@@ -49,3 +49,14 @@ def test_citation_matrix_counts_pairs_of_rows(spark):
     # two citations of two rows of b by two rows of a; c only by the row of a that isn't training
     assert rows(m) == [("a", "b", 8.0), ("a", "c", 1.0), ("c", "a", 2.0)]
     assert rows(features.citation_feature(m, split)) == [("a", 1, 16.0), ("a", 2, 1.0), ("c", 0, 2.0), ("c", 1, 2.0)]
+
+
+def test_matrices_with_shared_ids(spark):
+    nodes = spark.createDataFrame([("a",), ("a",), ("b",), ("c",)], "id string")
+    e = spark.createDataFrame([("a", "b"), ("b", "c")], "src string, dst string")
+    each = features.adjacency_normalised(nodes, e)
+    once = features.adjacency_normalised(nodes, e, repeats=False)
+    assert each.where("i = 'a' AND j = 'a'").count() == 2 and once.where("i = 'a' AND j = 'a'").count() == 1
+    total = lambda m: {(r["i"], r["j"]): round(r["value"], 12) for r in m.groupBy("i", "j").agg(F.sum("value").alias("value")).collect()}
+    assert total(each) == total(once) and total(once)["a", "a"] == round(2 / 3, 12)
+    assert features.rescaled_laplacian(nodes, e).count() == features.rescaled_laplacian(nodes.distinct(), e).count() == 7
