@@ -1,9 +1,10 @@
 """Tables in which several rows share an article's identifier, against joins and counts of the rows themselves."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from paperlake.functions import text
-from paperlake.operators import citations, features, graph
+from paperlake.operators import citations, features, graph, networks
 from paperlake.plans import views
 
 
@@ -60,3 +61,16 @@ def test_matrices_with_shared_ids(spark):
     total = lambda m: {(r["i"], r["j"]): round(r["value"], 12) for r in m.groupBy("i", "j").agg(F.sum("value").alias("value")).collect()}
     assert total(each) == total(once) and total(once)["a", "a"] == round(2 / 3, 12)
     assert features.rescaled_laplacian(nodes, e).count() == features.rescaled_laplacian(nodes.distinct(), e).count() == 7
+
+
+def test_networks_with_shared_ids(spark):
+    nodes = spark.createDataFrame([("a",), ("a",), ("b",), ("c",)], "id string")
+    once = features.adjacency_normalised(nodes, spark.createDataFrame([("a", "b"), ("b", "c")], "src string, dst string"), repeats=False)
+    row = lambda n: [(k, [float(x), 1.0], x, "train") for k, x in n]
+    schema = "id string, x array<double>, label int, split string"
+    fit = lambda n, m=None: networks.Network(networks.Settings(hidden=2, epochs=2)).fit(spark.createDataFrame(row(n), schema), m, 2)
+    shared, apart = fit([("a", 0), ("a", 1), ("b", 1)]), fit([("a", 0), ("z", 1), ("b", 1)])
+    assert all(np.allclose(x, y) for x, y in zip(shared.weights, apart.weights, strict=True)) and np.allclose(shared.costs, apart.costs)
+    assert shared.predict(spark.createDataFrame(row([("a", 0), ("a", 1), ("b", 1)]), schema)).count() == 3
+    seen = fit([("a", 0), ("a", 1), ("b", 1), ("c", 0)], once)
+    assert seen.predict(spark.createDataFrame(row([("a", 0), ("a", 1), ("b", 1), ("c", 0)]), schema), once).count() == 3
