@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import unicodedata
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,16 +39,28 @@ def fix_rules(text: Column) -> Column:
     return F.when(some, F.translate(out, "".join(PLAIN), "".join(PLAIN.values()))).otherwise(text)
 
 
-@F.pandas_udf(T.StringType())
-def compose(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Compatibility composition (NFKC), which Spark has no function for."""
+@F.arrow_udf(T.StringType())
+def compose(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Compatibility composition (NFKC), which Spark has no function for. Of a batch, which may be 10,000 long texts, only
+    some are Python's strings at a time: these take up to four bytes a character. What a batch has used is given back."""
+    release = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
     for t in texts:
-        yield t.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+        some = (t.slice(at, 100).to_pylist() for at in range(0, len(t), 100))
+        parts = [pa.array([None if x is None else unicodedata.normalize("NFKC", x) for x in p], pa.string()) for p in some]
+        t = pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+        del parts
+        yield t
+        del t
+        pa.default_memory_pool().release_unused()
+        if release:
+            release(0)
 
 
 def fix_unicode(text: Column) -> Column:
-    """fix_rules, then NFKC; plain ASCII skips both."""
-    return F.when(F.rlike(text, F.lit(r"[^\x00-\x7f]")), compose(fix_rules(text))).otherwise(text)
+    """fix_rules, then NFKC; plain ASCII skips both. Spark sends whole batches to Python whatever a condition around the
+    call says, so plain texts go there as nulls."""
+    some = F.rlike(text, F.lit(r"[^\x00-\x7f]"))
+    return F.when(some, compose(F.when(some, fix_rules(text)))).otherwise(text)
 
 
 def words(text: Column) -> Column:
