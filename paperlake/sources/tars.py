@@ -23,6 +23,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..operators.shared import save
 
+#: How many byte ranges are a task each; and the bytes that a task of several reads.
+MOST, SHARE = 1000, 64 << 20
 BAD = (tarfile.TarError, OSError, EOFError)
 
 
@@ -115,8 +117,8 @@ def members(spark: SparkSession, path: str) -> DataFrame:
 
 
 class _Part(InputPartition):
-    def __init__(self, tar: str, start: int, end: int):
-        self.tar, self.start, self.end = tar, start, end
+    def __init__(self, ranges: list):
+        self.ranges = ranges
 
 
 class _Parts(DataSourceReader):
@@ -124,18 +126,18 @@ class _Parts(DataSourceReader):
         self.parts = parts
 
     def partitions(self) -> list[InputPartition]:
-        return [_Part(*p) for p in self.parts] or [_Part("", 0, 0)]
+        return [_Part(p) for p in self.parts] or [_Part([])]
 
     def read(self, partition: _Part) -> Iterator[tuple]:
-        if partition.tar:
-            for t, m in walked(partition.tar, partition.start, partition.end):
+        for tar, start, end in partition.ranges:
+            for t, m in walked(tar, start, end):
                 if m.isfile():
-                    yield partition.tar, partition.start + m.offset, m.name, t.extractfile(m).read()
+                    yield tar, start + m.offset, m.name, t.extractfile(m).read()
 
 
 class Parts(DataSource):
     """spark.read.format("tar_parts"): tar, start, member, content of the byte ranges in the option `parts`, a JSON list of
-    [tar, start, end]; each is a partition."""
+    lists of [tar, start, end]; each list is a partition, which reads its ranges one after the other."""
 
     @classmethod
     def name(cls) -> str:
@@ -155,10 +157,29 @@ def ranges(index: DataFrame, at_once: int = 64 << 20) -> DataFrame:
     return index.where("member IS NOT NULL").groupBy("tar", cell.alias("cell")).agg(F.min("start").alias("start"), F.max("end").alias("end")).select("tar", "start", "end")
 
 
+def dealt(found: list, most: int = MOST, share: int = SHARE) -> list[list]:
+    """Ranges [tar, start, end], in order, as lists of a partition's: each its own up to `most` of them; beyond that `most`
+    lists of like bytes, or more, so that one has `share` bytes or little over. Neighbours in a list are joined."""
+    if len(found) <= most:
+        return [[r] for r in found]
+    each = min(share, -(-sum(end - start for _, start, end in found) // most))
+    out, size = [], each
+    for tar, start, end in found:
+        if size >= each:
+            out.append([])
+            size = 0
+        if out[-1] and out[-1][-1][0] == tar and out[-1][-1][2] == start:
+            out[-1][-1] = [tar, out[-1][-1][1], end]
+        else:
+            out[-1].append([tar, start, end])
+        size += end - start
+    return out
+
+
 def contents(index: DataFrame, wanted: DataFrame | None = None, at_once: int = 64 << 20, name=None) -> DataFrame:
     """tar, member, content, error of the members of an index (see members), all or the wanted ones (tar, pdfs).
 
-    Many tasks read one archive, each a range of it; ranges without wanted members aren't read. `name`: what becomes of an
+    Many tasks read one archive, each a range of it (or several, see dealt); ranges without wanted members aren't read. `name`: what becomes of an
     archive's address (a function of a column), in the result and for `wanted`; else the name after the last slash. Only
     the ranges come to the driver, one in `at_once` bytes of archives. Rows with an error are the index's own.
     """
@@ -173,7 +194,7 @@ def contents(index: DataFrame, wanted: DataFrame | None = None, at_once: int = 6
     else:
         bad = known.where("member IS NULL")
     parts = [[r["tar"], r["start"], r["end"]] for r in ranges(some, at_once).orderBy("tar", "start").collect()]
-    read = spark.read.format("tar_parts").option("parts", json.dumps(parts)).load()
+    read = spark.read.format("tar_parts").option("parts", json.dumps(dealt(parts))).load()
     if wanted is not None:
         read = read.join(some.select("tar", "start"), ["tar", "start"], "left_semi")
     rows = read.select((name or (lambda c: F.substring_index(c, "/", -1)))(F.col("tar")).alias("tar"), "member", "content", F.lit(None).cast("string").alias("error"))

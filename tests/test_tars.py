@@ -95,3 +95,17 @@ def test_jobs_over_parts_go_on(spark, folder, tmp_path):
     assert (first, first + again, archives.process_parts(index, out, [text])) == (20, len(files), 0)
     got = spark.read.parquet(out).collect()
     assert sorted(r["text"] for r in got if r["text"] is not None) == sorted(d.decode() for d in files if d)
+
+
+def test_many_ranges_share_a_task(spark, folder, monkeypatch):
+    """Beyond a number of ranges a task reads several, one after the other, and neighbours as one; the members are the same."""
+    index, deal = tars.members(spark, f"file://{folder}/gnu.tar"), tars.dealt
+    one = found(tars.contents(index, at_once=1).collect())
+    monkeypatch.setattr(tars, "dealt", lambda ranges: deal(ranges, 5, 1 << 30))
+    df = tars.contents(index, at_once=1)
+    assert found(df.collect()) == one and len(one) > 20 and df.rdd.getNumPartitions() <= 6
+    a = [["x", 0, 10], ["x", 10, 20], ["x", 30, 40], ["y", 0, 10], ["y", 10, 20]]
+    assert deal(a, 5) == [[r] for r in a]
+    assert deal(a, 1) == [[["x", 0, 20], ["x", 30, 40], ["y", 0, 20]]]
+    assert deal(a, 1, 20) == [[["x", 0, 20]], [["x", 30, 40], ["y", 0, 10]], [["y", 10, 20]]]
+    assert deal([]) == []
