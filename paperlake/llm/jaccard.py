@@ -17,7 +17,7 @@ from .hashing import U, WordHashes, mix, shingles
 
 #: Share of the pairs at the least similarity that must meet in a bucket of the deepest level; the recursion's depth; and
 #: the largest bucket that is compared pair by pair where it stands.
-TARGET, DEPTH, SMALL = 0.9999, 3, 64
+TARGET, DEPTH, SMALL = 0.9999, 3, 2048
 #: Coordinates of a sketch (one byte each); how many must agree before two sets are looked at closely; and from how many
 #: on a set is alike enough to its bucket's head to be left to it in this bucket. That happens at 0.8 or so; what links to
 #: such a set at 0.8 is then at 0.6 or so to the head (by the triangle inequality), where fewer than NEAR agree in one of
@@ -143,6 +143,30 @@ def spanning(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def agreeing(s: np.ndarray) -> np.ndarray:
+    """In how many coordinates each two of some sketches agree."""
+    if len(s) <= 32:
+        return (s[:, None, :] == s[None, :, :]).sum(2)
+    out = np.zeros((len(s), len(s)), np.uint8)
+    for c in np.ascontiguousarray(s.T):
+        out += c[:, None] == c[None, :]
+    return out
+
+
+def stars(near: np.ndarray) -> list[tuple[int, int]]:
+    """From the first of all that a symmetric matrix connects to each of the others."""
+    np.fill_diagonal(near, False)
+    left, out = near.any(1), []
+    for x in np.flatnonzero(left).tolist():
+        front = [x] if left[x] else []
+        left[x] = False
+        while len(front):
+            front = np.flatnonzero(near[front].any(0) & left)
+            left[front] = False
+            out += [(x, y) for y in front.tolist()]
+    return out
+
+
 def alike(rows: DataFrame) -> DataFrame:
     """rows: node, rid, sketch, in buckets of at most SMALL. Edges (src, dst) between sets whose sketches agree enough."""
 
@@ -158,8 +182,7 @@ def alike(rows: DataFrame) -> DataFrame:
             if t.num_rows > 1:
                 rid = t.column(1).to_numpy()
                 s = np.frombuffer(b"".join(t.column(2).to_pylist()), np.uint8).reshape(-1, SKETCH)
-                near = (s[:, None, :] == s[None, :, :]).sum(2) >= NEAR
-                for x, y in spanning(len(rid), *np.nonzero(np.triu(near, 1))):
+                for x, y in stars(agreeing(s) >= NEAR):
                     a, b = root(int(rid[x])), root(int(rid[y]))
                     if a != b:  # not yet connected by this task's other buckets
                         up[max(a, b)] = min(a, b)
