@@ -7,12 +7,14 @@ import tarfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import path_to_id
 from ..sources import tars
 from . import extraction, manifest
+from .shared import parts
 
 
 def packed(files: DataFrame) -> DataFrame:
@@ -33,32 +35,39 @@ def packed(files: DataFrame) -> DataFrame:
 def contents(archives: DataFrame, wanted: DataFrame | None = None, at_once: int = 64 << 20) -> DataFrame:
     """tar, member, content, error: the members of archives (tar, content), all or the wanted ones (tar, pdfs).
 
-    Members leave as they are read, `at_once` bytes at a time, so a task holds its archive and these. An archive that
-    can't be read further gives the members before, and a row with the error and no member. Archives of which nothing is
-    wanted aren't opened.
+    Members leave as they are read, `at_once` bytes at a time, so a task holds its archives and these; archives are dealt
+    out in as many parts as their files ask for, so a task's share doesn't grow with the table. An archive that can't be
+    read further gives the members before, and a row with the error and no member. Archives of which nothing is wanted
+    aren't opened.
     """
     rows = archives.select("tar", "content")
     rows = rows.withColumn("pdfs", F.lit(None).cast("array<string>")) if wanted is None else rows.join(wanted.select("tar", "pdfs"), "tar")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for tar, content, pdfs in zip(f["tar"], f["content"], f["pdfs"], strict=True):
-                only = None if pdfs is None else set(pdfs)
+    def batch(held: list) -> pa.RecordBatch:
+        kinds = [pa.string(), pa.string(), pa.binary(), pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names=["tar", "member", "content", "error"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for tar, content, pdfs in zip(*b.columns, strict=True):
+                tar, only = tar.as_py(), None if pdfs.as_py() is None else set(pdfs.as_py())
                 held, size = [], 0
                 try:
-                    with tarfile.open(fileobj=io.BytesIO(content)) as t:
+                    with tarfile.open(fileobj=io.BytesIO(content.as_py())) as t:
                         for m in t:
                             if m.isfile() and (only is None or m.name in only):
                                 held.append((tar, m.name, t.extractfile(m).read(), None))
                                 size += m.size
                                 if size > at_once:
-                                    yield pd.DataFrame(held, columns=["tar", "member", "content", "error"])
+                                    yield batch(held)
                                     held, size = [], 0
                 except (tarfile.TarError, OSError, EOFError) as e:
                     held.append((tar, None, None, f"{type(e).__name__}: {e}"))
-                yield pd.DataFrame(held, columns=["tar", "member", "content", "error"])
+                if held:
+                    yield batch(held)
 
-    return rows.mapInPandas(run, "tar string, member string, content binary, error string")
+    dealt = rows.select("tar", "content", "pdfs").repartition(parts(archives), "tar")
+    return dealt.mapInArrow(run, "tar string, member string, content binary, error string")
 
 
 def texts(archives: DataFrame, extractors: list[extraction.Extractor], wanted: DataFrame | None = None, **settings) -> DataFrame:

@@ -11,10 +11,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 Extractor = Callable[[bytes], str]
+#: Characters of texts that a task holds before it passes them on.
+HELD = 4 << 20
 
 
 def within(extractor: Extractor, seconds: float) -> Extractor:
@@ -88,12 +91,18 @@ def extract(files: DataFrame, extractors: list[Extractor], normalise: Callable[[
                 error = f"{type(e).__name__}: {e}"
         return None, error
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            got = [one(c) for c in f["content"]]
-            yield pd.DataFrame({"id": f["id"], "text": [g[0] for g in got], "error": [g[1] for g in got]})
-
-    return files.select("id", "content").mapInPandas(run, "id string, text string, error string")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, out, size = b.column(0), [], 0
+            for i in range(b.num_rows):  # one by one: a batch may hold ten thousand files
+                out.append(one(b.column(1)[i].as_py()))
+                size += len(out[-1][0] or "")
+                if size > HELD or i == b.num_rows - 1:
+                    texts, errors = zip(*out, strict=True)
+                    yield pa.RecordBatch.from_arrays([ids.slice(i + 1 - len(out), len(out)), pa.array(texts, pa.string()), pa.array(errors, pa.string())], names=["id", "text", "error"])
+                    out, size = [], 0
+
+    return files.select(F.col("id").cast("string").alias("id"), "content").mapInArrow(run, "id string, text string, error string")
 
 
 def pending(files: DataFrame, done: DataFrame) -> DataFrame:
