@@ -391,6 +391,26 @@ def test_search_ranks_ties_by_id(spark, per_shard):
     assert got == {20: list(range(1, 11)), 200: [200, *range(1, 10)]}
 
 
+def test_search_sends_queries_a_group_at_a_time(spark, docs, monkeypatch):
+    asked = docs.where("doc_id % 3 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    key = lambda rows: sorted(map(tuple, rows))
+    whole = key(search.top(docs, asked, per_shard=40).collect())
+    written, put = [], search.save
+
+    def counted(df, name):
+        out = put(df, name)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(search, "save", counted)
+    monkeypatch.setattr(search, "ASKED", 16 << 10)
+    assert key(search.top(docs, asked, per_shard=40).collect()) == whole
+    found = [n for name, n in written if name == "found"]
+    shards = max(1, -(-docs.count() // 40))
+    # a row a shard, whatever the queries are; and each query in one group
+    assert dict(written)["index"] <= shards and len(found) > 1 and sum(found) == len(whole)
+
+
 def test_search_edges(spark, edges, empty):
     asked = edges.select(F.col("doc_id").alias("query_id"), "text").where("query_id IN (1, 2, 3, 6)")
     rows = search.top(edges, asked).collect()
